@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shelfmark import config
+from shelfmark.session import checkpoint_dir
 from shelfmark.functions.calendar import add_time_features
-from shelfmark.functions.exact import MONEY, cents, ratio_round
+from shelfmark.functions.exact import MONEY, cents, from_cents, ratio_round
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
@@ -93,31 +94,49 @@ def add_computed_columns(txn: DataFrame) -> DataFrame:
     """T4: revenue, profit, discount_pct (fraction, clipped at 0, 4dp) and
     gross_margin ((revenue - cost*qty) / revenue, 4dp, 0 when revenue <= 0).
 
-    Products of two-decimal prices and integer units are exact; the two
-    ratios are rounded from integer cents, so ties round the same everywhere.
+    Computed on integer cents: products of two-decimal prices and integer
+    units are exact, and the two ratios round half up from exact integers,
+    so ties round the same on every engine.
     """
     qty = F.col("quantity")
-    revenue = F.round(F.col("selling_price") * qty, 2).cast(MONEY)
-    profit = F.round((F.col("selling_price") - F.col("cost")) * qty, 2).cast(MONEY)
-    base_c = cents(F.col("base_price"))
-    sell_c = cents(F.col("selling_price"))
-    discount = F.when(base_c > 0,
-                      ratio_round(F.greatest(base_c - sell_c, F.lit(0).cast("bigint")), base_c, 4))
-    rev_c = cents(F.col("revenue"))
-    margin_num = rev_c - cents(F.col("cost")) * qty
-    gross_margin = F.when(F.col("revenue") > 0, ratio_round(margin_num, rev_c, 4)) \
-        .when(F.col("revenue").isNotNull(), F.lit(0.0))
-    return (txn.withColumn("revenue", revenue)
-            .withColumn("profit", profit)
-            .withColumn("discount_pct", discount)
-            .withColumn("gross_margin", gross_margin))
-
-
-def transform(txn: DataFrame, observation: Observation | None = None) -> DataFrame:
-    """The fixed cleaning chain T1 -> T2 -> T3 -> T4 -> T5."""
-    return (txn.transform(deduplicate)
-            .transform(fill_missing_prices)
-            .transform(lambda d: validate(d, observation))
+    staged = txn.select("*", cents(F.col("selling_price")).alias("_sc"),
+                        cents(F.col("base_price")).alias("_bc"),
+                        cents(F.col("cost")).alias("_cc"))
+    staged = staged.select("*", (F.col("_sc") * qty).alias("_rc"))
+    discount = F.when(F.col("_bc") > 0, ratio_round(
+        F.greatest(F.col("_bc") - F.col("_sc"), F.lit(0).cast("bigint")), F.col("_bc"), 4))
+    gross_margin = (F.when(F.col("_rc") > 0,
+                           ratio_round(F.col("_rc") - F.col("_cc") * qty, F.col("_rc"), 4))
+                    .when(F.col("_rc").isNotNull(), F.lit(0.0)))
+    return (staged.withColumns({
+        "revenue": from_cents(F.col("_rc"), MONEY),
+        "profit": from_cents((F.col("_sc") - F.col("_cc")) * qty, MONEY),
+        "discount_pct": discount,
+        "gross_margin": gross_margin,
+    }).drop("_sc", "_bc", "_cc", "_rc"))
+
+
+def has_missing_prices(txn: DataFrame) -> bool:
+    """True when some row has a null selling_price (a pruned, narrow scan that
+    stops at the first hit)."""
+    return not txn.filter(F.col("selling_price").isNull()).select("product_id").isEmpty()
+
+
+def transform(txn: DataFrame, observation: Observation | None = None,
+              impute: bool | str = "auto") -> DataFrame:
+    """The fixed cleaning chain T1 -> T2 -> T3 -> T4 -> T5.
+
+    T2 only runs when a price is missing (checked on the input, before the
+    dedup shuffle).  When it runs, the deduplicated table is checkpointed to
+    the shared checkpoint folder first, so the imputation's branches read it
+    instead of repeating the dedup shuffle.
+    """
+    needs = impute is True or (impute == "auto" and has_missing_prices(txn))
+    d = deduplicate(txn)
+    if needs:
+        checkpoint_dir(txn.sparkSession)
+        d = fill_missing_prices(d.checkpoint(eager=True))
+    return (d.transform(lambda x: validate(x, observation))
             .transform(add_computed_columns)
             .transform(add_time_features))
 

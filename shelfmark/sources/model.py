@@ -22,13 +22,11 @@ engine's names and meaning (discount_pct is a fraction 0..1).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import config
-from shelfmark.functions.exact import MONEY, PRICE, cents, div_half_up, from_cents
+from shelfmark.functions.exact import MONEY, cents, div_half_up, from_cents
 from shelfmark.sources.tables import read_table
 
 TRANSACTION_COLUMNS = (
@@ -45,19 +43,19 @@ def category_elasticity(category: Column) -> Column:
     return F.coalesce(lookup[category], F.lit(config.DEFAULT_ELASTICITY))
 
 
-def _product_cost(base_price: Column, partkey: Column) -> Column:
-    factor = F.lit(Decimal("0.35")) + F.lit(Decimal("0.05")) * (partkey % 7)
-    return F.round(base_price * factor, 2).cast(PRICE)
+def _cost_cents(list_c: Column, partkey: Column) -> Column:
+    """round(list * (0.35 + 0.05 * (partkey % 7)), 2) in integer cents."""
+    return div_half_up(list_c * (F.lit(35) + F.lit(5) * (partkey % 7)), F.lit(100))
 
 
 def products_from_part(part: DataFrame) -> DataFrame:
-    base = F.col("p_retailprice").cast(PRICE)
+    list_c = cents(F.col("p_retailprice"))
     return part.select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        base.alias("base_price"),
-        _product_cost(base, F.col("p_partkey")).alias("cost"),
+        from_cents(list_c).alias("base_price"),
+        from_cents(_cost_cents(list_c, F.col("p_partkey"))).alias("cost"),
         ((F.col("p_size") + 10) / F.lit(90.0)).alias("base_demand"),
         category_elasticity(F.col("p_type")).alias("elasticity"),
     )
@@ -74,37 +72,45 @@ def stores_from_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFr
 
 
 def transactions_from_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One sale per line item.  Joins part once for cost and competitor price;
-    AQE broadcasts part when its runtime size is under the threshold and
-    sort-merges otherwise."""
+    """One sale per line item.
+
+    Joins part once for cost and competitor price; AQE broadcasts part when
+    its runtime size is under the threshold and sort-merges otherwise.  Prices
+    are derived in integer cents in small staged projections (long arithmetic
+    inside whole-stage codegen) and become DECIMAL once at the end.
+    """
     li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                          "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
-    p_base = F.col("p_retailprice").cast(PRICE)
-    p = part.select(F.col("p_partkey"), p_base.alias("_list"),
-                    _product_cost(p_base, F.col("p_partkey")).alias("cost"))
+    list_c = cents(F.col("p_retailprice"))
+    p = part.select(F.col("p_partkey"), list_c.alias("list_c"),
+                    _cost_cents(list_c, F.col("p_partkey")).alias("cost_c"))
     qty = F.col("l_quantity").cast("bigint")
-    base_c = F.when(qty > 0, div_half_up(cents(F.col("l_extendedprice")), qty))
-    base_price = from_cents(base_c)
-    disc = F.col("l_discount").cast("decimal(3,2)")
-    selling = F.round(base_price * (F.lit(1) - disc), 2).cast(PRICE)
-    comp_factor = F.lit(Decimal("0.85")) + F.lit(Decimal("0.03")) * (F.col("l_suppkey") % 11)
-    competitor = F.round(F.col("_list") * comp_factor, 2).cast(PRICE)
-    return (li.join(p, li.l_partkey == p.p_partkey, "left")
-            .select(
-                (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-                F.to_date("l_shipdate").alias("date"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_suppkey").alias("store_id"),
-                qty.alias("quantity"),
-                selling.alias("selling_price"),
-                base_price.alias("base_price"),
-                F.col("cost"),
-                competitor.alias("competitor_price"),
-                (F.col("l_discount") > 0).cast("int").alias("is_promotion"),
-                F.col("l_discount").alias("discount_pct"),
-                (selling * qty).cast(MONEY).alias("revenue"),
-                ((selling - F.col("cost")) * qty).cast(MONEY).alias("profit"),
-            ))
+    stage1 = li.join(p, li.l_partkey == p.p_partkey, "left").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("store_id"),
+        qty.alias("quantity"),
+        F.when(qty > 0, div_half_up(cents(F.col("l_extendedprice")), qty)).alias("base_c"),
+        cents(F.col("l_discount")).alias("disc_pp"),
+        "list_c", "cost_c",
+        (F.col("l_discount") > 0).cast("int").alias("is_promotion"),
+        F.col("l_discount").alias("discount_pct"),
+    )
+    sell_c = div_half_up(F.col("base_c") * (F.lit(100) - F.col("disc_pp")), F.lit(100))
+    comp_c = div_half_up(F.col("list_c") * (F.lit(85) + F.lit(3) * (F.col("store_id") % 11)),
+                         F.lit(100))
+    stage2 = stage1.select("*", sell_c.alias("sell_c"), comp_c.alias("comp_c"))
+    return stage2.select(
+        "transaction_id", "date", "product_id", "store_id", "quantity",
+        from_cents(F.col("sell_c")).alias("selling_price"),
+        from_cents(F.col("base_c")).alias("base_price"),
+        from_cents(F.col("cost_c")).alias("cost"),
+        from_cents(F.col("comp_c")).alias("competitor_price"),
+        "is_promotion", "discount_pct",
+        from_cents(F.col("sell_c") * F.col("quantity"), MONEY).alias("revenue"),
+        from_cents((F.col("sell_c") - F.col("cost_c")) * F.col("quantity"), MONEY).alias("profit"),
+    )
 
 
 def inventory_from_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
