@@ -60,3 +60,23 @@ def money_out(c: Column) -> Column:
 def round_out(c: Column, digits: int = 2) -> Column:
     """Round a DOUBLE measure half-up and keep it DOUBLE."""
     return F.round(c.cast("double"), digits)
+
+
+NUM = "decimal(24,4)"
+DEN = "decimal(22,4)"
+
+
+def dec_div(num: Column, den: Column, digits: int) -> Column:
+    """round(num / den, digits) half up, as DOUBLE, from exact decimals.
+
+    Both sides are cast to bounded decimals first so that Spark's decimal
+    division keeps at least 14 fractional digits; rounding that quotient
+    again to ``digits`` cannot cross a tie except for a value within 1e-14 of
+    it.  Scale the numerator (e.g. * 100 for a percent) before calling."""
+    return F.round(num.cast(NUM) / den.cast(DEN), digits).cast("double")
+
+
+def dec_mean(c: Column, digits: int) -> Column:
+    """Exact mean of a decimal or integer column, rounded half up (aggregate)."""
+    n = F.count(c)
+    return dec_div(F.sum(c), F.when(n != 0, n), digits)

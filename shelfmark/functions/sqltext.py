@@ -13,3 +13,13 @@ def half_up_ratio(num: str, den: str, digits: int) -> str:
     q = f"FLOOR((ABS({n}) * 2 + ({den})) / (({den}) * 2))"
     return (f"(CASE WHEN {n} < 0 THEN -{q} ELSE {q} END"
             f" / CAST({scale} AS DOUBLE))")
+
+
+def dec_div(num: str, den: str, digits: int) -> str:
+    """Spark SQL twin of ``exact.dec_div``."""
+    return (f"CAST(ROUND(CAST(({num}) AS DECIMAL(24,4)) / CAST(({den}) AS DECIMAL(22,4)), {digits})"
+            f" AS DOUBLE)")
+
+
+def dec_mean(x: str, digits: int = 2) -> str:
+    return dec_div(f"SUM({x})", f"NULLIF(COUNT({x}), 0)", digits)

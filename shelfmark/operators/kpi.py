@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import config
 from shelfmark.functions.calendar import month_label
+from shelfmark.functions.exact import dec_div, dec_mean
 
 D4 = "decimal(9,4)"
 
@@ -22,9 +23,10 @@ def _dbl(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits).cast("double")
 
 
-def _pct_mean(c: Column) -> Column:
-    """mean(fraction) * 100 averaged exactly (fractions carry 4 decimals)."""
-    return F.avg(c.cast(D4)) * 100
+def _pct_mean(c: Column, digits: int = 2) -> Column:
+    """mean(fraction) * 100, exact, rounded half up (fractions carry 4 decimals)."""
+    n = F.count(c)
+    return dec_div(F.sum(c.cast(D4)) * 100, F.when(n != 0, n), digits)
 
 
 def overview(txn: DataFrame) -> DataFrame:
@@ -35,8 +37,8 @@ def overview(txn: DataFrame) -> DataFrame:
         F.coalesce(F.sum("profit"), F.lit(0)).alias("_profit"),
         F.count(F.lit(1)).alias("total_orders"),
         F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("total_quantity"),
-        F.avg("selling_price").alias("_asp"),
-        _pct_mean(F.col("discount_pct")).alias("_adisc"),
+        dec_mean(F.col("selling_price"), 2).alias("avg_selling_price"),
+        _pct_mean(F.col("discount_pct")).alias("avg_discount_pct"),
         F.coalesce(F.sum(F.col("cost") * F.col("quantity")), F.lit(0)).alias("_cogs"),
     )
     rev = F.round(F.col("_rev"), 2)
@@ -45,11 +47,11 @@ def overview(txn: DataFrame) -> DataFrame:
         _dbl(F.col("_profit")).alias("total_profit"),
         "total_orders",
         "total_quantity",
-        F.when(F.col("total_orders") > 0, _dbl(rev / F.col("total_orders")))
+        F.when(F.col("total_orders") > 0, dec_div(rev, F.col("total_orders"), 2))
          .otherwise(F.lit(0.0)).alias("avg_order_value"),
-        _dbl(F.col("_asp")).alias("avg_selling_price"),
-        _dbl(F.col("_adisc")).alias("avg_discount_pct"),
-        F.when(rev != 0, _dbl((rev - F.col("_cogs")) / rev * 100))
+        "avg_selling_price",
+        "avg_discount_pct",
+        F.when(rev != 0, dec_div((rev - F.col("_cogs")) * 100, rev, 2))
          .otherwise(F.lit(0.0)).alias("overall_gross_margin"),
         F.lit(config.CURRENCY_SYMBOL).alias("currency"),
     )
@@ -61,13 +63,15 @@ def _sales_aggregates() -> list[Column]:
         F.sum("profit").alias("_profit"),
         F.sum("quantity").alias("total_quantity"),
         F.count("transaction_id").alias("total_orders"),
-        F.avg("selling_price").alias("_asp"),
-        _pct_mean(F.col("discount_pct")).alias("_adisc"),
+        dec_mean(F.col("selling_price"), 6).alias("avg_selling_price"),
+        _pct_mean(F.col("discount_pct")).alias("avg_discount_pct"),
     ]
 
 
 def _margin_pct(rev: Column, profit: Column) -> Column:
-    return F.when(rev > 0, _dbl(profit / rev * 100)).otherwise(F.lit(0.0))
+    # Scale before dividing: decimal division keeps a limited number of
+    # fractional digits, and rounding twice must not move a value across a tie.
+    return F.when(rev > 0, dec_div(profit * 100, rev, 2)).otherwise(F.lit(0.0))
 
 
 def product_kpis(txn: DataFrame, products: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -85,17 +89,14 @@ def product_kpis(txn: DataFrame, products: DataFrame, inventory: DataFrame) -> D
     initial, current, sold = (F.col("total_initial_stock"), F.col("total_current_stock"),
                               F.col("total_sold_inv"))
     avg_stock2 = initial + current  # twice the average stock, kept integral
-    sell_through = F.when(initial > 0, _dbl(sold.cast("decimal(20,0)") * 100 / initial)) \
-        .otherwise(F.lit(0.0))
-    turnover = F.when(avg_stock2 > 0, _dbl(sold.cast("decimal(20,0)") * 2 / avg_stock2)) \
-        .otherwise(F.lit(0.0))
+    sell_through = F.when(initial > 0, dec_div(sold * 100, initial, 2)).otherwise(F.lit(0.0))
+    turnover = F.when(avg_stock2 > 0, dec_div(sold * 2, avg_stock2, 2)).otherwise(F.lit(0.0))
     return j.select(
         "product_id",
         F.col("_rev").cast("double").alias("total_revenue"),
         F.col("_profit").cast("double").alias("total_profit"),
         "total_quantity", "total_orders",
-        _dbl(F.col("_asp"), 6).alias("avg_selling_price"),
-        _dbl(F.col("_adisc")).alias("avg_discount_pct"),
+        "avg_selling_price", "avg_discount_pct",
         "product_name", "category",
         F.col("base_price").cast("double").alias("base_price"),
         F.col("cost").cast("double").alias("cost"),
@@ -118,32 +119,37 @@ def category_kpis(txn: DataFrame, products: DataFrame) -> DataFrame:
         F.col("_rev").cast("double").alias("total_revenue"),
         F.col("_profit").cast("double").alias("total_profit"),
         "total_quantity", "total_orders",
-        _dbl(F.col("_asp"), 6).alias("avg_selling_price"),
-        _dbl(F.col("_adisc")).alias("avg_discount_pct"),
+        "avg_selling_price", "avg_discount_pct",
         _margin_pct(F.col("_rev"), F.col("_profit")).alias("gross_margin_pct"),
     )
 
 
 def discount_effectiveness(txn: DataFrame) -> DataFrame:
-    """Promoted vs regular sales in one conditional aggregate (A5)."""
+    """Promoted vs regular sales in one conditional aggregate (A5).
+
+    The mean promo discount and the revenue per discount point are formed
+    from exact sums and counts, never by dividing by a rounded mean."""
     promo = F.col("is_promotion") == 1
     regular = F.col("is_promotion") == 0
+    pdisc = F.when(promo, F.col("discount_pct").cast(D4))
     a = txn.agg(
         F.count_if(promo).alias("promo_orders"),
         F.count_if(regular).alias("non_promo_orders"),
         F.coalesce(F.sum(F.when(promo, F.col("revenue"))), F.lit(0)).alias("_prev"),
         F.coalesce(F.sum(F.when(regular, F.col("revenue"))), F.lit(0)).alias("_nrev"),
-        F.avg(F.when(promo, F.col("discount_pct").cast(D4))).alias("_pdisc"),
+        F.sum(pdisc).alias("_psum"),
+        F.count(pdisc).alias("_pn"),
     )
     prev = F.round(F.col("_prev"), 2)
-    mean_pct = F.col("_pdisc") * 100
+    mean_pct = dec_div(F.col("_psum") * 100, F.col("_pn"), 2)
     return a.select(
         "promo_orders", "non_promo_orders",
         prev.cast("double").alias("promo_revenue"),
         _dbl(F.col("_nrev")).alias("non_promo_revenue"),
-        F.when(F.col("promo_orders") > 0, _dbl(mean_pct)).otherwise(F.lit(0.0))
+        F.when(F.col("promo_orders") > 0, mean_pct).otherwise(F.lit(0.0))
          .alias("avg_promo_discount_pct"),
-        F.when((F.col("promo_orders") > 0) & (F.col("_pdisc") > 0), _dbl(prev / mean_pct))
+        F.when((F.col("promo_orders") > 0) & (F.col("_psum") > 0),
+               dec_div(prev * F.col("_pn"), F.col("_psum") * 100, 2))
          .otherwise(F.lit(0.0)).alias("revenue_per_discount_pct"),
     )
 

@@ -82,7 +82,8 @@ def clean_sql(source: str) -> str:
 dedup AS (SELECT DISTINCT * FROM {source}),
 imputed AS (
   SELECT * REPLACE (COALESCE(selling_price,
-           CAST(ROUND(MEDIAN(selling_price) OVER (PARTITION BY product_id), 2) AS DECIMAL(12,2)))
+           CAST(CAST(FLOOR(MEDIAN(CAST(selling_price * 100 AS BIGINT)) OVER (PARTITION BY product_id) + 0.5)
+                     AS DECIMAL(18,0)) * 0.01 AS DECIMAL(12,2)))
          AS selling_price)
   FROM dedup),
 valid AS (SELECT * FROM imputed WHERE selling_price > 0 AND quantity >= 0),

@@ -1,3 +1,252 @@
-"""Registrations of the DataFrame-API operator queries (K, T, E, M, O, F, D, ...)."""
+"""Registrations of the DataFrame-API operator queries and their oracles."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from shelfmark import config
+from shelfmark import oracle as O
+from shelfmark.functions.sqltext import half_up_ratio as hr
+from shelfmark.operators import clean, kpi
+from shelfmark.registry import register
+from shelfmark.sources.faults import FAULTS_SQL, with_faults
+from shelfmark.sources.model import load_model
+
+m2 = O.m2
+
+
+def money_as_double(df: DataFrame) -> DataFrame:
+    """Expose DECIMAL columns as DOUBLE at the output edge."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _sql(body: str, *ctes: str) -> str:
+    parts = [O.MODEL.strip()] + [c.strip() for c in ctes]
+    return "WITH\n" + ",\n".join(parts) + "\n" + body
+
+
+CLEAN = O.clean_sql("txn")
+FAULTY_CLEAN = FAULTS_SQL + "," + O.clean_sql("faulty")
+
+_TXN_COLS_SQL = """transaction_id, date, product_id, store_id, quantity,
+  CAST(selling_price AS DOUBLE) AS selling_price, CAST(base_price AS DOUBLE) AS base_price,
+  CAST(cost AS DOUBLE) AS cost, CAST(competitor_price AS DOUBLE) AS competitor_price,
+  is_promotion, discount_pct, CAST(revenue AS DOUBLE) AS revenue, CAST(profit AS DOUBLE) AS profit"""
+
+# ------------------------------------------------------------------ cleaning
+
+
+def _faulty(spark, d):
+    return with_faults(load_model(spark, d).transactions)
+
+
+@register("t1_dedup", _sql(f"SELECT {_TXN_COLS_SQL} FROM dedup", FAULTY_CLEAN))
+def t1_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return money_as_double(clean.deduplicate(_faulty(spark, d)))
+
+
+@register("t2_impute_median", _sql(f"SELECT {_TXN_COLS_SQL} FROM imputed", FAULTY_CLEAN))
+def t2_impute_median(spark: SparkSession, d: str) -> DataFrame:
+    return money_as_double(clean.fill_missing_prices(clean.deduplicate(_faulty(spark, d))))
+
+
+@register("t3_validate", _sql(f"SELECT {_TXN_COLS_SQL} FROM valid", FAULTY_CLEAN))
+def t3_validate(spark: SparkSession, d: str) -> DataFrame:
+    return money_as_double(clean.validate(
+        clean.fill_missing_prices(clean.deduplicate(_faulty(spark, d)))))
+
+
+@register("t4_computed", _sql("""
+SELECT transaction_id, product_id, quantity, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(profit AS DOUBLE) AS profit, discount_pct, gross_margin FROM clean""", FAULTY_CLEAN))
+def t4_computed(spark: SparkSession, d: str) -> DataFrame:
+    out = clean.transform(_faulty(spark, d))
+    return money_as_double(out.select("transaction_id", "product_id", "quantity", "revenue",
+                                      "profit", "discount_pct", "gross_margin"))
+
+
+@register("t5_time_features", _sql("""
+SELECT transaction_id, date, month, quarter, year, day_of_week, is_weekend, is_holiday
+FROM clean""", CLEAN))
+def t5_time_features(spark: SparkSession, d: str) -> DataFrame:
+    return load_model(spark, d).clean_transactions.select(
+        "transaction_id", "date", "month", "quarter", "year", "day_of_week", "is_weekend",
+        "is_holiday")
+
+
+@register("t8_generated", _sql("""
+SELECT transaction_id, product_id, CAST(selling_price * quantity AS DOUBLE) AS revenue,
+       CAST((selling_price - cost) * quantity AS DOUBLE) AS profit,
+       CASE WHEN CAST(selling_price AS DOUBLE) > 0
+            THEN (CAST(selling_price AS DOUBLE) - CAST(cost AS DOUBLE)) / CAST(selling_price AS DOUBLE) * 100
+            ELSE 0.0 END AS gross_margin
+FROM clean""", CLEAN))
+def t8_generated(spark: SparkSession, d: str) -> DataFrame:
+    g = clean.generated_columns(load_model(spark, d).clean_transactions)
+    return money_as_double(g.select("transaction_id", "product_id", "revenue", "profit",
+                                    "gross_margin"))
+
+
+def _rule_sql(table: str, src: str, name: str, cond: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{name}' AS rule, "
+            f"CAST(COALESCE(SUM(CASE WHEN COALESCE(NOT ({cond}), TRUE) THEN 1 ELSE 0 END), 0) AS BIGINT)"
+            f" AS violations FROM {src}")
+
+
+_T9_ORACLE = "\nUNION ALL\n".join([
+    "SELECT 'products' AS table_name, 'primary_key(product_id)' AS rule, "
+    "CAST(COALESCE(SUM(n), 0) AS BIGINT) AS violations FROM "
+    "(SELECT product_id, COUNT(*) AS n FROM products GROUP BY product_id HAVING COUNT(*) > 1)",
+    "SELECT 'stores', 'primary_key(store_id)', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM "
+    "(SELECT store_id, COUNT(*) AS n FROM stores GROUP BY store_id HAVING COUNT(*) > 1)",
+    "SELECT 'transactions', 'foreign_key(product_id)', COUNT(*) FROM faulty f WHERE product_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM products x WHERE x.product_id = f.product_id)",
+    "SELECT 'transactions', 'foreign_key(store_id)', COUNT(*) FROM faulty f WHERE store_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM stores x WHERE x.store_id = f.store_id)",
+    "SELECT 'inventory', 'foreign_key(product_id)', COUNT(*) FROM inventory f WHERE product_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM products x WHERE x.product_id = f.product_id)",
+    "SELECT 'inventory', 'foreign_key(store_id)', COUNT(*) FROM inventory f WHERE store_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM stores x WHERE x.store_id = f.store_id)",
+    _rule_sql("products", "products", "not_null(name)", "product_name IS NOT NULL"),
+    _rule_sql("products", "products", "not_null(category)", "category IS NOT NULL"),
+    _rule_sql("products", "products", "check(base_price > 0)", "base_price > 0"),
+    _rule_sql("products", "products", "check(cost > 0)", "cost > 0"),
+    _rule_sql("transactions", "faulty", "not_null(date)", "date IS NOT NULL"),
+    _rule_sql("transactions", "faulty", "check(quantity_sold >= 0)", "quantity >= 0"),
+    _rule_sql("transactions", "faulty", "check(selling_price > 0)", "selling_price > 0"),
+    _rule_sql("transactions", "faulty", "check(base_price > 0)", "base_price > 0"),
+    _rule_sql("transactions", "faulty", "check(cost > 0)", "cost > 0"),
+    _rule_sql("transactions", "faulty", "check(discount_pct between 0 and 100)",
+              "discount_pct * 100 >= 0 AND discount_pct * 100 <= 100"),
+    _rule_sql("transactions", "faulty", "check(is_promotion in (0,1))", "is_promotion IN (0, 1)"),
+    _rule_sql("inventory", "inventory", "check(current_stock >= 0)", "current_stock >= 0"),
+    _rule_sql("inventory", "inventory", "check(warehouse_stock >= 0)",
+              "COALESCE(warehouse_stock, 0) >= 0"),
+])
+
+
+@register("t9_constraints", _sql(_T9_ORACLE, FAULTS_SQL))
+def t9_constraints(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return clean.constraint_violations(with_faults(m.transactions), m.products, m.stores,
+                                       m.inventory)
+
+
+# ----------------------------------------------------------------------- KPIs
+
+
+def _m(spark, d):
+    return load_model(spark, d)
+
+
+_K01_AGG = """a AS (
+  SELECT COALESCE(SUM(revenue), 0) AS rev, COALESCE(SUM(profit), 0) AS prof, COUNT(*) AS n,
+         CAST(COALESCE(SUM(quantity), 0) AS BIGINT) AS q,
+         SUM(selling_price * 100) AS sp, COUNT(selling_price) AS nsp,
+         SUM(CAST(ROUND(discount_pct * 10000) AS BIGINT)) AS bp, COUNT(discount_pct) AS nd,
+         COALESCE(SUM(cost * quantity), 0) AS cogs
+  FROM clean)"""
+
+
+@register("k01_overview", _sql(f"""
+SELECT CAST(ROUND(rev, 2) AS DOUBLE) AS total_revenue, CAST(ROUND(prof, 2) AS DOUBLE) AS total_profit,
+       n AS total_orders, q AS total_quantity,
+       CASE WHEN n > 0 THEN {hr('ROUND(rev, 2) * 100', 'n * 100', 2)} ELSE 0.0 END AS avg_order_value,
+       {hr('sp', 'nsp * 100', 2)} AS avg_selling_price,
+       {hr('bp', 'nd * 100', 2)} AS avg_discount_pct,
+       CASE WHEN rev <> 0 THEN {hr('(rev - cogs) * 10000', 'rev * 100', 2)} ELSE 0.0 END
+         AS overall_gross_margin,
+       '{config.CURRENCY_SYMBOL}' AS currency
+FROM a""", CLEAN, _K01_AGG))
+def k01_overview(spark: SparkSession, d: str) -> DataFrame:
+    return kpi.overview(_m(spark, d).clean_transactions)
+
+
+_SALES_AGG = """SUM(revenue) AS rev, SUM(profit) AS prof, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+         COUNT(transaction_id) AS total_orders, SUM(selling_price * 100) AS sp,
+         COUNT(selling_price) AS nsp, AVG(selling_price) AS asp,
+         SUM(CAST(ROUND(discount_pct * 10000) AS BIGINT)) AS bp, COUNT(discount_pct) AS nd"""
+
+_PRODUCT_KPIS = f"""sales AS (SELECT product_id, {_SALES_AGG} FROM clean GROUP BY product_id),
+stock AS (SELECT product_id, CAST(SUM(initial_stock) AS BIGINT) AS total_initial_stock,
+                 CAST(SUM(current_stock) AS BIGINT) AS total_current_stock,
+                 CAST(SUM(total_sold) AS BIGINT) AS total_sold_inv
+          FROM inventory GROUP BY product_id),
+pk AS (
+  SELECT s.product_id, CAST(rev AS DOUBLE) AS total_revenue, CAST(prof AS DOUBLE) AS total_profit,
+         total_quantity, total_orders, {hr('sp', 'nsp * 100', 6)} AS avg_selling_price,
+         {hr('bp', 'nd * 100', 2)} AS avg_discount_pct,
+         p.product_name, p.category, CAST(p.base_price AS DOUBLE) AS base_price,
+         CAST(p.cost AS DOUBLE) AS cost,
+         total_initial_stock, total_current_stock, total_sold_inv,
+         CASE WHEN total_initial_stock > 0 THEN {hr('total_sold_inv * 100', 'total_initial_stock', 2)}
+              ELSE 0.0 END AS sell_through_rate,
+         CASE WHEN total_initial_stock + total_current_stock > 0
+              THEN {hr('total_sold_inv * 2', 'total_initial_stock + total_current_stock', 2)}
+              ELSE 0.0 END AS inventory_turnover,
+         CASE WHEN rev > 0 THEN {hr('prof * 10000', 'rev * 100', 2)} ELSE 0.0 END AS gross_margin_pct
+  FROM sales s LEFT JOIN products p ON s.product_id = p.product_id
+  LEFT JOIN stock k ON s.product_id = k.product_id)"""
+
+
+@register("k09_product", _sql("SELECT * FROM pk", CLEAN, _PRODUCT_KPIS))
+def k09_product(spark: SparkSession, d: str) -> DataFrame:
+    m = _m(spark, d)
+    return kpi.product_kpis(m.clean_transactions, m.products, m.inventory)
+
+
+@register("k10_category", _sql(f"""
+SELECT category, CAST(rev AS DOUBLE) AS total_revenue, CAST(prof AS DOUBLE) AS total_profit,
+       total_quantity, total_orders, ROUND(asp, 6) AS avg_selling_price,
+       {hr('bp', 'nd * 100', 2)} AS avg_discount_pct,
+       CASE WHEN rev > 0 THEN {hr('prof * 10000', 'rev * 100', 2)} ELSE 0.0 END AS gross_margin_pct
+FROM (SELECT p.category, {_SALES_AGG.replace('revenue', 'c.revenue').replace('profit', 'c.profit')}
+      FROM clean c LEFT JOIN products p ON c.product_id = p.product_id
+      WHERE p.category IS NOT NULL GROUP BY p.category)""", CLEAN))
+def k10_category(spark: SparkSession, d: str) -> DataFrame:
+    m = _m(spark, d)
+    return kpi.category_kpis(m.clean_transactions, m.products)
+
+
+@register("k11_promo_effect", _sql(f"""
+SELECT po AS promo_orders, npo AS non_promo_orders, CAST(ROUND(pr, 2) AS DOUBLE) AS promo_revenue,
+       CAST(ROUND(npr, 2) AS DOUBLE) AS non_promo_revenue,
+       CASE WHEN po > 0 THEN {hr('pbp', 'pnd * 100', 2)} ELSE 0.0 END AS avg_promo_discount_pct,
+       CASE WHEN po > 0 AND pbp > 0 THEN {hr('ROUND(pr, 2) * 100 * pnd', 'pbp', 2)} ELSE 0.0 END
+         AS revenue_per_discount_pct
+FROM (SELECT COUNT(*) FILTER (WHERE is_promotion = 1) AS po,
+             COUNT(*) FILTER (WHERE is_promotion = 0) AS npo,
+             COALESCE(SUM(revenue) FILTER (WHERE is_promotion = 1), 0) AS pr,
+             COALESCE(SUM(revenue) FILTER (WHERE is_promotion = 0), 0) AS npr,
+             SUM(CAST(ROUND(discount_pct * 10000) AS BIGINT)) FILTER (WHERE is_promotion = 1) AS pbp,
+             COUNT(discount_pct) FILTER (WHERE is_promotion = 1) AS pnd
+      FROM clean)""", CLEAN))
+def k11_promo_effect(spark: SparkSession, d: str) -> DataFrame:
+    return kpi.discount_effectiveness(_m(spark, d).clean_transactions)
+
+
+@register("k12_monthly", _sql("""
+SELECT strftime(date, '%Y-%m') AS date, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS revenue,
+       CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS profit, CAST(SUM(quantity) AS BIGINT) AS quantity,
+       COUNT(transaction_id) AS orders
+FROM clean GROUP BY 1""", CLEAN))
+def k12_monthly(spark: SparkSession, d: str) -> DataFrame:
+    return kpi.monthly_trends(_m(spark, d).clean_transactions)
+
+
+@register("k13_top_bottom", _sql("""
+SELECT product_id, product_name, category, total_revenue, total_quantity, 'top' AS section,
+       CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id ASC) AS INTEGER) AS position
+FROM (SELECT * FROM pk ORDER BY total_revenue DESC, product_id ASC LIMIT 10)
+UNION ALL
+SELECT product_id, product_name, category, total_revenue, total_quantity, 'bottom' AS section,
+       CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product_id ASC) AS INTEGER) AS position
+FROM (SELECT * FROM pk ORDER BY total_revenue ASC, product_id DESC LIMIT 10)""",
+                                 CLEAN, _PRODUCT_KPIS))
+def k13_top_bottom(spark: SparkSession, d: str) -> DataFrame:
+    m = _m(spark, d)
+    return kpi.top_bottom_sellers(kpi.product_kpis(m.clean_transactions, m.products, m.inventory))
