@@ -250,3 +250,95 @@ FROM (SELECT * FROM pk ORDER BY total_revenue ASC, product_id DESC LIMIT 10)""",
 def k13_top_bottom(spark: SparkSession, d: str) -> DataFrame:
     m = _m(spark, d)
     return kpi.top_bottom_sellers(kpi.product_kpis(m.clean_transactions, m.products, m.inventory))
+
+
+# ---------------------------------------------------------------- elasticity
+from shelfmark.operators import elasticity  # noqa: E402
+
+_CLASSIFY = ("CASE WHEN ABS({e}) < 0.8 THEN 'inelastic' WHEN ABS({e}) > 1.2 THEN 'elastic' "
+             "WHEN {e} IS NOT NULL THEN 'unit_elastic' END")
+_CONF = "conf AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{k}', CAST({v} AS DOUBLE))" for k, v in config.CATEGORY_ELASTICITY.items()) + ") t(category, _conf))"
+
+_LOG_PAIRS = """lp AS (
+  SELECT c.product_id, p.category, LN(CAST(c.quantity AS DOUBLE)) AS ln_qty,
+         LN(CAST(c.selling_price AS DOUBLE)) AS ln_price
+  FROM clean c LEFT JOIN products p ON c.product_id = p.product_id
+  WHERE c.quantity > 0 AND c.selling_price > 0)"""
+
+
+def _fit_sql(name: str, key: str, where: str = "TRUE") -> str:
+    e = "ROUND(COALESCE(regr_slope(ln_qty, ln_price), 0), 4)"
+    return f"""{name} AS (
+  SELECT {key}, {e} AS elasticity,
+         ROUND(COALESCE(regr_intercept(ln_qty, ln_price), AVG(ln_qty)), 4) AS intercept,
+         ROUND(COALESCE(regr_r2(ln_qty, ln_price),
+                        CASE WHEN var_pop(ln_qty) = 0 THEN 1.0 ELSE 0.0 END), 4) AS r2,
+         CAST(regr_count(ln_qty, ln_price) AS BIGINT) AS n_obs,
+         {_CLASSIFY.format(e=e)} AS classification
+  FROM lp WHERE {where} GROUP BY {key}
+  HAVING regr_count(ln_qty, ln_price) >= {config.MIN_OBSERVATIONS})"""
+
+
+_CAT_FIT = _fit_sql("catfit", "category", "category IS NOT NULL")
+_PROD_FIT = _fit_sql("prodfit0", "product_id") + """,
+prodfit AS (SELECT f.product_id, p.product_name, p.category, f.elasticity, f.intercept, f.r2,
+                   f.n_obs, f.classification
+            FROM prodfit0 f LEFT JOIN products p ON f.product_id = p.product_id)"""
+
+
+def _resolved_sql(threshold: float) -> str:
+    weak = f"(c.r2 < {threshold} AND k._conf IS NOT NULL)"
+    e = f"CASE WHEN {weak} THEN k._conf ELSE c.elasticity END"
+    pweak = f"(f.r2 < {threshold} AND r.elasticity IS NOT NULL)"
+    pe = f"CASE WHEN {pweak} THEN r.elasticity ELSE f.elasticity END"
+    return f"""catres AS (
+  SELECT c.category, {e} AS elasticity, c.intercept, c.r2, c.n_obs,
+         {_CLASSIFY.format(e=e)} AS classification
+  FROM catfit c LEFT JOIN conf k ON c.category = k.category
+  UNION ALL
+  SELECT k.category, k._conf, 0.0, 0.0, CAST(0 AS BIGINT), {_CLASSIFY.format(e='k._conf')}
+  FROM conf k WHERE k.category NOT IN (SELECT category FROM catfit)),
+prodres AS (
+  SELECT f.product_id, f.product_name, f.category, {pe} AS elasticity, f.intercept, f.r2, f.n_obs,
+         {_CLASSIFY.format(e=pe)} AS classification
+  FROM prodfit f LEFT JOIN catres r ON f.category = r.category)"""
+
+
+def _elastic(spark, d):
+    m = load_model(spark, d)
+    return m.clean_transactions, m.products
+
+
+@register("e1_category", _sql("SELECT * FROM catfit", CLEAN, _LOG_PAIRS, _CAT_FIT))
+def e1_category(spark: SparkSession, d: str) -> DataFrame:
+    return elasticity.category_elasticity(*_elastic(spark, d))
+
+
+@register("e2_product", _sql("SELECT * FROM prodfit", CLEAN, _LOG_PAIRS, _PROD_FIT))
+def e2_product(spark: SparkSession, d: str) -> DataFrame:
+    return elasticity.product_elasticity(*_elastic(spark, d))
+
+
+@register("e5_multifeature")
+def e5_multifeature(spark: SparkSession, d: str) -> DataFrame:
+    return elasticity.multifeature_elasticity(load_model(spark, d).clean_transactions)
+
+
+def _register_resolved(suffix: str, threshold: float) -> None:
+    ctes = (CLEAN, _LOG_PAIRS, _CAT_FIT, _PROD_FIT, _CONF, _resolved_sql(threshold))
+
+    @register(f"e6_e7_category_resolved{suffix}", _sql("SELECT * FROM catres", *ctes))
+    def cat_q(spark: SparkSession, d: str) -> DataFrame:
+        return elasticity.resolve_category(elasticity.category_elasticity(*_elastic(spark, d)),
+                                           threshold)
+
+    @register(f"e6_e8_resolved{suffix}", _sql("SELECT * FROM prodres", *ctes))
+    def prod_q(spark: SparkSession, d: str) -> DataFrame:
+        return elasticity.run(*_elastic(spark, d), threshold=threshold)["product_elasticity"]
+
+
+_register_resolved("", config.R2_THRESHOLD)
+# The mechanical price/quantity link of the test data gives every fit r2 > 0.2,
+# so the weak-fit overrides are also exercised at a raised threshold.
+_register_resolved("_r2_049", 0.49)
