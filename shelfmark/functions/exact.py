@@ -80,3 +80,10 @@ def dec_mean(c: Column, digits: int) -> Column:
     """Exact mean of a decimal or integer column, rounded half up (aggregate)."""
     n = F.count(c)
     return dec_div(F.sum(c), F.when(n != 0, n), digits)
+
+
+def round_half_up_double(x: Column, digits: int) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d on DOUBLE: the same IEEE operations on
+    every engine, so a value printing as an exact tie rounds identically."""
+    scale = float(10 ** digits)
+    return F.floor(x * scale + 0.5).cast("double") / F.lit(scale)

@@ -23,3 +23,9 @@ def dec_div(num: str, den: str, digits: int) -> str:
 
 def dec_mean(x: str, digits: int = 2) -> str:
     return dec_div(f"SUM({x})", f"NULLIF(COUNT({x}), 0)", digits)
+
+
+def round_half_up_double(x: str, digits: int) -> str:
+    """SQL twin of ``exact.round_half_up_double``."""
+    scale = 10 ** digits
+    return f"(CAST(FLOOR(({x}) * CAST({scale} AS DOUBLE) + 0.5) AS DOUBLE) / CAST({scale} AS DOUBLE))"

@@ -9,6 +9,7 @@ from pyspark.sql.types import DecimalType
 from shelfmark import config
 from shelfmark import oracle as O
 from shelfmark.functions.sqltext import half_up_ratio as hr
+from shelfmark.functions.sqltext import round_half_up_double as r2s
 from shelfmark.operators import clean, kpi
 from shelfmark.registry import register
 from shelfmark.sources.faults import FAULTS_SQL, with_faults
@@ -342,3 +343,170 @@ _register_resolved("", config.R2_THRESHOLD)
 # The mechanical price/quantity link of the test data gives every fit r2 > 0.2,
 # so the weak-fit overrides are also exercised at a raised threshold.
 _register_resolved("_r2_049", 0.49)
+
+
+# ------------------------------------------------------- markdown / optimiser
+from shelfmark.operators import markdown, optimize  # noqa: E402
+
+_RESOLVED_CTES = (CLEAN, _LOG_PAIRS, _CAT_FIT, _PROD_FIT, _CONF, _resolved_sql(config.R2_THRESHOLD))
+
+_MO_INPUTS = f"""maxd AS (SELECT MAX(date) AS md FROM clean),
+recent AS (SELECT c.product_id, SUM(c.quantity) AS rq FROM clean c, maxd
+           WHERE c.date >= maxd.md - INTERVAL {config.RECENT_DAYS} DAY GROUP BY c.product_id),
+stk AS (SELECT product_id, SUM(current_stock) AS ss FROM inventory GROUP BY product_id),
+firstcat AS (SELECT category, arg_min(elasticity, product_id) AS fe FROM prodres GROUP BY category),
+elas AS (SELECT p.product_id, COALESCE(r.elasticity, f.fe, p.elasticity, -1.0) AS elasticity
+         FROM products p LEFT JOIN prodres r ON p.product_id = r.product_id
+         LEFT JOIN firstcat f ON p.category = f.category)"""
+
+
+def _half_even_sql(num: str, den: str) -> str:
+    r = f"(({num}) % ({den}))"
+    q = f"CAST((({num}) - {r}) // ({den}) AS BIGINT)"
+    return (f"(CASE WHEN {r} * 2 > ({den}) THEN {q} + 1 WHEN {r} * 2 < ({den}) THEN {q} "
+            f"ELSE {q} + {q} % 2 END)")
+
+
+_DISC_VALUES = ", ".join(f"({i}, {int(round(d * 100))}, CAST({d!r} AS DOUBLE))"
+                         for i, d in enumerate(config.SIMULATION_DISCOUNTS))
+
+_M1_CTES = f"""mbase AS (
+  SELECT p.product_id, p.product_name, p.category, p.base_price, p.cost,
+         COALESCE({O._dhu('r.rq * 100', str(config.RECENT_DAYS))} / CAST(100 AS DOUBLE), p.base_demand) AS dem,
+         CAST(COALESCE(k.ss, 0) AS BIGINT) AS st, e.elasticity
+  FROM products p LEFT JOIN recent r ON p.product_id = r.product_id
+  LEFT JOIN stk k ON p.product_id = k.product_id LEFT JOIN elas e ON p.product_id = e.product_id),
+scen AS (
+  SELECT m.*, v.pp, v.d,
+         CAST({O._dhu('CAST(m.base_price * 100 AS BIGINT) * (100 - v.pp)', '100')} AS BIGINT) AS price_c,
+         CASE WHEN (1.0 - v.d) > 0 AND v.d > 0
+              THEN GREATEST(0.0, m.dem * POW(1.0 - v.d, m.elasticity)) ELSE m.dem END AS daily
+  FROM mbase m, (VALUES {_DISC_VALUES}) v(i, pp, d)),
+scen2 AS (SELECT *, CAST(ROUND_EVEN(daily * 30, 0) AS BIGINT) AS monthly,
+                 price_c - CAST(cost * 100 AS BIGINT) AS margin_c FROM scen)"""
+
+_M1_BODY = f"""
+SELECT product_id, product_name, category, CAST(pp AS DOUBLE) AS discount_pct,
+       CAST(price_c AS DOUBLE) / 100 AS new_price, CAST(cost AS DOUBLE) AS cost,
+       CAST(margin_c AS DOUBLE) / 100 AS margin_per_unit,
+       ROUND_EVEN(daily, 1) AS expected_daily_demand, monthly AS expected_monthly_demand,
+       CAST(CAST(price_c * monthly AS DECIMAL(18,0)) * 0.01 AS DOUBLE) AS expected_revenue,
+       CAST(CAST(margin_c * monthly AS DECIMAL(18,0)) * 0.01 AS DOUBLE) AS expected_profit,
+       st AS current_stock,
+       CAST(CASE WHEN st > 0 THEN {_half_even_sql('monthly * 10000', 'st')} ELSE 0 END AS DOUBLE) / 100
+         AS inventory_clearance_pct
+FROM scen2"""
+
+
+def _mo(spark, d):
+    m = load_model(spark, d)
+    res = elasticity.run(m.clean_shared, m.products)
+    return m, res
+
+
+@register("m1_scenarios", _sql(_M1_BODY, *_RESOLVED_CTES, _MO_INPUTS, _M1_CTES))
+def m1_scenarios(spark: SparkSession, d: str) -> DataFrame:
+    m, res = _mo(spark, d)
+    return markdown.simulate(m.products, m.inventory, m.clean_shared,
+                             res["product_elasticity"], res["category_elasticity"])
+
+
+_MINC = repr(config.OPT_MIN_CLEARANCE * 100)
+
+
+def _metrics_sql(d: str) -> dict[str, str]:
+    ratio = f"(1.0 - {d})"
+    price = f"(base * {ratio})"
+    mult = f"(CASE WHEN {ratio} > 0 THEN POW({ratio}, el) ELSE 0.0 END)"
+    daily = f"GREATEST(0.0, dem * {mult})"
+    monthly = f"({daily} * {config.PROJECTION_DAYS})"
+    clearance = f"(CASE WHEN st > 0 THEN {monthly} / st * 100 ELSE 0.0 END)"
+    unsold = f"GREATEST(0.0, st - {monthly})"
+    profit = f"(({price} - cost) * {monthly} - {unsold} * base * CAST({config.HOLDING_COST_RATE!r} AS DOUBLE))"
+    return {"price": price, "monthly": monthly, "revenue": f"({price} * {monthly})",
+            "profit": profit, "clearance": clearance}
+
+
+def _objective_sql(d: str) -> str:
+    m = _metrics_sql(d)
+    p = r2s(m['profit'], 2)
+    return (f"(CASE WHEN {r2s(m['clearance'], 2)} < CAST('{_MINC}' AS DOUBLE) "
+            f"THEN {p} - ABS({p}) * CAST(0.1 AS DOUBLE) ELSE {p} END)")
+
+
+_O_CTES = f"""oin AS (
+  SELECT p.product_id, p.product_name, p.category, CAST(p.base_price AS DOUBLE) AS base,
+         CAST(p.cost AS DOUBLE) AS cost,
+         COALESCE(r.rq / CAST({config.RECENT_DAYS} AS DOUBLE), p.base_demand) AS dem,
+         COALESCE(CAST(k.ss * {config.STOCK_PRESSURE_FACTOR} AS DOUBLE), 1.0) AS st, e.elasticity AS el
+  FROM products p LEFT JOIN recent r ON p.product_id = r.product_id
+  LEFT JOIN stk k ON p.product_id = k.product_id LEFT JOIN elas e ON p.product_id = e.product_id),
+cg AS (SELECT o.product_id, g.k, {_objective_sql('g.k / CAST(10000 AS DOUBLE)')} AS obj
+       FROM oin o, generate_series(0, 5000, 100) g(k)),
+cbest AS (SELECT product_id, k AS ck FROM (
+            SELECT product_id, k, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY obj DESC, k ASC) AS rn
+            FROM cg) WHERE rn = 1),
+fg0 AS (SELECT o.*, UNNEST(generate_series(GREATEST(0, c.ck - 200), LEAST(5000, c.ck + 200))) AS k
+        FROM oin o JOIN cbest c ON o.product_id = c.product_id),
+fg AS (SELECT product_id, k, {_objective_sql('k / CAST(10000 AS DOUBLE)')} AS obj FROM fg0),
+fbest AS (SELECT product_id, k AS ok FROM (
+            SELECT product_id, k, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY obj DESC, k ASC) AS rn
+            FROM fg) WHERE rn = 1),
+opt AS (
+  SELECT o.product_id, o.product_name, o.category, o.base AS base_price, o.cost,
+         CAST(f.ok AS DOUBLE) / 100 AS optimal_discount_pct,
+         {r2s(_metrics_sql('f.ok / CAST(10000 AS DOUBLE)')['price'], 2)} AS new_price,
+         {r2s('o.el', 4)} AS elasticity, {r2s('o.dem', 2)} AS current_daily_demand,
+         CAST(ROUND_EVEN({_metrics_sql('f.ok / CAST(10000 AS DOUBLE)')['monthly']}, 0) AS BIGINT)
+           AS expected_monthly_demand,
+         {r2s(_metrics_sql('f.ok / CAST(10000 AS DOUBLE)')['revenue'], 2)} AS expected_revenue,
+         {r2s(_metrics_sql('f.ok / CAST(10000 AS DOUBLE)')['profit'], 2)} AS expected_profit,
+         {r2s(_metrics_sql('0.0')['profit'], 2)} AS baseline_profit,
+         {r2s(r2s(_metrics_sql('f.ok / CAST(10000 AS DOUBLE)')['profit'], 2) + ' - ' + r2s(_metrics_sql('0.0')['profit'], 2), 2)} AS profit_uplift,
+         CAST(o.st AS BIGINT) AS current_stock,
+         {r2s(_metrics_sql('f.ok / CAST(10000 AS DOUBLE)')['clearance'], 2)} AS inventory_clearance_pct
+  FROM oin o JOIN fbest f ON o.product_id = f.product_id)"""
+
+
+def _rank2(col: str) -> str:
+    return (f"(2 * (RANK() OVER (ORDER BY {col}) - 1) + COUNT(*) OVER (PARTITION BY {col}) + 1)")
+
+
+_O8_CTES = f"""ranked AS (
+  SELECT *, {_rank2('profit_uplift')} AS ra, {_rank2('expected_profit')} AS rb,
+         {_rank2('inventory_clearance_pct')} AS rc, COUNT(*) OVER () AS n
+  FROM opt),
+recs AS (
+  SELECT * EXCLUDE (ra, rb, rc, n),
+         CASE WHEN optimal_discount_pct < 2 THEN 'No Change'
+              WHEN optimal_discount_pct < 10 THEN 'Mild Markdown'
+              WHEN optimal_discount_pct < 25 THEN 'Moderate Markdown'
+              WHEN optimal_discount_pct < 40 THEN 'Deep Markdown'
+              ELSE 'Clearance Sale' END AS recommendation,
+         {O._dhu('(4 * ra + 3 * rb + 3 * rc) * 1000', '20 * n')} / CAST(1000 AS DOUBLE) AS priority_score
+  FROM ranked)"""
+
+_OPT_ALL = (*_RESOLVED_CTES, _MO_INPUTS, _O_CTES)
+
+
+def _opt_df(spark, d):
+    m, res = _mo(spark, d)
+    inp = optimize.inputs(m.products, m.inventory, m.clean_shared,
+                          res["product_elasticity"], res["category_elasticity"])
+    return optimize.optimise(inp)
+
+
+@register("o6_discounts", _sql("SELECT * FROM opt", *_OPT_ALL))
+def o6_discounts(spark: SparkSession, d: str) -> DataFrame:
+    return _opt_df(spark, d)
+
+
+@register("o8_recommendations", _sql("SELECT * FROM recs", *_OPT_ALL, _O8_CTES))
+def o8_recommendations(spark: SparkSession, d: str) -> DataFrame:
+    return optimize.recommend(_opt_df(spark, d))
+
+
+@register("o9_breakdown", _sql("""
+SELECT recommendation, COUNT(*) AS count FROM recs GROUP BY recommendation""", *_OPT_ALL, _O8_CTES))
+def o9_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    return optimize.label_breakdown(optimize.recommend(_opt_df(spark, d)))

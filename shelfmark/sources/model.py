@@ -197,6 +197,17 @@ class RetailModel:
         from shelfmark.operators.clean import clean_transactions
         return self._get("clean", lambda: clean_transactions(self.transactions))
 
+    @property
+    def clean_shared(self) -> DataFrame:
+        """The cleaned fact table written once to the shared checkpoint folder,
+        for plans that read it several times (fits, demand windows, ...)."""
+        from shelfmark.session import checkpoint_dir
+
+        def build():
+            checkpoint_dir(self.spark)
+            return self.clean_transactions.checkpoint(eager=True)
+        return self._get("clean_shared", build)
+
 
 def load_model(spark: SparkSession, sf_dir: str) -> RetailModel:
     return RetailModel(spark, sf_dir)
