@@ -25,32 +25,44 @@ from pyspark.sql import functions as F
 from shelfmark.session import checkpoint_dir
 
 
-def value_ranks(df: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
-    """One row per distinct non-null ``col`` with ``_r2`` = 2 * average rank."""
+def value_ranks(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
+    """Rows (measure, value, _r2): 2 * average rank of each distinct non-null
+    value of every column in ``cols``, all measures ranked in one pass."""
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dv = (df.filter(F.col(col).isNotNull())
-          .groupBy(col).agg(F.count(F.lit(1)).alias("_c")))
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
+        for c in cols])).alias("p")).select("p.measure", "p.value")
+    dv = (pairs.filter(F.col("value").isNotNull())
+          .groupBy("measure", "value").agg(F.count(F.lit(1)).alias("_c")))
     checkpoint_dir(spark)
-    ranged = (dv.repartitionByRange(partitions, col)
+    ranged = (dv.repartitionByRange(partitions, "measure", "value")
               .withColumn("_part", F.spark_partition_id())
               .checkpoint(eager=True))
-    part_tot = ranged.groupBy("_part").agg(F.sum("_c").alias("_pt"))
+    # Offsets: rows of the same measure in earlier range partitions.
+    part_tot = ranged.groupBy("measure", "_part").agg(F.sum("_c").alias("_pt"))
     offsets = part_tot.select(
-        "_part",
-        F.coalesce(F.sum("_pt").over(Window.orderBy("_part").rowsBetween(
+        "measure", "_part",
+        F.coalesce(F.sum("_pt").over(Window.partitionBy("measure").orderBy("_part").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_part").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    local = (Window.partitionBy("_part", "measure").orderBy("value")
+             .rowsBetween(Window.unboundedPreceding, -1))
     less = F.coalesce(F.sum("_c").over(local), F.lit(0)) + F.col("_off")
-    return (ranged.join(F.broadcast(offsets), "_part")
-            .select(col, (less * 2 + F.col("_c") + 1).cast("bigint").alias("_r2")))
+    return (ranged.join(F.broadcast(offsets), ["measure", "_part"])
+            .select("measure", "value", (less * 2 + F.col("_c") + 1).cast("bigint").alias("_r2")))
 
 
-def with_average_rank2(df: DataFrame, col: str, out: str) -> DataFrame:
-    """Add ``out`` = 2 * average rank of ``col`` (null for null values)."""
-    ranks = value_ranks(df, col).withColumnRenamed("_r2", out)
-    return df.join(ranks, col, "left")
+def with_average_rank2(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+    """Add, for each ``col -> out`` in ``cols``, ``out`` = 2 * average rank
+    of ``col`` among non-null values (null for null values)."""
+    ranks = value_ranks(df, list(cols))
+    out = df
+    for c, name in cols.items():
+        r = ranks.filter(F.col("measure") == c).select(
+            F.col("value").alias(f"_v_{name}"), F.col("_r2").alias(name))
+        out = out.join(r, out[c].cast("double") == r[f"_v_{name}"], "left").drop(f"_v_{name}")
+    return out
 
 
 def non_null_count(df: DataFrame, col: str) -> Column:

@@ -114,11 +114,9 @@ def recommend(opt: DataFrame) -> DataFrame:
     average-tie percentile rank; computed exactly from integer ranks,
     (4 A + 3 B + 3 C) / (20 N), and rounded half up to 3 decimals."""
     checkpoint_dir(opt.sparkSession)
-    opt = opt.checkpoint(eager=True)  # one row per product, reused by three ranks
-    r = opt
-    for c, out in (("profit_uplift", "_ra"), ("expected_profit", "_rb"),
-                   ("inventory_clearance_pct", "_rc")):
-        r = with_average_rank2(r, c, out)
+    opt = opt.checkpoint(eager=True)  # one row per product, read by the ranks and the join
+    r = with_average_rank2(opt, {"profit_uplift": "_ra", "expected_profit": "_rb",
+                                 "inventory_clearance_pct": "_rc"})
     n = non_null_count(opt, "product_id")
     num = F.col("_ra") * 4 + F.col("_rb") * 3 + F.col("_rc") * 3
     score = div_half_up(num * 1000, n * 20).cast("double") / F.lit(1000.0)

@@ -308,7 +308,7 @@ prodres AS (
 
 def _elastic(spark, d):
     m = load_model(spark, d)
-    return m.clean_transactions, m.products
+    return m.clean_shared, m.products
 
 
 @register("e1_category", _sql("SELECT * FROM catfit", CLEAN, _LOG_PAIRS, _CAT_FIT))

@@ -156,14 +156,14 @@ class RetailModel:
             self._cache[key] = build()
         return self._cache[key]
 
-    def _read(self, name, cols):
-        return read_table(self.spark, self.sf_dir, name, cols)
+    def _read(self, name, cols, spread=False):
+        return read_table(self.spark, self.sf_dir, name, cols, spread=spread)
 
     @property
     def lineitem(self) -> DataFrame:
         return self._read("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                        "l_quantity", "l_extendedprice", "l_discount",
-                                       "l_shipdate"])
+                                       "l_shipdate"], spread=True)
 
     @property
     def part(self) -> DataFrame:
@@ -199,14 +199,12 @@ class RetailModel:
 
     @property
     def clean_shared(self) -> DataFrame:
-        """The cleaned fact table written once to the shared checkpoint folder,
-        for plans that read it several times (fits, demand windows, ...)."""
-        from shelfmark.session import checkpoint_dir
-
-        def build():
-            checkpoint_dir(self.spark)
-            return self.clean_transactions.checkpoint(eager=True)
-        return self._get("clean_shared", build)
+        """The cleaned fact table cached (memory, spilling to disk) for plans
+        that read it several times (fits, demand windows, ...).  A lost
+        executor's blocks are recomputed from lineage."""
+        from pyspark import StorageLevel
+        return self._get("clean_shared",
+                         lambda: self.clean_transactions.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def load_model(spark: SparkSession, sf_dir: str) -> RetailModel:

@@ -14,7 +14,22 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
-    """Read one table; selecting columns here lets the scan's ReadSchema shrink."""
+               columns: list[str] | tuple[str, ...] | None = None,
+               spread: bool = False) -> DataFrame:
+    """Read one table; selecting columns here lets the scan's ReadSchema shrink.
+
+    ``spread`` is for fact tables: a file written as a single row group is
+    read by a single task however it is split, which would leave every
+    per-row step before the first shuffle on one core.  When the scan has
+    fewer partitions than the cluster's default parallelism, the pruned raw
+    columns are round-robin repartitioned once.  Large inputs (many files or
+    row groups) already scan in parallel and are left alone.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target)
+    return df
