@@ -510,3 +510,97 @@ def o8_recommendations(spark: SparkSession, d: str) -> DataFrame:
 SELECT recommendation, COUNT(*) AS count FROM recs GROUP BY recommendation""", *_OPT_ALL, _O8_CTES))
 def o9_breakdown(spark: SparkSession, d: str) -> DataFrame:
     return optimize.label_breakdown(optimize.recommend(_opt_df(spark, d)))
+
+
+# ------------------------------------------------------------------ forecast
+from shelfmark.operators import forecast  # noqa: E402
+
+_F1 = """fm AS (
+  SELECT p.category, CAST(date_trunc('month', c.date) AS DATE) AS month,
+         CAST(SUM(c.quantity) AS BIGINT) AS quantity
+  FROM clean c LEFT JOIN products p ON c.product_id = p.product_id
+  WHERE p.category IS NOT NULL GROUP BY 1, 2)"""
+_F2 = """fb AS (SELECT category, MIN(month) AS lo, MAX(month) AS hi FROM fm GROUP BY category),
+fs AS (
+  SELECT s.category, s.month, CAST(COALESCE(f.quantity, 0) AS BIGINT) AS quantity
+  FROM (SELECT category, CAST(UNNEST(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month
+        FROM fb) s
+  LEFT JOIN fm f ON s.category = f.category AND s.month = f.month)"""
+
+
+def _sma_sql(src: str) -> str:
+    z = repr(config.Z_95)
+    return f"""sst AS (SELECT category, MAX(month) AS last_m, COUNT(*) AS n,
+                   STDDEV_SAMP(CAST(quantity AS DOUBLE)) AS sd FROM {src} GROUP BY category),
+stl AS (SELECT category, AVG(CAST(quantity AS DOUBLE)) AS mt FROM (
+          SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY month DESC) AS rn FROM {src})
+        WHERE rn <= {config.SMA_WINDOW} GROUP BY category),
+sfc AS (
+  SELECT s.category, CAST(g.h AS INTEGER) AS h,
+         strftime(s.last_m + to_months(CAST(g.h AS INTEGER)), '%Y-%m') AS month,
+         ROUND_EVEN(t.mt, 0) AS f, CASE WHEN s.n > 1 THEN s.sd ELSE 0.0 END AS sd
+  FROM sst s JOIN stl t ON s.category = t.category,
+       generate_series(1, {config.FORECAST_MONTHS}) g(h)),
+sma AS (
+  SELECT category, h, month, CAST(f AS BIGINT) AS forecast,
+         CAST(GREATEST(0.0, ROUND_EVEN(f - CAST({z} AS DOUBLE) * sd, 0)) AS BIGINT) AS confidence_lower,
+         CAST(ROUND_EVEN(f + CAST({z} AS DOUBLE) * sd, 0) AS BIGINT) AS confidence_upper
+  FROM sfc)"""
+
+
+def _series(spark, d):
+    m = load_model(spark, d)
+    return forecast.pack_series(forecast.month_spine(
+        forecast.monthly_demand(m.clean_transactions, m.products)))
+
+
+@register("f1_monthly_demand", _sql("SELECT * FROM fm", CLEAN, _F1))
+def f1_monthly_demand(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return forecast.monthly_demand(m.clean_transactions, m.products)
+
+
+@register("f2_spine", _sql("SELECT * FROM fs", CLEAN, _F1, _F2))
+def f2_spine(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return forecast.month_spine(forecast.monthly_demand(m.clean_transactions, m.products))
+
+
+@register("f4_sma", _sql("SELECT * FROM sma", CLEAN, _F1, _F2, _sma_sql("fs")))
+def f4_sma(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.sma(_series(spark, d))
+
+
+@register("f3_holt_winters")
+def f3_holt_winters(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.holt_winters(_series(spark, d))
+
+
+@register("f8_forecast")
+def f8_forecast(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.forecast_all(_series(spark, d))
+
+
+_F10_SMA = f"""fsr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY category ORDER BY month DESC) AS rb FROM fs),
+train AS (SELECT category, month, quantity FROM fsr WHERE rb > {config.FORECAST_MONTHS}),
+act AS (SELECT category, CAST({config.FORECAST_MONTHS} + 1 - rb AS INTEGER) AS h, quantity AS actual
+        FROM fsr WHERE rb <= {config.FORECAST_MONTHS}
+          AND category IN (SELECT category FROM train))"""
+
+
+@register("f10_backtest_sma", _sql(f"""
+SELECT s.category, ROUND(AVG(CASE WHEN a.actual > 0
+                                  THEN ABS(CAST(a.actual - s.forecast AS DOUBLE)) / a.actual END) * 100, 2) AS mape,
+       ROUND(SQRT(AVG(CAST(a.actual - s.forecast AS DOUBLE) * (a.actual - s.forecast))), 2) AS rmse,
+       ROUND(100.0 - AVG(CASE WHEN a.actual > 0
+                              THEN ABS(CAST(a.actual - s.forecast AS DOUBLE)) / a.actual END) * 100, 2) AS accuracy,
+       COUNT(*) AS n_months
+FROM sma s JOIN act a ON s.category = a.category AND s.h = a.h
+GROUP BY s.category""", CLEAN, _F1, _F2, _F10_SMA, _sma_sql("train")))
+def f10_backtest_sma(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.backtest(_series(spark, d), "sma")
+
+
+@register("f10_backtest")
+def f10_backtest(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.backtest(_series(spark, d), "auto")
