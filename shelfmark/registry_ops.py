@@ -604,3 +604,263 @@ def f10_backtest_sma(spark: SparkSession, d: str) -> DataFrame:
 @register("f10_backtest")
 def f10_backtest(spark: SparkSession, d: str) -> DataFrame:
     return forecast.backtest(_series(spark, d), "auto")
+
+
+# ----------------------------------------------------------------- dashboard
+from shelfmark.operators import insight  # noqa: E402
+
+_K12 = """km AS (SELECT strftime(date, '%Y-%m') AS date, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS revenue,
+                  CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS profit, CAST(SUM(quantity) AS BIGINT) AS quantity,
+                  COUNT(transaction_id) AS orders FROM clean GROUP BY 1)"""
+
+
+def _mom_sql() -> str:
+    cols = ["date", "revenue", "profit", "orders", f"{r2s('revenue / orders', 2)} AS aov"]
+    for name, c in (("revenue", "revenue"), ("profit", "profit"),
+                    ("orders", "CAST(orders AS DOUBLE)"), ("aov", "(revenue / orders)")):
+        prev = f"LAG({c}) OVER (ORDER BY date)"
+        pct = f"(({c} - {prev}) / {prev} * 100)"
+        cols.append(f"{r2s(pct, 2)} AS {name}_change_pct")
+        cols.append(f"CASE WHEN {pct} > 0 THEN 'up' WHEN {pct} < 0 THEN 'down' "
+                    f"WHEN {pct} IS NOT NULL THEN 'flat' END AS {name}_trend")
+    return "SELECT " + ", ".join(cols) + " FROM km"
+
+
+def _monthly(spark, d):
+    return kpi.monthly_trends(load_model(spark, d).clean_transactions)
+
+
+@register("d01_mom", _sql(_mom_sql(), CLEAN, _K12))
+def d01_mom(spark: SparkSession, d: str) -> DataFrame:
+    return insight.month_over_month(_monthly(spark, d))
+
+
+@register("d03_last12", _sql("SELECT * FROM km ORDER BY date DESC LIMIT 12", CLEAN, _K12))
+def d03_last12(spark: SparkSession, d: str) -> DataFrame:
+    return insight.last_months(_monthly(spark, d), 12)
+
+
+_CAT_REV = """cr AS (SELECT p.category, SUM(c.revenue) AS rev, SUM(c.profit) AS prof,
+                  CAST(SUM(c.quantity) AS BIGINT) AS units
+           FROM clean c LEFT JOIN products p ON c.product_id = p.product_id
+           WHERE p.category IS NOT NULL GROUP BY p.category)"""
+
+
+@register("d04_share", _sql(f"""
+SELECT category, CAST(rev AS DOUBLE) AS revenue,
+       {hr('CAST(rev * 100 AS BIGINT) * 100', 'CAST((SELECT SUM(rev) FROM cr) * 100 AS BIGINT)', 2)} AS share_pct
+FROM cr""", CLEAN, _CAT_REV))
+def d04_share(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return insight.category_share(m.clean_transactions, m.products)
+
+
+@register("d05_category_perf", _sql("""
+SELECT category, CAST(rev AS DOUBLE) AS revenue, CAST(prof AS DOUBLE) AS profit, units FROM cr""",
+                                    CLEAN, _CAT_REV))
+def d05_category_perf(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return insight.category_performance(m.clean_transactions, m.products)
+
+
+@register("d06_series")
+def d06_series(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    spine = forecast.month_spine(forecast.monthly_demand(m.clean_shared, m.products))
+    fc = forecast.holt_winters(forecast.pack_series(spine)).drop("alpha", "beta", "gamma")
+    return insight.history_and_forecast(spine, fc)
+
+
+def _cat_resolved(spark, d):
+    m = load_model(spark, d)
+    return elasticity.resolve_category(elasticity.category_elasticity(m.clean_transactions, m.products))
+
+
+@register("d07_curve", _sql("""
+SELECT category, dp, CAST(1000 AS DOUBLE) * (1.0 + dp / CAST(100 AS DOUBLE)) AS price,
+       CAST(FLOOR(GREATEST(0.0, CAST(500 AS DOUBLE) * POW(CAST(1000 AS DOUBLE) * (1.0 + dp / CAST(100 AS DOUBLE))
+                                  / CAST(1000 AS DOUBLE), elasticity)) + 0.5) AS BIGINT) AS demand
+FROM catres, (SELECT CAST(UNNEST(generate_series(-40, 60, 5)) AS INTEGER) AS dp)""", *_RESOLVED_CTES))
+def d07_curve(spark: SparkSession, d: str) -> DataFrame:
+    return insight.price_demand_curve(_cat_resolved(spark, d))
+
+
+_D8_TEXT = "CASE " + " ".join(
+    f"WHEN ABS(elasticity) > {lim} THEN '{txt}'" for lim, txt in
+    __import__("shelfmark.functions.labels", fromlist=["x"]).ELASTICITY_TEXT if lim is not None) + \
+    f" ELSE '{__import__('shelfmark.functions.labels', fromlist=['x']).ELASTICITY_TEXT[-1][1]}' END"
+
+
+@register("d08_elasticity_display", _sql(f"""
+SELECT category, elasticity, classification,
+       CASE WHEN ABS(elasticity) > 1.0 THEN 'elastic' WHEN ABS(elasticity) > 0.9 THEN 'unit'
+            ELSE 'inelastic' END AS badge,
+       CASE WHEN ABS(elasticity) > 1.5 THEN 'high' WHEN ABS(elasticity) > 1.0 THEN 'medium'
+            ELSE 'low' END AS band,
+       {_D8_TEXT} AS description
+FROM catres""", *_RESOLVED_CTES))
+def d08_elasticity_display(spark: SparkSession, d: str) -> DataFrame:
+    return insight.elasticity_cards(_cat_resolved(spark, d))
+
+
+def _recs(spark, d):
+    return optimize.recommend(_opt_df(spark, d))
+
+
+_BU = "FLOOR(current_daily_demand * 30 + 0.5)"
+
+
+@register("d09_totals", _sql(f"""
+SELECT COUNT(*) FILTER (WHERE optimal_discount_pct > 0) AS discounted_products,
+       {r2s('COALESCE(AVG(optimal_discount_pct) FILTER (WHERE optimal_discount_pct > 0), 0.0)', 1)}
+         AS avg_discount_pct,
+       {r2s(f'COALESCE(SUM(expected_revenue - base_price * {_BU}) FILTER (WHERE optimal_discount_pct > 0), 0.0)', 2)}
+         AS revenue_uplift
+FROM recs""", *_OPT_ALL, _O8_CTES))
+def d09_totals(spark: SparkSession, d: str) -> DataFrame:
+    return insight.recommendation_totals(_recs(spark, d))
+
+
+_DLEVEL = "CASE WHEN {x} <= 10 THEN 'low' WHEN {x} <= 25 THEN 'medium' ELSE 'high' END"
+
+
+@register("d10_discount_level", _sql(f"""
+SELECT product_id, optimal_discount_pct, {_DLEVEL.format(x='optimal_discount_pct')} AS discount_level
+FROM recs""", *_OPT_ALL, _O8_CTES))
+def d10_discount_level(spark: SparkSession, d: str) -> DataFrame:
+    return insight.discount_levels(_recs(spark, d))
+
+
+@register("d10_margin_level", _sql("""
+SELECT product_id, gross_margin_pct,
+       CASE WHEN gross_margin_pct > 30 THEN 'high' WHEN gross_margin_pct > 15 THEN 'medium'
+            ELSE 'low' END AS margin_level
+FROM pk""", CLEAN, _PRODUCT_KPIS))
+def d10_margin_level(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return insight.margin_levels(kpi.product_kpis(m.clean_transactions, m.products, m.inventory))
+
+
+_WI_GRID = ", ".join(f"({a}, {b}, {c})" for a in insight.WHATIF_DEMAND
+                     for b in insight.WHATIF_COMPETITOR for c in insight.WHATIF_INVENTORY)
+_WHATIF = f"""wi0 AS (
+  SELECT g.demand_shock, g.competitor_shock, g.inventory_shock, r.product_id, r.product_name,
+         r.category, r.base_price, {_BU} AS base_units,
+         COALESCE(CAST(p.cost AS DOUBLE), r.base_price * 0.6) AS cost,
+         COALESCE(CASE WHEN c.elasticity <> 0 THEN ABS(c.elasticity) END, 1.0) AS e,
+         GREATEST(0.0, LEAST(50.0, r.optimal_discount_pct + g.competitor_shock * 0.3
+                                   + g.inventory_shock * 0.15)) AS adj
+  FROM recs r LEFT JOIN catres c ON r.category = c.category
+  LEFT JOIN products p ON r.product_id = p.product_id,
+  (VALUES {_WI_GRID}) g(demand_shock, competitor_shock, inventory_shock)),
+wi AS (
+  SELECT demand_shock, competitor_shock, inventory_shock, product_id, product_name, category,
+         base_price, base_units, cost, FLOOR(adj * 10 + 0.5) / 10 AS adj_discount_pct,
+         FLOOR(base_price * (1.0 - adj / 100) + 0.5) AS adj_price,
+         CAST(FLOOR(base_units * (1.0 + demand_shock / CAST(100 AS DOUBLE)) * (1.0 + adj / 100 * e) + 0.5)
+              AS BIGINT) AS adj_units,
+         FLOOR(base_price * (1.0 - adj / 100) + 0.5)
+           * FLOOR(base_units * (1.0 + demand_shock / CAST(100 AS DOUBLE)) * (1.0 + adj / 100 * e) + 0.5)
+           AS adj_revenue,
+         (FLOOR(base_price * (1.0 - adj / 100) + 0.5) - cost)
+           * FLOOR(base_units * (1.0 + demand_shock / CAST(100 AS DOUBLE)) * (1.0 + adj / 100 * e) + 0.5)
+           AS adj_profit,
+         {_DLEVEL.format(x='FLOOR(adj * 10 + 0.5) / 10')} AS discount_level
+  FROM wi0)"""
+
+
+def _whatif_df(spark, d):
+    m, res = _mo(spark, d)
+    inp = optimize.inputs(m.products, m.inventory, m.clean_shared,
+                          res["product_elasticity"], res["category_elasticity"])
+    recs = optimize.recommend(optimize.optimise(inp))
+    return insight.whatif(recs, res["category_elasticity"], m.products)
+
+
+@register("d11_whatif", _sql("SELECT * FROM wi", *_OPT_ALL, _O8_CTES, _WHATIF))
+def d11_whatif(spark: SparkSession, d: str) -> DataFrame:
+    return _whatif_df(spark, d)
+
+
+def _wt(cur: str, base: str, name: str) -> str:
+    b = f"(CASE WHEN {base} <> 0 THEN {base} ELSE 1.0 END)"
+    pct = f"(({cur} - {base}) / {b} * 100)"
+    return (f"{r2s(pct, 2)} AS {name}_change_pct, CASE WHEN {pct} > 0.5 THEN 'up' "
+            f"WHEN {pct} < -0.5 THEN 'down' ELSE 'flat' END AS {name}_trend")
+
+
+@register("d12_whatif_totals", _sql(f"""
+SELECT demand_shock, competitor_shock, inventory_shock, {r2s('revenue', 2)} AS revenue,
+       {r2s('profit', 2)} AS profit, units, {r2s('disc', 2)} AS avg_discount_pct,
+       {_wt('revenue', 'brev', 'revenue')}, {_wt('profit', 'bprof', 'profit')},
+       {_wt('CAST(units AS DOUBLE)', 'CAST(bunits AS DOUBLE)', 'units')}
+FROM (SELECT demand_shock, competitor_shock, inventory_shock, SUM(adj_revenue) AS revenue,
+             SUM(adj_profit) AS profit, CAST(SUM(adj_units) AS BIGINT) AS units,
+             AVG(adj_discount_pct) AS disc, SUM(base_price * base_units) AS brev,
+             SUM((base_price - cost) * base_units) AS bprof, SUM(base_units) AS bunits
+      FROM wi GROUP BY 1, 2, 3)""", *_OPT_ALL, _O8_CTES, _WHATIF))
+def d12_whatif_totals(spark: SparkSession, d: str) -> DataFrame:
+    return insight.whatif_totals(_whatif_df(spark, d))
+
+
+# ------------------------------------------------ ranking, search, text forms
+@register("w1_pct_rank", _sql("""
+SELECT product_id, total_revenue,
+       CAST(2 * (RANK() OVER (ORDER BY total_revenue) - 1) + COUNT(*) OVER (PARTITION BY total_revenue) + 1
+            AS DOUBLE) / (COUNT(*) OVER () * 2.0) AS pct_rank
+FROM pk""", CLEAN, _PRODUCT_KPIS))
+def w1_pct_rank(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    pk = kpi.product_kpis(m.clean_transactions, m.products, m.inventory)
+    return insight.pct_rank(pk.select("product_id", "total_revenue"), "total_revenue")
+
+
+SEARCH_TERM = "ring"
+
+
+@register("l4_sort_search", _sql(f"""
+SELECT product_id, product_name, category, CAST(base_price AS DOUBLE) AS base_price FROM products
+WHERE contains(lower(product_name), '{SEARCH_TERM}') OR contains(lower(category), '{SEARCH_TERM}')
+ORDER BY lower(product_name), product_id"""))
+def l4_sort_search(spark: SparkSession, d: str) -> DataFrame:
+    p = load_model(spark, d).products.select(
+        "product_id", "product_name", "category", F.col("base_price").cast("double").alias("base_price"))
+    return insight.search_and_sort(p, SEARCH_TERM, "product_name")
+
+
+def _trunc_sql(x: str, n: int) -> str:
+    return f"CASE WHEN length({x}) > {n} THEN substr({x}, 1, {n - 1}) || '…' ELSE {x} END"
+
+
+@register("c5_truncate", _sql(f"""
+SELECT product_id, {_trunc_sql('product_name', 20)} AS name_20, {_trunc_sql('product_name', 8)} AS name_8
+FROM products"""))
+def c5_truncate(spark: SparkSession, d: str) -> DataFrame:
+    p = load_model(spark, d).products
+    return p.select("product_id", insight.truncate_text(F.col("product_name"), 20).alias("name_20"),
+                    insight.truncate_text(F.col("product_name"), 8).alias("name_8"))
+
+
+def _money_sql(x: str, compact: bool) -> str:
+    digits = f"CAST(CAST(ROUND(ABS({x}), 0) AS DECIMAL(38,0)) AS VARCHAR)"
+    head = f"substr({digits}, 1, length({digits}) - 3)"
+    grouped = f"ltrim(reverse(regexp_replace(reverse({head}), '(\\d{{2}})', '\\1,', 'g')), ',')"
+    body = (f"CASE WHEN length({digits}) > 3 THEN {grouped} || ',' || "
+            f"substr({digits}, length({digits}) - 2, 3) ELSE {digits} END")
+    full = f"'₹' || CASE WHEN ROUND({x}, 0) < 0 THEN '-' ELSE '' END || {body}"
+    if not compact:
+        return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN '—' ELSE {full} END"
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN '—' "
+            f"WHEN ABS({x}) >= 1e7 THEN '₹' || printf('%.2f', {x} / 1e7) || ' Cr' "
+            f"WHEN ABS({x}) >= 1e5 THEN '₹' || printf('%.2f', {x} / 1e5) || ' L' ELSE {full} END")
+
+
+@register("c6_money_text", _sql(f"""
+SELECT product_id, total_profit, {_money_sql('total_profit', False)} AS profit_text,
+       {_money_sql('total_profit', True)} AS profit_short FROM pk""", CLEAN, _PRODUCT_KPIS))
+def c6_money_text(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    pk = kpi.product_kpis(m.clean_transactions, m.products, m.inventory)
+    return pk.select("product_id", "total_profit",
+                     insight.money_text(F.col("total_profit")).alias("profit_text"),
+                     insight.money_text(F.col("total_profit"), compact=True).alias("profit_short"))
