@@ -1,0 +1,73 @@
+"""The whole pricing run as one Spark application (main entry point).
+
+extract -> clean (once, cached) -> KPIs -> forecast -> elasticity ->
+scenarios -> optimisation -> documents.  Every phase is a DataFrame
+function; actions only happen in the sinks.
+
+usage: python -m shelfmark.plans.pipeline <sf_dir> <out_dir>
+"""
+
+from __future__ import annotations
+
+import sys
+import time
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfmark.operators import elasticity, forecast, kpi, markdown, optimize
+from shelfmark.plans import exports
+from shelfmark.sources.model import load_model
+
+
+def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All dashboard documents as lazy DataFrames over shared intermediates."""
+    m = load_model(spark, sf_dir)
+    txn = m.clean_transactions.persist(StorageLevel.MEMORY_AND_DISK)
+    products, inventory = m.products, m.inventory
+    pk = kpi.product_kpis(txn, products, inventory).persist(StorageLevel.MEMORY_AND_DISK)
+    series = forecast.pack_series(forecast.month_spine(forecast.monthly_demand(txn, products)))
+    el = elasticity.run(txn, products)
+    prod_e = el["product_elasticity"].persist(StorageLevel.MEMORY_AND_DISK)
+    cat_e = el["category_elasticity"].persist(StorageLevel.MEMORY_AND_DISK)
+    opt = optimize.optimise(optimize.inputs(products, inventory, txn, prod_e, cat_e))
+    recs = optimize.recommend(opt)
+    return {
+        "overview_kpis": exports.overview_doc(txn),
+        "product_analytics": pk,
+        "top_bottom_sellers": kpi.top_bottom_sellers(pk),
+        "category_analytics": kpi.category_kpis(txn, products),
+        "monthly_trends": kpi.monthly_trends(txn),
+        "forecast_data": forecast.forecast_all(series),
+        "elasticity_category": cat_e,
+        "elasticity_product": prod_e,
+        "elasticity_multifeature": el["multifeature_model"],
+        "simulation_results": markdown.simulate(products, inventory, txn, prod_e, cat_e),
+        "recommendations": recs,
+        "recommendations_summary": exports.recommendations_summary(recs),
+        "whatif_params": exports.whatif_params(products),
+        "whatif_products": products.select("product_id", "product_name", "category",
+                                           "base_price", "cost"),
+    }
+
+
+def run(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, float]:
+    """Build and write every document; returns seconds per document."""
+    docs = build(spark, sf_dir)
+    times = {}
+    for name, df in docs.items():
+        t0 = time.perf_counter()
+        exports.write_all(out_dir, {name: df})
+        times[name] = round(time.perf_counter() - t0, 3)
+    return times
+
+
+def main(argv: list[str]) -> None:
+    from shelfmark.session import get_session
+    sf_dir, out_dir = argv[1], argv[2]
+    spark = get_session()
+    print(run(spark, sf_dir, out_dir))
+
+
+if __name__ == "__main__":
+    main(sys.argv)

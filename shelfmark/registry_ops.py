@@ -864,3 +864,83 @@ def c6_money_text(spark: SparkSession, d: str) -> DataFrame:
     return pk.select("product_id", "total_profit",
                      insight.money_text(F.col("total_profit")).alias("profit_text"),
                      insight.money_text(F.col("total_profit"), compact=True).alias("profit_short"))
+
+
+# ------------------------------------------------------- documents and laws
+from shelfmark.operators import panel  # noqa: E402
+from shelfmark.plans import exports  # noqa: E402
+
+
+@register("s06_overview_doc", _sql(f"""
+SELECT CAST(ROUND(a.rev, 2) AS DOUBLE) AS total_revenue, CAST(ROUND(a.prof, 2) AS DOUBLE) AS total_profit,
+       a.n AS total_orders, a.q AS total_quantity,
+       CASE WHEN a.n > 0 THEN {hr('ROUND(a.rev, 2) * 100', 'a.n * 100', 2)} ELSE 0.0 END AS avg_order_value,
+       {hr('a.sp', 'a.nsp * 100', 2)} AS avg_selling_price,
+       {hr('a.bp', 'a.nd * 100', 2)} AS avg_discount_pct,
+       CASE WHEN a.rev <> 0 THEN {hr('(a.rev - a.cogs) * 10000', 'a.rev * 100', 2)} ELSE 0.0 END
+         AS overall_gross_margin,
+       '{config.CURRENCY_SYMBOL}' AS currency,
+       e.po AS de_promo_orders, e.npo AS de_non_promo_orders,
+       CAST(ROUND(e.pr, 2) AS DOUBLE) AS de_promo_revenue, CAST(ROUND(e.npr, 2) AS DOUBLE) AS de_non_promo_revenue,
+       CASE WHEN e.po > 0 THEN {hr('e.pbp', 'e.pnd * 100', 2)} ELSE 0.0 END AS de_avg_promo_discount_pct,
+       CASE WHEN e.po > 0 AND e.pbp > 0 THEN {hr('ROUND(e.pr, 2) * 100 * e.pnd', 'e.pbp', 2)} ELSE 0.0 END
+         AS de_revenue_per_discount_pct
+FROM a, (SELECT COUNT(*) FILTER (WHERE is_promotion = 1) AS po, COUNT(*) FILTER (WHERE is_promotion = 0) AS npo,
+                COALESCE(SUM(revenue) FILTER (WHERE is_promotion = 1), 0) AS pr,
+                COALESCE(SUM(revenue) FILTER (WHERE is_promotion = 0), 0) AS npr,
+                SUM(CAST(ROUND(discount_pct * 10000) AS BIGINT)) FILTER (WHERE is_promotion = 1) AS pbp,
+                COUNT(discount_pct) FILTER (WHERE is_promotion = 1) AS pnd FROM clean) e""", CLEAN, _K01_AGG))
+def s06_overview_doc(spark: SparkSession, d: str) -> DataFrame:
+    doc = exports.overview_doc(load_model(spark, d).clean_transactions)
+    nested = [f.name for f in doc.schema["discount_effectiveness"].dataType.fields]
+    return doc.select(*[c for c in doc.columns if c != "discount_effectiveness"],
+                      *[F.col(f"discount_effectiveness.{c}").alias(f"de_{c}") for c in nested])
+
+
+@register("s13_summary", _sql("""
+SELECT COUNT(*) AS total_products,
+       COALESCE(ROUND(AVG(optimal_discount_pct), 2), 0.0) AS avg_optimal_discount_pct,
+       COALESCE(ROUND(SUM(expected_profit), 2), 0.0) AS total_expected_profit,
+       COALESCE(ROUND(SUM(expected_revenue), 2), 0.0) AS total_expected_revenue
+FROM recs""", *_OPT_ALL, _O8_CTES))
+def s13_summary(spark: SparkSession, d: str) -> DataFrame:
+    return exports.recommendations_summary(_recs(spark, d))
+
+
+_SIM_PCT = ", ".join(f"CAST({d!r} AS DOUBLE) * 100" for d in config.SIMULATION_DISCOUNTS)
+
+
+@register("s14_params", _sql(f"""
+SELECT CAST({config.OPT_DISCOUNT_MIN * 100!r} AS DOUBLE) AS discount_min,
+       CAST({config.OPT_DISCOUNT_MAX * 100!r} AS DOUBLE) AS discount_max,
+       {config.WHATIF_DISCOUNT_RANGE[2]} AS discount_step,
+       list_sort(list_distinct(list(category))) AS categories,
+       [{_SIM_PCT}] AS simulation_discounts
+FROM products"""))
+def s14_params(spark: SparkSession, d: str) -> DataFrame:
+    return exports.whatif_params(load_model(spark, d).products)
+
+
+_SEASON = "CASE month(c.date) " + " ".join(
+    f"WHEN {k} THEN CAST({v!r} AS DOUBLE)" for k, v in config.SEASONALITY.items()) + " ELSE 1.0 END"
+_DOW = "CASE isodow(c.date) - 1 " + " ".join(
+    f"WHEN {k} THEN CAST({v!r} AS DOUBLE)" for k, v in config.DAY_OF_WEEK_EFFECT.items()) + " ELSE 1.0 END"
+
+
+@register("g3_demand", _sql(f"""
+SELECT c.transaction_id, c.product_id, c.date, c.quantity,
+       CAST(GREATEST(0, FLOOR(p.base_demand * {_SEASON} * {_DOW}
+            * POW(CAST(c.selling_price AS DOUBLE) / CAST(c.base_price AS DOUBLE), p.elasticity))) AS BIGINT)
+         AS expected_units
+FROM clean c LEFT JOIN products p ON c.product_id = p.product_id""", CLEAN))
+def g3_demand(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return panel.expected_demand(m.clean_transactions, m.products)
+
+
+@register("g5_ledger", _sql("""
+SELECT product_id, store_id, initial_stock, total_sold, replenishment, current_stock,
+       current_stock = GREATEST(0, initial_stock - total_sold + replenishment) AS ledger_ok
+FROM inventory"""))
+def g5_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return panel.ledger(load_model(spark, d).inventory)
