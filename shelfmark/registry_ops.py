@@ -944,3 +944,16 @@ SELECT product_id, store_id, initial_stock, total_sold, replenishment, current_s
 FROM inventory"""))
 def g5_ledger(spark: SparkSession, d: str) -> DataFrame:
     return panel.ledger(load_model(spark, d).inventory)
+
+
+# ----------------------------------------------------------------- streaming
+from shelfmark.streaming import monthly as stream_monthly  # noqa: E402
+
+
+@register("x1_stream_monthly", _sql("""
+SELECT strftime(date, '%Y-%m') AS date, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS revenue,
+       CAST(ROUND(SUM(profit), 2) AS DOUBLE) AS profit, CAST(SUM(quantity) AS BIGINT) AS quantity,
+       COUNT(transaction_id) AS orders
+FROM clean GROUP BY 1""", CLEAN))
+def x1_stream_monthly(spark: SparkSession, d: str) -> DataFrame:
+    return stream_monthly.run_available(spark, d)
