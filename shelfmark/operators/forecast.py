@@ -3,10 +3,11 @@
 A series is one category's monthly units; its length is bounded by the
 calendar (months), never by the number of transactions, so each series is
 packed into one sorted array.  The additive Holt-Winters model (period 12)
-is fitted per series by a grid over the three smoothing parameters: the grid
-is exploded per series (512 rows per series), the recursion is a
-higher-order ``aggregate`` over the series array, and ``min_by`` keeps the
-lowest in-sample squared error (ties to the smallest parameters).  Series
+is fitted per series by a grid over the three smoothing parameters (8 values
+each) with a fixed start state, keeping the lowest in-sample squared error
+(ties to the smallest parameters).  One row is one series, so the fit runs
+row-wise in ``mapInPandas`` (numpy over the 512 grid points) with no
+shuffle; no task ever holds more than a batch of short arrays.  Series
 shorter than two seasons use the 3-month moving average.
 """
 
@@ -14,6 +15,9 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,68 +90,71 @@ def sma(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     )
 
 
-def _hw_fold(values: Column, a: Column, b: Column, g: Column, period: int) -> Column:
-    """Additive Holt-Winters recursion over the whole series.
-
-    Start: level = mean of the first season, trend = (mean of the second
-    season - mean of the first) / period, seasonals = first season - level.
-    State carries squared-error and error sums for the residual band."""
-    v = values.cast("array<double>")
-    first = F.slice(v, 1, period)
-    second = F.slice(v, period + 1, period)
-    m1 = F.aggregate(first, F.lit(0.0), lambda acc, x: acc + x) / period
-    m2 = F.aggregate(second, F.lit(0.0), lambda acc, x: acc + x) / period
-    init = F.struct(m1.alias("l"), ((m2 - m1) / period).alias("t"),
-                    F.transform(first, lambda x: x - m1).alias("s"),
-                    F.lit(0.0).alias("sse"), F.lit(0.0).alias("se"))
-
-    def step(st, y):
-        s0 = F.element_at(st["s"], 1)
-        err = y - (st["l"] + st["t"] + s0)
-        level = a * (y - s0) + (1 - a) * (st["l"] + st["t"])
-        trend = b * (level - st["l"]) + (1 - b) * st["t"]
-        season = g * (y - level) + (1 - g) * s0
-        return F.struct(level.alias("l"), trend.alias("t"),
-                        F.concat(F.slice(st["s"], 2, period - 1), F.array(season)).alias("s"),
-                        (st["sse"] + err * err).alias("sse"), (st["se"] + err).alias("se"))
-
-    return F.aggregate(v, init, step)
+_HW_SCHEMA = ("category string, h int, month string, forecast bigint, confidence_lower bigint, "
+              "confidence_upper bigint, alpha double, beta double, gamma double")
+
+
+def _hw_fit_series(values: np.ndarray, period: int, horizon: int):
+    """Grid fit of the additive recursion for one series, vectorised over the
+    parameter grid.  Start: level = mean of the first season, trend = (mean of
+    the second season - mean of the first) / period, seasonals = first season
+    - level.  Returns (alpha, beta, gamma), predictions and the population
+    std of the one-step errors of the winner (lowest SSE, then smallest
+    parameters)."""
+    a, b, g = (np.array(x) for x in zip(*itertools.product(GRID, GRID, GRID)))
+    y = values.astype(float)
+    m1 = y[:period].mean()
+    m2 = y[period:2 * period].mean()
+    level = np.full(a.shape, m1)
+    trend = np.full(a.shape, (m2 - m1) / period)
+    seas = np.tile(y[:period] - m1, (a.size, 1))
+    sse = np.zeros(a.size)
+    se = np.zeros(a.size)
+    for v in y:
+        s0 = seas[:, 0]
+        err = v - (level + trend + s0)
+        sse += err * err
+        se += err
+        new_level = a * (v - s0) + (1 - a) * (level + trend)
+        trend = b * (new_level - level) + (1 - b) * trend
+        level = new_level
+        seas = np.concatenate([seas[:, 1:], (g * (v - level) + (1 - g) * s0)[:, None]], axis=1)
+    best = np.lexsort((g, b, a, sse))[0]
+    n = y.size
+    std = float(np.sqrt(max(0.0, sse[best] / n - (se[best] / n) ** 2)))
+    preds = [level[best] + h * trend[best] + seas[best, h - 1] for h in range(1, horizon + 1)]
+    return (float(a[best]), float(b[best]), float(g[best])), preds, std
 
 
 def holt_winters(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
                  period: int = config.SEASONAL_PERIOD) -> DataFrame:
     """F3 + F5 + F6 (seasonal branch), long form, for series with at least two
     seasons.  forecast = max(0, round(pred)); band = pred -+ 1.96 x
-    population std of the one-step errors, lower clamped at 0."""
-    grid = F.array(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.lit(z).alias("g"))
-                     for x, y, z in itertools.product(GRID, GRID, GRID)])
+    population std of the one-step errors, lower clamped at 0 (round half
+    to even).
+
+    One row is one series (its length is bounded by the calendar), so the fit
+    runs per row with ``mapInPandas`` and needs no shuffle; the 512-point
+    parameter grid is evaluated as numpy vectors."""
+    z = config.Z_95
+
+    def fit(batches):
+        for pdf in batches:
+            out = []
+            for cat, months, values in zip(pdf["category"], pdf["months"], pdf["values"]):
+                (al, be, ga), preds, std = _hw_fit_series(np.asarray(values), period, horizon)
+                last = months[-1]
+                for h, p in enumerate(preds, start=1):
+                    k = last.year * 12 + last.month - 1 + h
+                    out.append((cat, h, f"{k // 12:04d}-{k % 12 + 1:02d}",
+                                int(max(0.0, np.round(p))), int(max(0.0, np.round(p - z * std))),
+                                int(np.round(p + z * std)), al, be, ga))
+            yield pd.DataFrame(out, columns=["category", "h", "month", "forecast",
+                                             "confidence_lower", "confidence_upper",
+                                             "alpha", "beta", "gamma"])
+
     eligible = series.filter(F.size("values") >= 2 * period)
-    fits = (eligible.select("category", "months", "values", F.explode(grid).alias("p"))
-            .withColumn("st", _hw_fold(F.col("values"), F.col("p.a"), F.col("p.b"),
-                                       F.col("p.g"), period)))
-    best = fits.groupBy("category").agg(
-        F.min_by(F.struct("st", "p", "months", F.size("values").alias("n")),
-                 F.struct(F.col("st.sse"), F.col("p.a"), F.col("p.b"), F.col("p.g")))
-        .alias("w"))
-    n = F.col("w.n")
-    mean_e = F.col("w.st.se") / n
-    std = F.sqrt(F.greatest(F.lit(0.0), F.col("w.st.sse") / n - mean_e * mean_e))
-    labels = _future_labels(F.col("w.months"), horizon)
-    out = best.select("category", F.col("w.st").alias("st"), std.alias("_std"),
-                      F.col("w.p").alias("params"),
-                      F.posexplode(labels).alias("_h", "month"))
-    h = F.col("_h") + 1
-    pred = F.col("st.l") + h * F.col("st.t") + F.element_at(F.col("st.s"), h.cast("int"))
-    z = F.lit(config.Z_95)
-    return out.select(
-        "category", h.alias("h"), "month",
-        F.greatest(F.lit(0.0), F.bround(pred, 0)).cast("bigint").alias("forecast"),
-        F.greatest(F.lit(0.0), F.bround(pred - z * F.col("_std"), 0)).cast("bigint")
-        .alias("confidence_lower"),
-        F.bround(pred + z * F.col("_std"), 0).cast("bigint").alias("confidence_upper"),
-        F.col("params.a").alias("alpha"), F.col("params.b").alias("beta"),
-        F.col("params.g").alias("gamma"),
-    )
+    return eligible.select("category", "months", "values").mapInPandas(fit, _HW_SCHEMA)
 
 
 def forecast_all(series: DataFrame, horizon: int = config.FORECAST_MONTHS,

@@ -1,9 +1,9 @@
 """Per-product discount optimisation and recommendations.
 
-Each product row carries its own candidate grids as arrays: the objective of
-every candidate is a higher-order ``transform`` and the argmax an
-``array_max`` over (objective, -candidate) structs, so the search needs no
-explode and no shuffle.  The coarse grid is 0..50 % in 1 % steps; the
+Each product row is expanded into its candidate discounts; objectives are
+plain column expressions (whole-stage codegen) and the argmax is a
+``max_by`` over (objective, -candidate) completed map-side, because every
+candidate of a product stays in its product's partition.  The coarse grid is 0..50 % in 1 % steps; the
 refinement searches +-2 % around the coarse winner in 0.01 % steps (the
 4-decimal grid the result is rounded to).  Ties go to the smallest discount.
 """
@@ -68,11 +68,19 @@ def objective(m: dict[str, Column], min_clearance: float = config.OPT_MIN_CLEARA
         .otherwise(p)
 
 
-def _argmax_bp(cands: Column, row: dict[str, Column]) -> Column:
-    """Candidate (in basis points) with the highest objective, smallest on ties."""
-    scored = F.transform(cands, lambda k: F.struct(
-        objective(metrics(k / F.lit(10000.0), **row)).alias("o"), (-k).alias("nk")))
-    return -F.array_max(scored)["nk"]
+def _argmax_bp(inp: DataFrame, cands: Column, row: dict[str, Column], out: str) -> DataFrame:
+    """Add ``out``: the candidate (basis points) with the highest objective,
+    smallest on ties.
+
+    Candidates are exploded next to their product row and scored with
+    codegen'd expressions; every candidate of a product sits in the same
+    partition, so the max_by aggregate is completed map-side and only one row
+    per product crosses the shuffle."""
+    cols = inp.columns
+    scored = inp.select("*", F.explode(cands).alias("_k"))
+    obj = objective(metrics(F.col("_k") / F.lit(10000.0), **row))
+    return (scored.groupBy(*cols)
+            .agg(F.max_by("_k", F.struct(obj, -F.col("_k"))).alias(out)))
 
 
 def optimise(inp: DataFrame) -> DataFrame:
@@ -82,10 +90,10 @@ def optimise(inp: DataFrame) -> DataFrame:
            "demand": F.col("demand"), "stock": F.col("stock")}
     lo, hi = int(config.OPT_DISCOUNT_MIN * 10000), int(config.OPT_DISCOUNT_MAX * 10000)
     coarse = F.sequence(F.lit(lo), F.lit(hi), F.lit(100)).cast("array<bigint>")
-    s = inp.withColumn("_coarse", _argmax_bp(coarse, row))
+    s = _argmax_bp(inp, coarse, row, "_coarse")
     fine = F.sequence(F.greatest(F.lit(lo).cast("bigint"), F.col("_coarse") - 200),
                       F.least(F.lit(hi).cast("bigint"), F.col("_coarse") + 200))
-    s = s.withColumn("_opt", _argmax_bp(fine, row))
+    s = _argmax_bp(s, fine, row, "_opt")
     d = F.col("_opt") / F.lit(10000.0)
     opt = metrics(d, **row)
     base = metrics(F.lit(0.0), **row)
