@@ -83,9 +83,9 @@ def _argmax_bp(inp: DataFrame, cands: Column, row: dict[str, Column], out: str)
             .agg(F.max_by("_k", F.struct(obj, -F.col("_k"))).alias(out)))
 
 
-def optimise(inp: DataFrame) -> DataFrame:
-    """O3 + O4 + O6: optimal discount per product with its metrics, the
-    zero-discount baseline and the uplift (16 columns)."""
+def search(inp: DataFrame) -> DataFrame:
+    """O3 + O4: the coarse-grid winner ``_coarse`` and the refined optimum
+    ``_opt`` (both in basis points) per product."""
     row = {"base": F.col("base_price"), "cost": F.col("cost"), "e": F.col("elasticity"),
            "demand": F.col("demand"), "stock": F.col("stock")}
     lo, hi = int(config.OPT_DISCOUNT_MIN * 10000), int(config.OPT_DISCOUNT_MAX * 10000)
@@ -93,7 +93,15 @@ def optimise(inp: DataFrame) -> DataFrame:
     s = _argmax_bp(inp, coarse, row, "_coarse")
     fine = F.sequence(F.greatest(F.lit(lo).cast("bigint"), F.col("_coarse") - 200),
                       F.least(F.lit(hi).cast("bigint"), F.col("_coarse") + 200))
-    s = _argmax_bp(s, fine, row, "_opt")
+    return _argmax_bp(s, fine, row, "_opt")
+
+
+def optimise(inp: DataFrame) -> DataFrame:
+    """O3 + O4 + O6: optimal discount per product with its metrics, the
+    zero-discount baseline and the uplift (16 columns)."""
+    row = {"base": F.col("base_price"), "cost": F.col("cost"), "e": F.col("elasticity"),
+           "demand": F.col("demand"), "stock": F.col("stock")}
+    s = search(inp)
     d = F.col("_opt") / F.lit(10000.0)
     opt = metrics(d, **row)
     base = metrics(F.lit(0.0), **row)

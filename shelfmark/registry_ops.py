@@ -957,3 +957,35 @@ SELECT strftime(date, '%Y-%m') AS date, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) A
 FROM clean GROUP BY 1""", CLEAN))
 def x1_stream_monthly(spark: SparkSession, d: str) -> DataFrame:
     return stream_monthly.run_available(spark, d)
+
+
+# ------------------------------------------------ search stages and the band
+def _search_df(spark, d):
+    m, res = _mo(spark, d)
+    inp = optimize.inputs(m.products, m.inventory, m.clean_shared,
+                          res["product_elasticity"], res["category_elasticity"])
+    return optimize.search(inp)
+
+
+@register("o3_coarse", _sql("""
+SELECT product_id, CAST(ck AS DOUBLE) / 100 AS coarse_discount_pct FROM cbest""", *_OPT_ALL))
+def o3_coarse(spark: SparkSession, d: str) -> DataFrame:
+    return _search_df(spark, d).select(
+        "product_id", (F.col("_coarse").cast("double") / 100).alias("coarse_discount_pct"))
+
+
+@register("o4_optimal", _sql("""
+SELECT c.product_id, CAST(c.ck AS DOUBLE) / 100 AS coarse_discount_pct,
+       CAST(f.ok AS DOUBLE) / 100 AS optimal_discount_pct
+FROM cbest c JOIN fbest f ON c.product_id = f.product_id""", *_OPT_ALL))
+def o4_optimal(spark: SparkSession, d: str) -> DataFrame:
+    return _search_df(spark, d).select(
+        "product_id", (F.col("_coarse").cast("double") / 100).alias("coarse_discount_pct"),
+        (F.col("_opt").cast("double") / 100).alias("optimal_discount_pct"))
+
+
+@register("f5_band", _sql("SELECT category, h, forecast, confidence_lower, confidence_upper FROM sma",
+                          CLEAN, _F1, _F2, _sma_sql("fs")))
+def f5_band(spark: SparkSession, d: str) -> DataFrame:
+    return forecast.sma(_series(spark, d)).select("category", "h", "forecast",
+                                                  "confidence_lower", "confidence_upper")
