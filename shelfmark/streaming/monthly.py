@@ -37,9 +37,13 @@ def stream_transactions(spark: SparkSession, lines_dir: str, part: DataFrame,
     return transactions_from_lines(reader.parquet(lines_dir), part)
 
 
-def monthly_trends_stream(txn: DataFrame, watermark: str = "400 days") -> DataFrame:
+def monthly_trends_stream(txn: DataFrame, watermark: str = "7 days") -> DataFrame:
     """Streaming K12: dedup within the watermark, stateless cleaning, then
-    revenue / profit / quantity / orders per YYYY-MM."""
+    revenue / profit / quantity / orders per YYYY-MM.
+
+    The dedup state holds the rows of one watermark span (late data), the
+    aggregate state one row per month, so state stays bounded; on a cluster
+    use the RocksDB state store provider for the dedup state."""
     ts = F.col("date").cast("timestamp")
     t = (txn.withColumn("_ts", ts).withWatermark("_ts", watermark)
          .dropDuplicatesWithinWatermark()
