@@ -399,8 +399,13 @@ FROM scen2"""
 
 
 def _mo(spark, d):
+    """Model plus elasticity frames; the two small fitted frames are cached
+    because the resolution reads each of them several times."""
+    from pyspark import StorageLevel
     m = load_model(spark, d)
     res = elasticity.run(m.clean_shared, m.products)
+    for k in ("product_elasticity", "category_elasticity"):
+        res[k] = res[k].persist(StorageLevel.MEMORY_AND_DISK)
     return m, res
 
 
