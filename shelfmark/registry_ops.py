@@ -994,3 +994,14 @@ def o4_optimal(spark: SparkSession, d: str) -> DataFrame:
 def f5_band(spark: SparkSession, d: str) -> DataFrame:
     return forecast.sma(_series(spark, d)).select("category", "h", "forecast",
                                                   "confidence_lower", "confidence_upper")
+
+
+_PROMO_LIST = "[" + ", ".join(f"'{t}'" for t in config.PROMO_TYPES) + "]"
+
+
+@register("g4_promotions", _sql(f"""
+SELECT transaction_id AS promo_id, transaction_id, product_id, store_id, date, discount_pct,
+       {_PROMO_LIST}[CAST(((transaction_id // 10) % 4 + 4) % 4 AS INTEGER) + 1] AS promo_type
+FROM txn WHERE is_promotion = 1"""))
+def g4_promotions(spark: SparkSession, d: str) -> DataFrame:
+    return load_model(spark, d).promotions
