@@ -53,15 +53,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant
-    location and is used as is.  Only when it is unset (local runs, tests) a
-    fresh private folder is created and registered.
+    location and is used as is; a cluster run without it is an error (a
+    machine-local folder would not survive the loss of that machine).  Only a
+    local-mode session (tests, laptops) with the setting unset gets a fresh
+    private folder.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
+        path = sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store)")
         path = tempfile.mkdtemp(prefix="shelfmark-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
