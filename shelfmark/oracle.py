@@ -145,8 +145,3 @@ def avg_money(x: str) -> str:
 
 def avg_int(x: str) -> str:
     return hr(f"SUM({x})", f"COUNT({x})", 2)
-
-
-def avg_pct4(x: str) -> str:
-    """mean(fraction with 4 decimals) * 100, exact half-up to 2dp."""
-    return hr(f"SUM(CAST(ROUND({x} * 10000) AS BIGINT))", f"(COUNT({x}) * 100)", 2)

@@ -15,8 +15,6 @@ from shelfmark.registry import register
 from shelfmark.sources.faults import FAULTS_SQL, with_faults
 from shelfmark.sources.model import load_model
 
-m2 = O.m2
-
 
 def money_as_double(df: DataFrame) -> DataFrame:
     """Expose DECIMAL columns as DOUBLE at the output edge."""

@@ -1,6 +1,5 @@
 from datetime import date
 
-from pyspark.sql import functions as F
 
 from conftest import txn_row
 from shelfmark.operators import clean
