@@ -3,7 +3,10 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
 (default 8), BENCH_QUERIES (comma list, default the headline set).
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
-Each query is materialised completely (noop sink) so no work is skipped.
+The primary value is the whole pipeline (every document from the raw tables,
+as the reference states its requirement); "queries" holds each headline
+query run on its own from the raw tables.  Every query is materialised
+completely (noop sink) so no work is skipped.
 """
 
 from __future__ import annotations
@@ -56,14 +59,15 @@ def main() -> None:
         pipeline.run(spark, sf_dir, f"{scratch}/out")
         pipeline_sec = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    total = round(sum(times.values()), 3)
     print(json.dumps({
-        "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "metric": "full_pipeline" if pipeline_sec is not None else "headline_queries_total",
+        "value": pipeline_sec if pipeline_sec is not None else total,
         "unit": "sec",
         "queries": times,
+        "headline_queries_total": total,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
-        "pipeline_sec": pipeline_sec,
     }))
     spark.stop()
 
