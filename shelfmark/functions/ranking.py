@@ -25,32 +25,48 @@ from pyspark.sql import functions as F
 from shelfmark.session import checkpoint_dir
 
 
-def value_ranks(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
-    """Rows (measure, value, _r2): 2 * average rank of each distinct non-null
-    value of every column in ``cols``, all measures ranked in one pass."""
-    spark = df.sparkSession
+def counts_below(dv: DataFrame, key: str, value: str, partitions: int | None = None) -> DataFrame:
+    """For rows (key, value, _c) with distinct (key, value), add ``_less``:
+    the number of rows of the same key with a smaller value, and ``_tot``:
+    the number of rows of the key.
+
+    The pairs are range-partitioned on (key, value), so even a key with an
+    unbounded number of distinct values is spread over several tasks; the
+    partitioning is frozen with a checkpoint (range bounds come from sampling
+    and must not differ between the two uses below).  Prefix sums run inside
+    each range partition; per-(key, partition) totals give the offsets."""
+    spark = dv.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
-        for c in cols])).alias("p")).select("p.measure", "p.value")
-    dv = (pairs.filter(F.col("value").isNotNull())
-          .groupBy("measure", "value").agg(F.count(F.lit(1)).alias("_c")))
     checkpoint_dir(spark)
-    ranged = (dv.repartitionByRange(partitions, "measure", "value")
+    ranged = (dv.repartitionByRange(partitions, key, value)
               .withColumn("_part", F.spark_partition_id())
               .checkpoint(eager=True))
-    # Offsets: rows of the same measure in earlier range partitions.
-    part_tot = ranged.groupBy("measure", "_part").agg(F.sum("_c").alias("_pt"))
+    part_tot = ranged.groupBy(key, "_part").agg(F.sum("_c").alias("_pt"))
     offsets = part_tot.select(
-        "measure", "_part",
-        F.coalesce(F.sum("_pt").over(Window.partitionBy("measure").orderBy("_part").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    local = (Window.partitionBy("_part", "measure").orderBy("value")
+        key, "_part",
+        F.coalesce(F.sum("_pt").over(Window.partitionBy(key).orderBy("_part").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_pt").over(Window.partitionBy(key)).alias("_tot"))
+    local = (Window.partitionBy("_part", key).orderBy(value)
              .rowsBetween(Window.unboundedPreceding, -1))
     less = F.coalesce(F.sum("_c").over(local), F.lit(0)) + F.col("_off")
-    return (ranged.join(F.broadcast(offsets), ["measure", "_part"])
-            .select("measure", "value", (less * 2 + F.col("_c") + 1).cast("bigint").alias("_r2")))
+    # offsets: one row per (key, range partition) touched, joined on both.
+    return (ranged.join(offsets, [key, "_part"])
+            .select(key, value, "_c", less.alias("_less"), "_tot"))
+
+
+def value_ranks(df: DataFrame, cols: list[str], partitions: int | None = None) -> DataFrame:
+    """Rows (measure, value, _r2): 2 * average rank of each distinct non-null
+    value of every column in ``cols``, all measures ranked in one pass."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
+        for c in cols])).alias("p")).select("p.measure", "p.value")
+    dv = (pairs.filter(F.col("value").isNotNull())
+          .groupBy("measure", "value").agg(F.count(F.lit(1)).alias("_c")))
+    c = counts_below(dv, "measure", "value", partitions)
+    return c.select("measure", "value",
+                    (F.col("_less") * 2 + F.col("_c") + 1).cast("bigint").alias("_r2"))
 
 
 def with_average_rank2(df: DataFrame, cols: dict[str, str]) -> DataFrame:

@@ -29,23 +29,20 @@ def deduplicate(df: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, key: str, value: str, out: str = "median") -> DataFrame:
     """Exact per-key median of non-null ``value``.
 
-    Counts per (key, value) first (partial aggregation), then walks the sorted
-    distinct values of each key with a running count.  Memory per key is the
-    number of distinct values, and the window sort spills, so a key holding a
-    third of all rows never has to fit in one task's heap.
-    """
+    Counts per (key, value) first (partial aggregation), then finds the two
+    middle positions from counts of smaller values.  Those counts come from a
+    range partitioning on (key, value), so a key holding a third of all rows,
+    with however many distinct values, is spread over several tasks."""
+    from shelfmark.functions.ranking import counts_below
     counts = (df.filter(F.col(value).isNotNull())
-              .groupBy(key, value).agg(F.count(F.lit(1)).alias("_n")))
-    w = Window.partitionBy(key).orderBy(value)
-    walked = (counts
-              .withColumn("_hi", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_lo", F.col("_hi") - F.col("_n"))
-              .withColumn("_tot", F.sum("_n").over(Window.partitionBy(key))))
+              .groupBy(key, value).agg(F.count(F.lit(1)).alias("_c")))
+    walked = counts_below(counts, key, value)
+    hi = F.col("_less") + F.col("_c")
     # 1-based positions of the two middle elements.
     p1 = F.floor((F.col("_tot") + 1) / 2)
     p2 = F.ceil((F.col("_tot") + 1) / 2)
-    hit1 = (F.col("_lo") < p1) & (p1 <= F.col("_hi"))
-    hit2 = (F.col("_lo") < p2) & (p2 <= F.col("_hi"))
+    hit1 = (F.col("_less") < p1) & (p1 <= hi)
+    hit2 = (F.col("_less") < p2) & (p2 <= hi)
     picked = walked.filter(hit1 | hit2).select(
         key,
         F.when(hit1, F.col(value)).alias("_v1"),
