@@ -26,31 +26,42 @@ from shelfmark import config
 GRID = (0.0, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 
 
-def monthly_demand(txn: DataFrame, products: DataFrame) -> DataFrame:
-    """units per category and calendar month (unknown products dropped)."""
-    cat = products.select("product_id", "category")
-    return (txn.join(cat, "product_id", "left")
-            .filter(F.col("category").isNotNull())
-            .groupBy("category", F.trunc("date", "month").alias("month"))
+def monthly_demand(txn: DataFrame, products: DataFrame, key: str = "category") -> DataFrame:
+    """units per series and calendar month.  The series key is the
+    product's category (unknown products dropped, as a group-by on a missing
+    key drops them) or any product attribute, e.g. ``product_id`` for one
+    series per product."""
+    if key in txn.columns:
+        src = txn.filter(F.col(key).isNotNull())
+    else:
+        attr = products.select("product_id", key)
+        src = txn.join(attr, "product_id", "left").filter(F.col(key).isNotNull())
+    return (src.groupBy(key, F.trunc("date", "month").alias("month"))
             .agg(F.sum("quantity").alias("quantity")))
 
 
+def _key(df: DataFrame) -> str:
+    """Series frames carry their key as the first column."""
+    return df.columns[0]
+
+
 def month_spine(monthly: DataFrame) -> DataFrame:
     """every month from each category's first to last month; gaps are 0."""
-    bounds = monthly.groupBy("category").agg(F.min("month").alias("_lo"),
-                                             F.max("month").alias("_hi"))
-    spine = bounds.select("category", F.explode(
+    k = _key(monthly)
+    bounds = monthly.groupBy(k).agg(F.min("month").alias("_lo"), F.max("month").alias("_hi"))
+    spine = bounds.select(k, F.explode(
         F.sequence("_lo", "_hi", F.expr("interval 1 month"))).alias("month"))
-    return (spine.join(monthly, ["category", "month"], "left")
-            .select("category", "month",
+    return (spine.join(monthly, [k, "month"], "left")
+            .select(k, "month",
                     F.coalesce(F.col("quantity"), F.lit(0)).cast("bigint").alias("quantity")))
 
 
 def pack_series(spine: DataFrame) -> DataFrame:
     """One row per series: months and values as arrays sorted by month."""
-    s = spine.groupBy("category").agg(
+    k = _key(spine)
+    s = spine.groupBy(k).agg(
         F.sort_array(F.collect_list(F.struct("month", "quantity"))).alias("_pts"))
-    return s.select("category",
+    return s.select(k,
                     F.transform("_pts", lambda p: p["month"]).alias("months"),
                     F.transform("_pts", lambda p: p["quantity"]).alias("values"))
 
@@ -75,14 +86,14 @@ def sma(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     mean = F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / n
     ss = F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
     std = F.when(n > 1, F.sqrt(ss / (n - 1))).otherwise(F.lit(0.0))
-    base = series.select("category", "months", F.bround(mean_tail, 0).alias("_f"),
+    k = _key(series)
+    base = series.select(k, "months", F.bround(mean_tail, 0).alias("_f"),
                          std.alias("_std"))
     labels = _future_labels(F.col("months"), horizon)
-    out = base.select("category", "_f", "_std",
-                      F.posexplode(labels).alias("_h", "month"))
+    out = base.select(k, "_f", "_std", F.posexplode(labels).alias("_h", "month"))
     z = F.lit(config.Z_95)
     return out.select(
-        "category", (F.col("_h") + 1).alias("h"), "month",
+        k, (F.col("_h") + 1).alias("h"), "month",
         F.col("_f").cast("bigint").alias("forecast"),
         F.greatest(F.lit(0.0), F.bround(F.col("_f") - z * F.col("_std"), 0)).cast("bigint")
         .alias("confidence_lower"),
@@ -90,7 +101,7 @@ def sma(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     )
 
 
-_HW_SCHEMA = ("category string, h int, month string, forecast bigint, confidence_lower bigint, "
+_HW_SCHEMA = ("h int, month string, forecast bigint, confidence_lower bigint, "
               "confidence_upper bigint, alpha double, beta double, gamma double")
 
 
@@ -137,24 +148,26 @@ def holt_winters(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     runs per row with ``mapInPandas`` and needs no shuffle; the 512-point
     parameter grid is evaluated as numpy vectors."""
     z = config.Z_95
+    k = _key(series)
+    schema = f"{k} {series.schema[k].dataType.simpleString()}, {_HW_SCHEMA}"
 
     def fit(batches):
         for pdf in batches:
             out = []
-            for cat, months, values in zip(pdf["category"], pdf["months"], pdf["values"]):
+            for cat, months, values in zip(pdf[k], pdf["months"], pdf["values"]):
                 (al, be, ga), preds, std = _hw_fit_series(np.asarray(values), period, horizon)
                 last = months[-1]
                 for h, p in enumerate(preds, start=1):
-                    k = last.year * 12 + last.month - 1 + h
-                    out.append((cat, h, f"{k // 12:04d}-{k % 12 + 1:02d}",
+                    mi = last.year * 12 + last.month - 1 + h
+                    out.append((cat, h, f"{mi // 12:04d}-{mi % 12 + 1:02d}",
                                 int(max(0.0, np.round(p))), int(max(0.0, np.round(p - z * std))),
                                 int(np.round(p + z * std)), al, be, ga))
-            yield pd.DataFrame(out, columns=["category", "h", "month", "forecast",
+            yield pd.DataFrame(out, columns=[k, "h", "month", "forecast",
                                              "confidence_lower", "confidence_upper",
                                              "alpha", "beta", "gamma"])
 
     eligible = series.filter(F.size("values") >= 2 * period)
-    return eligible.select("category", "months", "values").mapInPandas(fit, _HW_SCHEMA)
+    return eligible.select(k, "months", "values").mapInPandas(fit, schema)
 
 
 def forecast_all(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
@@ -166,11 +179,12 @@ def forecast_all(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     short = series.filter(F.size("values") < 2 * period)
     ma = sma(short, horizon).withColumn("method", F.lit("simple_moving_average"))
     fc = hw.unionByName(ma)
-    packed = fc.groupBy("category", "method").agg(
+    k = _key(series)
+    packed = fc.groupBy(k, "method").agg(
         F.sort_array(F.collect_list(F.struct("h", "forecast", "confidence_lower",
                                              "confidence_upper", "month"))).alias("_f"))
-    return (series.join(packed, "category")
-            .select("category",
+    return (series.join(packed, k)
+            .select(k,
                     F.col("values").alias("historical"),
                     F.transform("_f", lambda x: x["forecast"]).alias("forecast"),
                     F.transform("_f", lambda x: x["confidence_lower"]).alias("confidence_lower"),
@@ -185,7 +199,7 @@ def holdout(series: DataFrame, horizon: int = config.FORECAST_MONTHS) -> DataFra
     """Series without their last ``horizon`` points, plus those points."""
     n = F.size("values")
     return series.filter(n > horizon).select(
-        "category",
+        _key(series),
         F.slice("months", 1, n - horizon).alias("months"),
         F.slice("values", 1, n - horizon).alias("values"),
         F.slice("values", n - horizon + 1, horizon).alias("actual"))
@@ -196,7 +210,8 @@ def backtest(series: DataFrame, method: str = "auto",
     """hold out the last ``horizon`` months, forecast them, and report
     MAPE (over months with actual > 0), RMSE and accuracy = 100 - MAPE."""
     ho = holdout(series, horizon)
-    train = ho.select("category", "months", "values")
+    k = _key(series)
+    train = ho.select(k, "months", "values")
     if method == "sma":
         fc = sma(train, horizon)
     elif method == "holt_winters":
@@ -204,15 +219,15 @@ def backtest(series: DataFrame, method: str = "auto",
     else:
         fc = holt_winters(train, horizon).drop("alpha", "beta", "gamma").unionByName(
             sma(train.filter(F.size("values") < 2 * config.SEASONAL_PERIOD), horizon))
-    actual = ho.select("category", F.posexplode("actual").alias("_i", "actual")) \
-        .select("category", (F.col("_i") + 1).alias("h"), "actual")
-    j = fc.join(actual, ["category", "h"])
+    actual = ho.select(k, F.posexplode("actual").alias("_i", "actual")) \
+        .select(k, (F.col("_i") + 1).alias("h"), "actual")
+    j = fc.join(actual, [k, "h"])
     err = (F.col("actual") - F.col("forecast")).cast("double")
     ape = F.when(F.col("actual") > 0, F.abs(err) / F.col("actual"))
-    r = j.groupBy("category").agg(
+    r = j.groupBy(k).agg(
         (F.avg(ape) * 100).alias("_mape"),
         F.sqrt(F.avg(err * err)).alias("_rmse"),
         F.count(F.lit(1)).alias("n_months"))
-    return r.select("category", F.round("_mape", 2).alias("mape"),
+    return r.select(k, F.round("_mape", 2).alias("mape"),
                     F.round("_rmse", 2).alias("rmse"),
                     F.round(F.lit(100.0) - F.col("_mape"), 2).alias("accuracy"), "n_months")

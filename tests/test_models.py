@@ -129,3 +129,19 @@ def test_entry_and_registry(spark):
     assert df.count() > 0
     q, o = e.queries(), e.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
+
+
+def test_per_product_series(spark):
+    """The same forecasting code serves one series per product."""
+    from shelfmark.sources.model import load_model
+    m = load_model(spark, SMOKE)
+    series = forecast.pack_series(forecast.month_spine(
+        forecast.monthly_demand(m.clean_transactions, m.products, key="product_id")))
+    assert series.columns[0] == "product_id"
+    fc = forecast.forecast_all(series)
+    rows = fc.collect()
+    assert len(rows) == series.count() > 100
+    assert all(len(r.forecast) == 3 and r.method in ("holt_winters", "simple_moving_average")
+               for r in rows)
+    bt = forecast.backtest(series, "sma")
+    assert bt.columns[0] == "product_id" and bt.count() > 0
