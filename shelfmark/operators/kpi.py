@@ -86,27 +86,35 @@ def product_kpis(txn: DataFrame, products: DataFrame, inventory: DataFrame) -> D
         F.sum("current_stock").alias("total_current_stock"),
         F.sum("total_sold").alias("total_sold_inv"))
     j = sales.join(meta, "product_id", "left").join(stock, "product_id", "left")
-    initial, current, sold = (F.col("total_initial_stock"), F.col("total_current_stock"),
-                              F.col("total_sold_inv"))
-    avg_stock2 = initial + current  # twice the average stock, kept integral
-    sell_through = F.when(initial > 0, dec_div(sold * 100, initial, 2)).otherwise(F.lit(0.0))
-    turnover = F.when(avg_stock2 > 0, dec_div(sold * 2, avg_stock2, 2)).otherwise(F.lit(0.0))
     return j.select(
         "product_id",
         F.col("_rev").cast("double").alias("total_revenue"),
         F.col("_profit").cast("double").alias("total_profit"),
-        "total_quantity", "total_orders",
-        "avg_selling_price", "avg_discount_pct",
+        "total_quantity", "total_orders", "avg_selling_price", "avg_discount_pct",
         "product_name", "category",
         F.col("base_price").cast("double").alias("base_price"),
         F.col("cost").cast("double").alias("cost"),
         "total_initial_stock", "total_current_stock", "total_sold_inv",
-        sell_through.alias("sell_through_rate"),
-        turnover.alias("inventory_turnover"),
-        _margin_pct(F.col("_rev"), F.col("_profit")).alias("gross_margin_pct"),
+        *product_rates(F.col("total_initial_stock"), F.col("total_current_stock"),
+                       F.col("total_sold_inv"), F.col("_rev"), F.col("_profit")),
     )
 
 
+def product_rates(initial: Column, current: Column, sold: Column, revenue: Column,
+                  profit: Column) -> list[Column]:
+    """K7, K8, K5: sell-through (sold / initial x 100), turnover (sold /
+    mean of initial and current stock) and gross margin (profit / revenue x
+    100); 0 when the divisor is not positive or missing."""
+    avg_stock2 = initial + current  # twice the average stock, kept integral
+    return [
+        F.when(initial > 0, dec_div(sold * 100, initial, 2)).otherwise(F.lit(0.0))
+        .alias("sell_through_rate"),
+        F.when(avg_stock2 > 0, dec_div(sold * 2, avg_stock2, 2)).otherwise(F.lit(0.0))
+        .alias("inventory_turnover"),
+        _margin_pct(revenue, profit).alias("gross_margin_pct"),
+    ]
+
+
 def category_kpis(txn: DataFrame, products: DataFrame) -> DataFrame:
     """Per category; transactions whose product is unknown have no
     category and are dropped (as a pandas group-by drops NaN keys)."""
