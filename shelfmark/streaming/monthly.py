@@ -11,6 +11,8 @@ folder, so a restarted driver resumes where it stopped.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +60,8 @@ def run_available(spark: SparkSession, sf_dir: str, out_path: str | None = None)
     """Process every available file once (availableNow) and return the result
     table read back from where the batches wrote it."""
     base = checkpoint_dir(spark).rstrip("/")
-    out_path = out_path or f"{base}/stream_monthly_out"
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]   # one query state per input folder
+    out_path = out_path or f"{base}/stream_monthly_out_{tag}"
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size",
                                               "p_retailprice"])
     agg = monthly_trends_stream(stream_transactions(spark, table_path(sf_dir, "lineitem"), part))
@@ -69,7 +72,7 @@ def run_available(spark: SparkSession, sf_dir: str, out_path: str | None = None)
          .write.mode("overwrite").parquet(out_path))
 
     q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", f"{base}/stream_monthly_ckpt_{abs(hash(sf_dir))}")
+         .option("checkpointLocation", f"{base}/stream_monthly_ckpt_{tag}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out_path)
