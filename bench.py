@@ -52,17 +52,17 @@ def main() -> None:
         spark.catalog.clearCache()
     # The whole run (all documents, shared intermediates), as the reference's
     # pipeline requirement is stated for the full pipeline.
-    pipeline_sec = None
+    run_sec = None
     if os.environ.get("BENCH_PIPELINE", "1") == "1":
-        from shelfmark.plans import pipeline
+        from shelfmark.plans import pricing_run
         t0 = time.perf_counter()
-        pipeline.run(spark, sf_dir, f"{scratch}/out")
-        pipeline_sec = round(time.perf_counter() - t0, 3)
+        pricing_run.run(spark, sf_dir, f"{scratch}/out")
+        run_sec = round(time.perf_counter() - t0, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     total = round(sum(times.values()), 3)
     print(json.dumps({
-        "metric": "full_pipeline" if pipeline_sec is not None else "headline_queries_total",
-        "value": pipeline_sec if pipeline_sec is not None else total,
+        "metric": "full_run" if run_sec is not None else "headline_queries_total",
+        "value": run_sec if run_sec is not None else total,
         "unit": "sec",
         "queries": times,
         "headline_queries_total": total,

@@ -4,7 +4,7 @@ extract -> clean (once, cached) -> KPIs -> forecast -> elasticity ->
 scenarios -> optimisation -> documents.  Every phase is a DataFrame
 function; actions only happen in the sinks.
 
-usage: python -m shelfmark.plans.pipeline <sf_dir> <out_dir>
+usage: python -m shelfmark.plans.pricing_run <sf_dir> <out_dir>
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 import os
 import tempfile
 
-from shelfmark.plans import pipeline
+from shelfmark.plans import pricing_run
 from shelfmark.sources import files
 from shelfmark.sources.model import load_model
 
@@ -35,9 +35,9 @@ def test_extract_requires_csv(spark):
     raise AssertionError("expected FileNotFoundError")
 
 
-def test_pipeline_writes_all_documents(spark):
+def test_full_run_writes_all_documents(spark):
     out = tempfile.mkdtemp(prefix="shelfmark-pipe-")
-    times = pipeline.run(spark, SMOKE, out)
+    times = pricing_run.run(spark, SMOKE, out)
     assert set(times) == set(os.listdir(out))
     recs = spark.read.json(f"{out}/recommendations")
     assert recs.count() == load_model(spark, SMOKE).products.count()
