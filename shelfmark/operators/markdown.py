@@ -61,9 +61,12 @@ def _half_even_ratio(num: Column, den: Column) -> Column:
 
 def simulate(products: DataFrame, inventory: DataFrame, txn: DataFrame,
              product_elasticity: DataFrame, category_frame: DataFrame | None = None,
-             discounts=config.SIMULATION_DISCOUNTS) -> DataFrame:
-    """M1 + M5: every product x every discount scenario (13 columns)."""
-    demand = recent_quantity(txn).select(
+             discounts=config.SIMULATION_DISCOUNTS, recent: DataFrame | None = None) -> DataFrame:
+    """M1 + M5: every product x every discount scenario (13 columns).
+
+    ``recent`` may pass a shared, unrounded ``recent_quantity`` frame."""
+    recent = recent if recent is not None else recent_quantity(txn)
+    demand = recent.select(
         "product_id",
         (div_half_up(F.col("recent_qty") * 100, F.lit(config.RECENT_DAYS)).cast("double")
          / F.lit(100.0)).alias("_recent_daily"))

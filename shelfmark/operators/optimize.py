@@ -22,11 +22,14 @@ from shelfmark.operators.markdown import recent_quantity, resolve_elasticity, st
 
 
 def inputs(products: DataFrame, inventory: DataFrame, txn: DataFrame,
-           product_elasticity: DataFrame, category_frame: DataFrame | None = None) -> DataFrame:
+           product_elasticity: DataFrame, category_frame: DataFrame | None = None,
+           recent: DataFrame | None = None) -> DataFrame:
     """Unrounded recent daily demand (default base_demand), stock =
     3 x current stock truncated (1.0 when the product has no stock row), and
-    the resolved elasticity."""
-    demand = recent_quantity(txn).select(
+    the resolved elasticity.  ``recent`` may pass a shared ``recent_quantity``
+    frame (the scenarios round the same unrounded sums differently)."""
+    recent = recent if recent is not None else recent_quantity(txn)
+    demand = recent.select(
         "product_id", (F.col("recent_qty") / F.lit(float(config.RECENT_DAYS))).alias("_rd"))
     stock = stock_per_product(inventory).select(
         "product_id",

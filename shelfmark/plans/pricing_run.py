@@ -51,7 +51,10 @@ def build(spark: SparkSession, sf_dir: str, materialise: str = "files") -> dict[
     el = elasticity.run(txn, products)
     prod_e = el["product_elasticity"].persist(StorageLevel.MEMORY_AND_DISK)
     cat_e = el["category_elasticity"].persist(StorageLevel.MEMORY_AND_DISK)
-    opt = optimize.optimise(optimize.inputs(products, inventory, txn, prod_e, cat_e))
+    # The 90-day demand is computed once, unrounded, for both the scenarios
+    # (which round it to 2 dp) and the optimiser (which does not).
+    recent = markdown.recent_quantity(txn).persist(StorageLevel.MEMORY_AND_DISK)
+    opt = optimize.optimise(optimize.inputs(products, inventory, txn, prod_e, cat_e, recent=recent))
     recs = optimize.recommend(opt)
     return {
         "overview_kpis": exports.overview_doc(txn),
@@ -63,7 +66,8 @@ def build(spark: SparkSession, sf_dir: str, materialise: str = "files") -> dict[
         "elasticity_category": cat_e,
         "elasticity_product": prod_e,
         "elasticity_multifeature": el["multifeature_model"],
-        "simulation_results": markdown.simulate(products, inventory, txn, prod_e, cat_e),
+        "simulation_results": markdown.simulate(products, inventory, txn, prod_e, cat_e,
+                                                recent=recent),
         "recommendations": recs,
         "recommendations_summary": exports.recommendations_summary(recs),
         "whatif_params": exports.whatif_params(products),
