@@ -25,6 +25,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small: texts can be long, and Python workers share the executor's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/shelfmark-{name}-{uuid.uuid4().hex}"

@@ -5,14 +5,14 @@
    directory is grown: it starts with one bucket; while a bucket is overfull
    it is split on its next key bit, and the directory doubles whenever the
    bucket was as deep as the directory.
-2. Map tasks collapse copies inside each Arrow batch, so that a group of copies
-   that holds a third of the corpus sends one entry per batch, not its rows.
+2. Map tasks sort their rows by key and collapse copies, so that a group of
+   copies that holds a third of the corpus sends one entry per task, not its rows.
 3. Every bucket is a contiguous key range with one owner task.  The owner gets
    its entries in key order, chains the entries of one key and compares the
    texts byte by byte, so colliding keys never merge different texts.  It
-   writes its pages to the shared folder; rows that only point to a batch
+   writes its pages to the shared folder; rows that only point to an
    entry travel without their text, spread evenly over all owners.
-4. Each row finds its verdict by joining its batch entry with the pages.
+4. Each row finds its verdict by joining its entry with the pages.
 
 Defined results: null text counts as empty, and empty texts are copies of each
 other; of equal texts the row with the largest id stays (null ids rank lowest),
@@ -31,8 +31,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from shelfmark.llm.common import documents, scratch_folder
+from shelfmark.llm.common import bounded_batches, documents, scratch_folder
 
 CELL_BITS = 16
 BUCKET_BYTES = 16 << 20
@@ -65,101 +66,100 @@ def grow_directory(cells: dict[int, int], capacity: int, cell_bits: int = CELL_B
     return directory.tolist()
 
 
-def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Inside each batch: one entry per distinct text; other copies point to it and lose their text."""
+def _lone(t: pa.Table, key: int | None) -> np.ndarray:
+    """Which rows of a key-ordered batch are certainly the only ones of their key in the task."""
+    keys = t["_key"].to_numpy()
+    alone = np.ones(len(keys), bool)
+    same = keys[1:] == keys[:-1]
+    alone[1:] &= ~same
+    alone[:-1] &= ~same
+    if key is not None:
+        alone[0] &= keys[0] != key
+    alone[-1] = False  # may go on in the next batch
+    return alone
+
+
+def _fill(out: pa.Schema, n: int, cols: dict) -> Iterator[pa.RecordBatch]:
+    """Batches of `out`; missing columns are null."""
+    if n:
+        yield from pa.table([(cols[f.name] if isinstance(cols[f.name], (pa.Array, pa.ChunkedArray)) else pa.array(cols[f.name], f.type))
+                             if f.name in cols else pa.nulls(n, f.type) for f in out], schema=out).to_batches()
+
+
+def _collapse(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Map side: rows in key order, best row of a key first; one entry per distinct text of the task.
+
+    Other copies only point to the entry (`_rep`) and lose key, text and payload.
+    """
+
+    def entries(t: pa.Table, sizes) -> Iterator[pa.RecordBatch]:
+        yield from _fill(out, t.num_rows, {c: t[c] for c in t.column_names} | {"_rep": t["_rid"], "_size": sizes})
+
+    key, held = None, {}
     for b in batches:
         t = pa.Table.from_batches([b])
-        ids, rids = t["_id"].to_pylist(), t["_rid"].to_pylist()
-        best: dict[str, int] = {}
-        texts = t["_text"].to_pylist()
-        for i, x in enumerate(texts):
-            j = best.setdefault(x, i)
-            if j != i and _rank(ids[i], rids[i]) > _rank(ids[j], rids[j]):
-                best[x] = i
-        size = np.zeros(len(texts), np.int64)
-        at = [best[x] for x in texts]
-        np.add.at(size, at, 1)
-        entry = pa.array(size > 0)
-        t = t.set_column(t.schema.get_field_index("_text"), "_text", pc.if_else(entry, t["_text"], pa.scalar(None, t["_text"].type)))
-        t = t.set_column(t.schema.get_field_index("_key"), "_key", pc.if_else(entry, t["_key"], pa.scalar(None, pa.int64())))
-        t = t.append_column("_rep", pa.array(np.array(rids, np.int64)[at] if rids else [], pa.int64()))
-        t = t.append_column("_size", pc.if_else(entry, pa.array(size), pa.scalar(None, pa.int64())))
-        yield from t.combine_chunks().to_batches()
-
-
-def _rank(doc_id, rid: int) -> tuple:
-    return (doc_id is not None, doc_id if doc_id is not None else 0, -rid)
-
-
-class _Chain:
-    """The entries of one key: a slot for each distinct text."""
-
-    def __init__(self) -> None:
-        self.slots: list[dict] = []
-
-    def add(self, row: pa.RecordBatch, doc_id, rid: int, size: int, text: str) -> None:
-        for s in self.slots:
-            if s["text"] == text:  # whole texts are compared, keys never decide
-                break
-        else:
-            s = {"text": text, "rank": None, "size": 0, "entries": []}
-            self.slots.append(s)
-        s["size"] += size
-        s["entries"].append((rid, doc_id))
-        if s["rank"] is None or _rank(doc_id, rid) > s["rank"]:
-            s |= {"rank": _rank(doc_id, rid), "rid": rid, "id": doc_id, "row": row}
-
-
-def _own(batches: Iterator[pa.RecordBatch], out: pa.Schema, with_row: bool) -> Iterator[pa.RecordBatch]:
-    """Owner task: entries arrive in key order, rows without text first."""
-
-    def page(t: pa.Table, keep_rid: pa.Array, keep_id: pa.Array, size, live) -> pa.RecordBatch:
-        cols = {"_rid": t["_rid"], "_id": t["_id"], "_rep": t["_rep"], "_sha": t["_sha"], "_keep_rid": keep_rid, "_keep_id": keep_id, "_group": size}
-        if with_row:
-            cols["_text"] = pc.if_else(live, t["_text"], pa.scalar(None, t["_text"].type))
-            rows = t["_row"].combine_chunks() if isinstance(t["_row"], pa.ChunkedArray) else t["_row"]
-            cols["_row"] = rows
-        return pa.table([cols[f.name] for f in out], schema=out)
-
-    def flush(chain: _Chain | None) -> Iterator[pa.RecordBatch]:
-        for s in chain.slots if chain else ():
-            won = pa.Table.from_batches([s["row"]])
-            yield from page(won, pa.array([s["rid"]], pa.int64()), won["_id"], pa.array([s["size"]], pa.int64()), pa.array([True])).to_batches()
-            rest = [(r, i) for r, i in s["entries"] if r != s["rid"]]
-            if rest:
-                n = len(rest)
-                cols = {"_rid": [r for r, _ in rest], "_id": [i for _, i in rest], "_rep": [r for r, _ in rest], "_sha": [won["_sha"][0].as_py()] * n, "_keep_rid": [s["rid"]] * n, "_keep_id": [s["id"]] * n, "_group": [s["size"]] * n}
-                yield from pa.table([pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(n, f.type) for f in out], schema=out).to_batches()
-
-    key, chain = None, None
+        if not t.num_rows:
+            continue
+        alone = _lone(t, key)
+        quick = t.filter(pa.array(alone))
+        yield from entries(quick, np.ones(quick.num_rows, np.int64))
+        slow = t.filter(pa.array(~alone)).combine_chunks()
+        copies: dict[str, list] = {"_rid": [], "_id": [], "_sha": [], "_rep": []}
+        rows = zip(*(slow[c].to_pylist() for c in ("_key", "_text", "_rid", "_id", "_sha")), strict=True)
+        for i, (k, text, rid, doc_id, sha) in enumerate(rows):
+            if k != key:
+                for row, n in held.values():
+                    yield from entries(row, [n])
+                key, held = k, {}
+            if text in held:
+                held[text][1] += 1
+                for c, v in zip(copies, (rid, doc_id, sha, held[text][0]["_rid"][0].as_py()), strict=True):
+                    copies[c].append(v)
+            else:
+                held[text] = [slow.take([i]), 1]
+        yield from _fill(out, len(copies["_rid"]), copies)
+    for row, n in held.values():
+        yield from entries(row, [n])
+
+
+def _own(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Owner task: rows without key first, then entries in key order, best row of a key first."""
+
+    def pages(t: pa.Table, sizes) -> Iterator[pa.RecordBatch]:
+        yield from _fill(out, t.num_rows, {c: t[c] for c in t.column_names if c in out.names} | {"_keep_rid": t["_rid"], "_keep_id": t["_id"], "_group": sizes})
+
+    def flush(chain: list[dict]) -> Iterator[pa.RecordBatch]:
+        for s in chain:
+            yield from pages(s["row"], [s["size"]])
+            n, first = len(s["rids"]), {c: s["row"][c][0].as_py() for c in ("_rid", "_id", "_sha")}
+            yield from _fill(out, n, {"_rid": s["rids"], "_id": s["ids"], "_rep": s["rids"], "_sha": [first["_sha"]] * n,
+                                      "_keep_rid": [first["_rid"]] * n, "_keep_id": [first["_id"]] * n, "_group": [s["size"]] * n})
+
+    key, chain = None, []  # the chain has a slot for each distinct text of the key
     for b in batches:
         t = pa.Table.from_batches([b])
         bare = pc.is_null(t["_key"])
-        if pc.any(bare).as_py():
-            m = t.filter(bare)
-            n = m.num_rows
-            yield from page(m, pa.nulls(n, pa.int64()), pa.nulls(n, m["_id"].type), pa.nulls(n, pa.int64()), pa.array([False] * n)).to_batches()
-            t = t.filter(pc.invert(bare))
+        m = t.filter(bare)
+        yield from _fill(out, m.num_rows, {c: m[c] for c in ("_rid", "_id", "_rep", "_sha")})
+        t = t.filter(pc.invert(bare))
         if not t.num_rows:
             continue
-        keys = t["_key"].to_numpy()
-        same = keys[1:] == keys[:-1]
-        alone = np.ones(len(keys), bool)
-        alone[1:] &= ~same
-        alone[:-1] &= ~same
-        alone[0] &= keys[0] != key if key is not None else True
-        alone[-1] = False  # may go on in the next batch
+        alone = _lone(t, key)
         quick = t.filter(pa.array(alone))
-        if quick.num_rows:
-            yield from page(quick, quick["_rid"], quick["_id"], quick["_size"], pa.array([True] * quick.num_rows)).to_batches()
+        yield from pages(quick, quick["_size"])
         slow = t.filter(pa.array(~alone)).combine_chunks()
-        ids, rids, sizes, texts, skeys = (slow[c].to_pylist() for c in ("_id", "_rid", "_size", "_text", "_key"))
-        row = slow.to_batches()[0]
-        for i, k in enumerate(skeys):
+        rows = zip(*(slow[c].to_pylist() for c in ("_key", "_text", "_rid", "_id", "_size")), strict=True)
+        for i, (k, text, rid, doc_id, size) in enumerate(rows):
             if k != key:
                 yield from flush(chain)
-                key, chain = k, _Chain()
-            chain.add(row.take(pa.array([i])), ids[i], rids[i], sizes[i], texts[i])
+                key, chain = k, []
+            slot = next((s for s in chain if s["text"] == text), None)  # whole texts are compared, keys never decide
+            if slot is None:
+                chain.append({"text": text, "row": slow.take([i]), "size": size, "rids": [], "ids": []})
+            else:
+                slot["size"] += size
+                slot["rids"].append(rid)
+                slot["ids"].append(doc_id)
     yield from flush(chain)
 
 
@@ -167,11 +167,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep_rows: bool = False) -> DataFrame:
     """Write the index pages and return them, one row per document row.
 
-    `_rid` row, `_id`, `_rep` its batch entry, `_sha`; entries also have
+    `_rid` row, `_id`, `_rep` its entry, `_sha`; entries also have
     `_keep_rid`, `_keep_id` (who stays) and `_group` (copies in all).  With
     `keep_rows` the rows that stay carry their `_text` and all columns (`_row`).
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
     cell = F.shiftrightunsigned(F.xxhash64(text), 64 - CELL_BITS).cast("int")
     counts = docs.select(cell.alias("cell"), F.octet_length(text).alias("b")).groupBy("cell").agg(F.sum("b").alias("b")).collect()
@@ -182,10 +183,12 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if keep_rows:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_null_text")).alias("_row"))
     rows = docs.select(*cols).withColumns({"_rid": F.monotonically_increasing_id(), "_key": F.xxhash64("_text"), "_sha": F.sha2("_text", 256)})
-    collapsed = T.StructType([*rows.schema.fields, T.StructField("_rep", T.LongType()), T.StructField("_size", T.LongType())])
-    for f in collapsed.fields:
-        f.nullable = True
-    entries = rows.mapInArrow(_collapse, collapsed)
+    kinds = {f.name: f.dataType for f in rows.schema.fields} | {"_rep": T.LongType(), "_size": T.LongType()}
+    shape = lambda names: T.StructType([T.StructField(c, kinds[c]) for c in names])
+    collapsed = shape(kinds)
+    collapsed_arrow = to_arrow_schema(collapsed)
+    order = ["_key", F.desc_nulls_last("_id"), "_rid"]
+    entries = rows.sortWithinPartitions(*order).mapInArrow(lambda x: _collapse(x, collapsed_arrow), collapsed)
     # The directory has at most 2^16 entries, so this array literal is bounded.
     table = F.lit(np.array(directory, dtype=np.int32)) if n > 1 else None
     if table is None:
@@ -194,15 +197,11 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         at = F.shiftrightunsigned(F.col("_key"), 64 - depth).cast("int")
         bucket = F.element_at(table, at + 1)
     to = F.when(F.col("_key").isNotNull(), bucket).otherwise(F.pmod(F.xxhash64("_rid"), F.lit(n)).cast("int"))
-    pages = (["_rid", "_id", "_rep", "_sha"], ["_text", "_row"] if keep_rows else [])
-    kinds = {f.name: f.dataType for f in collapsed.fields}
-    out = T.StructType([T.StructField(c, kinds[c]) for c in pages[0]]
-                       + [T.StructField("_keep_rid", T.LongType()), T.StructField("_keep_id", kinds["_id"]), T.StructField("_group", T.LongType())]
-                       + [T.StructField(c, kinds[c]) for c in pages[1]])
-    from pyspark.sql.pandas.types import to_arrow_schema
+    kinds |= {"_keep_rid": T.LongType(), "_keep_id": kinds["_id"], "_group": T.LongType()}
+    out = shape(["_rid", "_id", "_rep", "_sha", "_keep_rid", "_keep_id", "_group", *(["_text", "_row"] if keep_rows else [])])
     arrow = to_arrow_schema(out)
     owned = (entries.withColumn("_to", to).repartitionById(n, "_to").drop("_to")
-             .sortWithinPartitions("_key").mapInArrow(lambda x: _own(x, arrow, keep_rows), out))
+             .sortWithinPartitions(*order).mapInArrow(lambda x: _own(x, arrow), out))
     path = scratch_folder(spark, "exact-index")
     owned.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(out).parquet(path)
