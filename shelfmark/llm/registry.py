@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import exact_dedup
+from shelfmark.llm import exact_dedup, mixing, quality_rules
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op5_quality_rules": quality_rules.query,
+    "op6_mixing": mixing.query,
 }
 ORACLE = {
     "op1_exact_dedup": exact_dedup.ORACLE,
+    "op5_quality_rules": quality_rules.ORACLE,
+    "op6_mixing": mixing.ORACLE,
 }
