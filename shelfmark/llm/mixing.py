@@ -103,7 +103,8 @@ def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     """One row per source: `source_size target _epochs _cut` (last place of the partial epoch, or null)."""
     ranges = rows.groupBy("_source", "_range").agg(F.sum("_size").alias("s"))
     ahead = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.select("_source", "_range", F.coalesce(F.sum("s").over(ahead), F.lit(0)).alias("_offset"))
+    # Written, so that both joins below know these tables' sizes before they deal out the rows.
+    offsets = materialise(ranges.select("_source", "_range", F.coalesce(F.sum("s").over(ahead), F.lit(0)).alias("_offset")), "mix-offsets")
     goal = targets(rows.groupBy("_source").agg(F.sum("_size").alias("source_size")), weights, max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goal = materialise(goal.withColumn("_epochs", epochs.cast("long"))
@@ -112,7 +113,7 @@ def cuts(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int =
     start = F.col("_offset") + F.col("_before")
     taken = (2 * start + F.col("_size") <= 2 * F.col("_budget")) & (F.col("_size") > 0)
     last = placed.filter(taken).groupBy("_source").agg(F.max("_place").alias("_cut"))
-    return _on_source(goal.drop("_budget"), last, how="left")
+    return materialise(_on_source(goal.drop("_budget"), last, how="left"), "mix-cuts")
 
 
 def _on_source(left: DataFrame, right: DataFrame, *more: str, how: str = "inner") -> DataFrame:
