@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import exact_dedup, mixing, quality_rules
+from shelfmark.llm import exact_dedup, licenses, mixing, pieces, quality_model, quality_rules, secrets
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op3_license_scan": licenses.query,
+    "op4_secret_scan": secrets.query,
     "op5_quality_rules": quality_rules.query,
     "op6_mixing": mixing.query,
+    "op7_quality_classifier": quality_model.query,
+    "op10_sentencepiece": pieces.query,
 }
 ORACLE = {
     "op1_exact_dedup": exact_dedup.ORACLE,
