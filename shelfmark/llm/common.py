@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
 from collections.abc import Iterable
@@ -43,7 +42,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a `materialise`d table that nothing will read any more."""
+    _delete(df.sparkSession, df._folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_mark() -> int:
@@ -53,11 +64,9 @@ def scratch_mark() -> int:
 
 def drop_scratch(spark: SparkSession, upto: int) -> None:
     """Delete the first `upto` scratch folders, whose readers have all been written out."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for i in range(min(upto, len(_SCRATCH))):
         if _SCRATCH[i]:
-            path = jvm.org.apache.hadoop.fs.Path(_SCRATCH[i])
-            path.getFileSystem(conf).delete(path, True)
+            _delete(spark, _SCRATCH[i])
             _SCRATCH[i] = ""
 
 
@@ -76,12 +85,9 @@ def crc_fold(doc_id: int | None) -> int:
     return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % 5
 
 
-_WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words of a text as UTF-8 bytes; null has none."""
-    return [] if text is None else _WORD_BYTES.findall(ascii_lower(text))
+    return [] if text is None else ascii_lower(text).split()  # splits bytes at 0x20 and 0x09-0x0D
 
 
 def batches_of(rows: Iterable, size: int):
