@@ -1,3 +1,83 @@
-STAGES = []
+"""The training-data pipeline: rules, exact dedup, near dedup, mixing, token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on all documents that the stage
+before kept; its result is written as Parquet and read again as the next one's
+`docs`.  All stages but the last return the columns of their input.  A stage's
+scratch tables in the shared folder are deleted when the next stage begins, as
+its own result has been written by then.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shelfmark.llm import exact_dedup, mixing, near_dedup, pieces, quality_rules
+from shelfmark.llm.common import documents, drop_folders, materialise, scratch_mark, scratch_since
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_FINISHED: list[str] = []
+
+
+def _stage(body: Stage) -> Stage:
+    @wraps(body)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_folders(spark, _FINISHED)
+        _FINISHED.clear()
+        mark = scratch_mark()
+        out = body(spark, docs, sf_dir)
+        _FINISHED.extend(scratch_since(mark))
+        return out
+    return run_stage
+
+
+@_stage
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules and their host's verdict keep."""
+    return quality_rules.keep_good(docs)
+
+
+@_stage
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of identical texts, the row with the largest doc_id."""
+    return exact_dedup.keep_distinct(docs)
+
+
+@_stage
+def keep_one_of_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates (five-word shingles, similarity 0.8), the smallest doc_id."""
+    return near_dedup.keep_one(docs, size=5, percent=80)
+
+
+@_stage
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's target takes them."""
+    return mixing.mixed_rows(docs)
+
+
+@_stage
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix."""
+    return pieces.piece_ids(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", keep_good),
+    ("exact_dedup", keep_distinct),
+    ("near_dedup", keep_one_of_near),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode),
+]
+
+#: Near-duplicate groups and token ids are beyond SQL; tests hold the rows against a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir): ...
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,7 +15,7 @@ from shelfmark.sources.tables import read_table
 #: Whitespace-separated words, as every contract of this package states them.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Folders written by `materialise`, oldest first, for `drop_scratch`.
+# Scratch folders in the order they were made.
 _SCRATCH: list[str] = []
 
 
@@ -58,16 +58,19 @@ def _delete(spark: SparkSession, folder: str) -> None:
 
 
 def scratch_mark() -> int:
-    """How many scratch folders exist by now."""
+    """How many scratch folders there have been."""
     return len(_SCRATCH)
 
 
-def drop_scratch(spark: SparkSession, upto: int) -> None:
-    """Delete the first `upto` scratch folders, whose readers have all been written out."""
-    for i in range(min(upto, len(_SCRATCH))):
-        if _SCRATCH[i]:
-            _delete(spark, _SCRATCH[i])
-            _SCRATCH[i] = ""
+def scratch_since(mark: int) -> list[str]:
+    """Scratch folders made since then."""
+    return _SCRATCH[mark:]
+
+
+def drop_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete scratch folders whose readers have all been written out."""
+    for folder in folders:
+        _delete(spark, folder)
 
 
 def fold(doc_id: Column) -> Column:
