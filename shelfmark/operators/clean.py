@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shelfmark import config
-from shelfmark.session import checkpoint_dir
 from shelfmark.functions.calendar import add_time_features
 from shelfmark.functions.exact import MONEY, cents, from_cents, ratio_round
+from shelfmark.sources.shared import write_shared
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
@@ -113,31 +113,21 @@ def add_computed_columns(txn: DataFrame) -> DataFrame:
     }).drop("_sc", "_bc", "_cc", "_rc"))
 
 
-def has_missing_prices(txn: DataFrame) -> bool:
-    """True when some row has a null selling_price (a pruned, narrow scan that
-    stops at the first hit)."""
-    return not txn.filter(F.col("selling_price").isNull()).select("product_id").isEmpty()
-
-
-def transform(txn: DataFrame, observation: Observation | None = None,
-              impute: bool | str = "auto") -> DataFrame:
-    """The fixed cleaning chain T1 -> T2 -> T3 -> T4 -> T5.
-
-    T2 only runs when a price is missing (checked on the input, before the
-    dedup shuffle).  When it runs, the deduplicated table is checkpointed to
-    the shared checkpoint folder first, so the imputation's branches read it
-    instead of repeating the dedup shuffle.
-    """
-    needs = impute is True or (impute == "auto" and has_missing_prices(txn))
-    d = deduplicate(txn)
-    if needs:
-        checkpoint_dir(txn.sparkSession)
-        d = fill_missing_prices(d.checkpoint(eager=True))
-    return (d.transform(lambda x: validate(x, observation))
+def after_dedup(distinct: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """T2 -> T5 over deduplicated rows, best a written table: T2 reads it in
+    several branches, and those on rows without a price prune by the files'
+    null counts."""
+    return (fill_missing_prices(distinct).transform(lambda x: validate(x, observation))
             .transform(add_computed_columns)
             .transform(add_time_features))
 
 
+def transform(txn: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """The fixed cleaning chain T1 -> T2 -> T3 -> T4 -> T5; the deduplicated
+    rows are written once to the shared folder."""
+    return after_dedup(write_shared(deduplicate(txn), "dedup"), observation)
+
+
 clean_transactions = transform
 
 
@@ -224,7 +214,9 @@ def recent_window(txn: DataFrame, days: int = config.RECENT_DAYS) -> DataFrame:
     """Rows on or after max(date) - days (inclusive: days + 1 calendar days).
 
     The max is an uncorrelated scalar subquery, evaluated once and inlined as
-    a literal, so the filter stays a narrow predicate on every partition.
+    a literal.  A table partitioned by year is also filtered on that column,
+    so that earlier years are not listed or read.
     """
-    max_date = txn.agg(F.max("date")).scalar()
-    return txn.filter(F.col("date") >= F.date_sub(max_date, days))
+    first = F.date_sub(txn.agg(F.max("date")).scalar(), days)
+    recent = txn.filter(F.col("date") >= first)
+    return recent.filter(F.col("year") >= F.year(first)) if "year" in txn.columns else recent

@@ -3,12 +3,13 @@
 A series is one category's monthly units; its length is bounded by the
 calendar (months), never by the number of transactions, so each series is
 packed into one sorted array.  The additive Holt-Winters model (period 12)
-is fitted per series by a grid over the three smoothing parameters (8 values
-each) with a fixed start state, keeping the lowest in-sample squared error
-(ties to the smallest parameters).  One row is one series, so the fit runs
-row-wise in ``mapInPandas`` (numpy over the 512 grid points) with no
-shuffle; no task ever holds more than a batch of short arrays.  Series
-shorter than two seasons use the 3-month moving average.
+is fitted per series: for given smoothing parameters the one-step errors are an
+affine function of the start state, so the start state is estimated by least
+squares, and the parameters come from a grid with two finer rounds around its
+winner (lowest squared error, ties to the smallest parameters).  One row is one
+series, so the fit runs in ``mapInPandas`` over the series (numpy over all
+parameter sets at once); no task holds more than a batch of short arrays.
+Series shorter than two seasons use the 3-month moving average.
 """
 
 from __future__ import annotations
@@ -105,36 +106,60 @@ _HW_SCHEMA = ("h int, month string, forecast bigint, confidence_lower bigint, "
               "confidence_upper bigint, alpha double, beta double, gamma double")
 
 
-def _hw_fit_series(values: np.ndarray, period: int, horizon: int):
-    """Grid fit of the additive recursion for one series, vectorised over the
-    parameter grid.  Start: level = mean of the first season, trend = (mean of
-    the second season - mean of the first) / period, seasonals = first season
-    - level.  Returns (alpha, beta, gamma), predictions and the population
-    std of the one-step errors of the winner (lowest SSE, then smallest
-    parameters)."""
-    a, b, g = (np.array(x) for x in zip(*itertools.product(GRID, GRID, GRID)))
-    y = values.astype(float)
-    m1 = y[:period].mean()
-    m2 = y[period:2 * period].mean()
-    level = np.full(a.shape, m1)
-    trend = np.full(a.shape, (m2 - m1) / period)
-    seas = np.tile(y[:period] - m1, (a.size, 1))
-    sse = np.zeros(a.size)
-    se = np.zeros(a.size)
-    for v in y:
-        s0 = seas[:, 0]
-        err = v - (level + trend + s0)
-        sse += err * err
-        se += err
-        new_level = a * (v - s0) + (1 - a) * (level + trend)
+def _hw_errors(y: np.ndarray, a: np.ndarray, b: np.ndarray, g: np.ndarray, period: int):
+    """The additive recursion for many parameter sets at once, as an affine
+    function of its start state (level, trend, seasonals): the one-step errors
+    (sets x steps x (state + 1)) and the states after the last step."""
+    k = period + 2
+    level, trend = np.zeros((2, a.size, k + 1))
+    level[:, 0] = trend[:, 1] = 1
+    seas = np.zeros((period, a.size, k + 1))
+    seas[np.arange(period), :, 2 + np.arange(period)] = 1
+    errors = np.zeros((a.size, y.size, k + 1))
+    a, b, g = a[:, None], b[:, None], g[:, None]
+    for t, v in enumerate(y):
+        seen = np.zeros(k + 1)
+        seen[-1] = v
+        s0, base = seas[t % period], level + trend
+        errors[:, t] = seen - base - s0
+        new_level = a * (seen - s0) + (1 - a) * base
         trend = b * (new_level - level) + (1 - b) * trend
         level = new_level
-        seas = np.concatenate([seas[:, 1:], (g * (v - level) + (1 - g) * s0)[:, None]], axis=1)
-    best = np.lexsort((g, b, a, sse))[0]
-    n = y.size
-    std = float(np.sqrt(max(0.0, sse[best] / n - (se[best] / n) ** 2)))
-    preds = [level[best] + h * trend[best] + seas[best, h - 1] for h in range(1, horizon + 1)]
-    return (float(a[best]), float(b[best]), float(g[best])), preds, std
+        seas[t % period] = g * (seen - level) + (1 - g) * s0
+    return errors, level, trend, seas
+
+
+def _hw_best(y: np.ndarray, sets: list[tuple[float, float, float]], period: int):
+    """The parameter set with the lowest squared error when the start state is
+    estimated by least squares, ties to the smallest parameters: (sse,
+    parameters, errors, level, trend, seasonals)."""
+    a, b, g = (np.array(x, float) for x in zip(*sets))
+    scale = max(1.0, float(np.abs(y).max()))
+    errors, level, trend, seas = _hw_errors(y / scale, a, b, g, period)
+    x, r = -errors[:, :, :-1], errors[:, :, -1]
+    xt = x.transpose(0, 2, 1)
+    # Level and seasonals can trade a constant; the pseudo-inverse takes the shortest solution.
+    start = (np.linalg.pinv(xt @ x, rcond=1e-10, hermitian=True) @ xt @ r[..., None])[..., 0]
+    e = r - (x @ start[..., None])[..., 0]
+    sse = np.round((e * e).sum(1), 14)
+    i = np.lexsort((g, b, a, sse))[0]
+    state = np.append(start[i], 1.0)
+    return (float(sse[i]), (float(a[i]), float(b[i]), float(g[i])), e[i] * scale, float(level[i] @ state) * scale,
+            float(trend[i] @ state) * scale, (seas[:, i] @ state) * scale)
+
+
+def _hw_fit_series(values: np.ndarray, period: int, horizon: int):
+    """Additive seasonal fit of one series: the best of the parameter grid, then
+    two rounds of a finer grid around the winner.  Returns the parameters, the
+    predictions and the population std of the one-step errors."""
+    y = values.astype(float)
+    best = _hw_best(y, list(itertools.product(GRID, GRID, GRID)), period)
+    for step in (0.05, 0.0125):
+        around = [sorted({min(1.0, max(0.0, p + k * step)) for k in (-2, -1, 0, 1, 2)}) for p in best[1]]
+        best = min(best, _hw_best(y, list(itertools.product(*around)), period), key=lambda f: f[0])
+    _, params, errors, level, trend, seas = best
+    preds = [level + h * trend + seas[(y.size + h - 1) % period] for h in range(1, horizon + 1)]
+    return params, preds, float(errors.std())
 
 
 def holt_winters(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
@@ -144,9 +169,9 @@ def holt_winters(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     population std of the one-step errors, lower clamped at 0 (round half
     to even).
 
-    One row is one series (its length is bounded by the calendar), so the fit
-    runs per row with ``mapInPandas`` and needs no shuffle; the 512-point
-    parameter grid is evaluated as numpy vectors."""
+    One row is one series (its length is bounded by the calendar).  A fit is
+    much work for few bytes, so the series are dealt out evenly over all tasks
+    first; sizes in bytes would pack them into one."""
     z = config.Z_95
     k = _key(series)
     schema = f"{k} {series.schema[k].dataType.simpleString()}, {_HW_SCHEMA}"
@@ -167,18 +192,26 @@ def holt_winters(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
                                              "alpha", "beta", "gamma"])
 
     eligible = series.filter(F.size("values") >= 2 * period)
-    return eligible.select(k, "months", "values").mapInPandas(fit, schema)
+    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return eligible.select(k, "months", "values").repartition(tasks).mapInPandas(fit, schema)
 
 
-def forecast_all(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
-                 period: int = config.SEASONAL_PERIOD) -> DataFrame:
-    """F8 + F9: the packed result per category: historical values and labels,
-    forecast, band, future labels and the method used."""
+def forecast_rows(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
+                  period: int = config.SEASONAL_PERIOD) -> DataFrame:
+    """Every series' forecast in long form with the method used: the seasonal
+    model, or the moving average for series shorter than two seasons."""
     hw = holt_winters(series, horizon, period).drop("alpha", "beta", "gamma") \
         .withColumn("method", F.lit("holt_winters"))
     short = series.filter(F.size("values") < 2 * period)
     ma = sma(short, horizon).withColumn("method", F.lit("simple_moving_average"))
-    fc = hw.unionByName(ma)
+    return hw.unionByName(ma)
+
+
+def forecast_all(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
+                 period: int = config.SEASONAL_PERIOD) -> DataFrame:
+    """F8 + F9: the packed result per category: historical values and labels,
+    forecast, band, future labels and the method used."""
+    fc = forecast_rows(series, horizon, period)
     k = _key(series)
     packed = fc.groupBy(k, "method").agg(
         F.sort_array(F.collect_list(F.struct("h", "forecast", "confidence_lower",
@@ -217,8 +250,7 @@ def backtest(series: DataFrame, method: str = "auto",
     elif method == "holt_winters":
         fc = holt_winters(train, horizon).drop("alpha", "beta", "gamma")
     else:
-        fc = holt_winters(train, horizon).drop("alpha", "beta", "gamma").unionByName(
-            sma(train.filter(F.size("values") < 2 * config.SEASONAL_PERIOD), horizon))
+        fc = forecast_rows(train, horizon).drop("method")
     actual = ho.select(k, F.posexplode("actual").alias("_i", "actual")) \
         .select(k, (F.col("_i") + 1).alias("h"), "actual")
     j = fc.join(actual, [k, "h"])

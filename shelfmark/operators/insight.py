@@ -128,21 +128,28 @@ WHATIF_COMPETITOR = (-30, 0, 50)
 WHATIF_INVENTORY = (-20, 0, 20)
 
 
-def whatif(recs: DataFrame, category_elasticity: DataFrame, products: DataFrame) -> DataFrame:
-    """Recompute every recommendation under every scenario of the grid.
+def whatif_scenarios() -> list[tuple[int, int, int]]:
+    """The default scenarios: all combinations of three shocks each."""
+    return [(d, c, i) for d in WHATIF_DEMAND for c in WHATIF_COMPETITOR for i in WHATIF_INVENTORY]
 
-    The grid is a small literal array exploded per row (narrow).  Discount
+
+def whatif(recs: DataFrame, category_elasticity: DataFrame, products: DataFrame,
+           scenarios: list[tuple[float, float, float]] | None = None) -> DataFrame:
+    """Recompute every recommendation under every scenario, given as
+    (demand, competitor, inventory) shocks in percent.
+
+    The scenarios are a small literal array exploded per row (narrow).  Discount
     shifts by 0.3 x competitor shock and 0.15 x inventory shock (points),
     clamped to 0..50; demand lift is linear: 1 + discount x |elasticity|
     (elasticity 1 when unknown); cost falls back to 0.6 x price."""
     grid = F.array(*[F.struct(F.lit(d).alias("demand_shock"), F.lit(c).alias("competitor_shock"),
                               F.lit(i).alias("inventory_shock"))
-                     for d in WHATIF_DEMAND for c in WHATIF_COMPETITOR for i in WHATIF_INVENTORY])
+                     for d, c, i in (whatif_scenarios() if scenarios is None else scenarios)])
     e = category_elasticity.select("category", F.col("elasticity").alias("_ce"))
     cost = products.select("product_id", F.col("cost").cast("double").alias("_pc"))
     r = (recs.join(e, "category", "left").join(cost, "product_id", "left")
          .select("product_id", "product_name", "category", "base_price", "optimal_discount_pct",
-                 base_units(recs).alias("_bu"),
+                 base_units(recs).alias("_bu"), F.col("optimal_discount_pct").alias("_od"),
                  F.coalesce(F.when(F.col("_ce") != 0, F.abs("_ce")), F.lit(1.0)).alias("_e"),
                  F.coalesce(F.col("_pc"), F.col("base_price") * 0.6).alias("_cost"),
                  F.explode(grid).alias("s")))
@@ -157,6 +164,7 @@ def whatif(recs: DataFrame, category_elasticity: DataFrame, products: DataFrame)
         "s.demand_shock", "s.competitor_shock", "s.inventory_shock",
         "product_id", "product_name", "category", "base_price",
         F.col("_bu").alias("base_units"), F.col("_cost").alias("cost"),
+        F.col("_od").alias("base_discount_pct"),
         (F.floor(F.col("_adj") * 10 + 0.5) / 10).alias("adj_discount_pct"),
         price.alias("adj_price"), units.cast("bigint").alias("adj_units"),
         (price * units).alias("adj_revenue"), ((price - F.col("_cost")) * units).alias("adj_profit"),
@@ -172,7 +180,7 @@ def whatif_totals(wi: DataFrame) -> DataFrame:
         F.sum("adj_units").alias("units"), F.avg("adj_discount_pct").alias("_disc"),
         F.sum(F.col("base_price") * F.col("base_units")).alias("_brev"),
         F.sum((F.col("base_price") - F.col("cost")) * F.col("base_units")).alias("_bprof"),
-        F.sum("base_units").alias("_bunits"))
+        F.sum("base_units").alias("_bunits"), F.avg("base_discount_pct").alias("_bdisc"))
 
     def trend(cur, base, name):
         b = F.when(base != 0, base).otherwise(F.lit(1.0))
@@ -185,7 +193,8 @@ def whatif_totals(wi: DataFrame) -> DataFrame:
                     r2d(F.col("_disc"), 2).alias("avg_discount_pct"),
                     *trend(F.col("revenue"), F.col("_brev"), "revenue"),
                     *trend(F.col("profit"), F.col("_bprof"), "profit"),
-                    *trend(F.col("units").cast("double"), F.col("_bunits").cast("double"), "units"))
+                    *trend(F.col("units").cast("double"), F.col("_bunits").cast("double"), "units"),
+                    *trend(F.col("_disc"), F.col("_bdisc"), "discount"))
 
 
 def margin_levels(product_kpis: DataFrame) -> DataFrame:
@@ -224,10 +233,12 @@ def money_text(n: Column, compact: bool = False) -> Column:
     sym = F.lit(config.CURRENCY_SYMBOL)
     digits = F.round(F.abs(n), 0).cast("decimal(38,0)").cast("string")
     sign = F.when(F.round(n, 0) < 0, F.lit("-")).otherwise(F.lit(""))
-    head = digits.substr(F.lit(1), F.length(digits) - 3)
     tail = digits.substr(F.length(digits) - 2, F.lit(3))
+    # The digits before the last three in pairs; an odd one stands alone in front.
+    head = F.lpad(digits.substr(F.lit(1), F.length(digits) - 3), 36, " ")
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(17)), lambda k: F.trim(F.substring(head, 2 * k + 1, F.lit(2))))
     body = F.when(F.length(digits) > 3, F.concat(
-        F.regexp_replace(head, r"\B(?=(\d{2})+(?!\d))", ","), F.lit(","), tail)).otherwise(digits)
+        F.array_join(F.array_remove(pairs, ""), ","), F.lit(","), tail)).otherwise(digits)
     full = F.concat(sym, sign, body)
     if not compact:
         return F.when(n.isNull() | F.isnan(n), F.lit("—")).otherwise(full)
@@ -238,8 +249,9 @@ def money_text(n: Column, compact: bool = False) -> Column:
             .otherwise(full))
 
 
-def pct_rank(df: DataFrame, col: str, out: str = "pct_rank") -> DataFrame:
-    """Average-tie percentile rank of ``col`` (rank / N), distributed."""
-    r = with_average_rank2(df, {col: "_r2"})
+def pct_rank(df: DataFrame, col: str, out: str = "pct_rank", key: str | None = None) -> DataFrame:
+    """Average-tie percentile rank of ``col`` (rank / N), distributed;
+    ``key`` (default: the first column) is unique."""
+    r = with_average_rank2(df, key or df.columns[0], {col: "_r2"})
     n = non_null_count(df, col)
     return r.withColumn(out, F.col("_r2") / (n * 2.0)).drop("_r2")

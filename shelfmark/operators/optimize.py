@@ -1,9 +1,8 @@
 """Per-product discount optimisation and recommendations.
 
 Each product row is expanded into its candidate discounts; objectives are
-plain column expressions (whole-stage codegen) and the argmax is a
-``max_by`` over (objective, -candidate) completed map-side, because every
-candidate of a product stays in its product's partition.  The coarse grid is 0..50 % in 1 % steps; the
+plain column expressions (whole-stage codegen) and the argmax is the maximum
+of one packed integer per candidate, a hash aggregate.  The coarse grid is 0..50 % in 1 % steps; the
 refinement searches +-2 % around the coarse winner in 0.01 % steps (the
 4-decimal grid the result is rounded to).  Ties go to the smallest discount.
 """
@@ -17,7 +16,7 @@ from shelfmark import config
 from shelfmark.functions.exact import div_half_up, round_half_up_double as r2d
 from shelfmark.functions.labels import recommendation_label
 from shelfmark.functions.ranking import non_null_count, with_average_rank2
-from shelfmark.session import checkpoint_dir
+from shelfmark.sources.shared import write_shared
 from shelfmark.operators.markdown import recent_quantity, resolve_elasticity, stock_per_product
 
 
@@ -71,29 +70,39 @@ def objective(m: dict[str, Column], min_clearance: float = config.OPT_MIN_CLEARA
         .otherwise(p)
 
 
+_SLOTS = 1 << 16  # candidates are basis points, below this
+
+
 def _argmax_bp(inp: DataFrame, cands: Column, row: dict[str, Column], out: str) -> DataFrame:
     """Add ``out``: the candidate (basis points) with the highest objective,
     smallest on ties.
 
-    Candidates are exploded next to their product row and scored with
-    codegen'd expressions; every candidate of a product sits in the same
-    partition, so the max_by aggregate is completed map-side and only one row
-    per product crosses the shuffle."""
-    cols = inp.columns
-    scored = inp.select("*", F.explode(cands).alias("_k"))
+    The objective has three decimals, so objective and candidate fit one
+    integer (objective in thousandths, then the candidate counted down), and
+    the best candidate is a plain ``max``: a hash aggregate on the product,
+    reduced map-side to one row per product.  Its 64 bits hold objectives up
+    to 1.4e11 in size; beyond that the cast fails (ANSI mode) rather than
+    wrapping."""
+    scored = inp.select("product_id", *row.values(), F.explode(cands).alias("_k"))
     obj = objective(metrics(F.col("_k") / F.lit(10000.0), **row))
-    return (scored.groupBy(*cols)
-            .agg(F.max_by("_k", F.struct(obj, -F.col("_k"))).alias(out)))
+    packed = F.floor(obj * 1000 + F.lit(0.5)).cast("bigint") * _SLOTS + (_SLOTS - 1 - F.col("_k"))
+    best = scored.select("product_id", packed.alias("_m")).groupBy("product_id").agg(F.max("_m").alias("_m"))
+    found = best.select("product_id", (_SLOTS - 1 - F.pmod("_m", F.lit(_SLOTS))).cast("bigint").alias(out))
+    return inp.join(found, "product_id")
 
 
 def search(inp: DataFrame) -> DataFrame:
     """O3 + O4: the coarse-grid winner ``_coarse`` and the refined optimum
-    ``_opt`` (both in basis points) per product."""
+    ``_opt`` (both in basis points) per product.
+
+    The input (one row per product) is written once: both stages score it and
+    join their winners back by product."""
+    inp = write_shared(inp, "optimiser")
     row = {"base": F.col("base_price"), "cost": F.col("cost"), "e": F.col("elasticity"),
            "demand": F.col("demand"), "stock": F.col("stock")}
     lo, hi = int(config.OPT_DISCOUNT_MIN * 10000), int(config.OPT_DISCOUNT_MAX * 10000)
     coarse = F.sequence(F.lit(lo), F.lit(hi), F.lit(100)).cast("array<bigint>")
-    s = _argmax_bp(inp, coarse, row, "_coarse")
+    s = write_shared(_argmax_bp(inp, coarse, row, "_coarse"), "coarse")
     fine = F.sequence(F.greatest(F.lit(lo).cast("bigint"), F.col("_coarse") - 200),
                       F.least(F.lit(hi).cast("bigint"), F.col("_coarse") + 200))
     return _argmax_bp(s, fine, row, "_opt")
@@ -132,10 +141,9 @@ def recommend(opt: DataFrame) -> DataFrame:
     priority = 0.4 pr(uplift) + 0.3 pr(profit) + 0.3 pr(clearance) with pr the
     average-tie percentile rank; computed exactly from integer ranks,
     (4 A + 3 B + 3 C) / (20 N), and rounded half up to 3 decimals."""
-    checkpoint_dir(opt.sparkSession)
-    opt = opt.checkpoint(eager=True)  # one row per product, read by the ranks and the join
-    r = with_average_rank2(opt, {"profit_uplift": "_ra", "expected_profit": "_rb",
-                                 "inventory_clearance_pct": "_rc"})
+    opt = write_shared(opt, "discounts")  # one row per product, read by the ranks and the join
+    r = with_average_rank2(opt, "product_id", {"profit_uplift": "_ra", "expected_profit": "_rb",
+                                               "inventory_clearance_pct": "_rc"})
     n = non_null_count(opt, "product_id")
     num = F.col("_ra") * 4 + F.col("_rb") * 3 + F.col("_rc") * 3
     score = div_half_up(num * 1000, n * 20).cast("double") / F.lit(1000.0)

@@ -14,6 +14,7 @@ from shelfmark.operators import clean, kpi
 from shelfmark.registry import register
 from shelfmark.sources.faults import FAULTS_SQL, with_faults
 from shelfmark.sources.model import load_model
+from shelfmark.sources.shared import write_shared
 
 
 def money_as_double(df: DataFrame) -> DataFrame:
@@ -43,6 +44,10 @@ def _faulty(spark, d):
     return with_faults(load_model(spark, d).transactions)
 
 
+def _distinct_faulty(spark, d):
+    return write_shared(clean.deduplicate(_faulty(spark, d)), "dedup")
+
+
 @register("t1_dedup", _sql(f"SELECT {_TXN_COLS_SQL} FROM dedup", FAULTY_CLEAN))
 def t1_dedup(spark: SparkSession, d: str) -> DataFrame:
     return money_as_double(clean.deduplicate(_faulty(spark, d)))
@@ -50,13 +55,13 @@ def t1_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @register("t2_impute_median", _sql(f"SELECT {_TXN_COLS_SQL} FROM imputed", FAULTY_CLEAN))
 def t2_impute_median(spark: SparkSession, d: str) -> DataFrame:
-    return money_as_double(clean.fill_missing_prices(clean.deduplicate(_faulty(spark, d))))
+    return money_as_double(clean.fill_missing_prices(_distinct_faulty(spark, d)))
 
 
 @register("t3_validate", _sql(f"SELECT {_TXN_COLS_SQL} FROM valid", FAULTY_CLEAN))
 def t3_validate(spark: SparkSession, d: str) -> DataFrame:
     return money_as_double(clean.validate(
-        clean.fill_missing_prices(clean.deduplicate(_faulty(spark, d)))))
+        clean.fill_missing_prices(_distinct_faulty(spark, d))))
 
 
 @register("t4_computed", _sql("""
@@ -306,7 +311,7 @@ prodres AS (
 
 def _elastic(spark, d):
     m = load_model(spark, d)
-    return m.clean_shared, m.products
+    return m.clean_transactions, m.products
 
 
 @register("e1_category", _sql("SELECT * FROM catfit", CLEAN, _LOG_PAIRS, _CAT_FIT))
@@ -401,7 +406,7 @@ def _mo(spark, d):
     because the resolution reads each of them several times."""
     from pyspark import StorageLevel
     m = load_model(spark, d)
-    res = elasticity.run(m.clean_shared, m.products)
+    res = elasticity.run(m.clean_transactions, m.products)
     for k in ("product_elasticity", "category_elasticity"):
         res[k] = res[k].persist(StorageLevel.MEMORY_AND_DISK)
     return m, res
@@ -410,7 +415,7 @@ def _mo(spark, d):
 @register("m1_scenarios", _sql(_M1_BODY, *_RESOLVED_CTES, _MO_INPUTS, _M1_CTES))
 def m1_scenarios(spark: SparkSession, d: str) -> DataFrame:
     m, res = _mo(spark, d)
-    return markdown.simulate(m.products, m.inventory, m.clean_shared,
+    return markdown.simulate(m.products, m.inventory, m.clean_transactions,
                              res["product_elasticity"], res["category_elasticity"])
 
 
@@ -444,14 +449,14 @@ _O_CTES = f"""oin AS (
          COALESCE(CAST(k.ss * {config.STOCK_PRESSURE_FACTOR} AS DOUBLE), 1.0) AS st, e.elasticity AS el
   FROM products p LEFT JOIN recent r ON p.product_id = r.product_id
   LEFT JOIN stk k ON p.product_id = k.product_id LEFT JOIN elas e ON p.product_id = e.product_id),
-cg AS (SELECT o.product_id, g.k, {_objective_sql('g.k / CAST(10000 AS DOUBLE)')} AS obj
+cg AS (SELECT o.product_id, g.k, FLOOR({_objective_sql('g.k / CAST(10000 AS DOUBLE)')} * 1000 + 0.5) AS obj
        FROM oin o, generate_series(0, 5000, 100) g(k)),
 cbest AS (SELECT product_id, k AS ck FROM (
             SELECT product_id, k, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY obj DESC, k ASC) AS rn
             FROM cg) WHERE rn = 1),
 fg0 AS (SELECT o.*, UNNEST(generate_series(GREATEST(0, c.ck - 200), LEAST(5000, c.ck + 200))) AS k
         FROM oin o JOIN cbest c ON o.product_id = c.product_id),
-fg AS (SELECT product_id, k, {_objective_sql('k / CAST(10000 AS DOUBLE)')} AS obj FROM fg0),
+fg AS (SELECT product_id, k, FLOOR({_objective_sql('k / CAST(10000 AS DOUBLE)')} * 1000 + 0.5) AS obj FROM fg0),
 fbest AS (SELECT product_id, k AS ok FROM (
             SELECT product_id, k, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY obj DESC, k ASC) AS rn
             FROM fg) WHERE rn = 1),
@@ -494,7 +499,7 @@ _OPT_ALL = (*_RESOLVED_CTES, _MO_INPUTS, _O_CTES)
 
 def _opt_df(spark, d):
     m, res = _mo(spark, d)
-    inp = optimize.inputs(m.products, m.inventory, m.clean_shared,
+    inp = optimize.inputs(m.products, m.inventory, m.clean_transactions,
                           res["product_elasticity"], res["category_elasticity"])
     return optimize.optimise(inp)
 
@@ -669,9 +674,8 @@ def d05_category_perf(spark: SparkSession, d: str) -> DataFrame:
 @register("d06_series")
 def d06_series(spark: SparkSession, d: str) -> DataFrame:
     m = load_model(spark, d)
-    spine = forecast.month_spine(forecast.monthly_demand(m.clean_shared, m.products))
-    fc = forecast.holt_winters(forecast.pack_series(spine)).drop("alpha", "beta", "gamma")
-    return insight.history_and_forecast(spine, fc)
+    spine = forecast.month_spine(forecast.monthly_demand(m.clean_transactions, m.products))
+    return insight.history_and_forecast(spine, forecast.forecast_rows(forecast.pack_series(spine)))
 
 
 def _cat_resolved(spark, d):
@@ -748,7 +752,7 @@ _WI_GRID = ", ".join(f"({a}, {b}, {c})" for a in insight.WHATIF_DEMAND
                      for b in insight.WHATIF_COMPETITOR for c in insight.WHATIF_INVENTORY)
 _WHATIF = f"""wi0 AS (
   SELECT g.demand_shock, g.competitor_shock, g.inventory_shock, r.product_id, r.product_name,
-         r.category, r.base_price, {_BU} AS base_units,
+         r.category, r.base_price, {_BU} AS base_units, r.optimal_discount_pct AS base_discount_pct,
          COALESCE(CAST(p.cost AS DOUBLE), r.base_price * 0.6) AS cost,
          COALESCE(CASE WHEN c.elasticity <> 0 THEN ABS(c.elasticity) END, 1.0) AS e,
          GREATEST(0.0, LEAST(50.0, r.optimal_discount_pct + g.competitor_shock * 0.3
@@ -758,7 +762,7 @@ _WHATIF = f"""wi0 AS (
   (VALUES {_WI_GRID}) g(demand_shock, competitor_shock, inventory_shock)),
 wi AS (
   SELECT demand_shock, competitor_shock, inventory_shock, product_id, product_name, category,
-         base_price, base_units, cost, FLOOR(adj * 10 + 0.5) / 10 AS adj_discount_pct,
+         base_price, base_units, cost, base_discount_pct, FLOOR(adj * 10 + 0.5) / 10 AS adj_discount_pct,
          FLOOR(base_price * (1.0 - adj / 100) + 0.5) AS adj_price,
          CAST(FLOOR(base_units * (1.0 + demand_shock / CAST(100 AS DOUBLE)) * (1.0 + adj / 100 * e) + 0.5)
               AS BIGINT) AS adj_units,
@@ -774,7 +778,7 @@ wi AS (
 
 def _whatif_df(spark, d):
     m, res = _mo(spark, d)
-    inp = optimize.inputs(m.products, m.inventory, m.clean_shared,
+    inp = optimize.inputs(m.products, m.inventory, m.clean_transactions,
                           res["product_elasticity"], res["category_elasticity"])
     recs = optimize.recommend(optimize.optimise(inp))
     return insight.whatif(recs, res["category_elasticity"], m.products)
@@ -796,10 +800,10 @@ def _wt(cur: str, base: str, name: str) -> str:
 SELECT demand_shock, competitor_shock, inventory_shock, {r2s('revenue', 2)} AS revenue,
        {r2s('profit', 2)} AS profit, units, {r2s('disc', 2)} AS avg_discount_pct,
        {_wt('revenue', 'brev', 'revenue')}, {_wt('profit', 'bprof', 'profit')},
-       {_wt('CAST(units AS DOUBLE)', 'CAST(bunits AS DOUBLE)', 'units')}
+       {_wt('CAST(units AS DOUBLE)', 'CAST(bunits AS DOUBLE)', 'units')}, {_wt('disc', 'bdisc', 'discount')}
 FROM (SELECT demand_shock, competitor_shock, inventory_shock, SUM(adj_revenue) AS revenue,
              SUM(adj_profit) AS profit, CAST(SUM(adj_units) AS BIGINT) AS units,
-             AVG(adj_discount_pct) AS disc, SUM(base_price * base_units) AS brev,
+             AVG(adj_discount_pct) AS disc, AVG(base_discount_pct) AS bdisc, SUM(base_price * base_units) AS brev,
              SUM((base_price - cost) * base_units) AS bprof, SUM(base_units) AS bunits
       FROM wi GROUP BY 1, 2, 3)""", *_OPT_ALL, _O8_CTES, _WHATIF))
 def d12_whatif_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -959,13 +963,13 @@ SELECT strftime(date, '%Y-%m') AS date, CAST(ROUND(SUM(revenue), 2) AS DOUBLE) A
        COUNT(transaction_id) AS orders
 FROM clean GROUP BY 1""", CLEAN))
 def x1_stream_monthly(spark: SparkSession, d: str) -> DataFrame:
-    return stream_monthly.run_available(spark, d)
+    return stream_monthly.query(spark, d)
 
 
 # ------------------------------------------------ search stages and the band
 def _search_df(spark, d):
     m, res = _mo(spark, d)
-    inp = optimize.inputs(m.products, m.inventory, m.clean_shared,
+    inp = optimize.inputs(m.products, m.inventory, m.clean_transactions,
                           res["product_elasticity"], res["category_elasticity"])
     return optimize.search(inp)
 

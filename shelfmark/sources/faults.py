@@ -15,19 +15,20 @@ from shelfmark.functions.exact import PRICE
 
 
 def with_faults(txn: DataFrame) -> DataFrame:
+    """Every row plus its faulty copies, from one pass over the rows."""
     tid = F.col("transaction_id")
-    dups = txn.filter(tid % 50 == 0)
-    null_price = (txn.filter(tid % 53 == 1)
-                  .withColumn("transaction_id", -tid)
-                  .withColumn("selling_price", F.lit(None).cast(PRICE)))
-    neg_qty = (txn.filter(tid % 70 == 2)
-               .withColumn("transaction_id", -tid - 1)
-               .withColumn("quantity", -F.col("quantity")))
-    zero_price = (txn.filter(tid % 90 == 3)
-                  .withColumn("transaction_id", -tid - 2)
-                  .withColumn("selling_price", F.lit(0).cast(PRICE)))
-    return (txn.unionByName(dups).unionByName(null_price)
-            .unionByName(neg_qty).unionByName(zero_price))
+    kinds = F.filter(F.array(F.lit("row"), F.when(tid % 50 == 0, "copy"), F.when(tid % 53 == 1, "no price"),
+                             F.when(tid % 70 == 2, "negative"), F.when(tid % 90 == 3, "zero price")),
+                     lambda k: k.isNotNull())
+    kind = F.col("_kind")
+    made = txn.withColumn("_kind", F.explode(kinds))
+    return made.withColumns({
+        "transaction_id": F.when(kind == "no price", -tid).when(kind == "negative", -tid - 1)
+                           .when(kind == "zero price", -tid - 2).otherwise(tid),
+        "selling_price": F.when(kind == "no price", F.lit(None).cast(PRICE))
+                          .when(kind == "zero price", F.lit(0).cast(PRICE)).otherwise(F.col("selling_price")),
+        "quantity": F.when(kind == "negative", -F.col("quantity")).otherwise(F.col("quantity")),
+    }).drop("_kind")
 
 
 FAULTS_SQL = """

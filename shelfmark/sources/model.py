@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from shelfmark import config
 from shelfmark.functions.exact import MONEY, cents, div_half_up, from_cents
-from shelfmark.sources.tables import read_table
+from shelfmark.sources.shared import drop_shared, keep, write_shared
+from shelfmark.sources.tables import read_table, table_path
 
 TRANSACTION_COLUMNS = (
     "transaction_id", "date", "product_id", "store_id", "quantity", "selling_price",
@@ -71,31 +72,41 @@ def stores_from_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFr
                     (F.col("s_suppkey") % 2 + 1).cast("int").alias("tier")))
 
 
+def sale_lines(lineitem: DataFrame) -> DataFrame:
+    """The independent columns of a sale; price, cost and profit columns follow
+    from these and the part, so two sales are equal where these are equal."""
+    qty = F.col("l_quantity").cast("bigint")
+    return lineitem.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
+        F.to_date("l_shipdate").alias("date"),
+        F.col("l_partkey").alias("product_id"),
+        F.col("l_suppkey").alias("store_id"),
+        qty.alias("quantity"),
+        F.when(qty > 0, div_half_up(cents(F.col("l_extendedprice")), qty)).alias("base_c"),
+        F.col("l_discount").alias("discount_pct"),
+    )
+
+
 def transactions_from_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """One sale per line item.
+    """One sale per line item (see ``sales``)."""
+    return sales(sale_lines(lineitem), part)
+
+
+def sales(lines: DataFrame, part: DataFrame) -> DataFrame:
+    """Sales with all derived columns from ``sale_lines``.
 
     Joins part once for cost and competitor price; AQE broadcasts part when
     its runtime size is under the threshold and sort-merges otherwise.  Prices
     are derived in integer cents in small staged projections (long arithmetic
     inside whole-stage codegen) and become DECIMAL once at the end.
     """
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                         "l_quantity", "l_extendedprice", "l_discount", "l_shipdate")
     list_c = cents(F.col("p_retailprice"))
     p = part.select(F.col("p_partkey"), list_c.alias("list_c"),
                     _cost_cents(list_c, F.col("p_partkey")).alias("cost_c"))
-    qty = F.col("l_quantity").cast("bigint")
-    stage1 = li.join(p, li.l_partkey == p.p_partkey, "left").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"),
-        F.to_date("l_shipdate").alias("date"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("store_id"),
-        qty.alias("quantity"),
-        F.when(qty > 0, div_half_up(cents(F.col("l_extendedprice")), qty)).alias("base_c"),
-        cents(F.col("l_discount")).alias("disc_pp"),
-        "list_c", "cost_c",
-        (F.col("l_discount") > 0).cast("int").alias("is_promotion"),
-        F.col("l_discount").alias("discount_pct"),
+    stage1 = lines.join(p, lines.product_id == p.p_partkey, "left").select(
+        *lines.columns, "list_c", "cost_c",
+        cents(F.col("discount_pct")).alias("disc_pp"),
+        (F.col("discount_pct") > 0).cast("int").alias("is_promotion"),
     )
     sell_c = div_half_up(F.col("base_c") * (F.lit(100) - F.col("disc_pp")), F.lit(100))
     comp_c = div_half_up(F.col("list_c") * (F.lit(85) + F.lit(3) * (F.col("store_id") % 11)),
@@ -156,14 +167,14 @@ class RetailModel:
             self._cache[key] = build()
         return self._cache[key]
 
-    def _read(self, name, cols, spread=False):
-        return read_table(self.spark, self.sf_dir, name, cols, spread=spread)
+    def _read(self, name, cols):
+        return read_table(self.spark, self.sf_dir, name, cols)
 
     @property
     def lineitem(self) -> DataFrame:
         return self._read("lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                        "l_quantity", "l_extendedprice", "l_discount",
-                                       "l_shipdate"], spread=True)
+                                       "l_shipdate"])
 
     @property
     def part(self) -> DataFrame:
@@ -194,17 +205,21 @@ class RetailModel:
 
     @property
     def clean_transactions(self) -> DataFrame:
-        from shelfmark.operators.clean import clean_transactions
-        return self._get("clean", lambda: clean_transactions(self.transactions))
-
-    @property
-    def clean_shared(self) -> DataFrame:
-        """The cleaned fact table cached (memory, spilling to disk) for plans
-        that read it several times (fits, demand windows, ...).  A lost
-        executor's blocks are recomputed from lineage."""
-        from pyspark import StorageLevel
-        return self._get("clean_shared",
-                         lambda: self.clean_transactions.persist(StorageLevel.MEMORY_AND_DISK))
+        """The cleaned fact table, written once per application to the shared
+        folder (by year, so that date windows prune) and read by every query;
+        it is rebuilt from all rows when an input file changes."""
+        from shelfmark.operators import clean
+
+        def build() -> DataFrame:
+            # Duplicates are found on the seven independent columns, before the
+            # part join widens the rows.
+            distinct = write_shared(sales(clean.deduplicate(sale_lines(self.lineitem)), self.part), "dedup")
+            table = write_shared(clean.after_dedup(distinct), "clean", ["year"])
+            drop_shared(distinct)
+            return table
+
+        paths = [table_path(self.sf_dir, t) for t in ("lineitem", "part")]
+        return self._get("clean", lambda: keep(self.spark, f"clean {self.sf_dir}", paths, build))
 
 
 def load_model(spark: SparkSession, sf_dir: str) -> RetailModel:

@@ -1,12 +1,23 @@
 """Incremental monthly trends (K12) with Structured Streaming.
 
-New line-item files arrive in a directory; each micro-batch is joined to the
-static part table (stream-static join), cleaned row by row (validation and
-computed columns are stateless), and folded into a per-month aggregate whose
-state is one row per month.  Exact duplicates are dropped within the event-
-time watermark.  Each trigger rewrites the full (small) result table with
-``foreachBatch``; the query's checkpoint lives in the shared checkpoint
-folder, so a restarted driver resumes where it stopped.
+New line-item files arrive in a folder.  Every micro-batch is a bounded
+DataFrame and handled in ``foreachBatch``:
+
+1. its rows are reduced to the independent columns of a sale and made distinct;
+2. rows that earlier batches brought already are dropped by comparing whole
+   rows with the stored ones of the same months (``EXCEPT``; no event-time
+   watermark, so late and old rows count like any others);
+3. the new rows are stored by month under the batch's number, cleaned (the
+   checks and computed columns look at one row only), and summed per month;
+   these sums are stored under the batch's number as well.
+
+Both writes replace what an earlier attempt of the same batch left, so a
+restarted driver repeats a batch without counting it twice.  The answer is the
+sum of the batches' sums: months x batches rows, whatever the history's length.
+
+All state lies in one folder of the shared checkpoint location, together with
+the list of input files it stands for.  If one of these files was rewritten or
+removed, the state no longer describes the input and a new one is started.
 """
 
 from __future__ import annotations
@@ -15,64 +26,107 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark.functions.calendar import add_time_features, month_label
 from shelfmark.operators import clean
 from shelfmark.session import checkpoint_dir
-from shelfmark.sources.model import transactions_from_lines
+from shelfmark.sources.model import sale_lines, sales
+from shelfmark.sources.shared import fingerprint
 from shelfmark.sources.tables import read_table, table_path
 
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                 "l_extendedprice", "l_discount", "l_shipdate"]
+PART_COLUMNS = ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice"]
+
 
+def line_stream(spark: SparkSession, lines_path: str, max_files_per_trigger: int) -> DataFrame:
+    """A streaming frame over the parquet files of a folder, or over one file."""
+    schema = spark.read.parquet(lines_path).select(*LINE_COLUMNS).schema
+    path = spark._jvm.org.apache.hadoop.fs.Path(lines_path)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isFile():
+        # The source watches folders and patterns: a pattern that only this name fits.
+        lines_path = f"{lines_path[:-1]}[{lines_path[-1]}]"
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(lines_path))
 
-def stream_transactions(spark: SparkSession, lines_dir: str, part: DataFrame,
-                        max_files_per_trigger: int = 1000) -> DataFrame:
-    """A streaming transactions DataFrame over parquet line-item files."""
-    schema = spark.read.parquet(lines_dir).select(*LINE_COLUMNS).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-    if lines_dir.endswith(".parquet"):
-        # A single file: watch it through a glob rooted at its folder.
-        folder, name = lines_dir.rsplit("/", 1)
-        reader = reader.option("basePath", folder)
-        lines_dir = f"{folder}/{name.replace('.parquet', '')}*.parquet"
-    return transactions_from_lines(reader.parquet(lines_dir), part)
-
-
-def monthly_trends_stream(txn: DataFrame, watermark: str = "7 days") -> DataFrame:
-    """Streaming K12: dedup within the watermark, stateless cleaning, then
-    revenue / profit / quantity / orders per YYYY-MM.
-
-    The dedup state holds the rows of one watermark span (late data), the
-    aggregate state one row per month, so state stays bounded; on a cluster
-    use the RocksDB state store provider for the dedup state."""
-    ts = F.col("date").cast("timestamp")
-    t = (txn.withColumn("_ts", ts).withWatermark("_ts", watermark)
-         .dropDuplicatesWithinWatermark()
-         .transform(clean.validate).transform(clean.add_computed_columns)
-         .transform(add_time_features))
+
+def monthly_sums(txn: DataFrame) -> DataFrame:
+    """Mergeable monthly sums of distinct sales (T2 needs no history here: a
+    sale without a price fails the checks)."""
+    t = txn.transform(clean.validate).transform(clean.add_computed_columns).transform(add_time_features)
     return (t.groupBy(month_label(F.col("date")).alias("date"))
-            .agg(F.sum("revenue").alias("_rev"), F.sum("profit").alias("_profit"),
+            .agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
                  F.sum("quantity").alias("quantity"), F.count("transaction_id").alias("orders")))
 
 
-def run_available(spark: SparkSession, sf_dir: str, out_path: str | None = None) -> DataFrame:
-    """Process every available file once (availableNow) and return the result
-    table read back from where the batches wrote it."""
-    base = checkpoint_dir(spark).rstrip("/")
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]   # one query state per input folder
-    out_path = out_path or f"{base}/stream_monthly_out_{tag}"
-    part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size",
-                                              "p_retailprice"])
-    agg = monthly_trends_stream(stream_transactions(spark, table_path(sf_dir, "lineitem"), part))
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        (batch.select("date", F.round("_rev", 2).cast("double").alias("revenue"),
-                      F.round("_profit", 2).cast("double").alias("profit"), "quantity", "orders")
-         .write.mode("overwrite").parquet(out_path))
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", f"{base}/stream_monthly_ckpt_{tag}")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out_path)
+def merged(spark: SparkSession, state: str) -> DataFrame:
+    """K12 from the stored sums of all batches."""
+    return (spark.read.parquet(f"{state}/sums/batch=*").groupBy("date")
+            .agg(F.round(F.sum("revenue"), 2).cast("double").alias("revenue"),
+                 F.round(F.sum("profit"), 2).cast("double").alias("profit"),
+                 F.sum("quantity").cast("bigint").alias("quantity"), F.sum("orders").cast("bigint").alias("orders")))
+
+
+def _files(spark: SparkSession, lines_path: str) -> set[str]:
+    return set(filter(None, fingerprint(spark, lines_path).split("\n")))
+
+
+def _state(spark: SparkSession, lines_path: str) -> str:
+    """Folder of the state that fits the input: the latest one, or a new one
+    where a file it was made from has changed."""
+    tag = hashlib.sha256(lines_path.encode()).hexdigest()[:12]
+    root = f"{checkpoint_dir(spark).rstrip('/')}/stream-monthly-{tag}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = [int(s.getPath().getName()) for s in fs.listStatus(path)] if fs.exists(path) else []
+    if held:
+        latest = f"{root}/{max(held)}"
+        if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{latest}/files")):
+            return latest  # an unfinished first run goes on
+        seen = {r.value for r in spark.read.text(f"{latest}/files").collect()}  # file names and times only
+        if seen <= _files(spark, lines_path):
+            return latest
+    return f"{root}/{max(held, default=0) + 1}"
+
+
+def run_available(spark: SparkSession, lines_path: str, part: DataFrame,
+                  max_files_per_trigger: int = 1000) -> DataFrame:
+    """Process every file that is new since the last call and return the
+    monthly trends over all files so far."""
+    state = _state(spark, lines_path)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        new = sale_lines(batch).withColumn("month", F.trunc("date", "month")).distinct()
+        months = [r.month for r in new.select("month").distinct().collect()]  # bounded by the calendar
+        store = f"{state}/rows"
+        earlier = None
+        if number:
+            shape = T.StructType([*new.schema.fields, T.StructField("batch", T.IntegerType())])
+            earlier = (spark.read.schema(shape).option("basePath", store)
+                       .parquet(*[f"{store}/batch={i}" for i in range(number)])
+                       .filter(F.col("month").isin([m for m in months if m is not None])
+                               | F.col("month").isNull()).select(*new.columns))
+        fresh = new.subtract(earlier) if earlier is not None else new
+        fresh.write.mode("overwrite").partitionBy("month").parquet(f"{store}/batch={number}")
+        rows = spark.read.schema(new.schema).option("basePath", f"{store}/batch={number}").parquet(f"{store}/batch={number}")
+        monthly_sums(sales(rows.drop("month"), part)).write.mode("overwrite").parquet(f"{state}/sums/batch={number}")
+
+    files = _files(spark, lines_path)
+    query = (line_stream(spark, lines_path, max_files_per_trigger).writeStream.foreachBatch(handle)
+             .option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    spark.createDataFrame([(x,) for x in sorted(files)], "value string").write.mode("overwrite").text(f"{state}/files")
+    return merged(spark, state)
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K12 over the line items arriving in eight files, two per micro-batch, in
+    no order of dates."""
+    lines = read_table(spark, sf_dir, "lineitem", LINE_COLUMNS)
+    tag = hashlib.sha256(fingerprint(spark, table_path(sf_dir, "lineitem")).encode()).hexdigest()[:12]
+    arrived = f"{checkpoint_dir(spark).rstrip('/')}/stream-lines-{tag}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{arrived}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        lines.repartition(8, F.xxhash64("l_orderkey", "l_linenumber")).write.mode("overwrite").parquet(arrived)
+    return run_available(spark, arrived, read_table(spark, sf_dir, "part", PART_COLUMNS), 2)

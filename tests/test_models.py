@@ -50,20 +50,25 @@ def test_multifeature_matches_numpy(spark):
     assert abs(got.r2 - round(r2, 4)) <= 1e-4
 
 
-def _hw_numpy(y, a, b, g, period=12):
-    level = y[:period].mean()
-    trend = (y[period:2 * period].mean() - level) / period
-    s = list(y[:period] - level)
-    sse = 0.0
+def _hw_run(y, a, b, g, state, period=12):
+    """One-step errors and forecasts of the plain recursion from a start state."""
+    level, trend, s = state[0], state[1], list(state[2:])
+    errors = []
     for v in y:
-        s0 = s[0]
-        err = v - (level + trend + s0)
-        sse += err * err
-        new_level = a * (v - s0) + (1 - a) * (level + trend)
-        trend = b * (new_level - level) + (1 - b) * trend
-        level = new_level
-        s = s[1:] + [g * (v - level) + (1 - g) * s0]
-    return sse, [level + h * trend + s[h - 1] for h in (1, 2, 3)]
+        s0 = s.pop(0)
+        errors.append(v - (level + trend + s0))
+        old, level = level, a * (v - s0) + (1 - a) * (level + trend)
+        trend = b * (level - old) + (1 - b) * trend
+        s.append(g * (v - level) + (1 - g) * s0)
+    return np.array(errors), [level + h * trend + s[h - 1] for h in (1, 2, 3)]
+
+
+def _hw_least_squares(y, a, b, g, period=12):
+    """Start state by least squares over the recursion's responses to unit states."""
+    k = period + 2
+    zero = _hw_run(y, a, b, g, np.zeros(k))[0]
+    x = np.stack([zero - _hw_run(y, a, b, g, np.eye(k)[i])[0] for i in range(k)], axis=1)
+    return _hw_run(y, a, b, g, np.linalg.lstsq(x, zero, rcond=1e-8)[0])
 
 
 def test_holt_winters_matches_brute_force(spark):
@@ -72,15 +77,17 @@ def test_holt_winters_matches_brute_force(spark):
     series = forecast.pack_series(forecast.month_spine(
         forecast.monthly_demand(m.clean_transactions, m.products)))
     fc = {(r.category, r.h): r for r in forecast.holt_winters(series).collect()}
+    coarse = [p for p in itertools.product((0.0, 0.1, 0.3, 0.9), repeat=3)]
     for row in series.collect():
         y = np.array(row["values"], dtype=float)
-        best = min(((*_hw_numpy(y, a, b, g), (a, b, g))
-                    for a, b, g in itertools.product(forecast.GRID, repeat=3)),
-                   key=lambda t: (t[0], t[2]))
-        for h, pred in enumerate(best[1], start=1):
+        r = fc[(row["category"], 1)]
+        errors, preds = _hw_least_squares(y, r.alpha, r.beta, r.gamma)
+        # No point of the grid fits better, and forecast and band follow from the fit.
+        assert (errors ** 2).sum() <= min((_hw_least_squares(y, *p)[0] ** 2).sum() for p in coarse) * (1 + 1e-6)
+        for h, pred in enumerate(preds, start=1):
             r = fc[(row["category"], h)]
-            assert (r.alpha, r.beta, r.gamma) == best[2]
-            assert r.forecast == max(0, int(round(pred)))
+            assert abs(r.forecast - max(0, pred)) <= 0.6
+            assert abs(r.confidence_upper - (pred + 1.96 * errors.std())) <= 0.6
 
 
 def test_month_gap_and_short_series(spark, make_txn):
