@@ -4,9 +4,9 @@ A document is the set of its word shingles; documents with one word sequence
 form a class and are handled once.
 
 1. Sketch (one pass over the texts): 192 minima per set.  A signature coordinate
-   is the hash of 7 of them (72 fixed choices), so that two sets of similarity J
-   agree in a coordinate with probability J^7; at J = 0.8 a pair misses all 72
-   with probability below 1e-6, while unrelated sets hardly ever meet.  64 further
+   is the hash of 5 of them (48 fixed choices), so that two sets of similarity J
+   agree in a coordinate with probability J^5; at J = 0.8 a pair misses all 48
+   with probability 1e-6, while unrelated sets hardly ever meet.  64 further
    one-byte minima estimate similarities.
 2. Inverted join: classes are posted under (coordinate, value).  Lists that hold
    one class only are dropped by an aggregate; of the others each list is read
@@ -44,10 +44,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import bounded_batches, documents, drop_table, materialise, words_of
+from shelfmark.llm.common import bounded_batches, documents, materialise, words_of
 from shelfmark.llm.graph import components
 
-MINIMA, COORDINATES, WIDTH, BYTES = 192, 72, 7, 64
+MINIMA, COORDINATES, WIDTH, BYTES = 192, 48, 5, 64
 MATCHES = 34  # of BYTES; J = 0.8 gives 51.2 on average, with a deviation of 3.2
 CHUNK = 4096  # classes of one list that are compared at once
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 21
@@ -291,7 +291,8 @@ def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: in
         return None
     units = max(1, -(-load["rows"] // BLOCK_ROWS), -(-load["shingles"] // BLOCK_SHINGLES))
     member = placed.select(F.col("r.id").alias("_mid"), F.col("r.tie").alias("_mtie"), "_cid", "_root", "_block", "_blocks")
-    found = texts.join(member, (F.col("_tie") == F.col("_mtie")) & F.col("_id").eqNullSafe(F.col("_mid")))
+    # Both sides are dealt out by key at every size: the corpus is large against any table of candidates.
+    found = texts.join(member.hint("merge"), (F.col("_tie") == F.col("_mtie")) & F.col("_id").eqNullSafe(F.col("_mid")))
     # A row goes to the unit of its block and to the units that pair its block with another.
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     dealt = (found.select("_cid", "_root", "_block", "_blocks", "_text", other.alias("_other"))
@@ -315,9 +316,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = rows.filter("_cid is not null").groupBy("_cid").agg(F.min(_rank("r")).alias("r"))
     if links is not None:
         linked = components(materialise(links, "links"), "roots")
-        grouped = classes.join(linked.select(F.col("node").alias("_cid"), "root"), "_cid", "left").withColumn("root", F.coalesce("root", "_cid"))
-        best = grouped.groupBy("root").agg(F.min("r").alias("_best"))
-        classes = grouped.join(best, "root").select("_cid", "_best")
+        grouped = materialise(linked.select(F.col("node").alias("_cid"), "root").join(classes, "_cid"), "groups")
+        best = materialise(grouped.groupBy("root").agg(F.min("r").alias("_best")), "best")
+        moved = grouped.join(best, "root").select("_cid", "_best")
+        classes = classes.join(moved, "_cid", "left").select("_cid", F.coalesce("_best", "r").alias("_best"))
     else:
         classes = classes.select("_cid", F.col("r").alias("_best"))
     return (rows.join(classes, "_cid", "left").select("_id", "_tie", "_n", F.coalesce("_best", _rank("r")).alias("_best")))
@@ -330,7 +332,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"))
     gone = materialise(gone, "gone")
     on = (row["_tie"] == gone["_gone_tie"]) & row["_id"].eqNullSafe(gone["_gone_id"])
-    return row.join(gone, on, "left_anti").select("_row.*")
+    return row.join(gone.hint("merge"), on, "left_anti").select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
