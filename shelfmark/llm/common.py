@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,15 +90,3 @@ def crc_fold(doc_id: int | None) -> int:
 def words_of(text: str | None) -> list[bytes]:
     """Lower-cased words of a text as UTF-8 bytes; null has none."""
     return [] if text is None else ascii_lower(text).split()  # splits bytes at 0x20 and 0x09-0x0D
-
-
-def batches_of(rows: Iterable, size: int):
-    """Lists of at most `size` items."""
-    held = []
-    for x in rows:
-        held.append(x)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held

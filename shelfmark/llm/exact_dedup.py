@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -39,6 +39,11 @@ CELL_BITS = 16
 BUCKET_BYTES = 16 << 20
 
 
+def key_of(text: Column) -> Column:
+    """64-bit key of a text; different texts may share one."""
+    return F.xxhash64(text)
+
+
 def grow_directory(cells: dict[int, int], capacity: int, cell_bits: int = CELL_BITS) -> list[int]:
     """Extendible-hash directory over key prefixes: entry i is the bucket of prefix i.
 
@@ -174,7 +179,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     bounded_batches(spark)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    cell = F.shiftrightunsigned(F.xxhash64(text), 64 - CELL_BITS).cast("int")
+    cell = F.shiftrightunsigned(key_of(text), 64 - CELL_BITS).cast("int")
     counts = docs.select(cell.alias("cell"), F.octet_length(text).alias("b")).groupBy("cell").agg(F.sum("b").alias("b")).collect()
     directory = grow_directory({r["cell"]: r["b"] for r in counts}, bucket_bytes)
     n = max(directory) + 1
@@ -182,7 +187,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = [F.col(id_col).alias("_id"), text.alias("_text")]
     if keep_rows:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_null_text")).alias("_row"))
-    rows = docs.select(*cols).withColumns({"_rid": F.monotonically_increasing_id(), "_key": F.xxhash64("_text"), "_sha": F.sha2("_text", 256)})
+    rows = docs.select(*cols).withColumns({"_rid": F.monotonically_increasing_id(), "_key": key_of(F.col("_text")), "_sha": F.sha2("_text", 256)})
     kinds = {f.name: f.dataType for f in rows.schema.fields} | {"_rep": T.LongType(), "_size": T.LongType()}
     shape = lambda names: T.StructType([T.StructField(c, kinds[c]) for c in names])
     collapsed = shape(kinds)
