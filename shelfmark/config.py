@@ -57,16 +57,8 @@ SEASONAL_PERIOD = 12
 SMA_WINDOW = 3
 Z_95 = 1.96
 
-# Seasonality (month 1..12) and weekday (Mon=0..Sun=6) demand multipliers.
-SEASONALITY = {1: 1.00, 2: 0.95, 3: 1.00, 4: 0.85, 5: 0.85, 6: 0.85,
-               7: 0.95, 8: 1.05, 9: 1.10, 10: 1.50, 11: 1.50, 12: 1.30}
-DAY_OF_WEEK_EFFECT = {0: 0.90, 1: 0.92, 2: 0.95, 3: 0.98, 4: 1.05, 5: 1.15, 6: 1.10}
-
-# Promotion draw.
-PROMOTION_PROBABILITY = 0.20
-PROMOTION_DISCOUNT_RANGE = (0.05, 0.40)
+# Promotion types of the derived promotions.
 PROMO_TYPES = ("Clearance", "Festival", "Flash Sale", "Seasonal")
-COMPETITOR_PRICE_FACTOR = (0.85, 1.15)
 
 CURRENCY_SYMBOL = "₹"
 

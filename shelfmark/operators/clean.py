@@ -143,7 +143,7 @@ def generated_columns(txn: DataFrame) -> DataFrame:
 
 
 def constraint_violations(transactions: DataFrame, products: DataFrame, stores: DataFrame,
-                          inventory: DataFrame) -> DataFrame:
+                          inventory: DataFrame, promotions: DataFrame | None = None) -> DataFrame:
     """One row per (table, rule) with the number of violating rows.
 
     Primary keys are checked with a grouped count, foreign keys with a left
@@ -193,12 +193,28 @@ def constraint_violations(transactions: DataFrame, products: DataFrame, stores:
             ("check(discount_pct between 0 and 100)",
              (F.col("discount_pct") * 100 >= 0) & (F.col("discount_pct") * 100 <= 100)),
             ("check(is_promotion in (0,1))", F.col("is_promotion").isin(0, 1)),
+            ("not_null(product_id)", F.col("product_id").isNotNull()),
+            ("not_null(store_id)", F.col("store_id").isNotNull()),
         ]),
         rules(inventory, "inventory", [
             ("check(current_stock >= 0)", F.col("current_stock") >= 0),
             ("check(warehouse_stock >= 0)", F.coalesce(F.col("warehouse_stock"), F.lit(0)) >= 0),
+            ("not_null(product_id)", F.col("product_id").isNotNull()),
+            ("not_null(store_id)", F.col("store_id").isNotNull()),
         ]),
+        dup_keys(t, "transactions", "transaction_id"),
+        rules(stores, "stores", [(f"not_null({c})", F.col(c).isNotNull()) for c in ("city", "region", "tier")]),
     ]
+    if promotions is not None:
+        parts += [
+            dup_keys(promotions, "promotions", "promo_id"),
+            fk(promotions, "promotions", "product_id", products, "product_id"),
+            rules(promotions, "promotions", [
+                ("not_null(date)", F.col("date").isNotNull()),
+                ("check(0 < discount_pct <= 100)",
+                 (F.col("discount_pct") * 100 > 0) & (F.col("discount_pct") * 100 <= 100)),
+            ]),
+        ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

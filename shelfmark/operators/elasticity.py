@@ -140,10 +140,11 @@ def multifeature_elasticity(txn: DataFrame) -> DataFrame:
     return df.agg(*aggs).mapInPandas(_solve_moments, _MF_SCHEMA)
 
 
-def resolve_category(cat: DataFrame, threshold: float = config.R2_THRESHOLD) -> DataFrame:
+def resolve_category(cat: DataFrame, threshold: float = config.R2_THRESHOLD,
+                     configured: dict[str, float] | None = None) -> DataFrame:
     """E6 + E7: weak category fits (r2 < threshold) take the configured
     elasticity; configured categories without a fit are appended with zeros."""
-    conf = _config_frame(cat)
+    conf = _config_frame(cat, configured)
     j = cat.join(conf, "category", "left")
     weak = (F.col("r2") < threshold) & F.col("_conf").isNotNull()
     e = F.when(weak, F.col("_conf")).otherwise(F.col("elasticity"))
@@ -167,18 +168,21 @@ def resolve_product(prod: DataFrame, resolved_cat: DataFrame,
                     "intercept", "r2", "n_obs", classify_elasticity(e).alias("classification"))
 
 
-def _config_frame(like: DataFrame) -> DataFrame:
-    """The configured category elasticities as an inline (6-row) table."""
+def _config_frame(like: DataFrame, configured: dict[str, float] | None) -> DataFrame:
+    """The configured category elasticities (default: the test tables') as an
+    inline table of a few rows."""
     spark = like.sparkSession
-    rows = [(k, float(v)) for k, v in config.CATEGORY_ELASTICITY.items()]
+    known = config.CATEGORY_ELASTICITY if configured is None else configured
+    rows = [(k, float(v)) for k, v in known.items()]
     return spark.createDataFrame(rows, "category string, _conf double")
 
 
-def run(txn: DataFrame, products: DataFrame, threshold: float = config.R2_THRESHOLD) -> dict:
+def run(txn: DataFrame, products: DataFrame, threshold: float = config.R2_THRESHOLD,
+        configured: dict[str, float] | None = None) -> dict:
     """Fits, then E6 -> E7 -> E8."""
     cat = category_elasticity(txn, products)
     prod = product_elasticity(txn, products)
-    cat_resolved = resolve_category(cat, threshold)
+    cat_resolved = resolve_category(cat, threshold, configured)
     return {
         "category_elasticity": cat_resolved,
         "product_elasticity": resolve_product(prod, cat_resolved, threshold),

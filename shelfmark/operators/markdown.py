@@ -28,8 +28,15 @@ def stock_per_product(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("product_id").agg(F.sum("current_stock").alias("stock_sum"))
 
 
+def with_base_demand(products: DataFrame) -> DataFrame:
+    """The catalogue with a base demand, 10 a day where it has none."""
+    known = F.col("base_demand").cast("double") if "base_demand" in products.columns else F.lit(None).cast("double")
+    return products.withColumn("base_demand", F.coalesce(known, F.lit(config.DEFAULT_DAILY_DEMAND)))
+
+
 def resolve_elasticity(products: DataFrame, product_elasticity: DataFrame,
-                       category_frame: DataFrame | None = None) -> DataFrame:
+                       category_frame: DataFrame | None = None,
+                       configured: dict[str, float] | None = None) -> DataFrame:
     """M4 / O5 (J8): product's own estimate -> the elasticity of the first
     product (by product_id) of its category in the estimate frame -> the
     category frame when the product frame is empty -> configured category
@@ -46,7 +53,7 @@ def resolve_elasticity(products: DataFrame, product_elasticity: DataFrame,
             F.first("elasticity").alias("_cat"))
         j = j.join(cat, "category", "left")
         fallback = F.coalesce(fallback, F.when(n_prod == 0, F.col("_cat")))
-    e = F.coalesce(F.col("_own"), fallback, category_elasticity(F.col("category")))
+    e = F.coalesce(F.col("_own"), fallback, category_elasticity(F.col("category"), configured))
     return j.select("product_id", e.alias("elasticity"))
 
 
@@ -61,7 +68,8 @@ def _half_even_ratio(num: Column, den: Column) -> Column:
 
 def simulate(products: DataFrame, inventory: DataFrame, txn: DataFrame,
              product_elasticity: DataFrame, category_frame: DataFrame | None = None,
-             discounts=config.SIMULATION_DISCOUNTS, recent: DataFrame | None = None) -> DataFrame:
+             discounts=config.SIMULATION_DISCOUNTS, recent: DataFrame | None = None,
+             configured: dict[str, float] | None = None) -> DataFrame:
     """M1 + M5: every product x every discount scenario (13 columns).
 
     ``recent`` may pass a shared, unrounded ``recent_quantity`` frame."""
@@ -71,7 +79,8 @@ def simulate(products: DataFrame, inventory: DataFrame, txn: DataFrame,
         (div_half_up(F.col("recent_qty") * 100, F.lit(config.RECENT_DAYS)).cast("double")
          / F.lit(100.0)).alias("_recent_daily"))
     stock = stock_per_product(inventory)
-    elas = resolve_elasticity(products, product_elasticity, category_frame)
+    elas = resolve_elasticity(products, product_elasticity, category_frame, configured)
+    products = with_base_demand(products)
     base = (products.select("product_id", "product_name", "category", "base_price", "cost",
                             "base_demand")
             .join(demand, "product_id", "left")
@@ -102,7 +111,7 @@ def simulate(products: DataFrame, inventory: DataFrame, txn: DataFrame,
         from_cents(F.col("_price_c"), PRICE).cast("double").alias("new_price"),
         F.col("cost").cast("double").alias("cost"),
         from_cents(margin_c, PRICE).cast("double").alias("margin_per_unit"),
-        F.bround(F.col("_daily"), 1).alias("expected_daily_demand"),
+        (F.rint(F.col("_daily") * 10) / 10).alias("expected_daily_demand"),
         F.col("_monthly").alias("expected_monthly_demand"),
         from_cents(F.col("_price_c") * F.col("_monthly"), MONEY).cast("double").alias("expected_revenue"),
         from_cents(margin_c * F.col("_monthly"), MONEY).cast("double").alias("expected_profit"),

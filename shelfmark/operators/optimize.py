@@ -17,12 +17,12 @@ from shelfmark.functions.exact import div_half_up, round_half_up_double as r2d
 from shelfmark.functions.labels import recommendation_label
 from shelfmark.functions.ranking import non_null_count, with_average_rank2
 from shelfmark.sources.shared import write_shared
-from shelfmark.operators.markdown import recent_quantity, resolve_elasticity, stock_per_product
+from shelfmark.operators.markdown import recent_quantity, resolve_elasticity, stock_per_product, with_base_demand
 
 
 def inputs(products: DataFrame, inventory: DataFrame, txn: DataFrame,
            product_elasticity: DataFrame, category_frame: DataFrame | None = None,
-           recent: DataFrame | None = None) -> DataFrame:
+           recent: DataFrame | None = None, configured: dict[str, float] | None = None) -> DataFrame:
     """Unrounded recent daily demand (default base_demand), stock =
     3 x current stock truncated (1.0 when the product has no stock row), and
     the resolved elasticity.  ``recent`` may pass a shared ``recent_quantity``
@@ -33,7 +33,8 @@ def inputs(products: DataFrame, inventory: DataFrame, txn: DataFrame,
     stock = stock_per_product(inventory).select(
         "product_id",
         (F.col("stock_sum") * config.STOCK_PRESSURE_FACTOR).cast("double").alias("_st"))
-    elas = resolve_elasticity(products, product_elasticity, category_frame)
+    elas = resolve_elasticity(products, product_elasticity, category_frame, configured)
+    products = with_base_demand(products)
     return (products.select("product_id", "product_name", "category", "base_price", "cost",
                             "base_demand")
             .join(demand, "product_id", "left")

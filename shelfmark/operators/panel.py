@@ -1,40 +1,19 @@
-"""Demand law and stock ledger (G2, G3, G5), evaluated on the real tables.
-
-The pricing engine's synthetic generator draws a product x store x day panel
-from these laws; here the laws are applied to the observed transactions and
-inventory instead of generating data (no simulator is built).
-"""
+"""Stock ledger (G5): the stored stock against sales counted anew."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark import config
-
-
-def _lookup(mapping: dict, key: Column) -> Column:
-    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(float(v)))])
-    return F.coalesce(m[key], F.lit(1.0))
-
-
-def expected_demand(txn: DataFrame, products: DataFrame) -> DataFrame:
-    """G2 + G3: expected units = base_demand x season(month) x weekday effect
-    x (selling / base price) ^ elasticity (noise factor 1), truncated, >= 0."""
-    p = products.select("product_id", "base_demand", "elasticity")
-    ratio = F.col("selling_price").cast("double") / F.col("base_price").cast("double")
-    units = (F.col("base_demand") * _lookup(config.SEASONALITY, F.month("date"))
-             * _lookup(config.DAY_OF_WEEK_EFFECT, F.weekday("date"))
-             * F.pow(ratio, F.col("elasticity")))
-    return (txn.join(p, "product_id", "left")
-            .select("transaction_id", "product_id", "date", "quantity",
-                    F.greatest(F.lit(0), F.floor(units)).cast("bigint").alias("expected_units")))
-
 
-def ledger(inventory: DataFrame) -> DataFrame:
-    """The stock ledger with its law checked per row."""
-    law = F.greatest(F.lit(0).cast("bigint"),
-                     F.col("initial_stock") - F.col("total_sold") + F.col("replenishment"))
-    return inventory.select("product_id", "store_id", "initial_stock", "total_sold",
-                            "replenishment", "current_stock",
-                            (F.col("current_stock") == law).alias("ledger_ok"))
+def ledger(inventory: DataFrame, txn: DataFrame) -> DataFrame:
+    """Stored stock per product and store, reconciled with the sales: units
+    sold are summed from the transactions, and the stock that should be left,
+    max(0, initial - sold + replenishment), follows from that sum."""
+    sold = txn.groupBy("product_id", "store_id").agg(F.sum("quantity").alias("units"))
+    counted = F.coalesce(F.col("units"), F.lit(0).cast("bigint"))
+    law = F.greatest(F.lit(0).cast("bigint"), F.col("initial_stock") - counted + F.col("replenishment"))
+    return inventory.join(sold, ["product_id", "store_id"], "left").select(
+        "product_id", "store_id", "initial_stock", "total_sold", "replenishment", "current_stock",
+        counted.alias("counted_sold"),
+        ((F.col("total_sold") == counted) & (F.col("current_stock") == law)).alias("ledger_ok"))

@@ -10,7 +10,7 @@ from shelfmark import config
 from shelfmark import oracle as O
 from shelfmark.functions.sqltext import half_up_ratio as hr
 from shelfmark.functions.sqltext import round_half_up_double as r2s
-from shelfmark.operators import clean, kpi
+from shelfmark.operators import clean, kpi, sqlcorpus
 from shelfmark.registry import register
 from shelfmark.sources.faults import FAULTS_SQL, with_faults
 from shelfmark.sources.model import load_model
@@ -130,6 +130,18 @@ _T9_ORACLE = "\nUNION ALL\n".join([
     _rule_sql("inventory", "inventory", "check(current_stock >= 0)", "current_stock >= 0"),
     _rule_sql("inventory", "inventory", "check(warehouse_stock >= 0)",
               "COALESCE(warehouse_stock, 0) >= 0"),
+    "SELECT 'transactions', 'primary_key(transaction_id)', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM "
+    "(SELECT transaction_id, COUNT(*) AS n FROM faulty GROUP BY transaction_id HAVING COUNT(*) > 1)",
+    *[_rule_sql(t, "faulty" if t == "transactions" else t, f"not_null({c})", f"{c} IS NOT NULL")
+      for t, c in (("transactions", "product_id"), ("transactions", "store_id"), ("stores", "city"), ("stores", "region"),
+                   ("stores", "tier"), ("inventory", "product_id"), ("inventory", "store_id"))],
+    "SELECT 'promotions', 'primary_key(promo_id)', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM "
+    "(SELECT transaction_id, COUNT(*) AS n FROM txn WHERE is_promotion = 1 GROUP BY transaction_id HAVING COUNT(*) > 1)",
+    "SELECT 'promotions', 'foreign_key(product_id)', COUNT(*) FROM txn f WHERE is_promotion = 1 AND product_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM products x WHERE x.product_id = f.product_id)",
+    _rule_sql("promotions", "(SELECT * FROM txn WHERE is_promotion = 1)", "not_null(date)", "date IS NOT NULL"),
+    _rule_sql("promotions", "(SELECT * FROM txn WHERE is_promotion = 1)", "check(0 < discount_pct <= 100)",
+              "discount_pct * 100 > 0 AND discount_pct * 100 <= 100"),
 ])
 
 
@@ -137,7 +149,7 @@ _T9_ORACLE = "\nUNION ALL\n".join([
 def t9_constraints(spark: SparkSession, d: str) -> DataFrame:
     m = load_model(spark, d)
     return clean.constraint_violations(with_faults(m.transactions), m.products, m.stores,
-                                       m.inventory)
+                                       m.inventory, m.promotions)
 
 
 # ----------------------------------------------------------------------- KPIs
@@ -324,9 +336,39 @@ def e2_product(spark: SparkSession, d: str) -> DataFrame:
     return elasticity.product_elasticity(*_elastic(spark, d))
 
 
-@register("e5_multifeature")
+def _e5_sql() -> str:
+    """Least squares by elimination on the covariances of the four features and y."""
+    v = ["x0", "x1", "x2", "x3", "y"]
+    pair = lambda i, j: f"s{min(i, j)}{max(i, j)}"
+    pairs = [(i, j) for i in range(5) for j in range(i, 5)]
+    steps = ["d AS (SELECT LN(CAST(quantity AS DOUBLE)) AS y, LN(CAST(selling_price AS DOUBLE)) AS x0,"
+             " CAST(is_promotion AS DOUBLE) AS x1, CAST(month AS DOUBLE) AS x2,"
+             " CASE WHEN competitor_price > 0 THEN LN(CAST(competitor_price AS DOUBLE)) END AS x3"
+             " FROM clean WHERE quantity > 0 AND selling_price > 0 AND competitor_price > 0)",
+             "e0 AS (SELECT COUNT(*) AS n, " + ", ".join(f"AVG({x}) AS m_{x}" for x in v) + ", "
+             + ", ".join(f"COVAR_POP({v[i]}, {v[j]}) AS {pair(i, j)}" for i, j in pairs) + " FROM d)"]
+    for k in range(4):  # the rows of variable k are kept as r{k}j, the rest is swept
+        kept = ", ".join(f"{pair(k, j)} AS r{k}{j}" for j in range(k, 5))
+        swept = ", ".join(f"{pair(i, j)} - {pair(k, i)} * {pair(k, j)} / {pair(k, k)} AS {pair(i, j)}"
+                          for i, j in pairs if i > k)
+        gone = ", ".join(pair(i, j) for i, j in pairs if i >= k)
+        steps.append(f"e{k + 1} AS (SELECT * EXCLUDE ({gone}), {kept}, {swept}, {pair(4, 4)} AS keep{k} FROM e{k})")
+    b = {}
+    for k in (3, 2, 1, 0):
+        b[k] = f"((r{k}4" + "".join(f" - r{k}{j} * {b[j]}" for j in range(k + 1, 4)) + f") / r{k}{k})"
+    # keep0 is the variance of y, s44 what the features leave of it.
+    icept = "m_y" + "".join(f" - m_x{k} * {b[k]}" for k in range(4))
+    names = ("ln_price", "is_promotion", "month", "ln_comp_price")
+    body = ", ".join(f"ROUND({b[k]}, 4) AS coef_{names[k]}" for k in range(4))
+    return _sql(f"SELECT {body}, ROUND({icept}, 4) AS intercept, ROUND(1 - s44 / keep0, 4) AS r2, n AS n_obs FROM e4",
+                CLEAN, ",\n".join(steps))
+
+
+@register("e5_multifeature", _e5_sql())
 def e5_multifeature(spark: SparkSession, d: str) -> DataFrame:
-    return elasticity.multifeature_elasticity(load_model(spark, d).clean_transactions)
+    fit = elasticity.multifeature_elasticity(load_model(spark, d).clean_transactions)
+    return fit.select(*[F.col("coefficients")[f].alias(f"coef_{f}") for f in elasticity.FEATURES],
+                      F.col("coefficients")["intercept"].alias("intercept"), "r2", "n_obs")
 
 
 def _register_resolved(suffix: str, threshold: float) -> None:
@@ -520,6 +562,39 @@ def o9_breakdown(spark: SparkSession, d: str) -> DataFrame:
     return optimize.label_breakdown(optimize.recommend(_opt_df(spark, d)))
 
 
+# The same with every product's own configured elasticity, which reaches all labels.
+_DOMAIN_ELAS = "elas AS (SELECT product_id, elasticity FROM products)"
+_DOMAIN_INPUTS = _MO_INPUTS[:_MO_INPUTS.index("firstcat AS")] + _DOMAIN_ELAS
+
+
+def _domain(spark, d):
+    m = load_model(spark, d)
+    return m, m.products.select("product_id", "category", "elasticity")
+
+
+def _domain_opt(spark, d):
+    m, own = _domain(spark, d)
+    return optimize.optimise(optimize.inputs(m.products, m.inventory, m.clean_transactions, own))
+
+
+@register("m1_scenarios_domain", _sql(_M1_BODY, CLEAN, _DOMAIN_INPUTS, _M1_CTES))
+def m1_scenarios_domain(spark: SparkSession, d: str) -> DataFrame:
+    m, own = _domain(spark, d)
+    return markdown.simulate(m.products, m.inventory, m.clean_transactions, own)
+
+
+@register("o8_recommendations_domain", _sql("SELECT * FROM recs", CLEAN, _DOMAIN_INPUTS, _O_CTES, _O8_CTES))
+def o8_recommendations_domain(spark: SparkSession, d: str) -> DataFrame:
+    return optimize.recommend(_domain_opt(spark, d))
+
+
+@register("o9_breakdown_domain", _sql("""
+SELECT recommendation, COUNT(*) AS count FROM recs GROUP BY recommendation""",
+                                      CLEAN, _DOMAIN_INPUTS, _O_CTES, _O8_CTES))
+def o9_breakdown_domain(spark: SparkSession, d: str) -> DataFrame:
+    return optimize.label_breakdown(optimize.recommend(_domain_opt(spark, d)))
+
+
 # ------------------------------------------------------------------ forecast
 from shelfmark.operators import forecast  # noqa: E402
 
@@ -928,29 +1003,60 @@ def s14_params(spark: SparkSession, d: str) -> DataFrame:
     return exports.whatif_params(load_model(spark, d).products)
 
 
-_SEASON = "CASE month(c.date) " + " ".join(
-    f"WHEN {k} THEN CAST({v!r} AS DOUBLE)" for k, v in config.SEASONALITY.items()) + " ELSE 1.0 END"
-_DOW = "CASE isodow(c.date) - 1 " + " ".join(
-    f"WHEN {k} THEN CAST({v!r} AS DOUBLE)" for k, v in config.DAY_OF_WEEK_EFFECT.items()) + " ELSE 1.0 END"
+@register("g5_ledger", _sql("""
+SELECT i.product_id, i.store_id, initial_stock, total_sold, replenishment, current_stock,
+       CAST(COALESCE(s.units, 0) AS BIGINT) AS counted_sold,
+       total_sold = COALESCE(s.units, 0)
+         AND current_stock = GREATEST(0, initial_stock - COALESCE(s.units, 0) + replenishment) AS ledger_ok
+FROM inventory i LEFT JOIN (SELECT product_id, store_id, SUM(quantity) AS units FROM txn GROUP BY ALL) s
+  ON i.product_id = s.product_id AND i.store_id = s.store_id"""))
+def g5_ledger(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    return panel.ledger(m.inventory, m.transactions)
 
 
-@register("g3_demand", _sql(f"""
-SELECT c.transaction_id, c.product_id, c.date, c.quantity,
-       CAST(GREATEST(0, FLOOR(p.base_demand * {_SEASON} * {_DOW}
-            * POW(CAST(c.selling_price AS DOUBLE) / CAST(c.base_price AS DOUBLE), p.elasticity))) AS BIGINT)
-         AS expected_units
-FROM clean c LEFT JOIN products p ON c.product_id = p.product_id""", CLEAN))
-def g3_demand(spark: SparkSession, d: str) -> DataFrame:
-    m = load_model(spark, d)
-    return panel.expected_demand(m.clean_transactions, m.products)
+# ------------------------------------------- files written and read back
+from shelfmark.sources import files  # noqa: E402
 
 
-@register("g5_ledger", _sql("""
-SELECT product_id, store_id, initial_stock, total_sold, replenishment, current_stock,
-       current_stock = GREATEST(0, initial_stock - total_sold + replenishment) AS ledger_ok
-FROM inventory"""))
-def g5_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return panel.ledger(load_model(spark, d).inventory)
+@register("s2_csv_round_trip", _sql("""
+SELECT CAST(store_id AS VARCHAR) AS store_id, city, region, tier FROM stores"""))
+def s2_csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    folder = files.shared_folder(spark, "csv")
+    files.save_csv({"stores": load_model(spark, d).stores.select("store_id", "city", "region", "tier")}, folder)
+    return files.read_csv(spark, f"{folder}/stores", "stores")
+
+
+@register("s3_table_round_trip", _sql("""
+SELECT transaction_id, date, product_id, store_id, quantity, CAST(revenue AS DOUBLE) AS revenue,
+       CAST(profit AS DOUBLE) AS profit, year, month FROM clean""", CLEAN))
+def s3_table_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    folder = files.shared_folder(spark, "tables")
+    files.save_tables({"transactions": load_model(spark, d).clean_transactions}, folder)
+    back = spark.read.parquet(f"{folder}/transactions")
+    return money_as_double(back.select("transaction_id", "date", "product_id", "store_id", "quantity", "revenue",
+                                       "profit", "year", "month"))
+
+
+@register("s4_views", O.with_model("""
+SELECT p.category, CAST(SUM(t.quantity_sold) AS BIGINT) AS units, COUNT(*) AS sales
+FROM t JOIN p ON t.product_id = p.product_id GROUP BY p.category""", store=True))
+def s4_views(spark: SparkSession, d: str) -> DataFrame:
+    m = load_model(spark, d)
+    files.register_views(spark, sqlcorpus.store_schema(m.clean_transactions, m.products, m.inventory))
+    return spark.sql("SELECT category, total_units_sold AS units, total_transactions AS sales FROM v_category_performance")
+
+
+@register("s5_json_round_trip", _sql("""
+SELECT strftime(date, '%Y-%m-%d') AS date, transaction_id, promo_type FROM (
+  SELECT date, transaction_id,
+         CASE WHEN is_promotion = 1 THEN 'promotion' END AS promo_type FROM clean)""", CLEAN))
+def s5_json_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    folder = files.shared_folder(spark, "json")
+    rows = load_model(spark, d).clean_transactions.select(
+        "date", "transaction_id", F.when(F.col("is_promotion") == 1, "promotion").alias("promo_type"))
+    files.save_json(rows, f"{folder}/sales")
+    return spark.read.schema("date string, transaction_id bigint, promo_type string").json(f"{folder}/sales")
 
 
 # ----------------------------------------------------------------- streaming

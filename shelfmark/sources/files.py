@@ -3,8 +3,12 @@ processed CSV / Parquet table sinks, JSON record sinks and the SQL views."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfmark.session import checkpoint_dir
+
 # Canonical input schemas (Spark DDL) of the pricing engine's CSV files.
 SCHEMAS = {
     "products": "product_id STRING, product_name STRING, category STRING, base_price DOUBLE, "
@@ -31,6 +35,19 @@ def _list_csv(spark: SparkSession, raw_dir: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in statuses)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder at the shared location, for files that are read back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/shelfmark-{name}-{uuid.uuid4().hex}"
+
+
+def read_csv(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """CSV with a header; the schema of a known table is given (FAILFAST),
+    others are inferred."""
+    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd")
+    reader = reader.schema(SCHEMAS[table]) if table in SCHEMAS else reader.option("inferSchema", True)
+    return reader.csv(path)
+
+
 def extract(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """Every ``*.csv`` in ``raw_dir`` keyed by file stem; header row,
     explicit schema for known stems (FAILFAST), inferred otherwise."""
@@ -40,12 +57,7 @@ def extract(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     out = {}
     for f in files:
         stem = f.rsplit("/", 1)[-1][:-4]
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        if stem in SCHEMAS:
-            reader = reader.schema(SCHEMAS[stem]).option("dateFormat", "yyyy-MM-dd")
-        else:
-            reader = reader.option("inferSchema", True)
-        out[stem] = reader.csv(f)
+        out[stem] = read_csv(spark, f, stem)
     return out
 
 

@@ -37,10 +37,12 @@ TRANSACTION_COLUMNS = (
 )
 
 
-def category_elasticity(category: Column) -> Column:
+def category_elasticity(category: Column, configured: dict[str, float] | None = None) -> Column:
     """Configured elasticity for a category, default -1.0 when unknown."""
-    lookup = F.create_map(*[x for k, v in config.CATEGORY_ELASTICITY.items()
-                            for x in (F.lit(k), F.lit(float(v)))])
+    known = config.CATEGORY_ELASTICITY if configured is None else configured
+    if not known:
+        return F.lit(config.DEFAULT_ELASTICITY)
+    lookup = F.create_map(*[x for k, v in known.items() for x in (F.lit(k), F.lit(float(v)))])
     return F.coalesce(lookup[category], F.lit(config.DEFAULT_ELASTICITY))
 
 
