@@ -32,13 +32,14 @@ def monthly_demand(txn: DataFrame, products: DataFrame, key: str = "category") -
     product's category (unknown products dropped, as a group-by on a missing
     key drops them) or any product attribute, e.g. ``product_id`` for one
     series per product."""
-    if key in txn.columns:
-        src = txn.filter(F.col(key).isNotNull())
-    else:
-        attr = products.select("product_id", key)
-        src = txn.join(attr, "product_id", "left").filter(F.col(key).isNotNull())
-    return (src.groupBy(key, F.trunc("date", "month").alias("month"))
-            .agg(F.sum("quantity").alias("quantity")))
+    units = "_qty" if "_qty" in txn.columns else "quantity"
+    src = txn.filter(F.col("product_id").isNotNull()) if key == "product_id" else txn
+    src = src.groupBy("product_id", F.trunc("date", "month").alias("month")).agg(F.sum(units).alias("quantity"))
+    if key == "product_id":
+        return src
+    # One row per product and month meets the product table, not every sale.
+    known = src.join(products.select("product_id", key), "product_id").filter(F.col(key).isNotNull())
+    return known.groupBy(key, "month").agg(F.sum("quantity").alias("quantity"))
 
 
 def _key(df: DataFrame) -> str:

@@ -15,6 +15,7 @@ from shelfmark.functions.exact import dec_div, round_half_up_double as r2d
 from shelfmark.functions.labels import (discount_level, elasticity_badge,
                                         elasticity_colour_band, elasticity_display,
                                         margin_level)
+from shelfmark.operators.kpi import category_sums
 from shelfmark.functions.ranking import non_null_count, with_average_rank2
 
 
@@ -47,9 +48,7 @@ def last_months(monthly: DataFrame, k: int = 12) -> DataFrame:
 
 def category_share(txn: DataFrame, products: DataFrame) -> DataFrame:
     """D4 (W5): revenue per category and its share of all categories."""
-    cat = products.select("product_id", "category")
-    g = (txn.join(cat, "product_id", "left").filter(F.col("category").isNotNull())
-         .groupBy("category").agg(F.sum("revenue").alias("_rev")))
+    g = category_sums(txn, products)
     total = F.sum("_rev").over(Window.partitionBy())
     return g.select("category", F.col("_rev").cast("double").alias("revenue"),
                     dec_div(F.col("_rev") * 100, total, 2).alias("share_pct"))
@@ -57,12 +56,9 @@ def category_share(txn: DataFrame, products: DataFrame) -> DataFrame:
 
 def category_performance(txn: DataFrame, products: DataFrame) -> DataFrame:
     """Revenue, profit and units per category."""
-    cat = products.select("product_id", "category")
-    return (txn.join(cat, "product_id", "left").filter(F.col("category").isNotNull())
-            .groupBy("category")
-            .agg(F.sum("revenue").cast("double").alias("revenue"),
-                 F.sum("profit").cast("double").alias("profit"),
-                 F.sum("quantity").alias("units")))
+    return category_sums(txn, products).select(
+        "category", F.col("_rev").cast("double").alias("revenue"),
+        F.col("_profit").cast("double").alias("profit"), F.col("_qty").alias("units"))
 
 
 def history_and_forecast(spine: DataFrame, fc: DataFrame) -> DataFrame:

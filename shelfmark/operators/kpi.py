@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import config
 from shelfmark.functions.calendar import month_label
-from shelfmark.functions.exact import dec_div, dec_mean
+from shelfmark.functions.exact import dec_div
 
 D4 = "decimal(9,4)"
 
@@ -23,23 +23,45 @@ def _dbl(c: Column, digits: int = 2) -> Column:
     return F.round(c, digits).cast("double")
 
 
-def _pct_mean(c: Column, digits: int = 2) -> Column:
-    """mean(fraction) * 100, exact, rounded half up (fractions carry 4 decimals)."""
-    n = F.count(c)
-    return dec_div(F.sum(c.cast(D4)) * 100, F.when(n != 0, n), digits)
+def _parts() -> dict[str, Column]:
+    """Mergeable sums and counts of a group of sales."""
+    return {
+        "_rev": F.sum("revenue"), "_profit": F.sum("profit"), "_qty": F.sum("quantity"),
+        "_orders": F.count("transaction_id"), "_rows": F.count(F.lit(1)),
+        "_price": F.sum("selling_price"), "_price_n": F.count("selling_price"),
+        "_disc": F.sum(F.col("discount_pct").cast(D4)), "_disc_n": F.count("discount_pct"),
+        "_cogs": F.sum(F.col("cost") * F.col("quantity")),
+    }
+
+
+def sums(sales: DataFrame, *keys: str | Column) -> DataFrame:
+    """Parts per group, from transactions or from a finer frame of parts."""
+    merged = "_rev" in sales.columns
+    return sales.groupBy(*keys).agg(*[(F.sum(n) if merged else c).alias(n) for n, c in _parts().items()])
+
+
+def sales_cube(txn: DataFrame) -> DataFrame:
+    """Parts per product, month (``date``: its first day) and promotion flag:
+    every KPI below can be taken from this much smaller frame as well."""
+    return sums(txn, "product_id", F.trunc("date", "month").cast("date").alias("date"), "is_promotion")
+
+
+def _mean(part: str, digits: int, scale: int = 1) -> Column:
+    n = F.col(f"{part}_n")
+    return dec_div(F.col(part) * scale, F.when(n != 0, n), digits)
 
 
 def overview(txn: DataFrame) -> DataFrame:
     """K1: one-row overview.  Ratios divide the rounded totals, as the
     pricing engine does; zero totals give 0."""
-    a = txn.agg(
-        F.coalesce(F.sum("revenue"), F.lit(0)).alias("_rev"),
-        F.coalesce(F.sum("profit"), F.lit(0)).alias("_profit"),
-        F.count(F.lit(1)).alias("total_orders"),
-        F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("total_quantity"),
-        dec_mean(F.col("selling_price"), 2).alias("avg_selling_price"),
-        _pct_mean(F.col("discount_pct")).alias("avg_discount_pct"),
-        F.coalesce(F.sum(F.col("cost") * F.col("quantity")), F.lit(0)).alias("_cogs"),
+    a = sums(txn).select(
+        F.coalesce(F.col("_rev"), F.lit(0)).alias("_rev"),
+        F.coalesce(F.col("_profit"), F.lit(0)).alias("_profit"),
+        F.coalesce(F.col("_rows"), F.lit(0)).alias("total_orders"),
+        F.coalesce(F.col("_qty"), F.lit(0)).cast("bigint").alias("total_quantity"),
+        _mean("_price", 2).alias("avg_selling_price"),
+        _mean("_disc", 2, 100).alias("avg_discount_pct"),
+        F.coalesce(F.col("_cogs"), F.lit(0)).alias("_cogs"),
     )
     rev = F.round(F.col("_rev"), 2)
     return a.select(
@@ -57,14 +79,10 @@ def overview(txn: DataFrame) -> DataFrame:
     )
 
 
-def _sales_aggregates() -> list[Column]:
+def _sales_columns() -> list[Column]:
     return [
-        F.sum("revenue").alias("_rev"),
-        F.sum("profit").alias("_profit"),
-        F.sum("quantity").alias("total_quantity"),
-        F.count("transaction_id").alias("total_orders"),
-        dec_mean(F.col("selling_price"), 6).alias("avg_selling_price"),
-        _pct_mean(F.col("discount_pct")).alias("avg_discount_pct"),
+        F.col("_qty").alias("total_quantity"), F.col("_orders").alias("total_orders"),
+        _mean("_price", 6).alias("avg_selling_price"), _mean("_disc", 2, 100).alias("avg_discount_pct"),
     ]
 
 
@@ -79,7 +97,7 @@ def product_kpis(txn: DataFrame, products: DataFrame, inventory: DataFrame) -> D
 
     Sales and stock are each aggregated to one row per product before they
     meet, so the joins are product-grain (no fan-out)."""
-    sales = txn.groupBy("product_id").agg(*_sales_aggregates())
+    sales = sums(txn, "product_id")
     meta = products.select("product_id", "product_name", "category", "base_price", "cost")
     stock = inventory.groupBy("product_id").agg(
         F.sum("initial_stock").alias("total_initial_stock"),
@@ -90,7 +108,7 @@ def product_kpis(txn: DataFrame, products: DataFrame, inventory: DataFrame) -> D
         "product_id",
         F.col("_rev").cast("double").alias("total_revenue"),
         F.col("_profit").cast("double").alias("total_profit"),
-        "total_quantity", "total_orders", "avg_selling_price", "avg_discount_pct",
+        *_sales_columns(),
         "product_name", "category",
         F.col("base_price").cast("double").alias("base_price"),
         F.col("cost").cast("double").alias("cost"),
@@ -118,38 +136,39 @@ def product_rates(initial: Column, current: Column, sold: Column, revenue: Colum
 def category_kpis(txn: DataFrame, products: DataFrame) -> DataFrame:
     """Per category; transactions whose product is unknown have no
     category and are dropped (as a pandas group-by drops NaN keys)."""
-    cat = products.select("product_id", "category")
-    a = (txn.join(cat, "product_id", "left")
-         .filter(F.col("category").isNotNull())
-         .groupBy("category").agg(*_sales_aggregates()))
-    return a.select(
+    return category_sums(txn, products).select(
         "category",
         F.col("_rev").cast("double").alias("total_revenue"),
         F.col("_profit").cast("double").alias("total_profit"),
-        "total_quantity", "total_orders",
-        "avg_selling_price", "avg_discount_pct",
+        *_sales_columns(),
         _margin_pct(F.col("_rev"), F.col("_profit")).alias("gross_margin_pct"),
     )
 
 
+def category_sums(txn: DataFrame, products: DataFrame) -> DataFrame:
+    """Parts per category: reduced to products first, so that only one row per
+    product meets the product table."""
+    known = sums(txn, "product_id").join(products.select("product_id", "category"), "product_id")
+    return sums(known.filter(F.col("category").isNotNull()), "category")
+
+
 def discount_effectiveness(txn: DataFrame) -> DataFrame:
     """Promoted vs regular sales in one conditional aggregate (A5).
 
     The mean promo discount and the revenue per discount point are formed
     from exact sums and counts, never by dividing by a rounded mean."""
-    promo = F.col("is_promotion") == 1
-    regular = F.col("is_promotion") == 0
-    pdisc = F.when(promo, F.col("discount_pct").cast(D4))
-    a = txn.agg(
-        F.count_if(promo).alias("promo_orders"),
-        F.count_if(regular).alias("non_promo_orders"),
-        F.coalesce(F.sum(F.when(promo, F.col("revenue"))), F.lit(0)).alias("_prev"),
-        F.coalesce(F.sum(F.when(regular, F.col("revenue"))), F.lit(0)).alias("_nrev"),
-        F.sum(pdisc).alias("_psum"),
-        F.count(pdisc).alias("_pn"),
+    promo, regular = F.col("is_promotion") == 1, F.col("is_promotion") == 0
+    zero = F.lit(0)
+    a = sums(txn, "is_promotion").agg(
+        F.coalesce(F.sum(F.when(promo, F.col("_rows"))), zero).cast("bigint").alias("promo_orders"),
+        F.coalesce(F.sum(F.when(regular, F.col("_rows"))), zero).cast("bigint").alias("non_promo_orders"),
+        F.coalesce(F.sum(F.when(promo, F.col("_rev"))), zero).alias("_prev"),
+        F.coalesce(F.sum(F.when(regular, F.col("_rev"))), zero).alias("_nrev"),
+        F.sum(F.when(promo, F.col("_disc"))).alias("_psum"),
+        F.coalesce(F.sum(F.when(promo, F.col("_disc_n"))), zero).alias("_pn"),
     )
     prev = F.round(F.col("_prev"), 2)
-    mean_pct = dec_div(F.col("_psum") * 100, F.col("_pn"), 2)
+    mean_pct = dec_div(F.col("_psum") * 100, F.when(F.col("_pn") != 0, F.col("_pn")), 2)
     return a.select(
         "promo_orders", "non_promo_orders",
         prev.cast("double").alias("promo_revenue"),
@@ -164,11 +183,9 @@ def discount_effectiveness(txn: DataFrame) -> DataFrame:
 
 def monthly_trends(txn: DataFrame) -> DataFrame:
     """Revenue, profit, quantity and orders per YYYY-MM (gaps not filled)."""
-    return (txn.groupBy(month_label(F.col("date")).alias("date"))
-            .agg(_dbl(F.sum("revenue")).alias("revenue"),
-                 _dbl(F.sum("profit")).alias("profit"),
-                 F.sum("quantity").alias("quantity"),
-                 F.count("transaction_id").alias("orders")))
+    return sums(txn, month_label(F.col("date")).alias("date")).select(
+        "date", _dbl(F.col("_rev")).alias("revenue"), _dbl(F.col("_profit")).alias("profit"),
+        F.col("_qty").alias("quantity"), F.col("_orders").alias("orders"))
 
 
 def top_bottom_sellers(product_kpis_df: DataFrame, n: int = 10) -> DataFrame:

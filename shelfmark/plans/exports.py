@@ -7,7 +7,7 @@ the discount grid) are gathered into a single row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import config
@@ -41,6 +41,27 @@ def whatif_params(products: DataFrame) -> DataFrame:
         F.array(*[F.lit(d) * 100 for d in config.SIMULATION_DISCOUNTS]).alias("simulation_discounts"))
 
 
+# The documents a reader expects, and the datasets that make them up: tables
+# that grow with the catalogue are datasets of their own, never one row.
+DOCUMENTS = {
+    "overview_kpis": ["overview_kpis"],
+    "product_analytics": ["product_analytics", "top_bottom_sellers"],
+    "category_analytics": ["category_analytics"],
+    "monthly_trends": ["monthly_trends"],
+    "forecast_data": ["forecast_data"],
+    "elasticity_data": ["elasticity_category", "elasticity_product", "elasticity_multifeature"],
+    "simulation_results": ["simulation_results"],
+    "recommendations": ["recommendations", "recommendations_summary"],
+    "whatif_params": ["whatif_params", "whatif_products"],
+}
+
+
+def manifest(spark: SparkSession, written: list[str]) -> DataFrame:
+    """One row per document with the datasets that hold its parts."""
+    rows = [(doc, parts) for doc, parts in DOCUMENTS.items() if set(parts) <= set(written)]
+    return spark.createDataFrame(rows, "document string, datasets array<string>")
+
+
 def write_all(out_dir: str, results: dict[str, DataFrame]) -> None:
     """Write every document; keys follow the dashboard's file names."""
     for name, df in results.items():

@@ -7,8 +7,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every session gets.  On a cluster the deployer's spark-defaults win
-# for anything already set; these are only the semantics we depend on.
+# Settings that every session gets, on a cluster too, whatever its defaults say.
 _SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -67,5 +66,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store)")
         path = tempfile.mkdtemp(prefix="shelfmark-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
     return path

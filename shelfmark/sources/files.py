@@ -25,7 +25,7 @@ SCHEMAS = {
 }
 
 
-def _list_csv(spark: SparkSession, raw_dir: str) -> list[str]:
+def csv_files(spark: SparkSession, raw_dir: str) -> list[str]:
     """CSV file paths under ``raw_dir`` through the Hadoop file system, so
     local, HDFS and object-store paths work alike (metadata only)."""
     jvm = spark.sparkContext._jvm
@@ -51,7 +51,7 @@ def read_csv(spark: SparkSession, path: str, table: str | None = None) -> DataFr
 def extract(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """Every ``*.csv`` in ``raw_dir`` keyed by file stem; header row,
     explicit schema for known stems (FAILFAST), inferred otherwise."""
-    files = _list_csv(spark, raw_dir)
+    files = csv_files(spark, raw_dir)
     if not files:
         raise FileNotFoundError(f"No CSV files found in {raw_dir}")
     out = {}
