@@ -36,10 +36,10 @@ MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
 TRUSTED_RATE = 0.02
 BAD_RATE = 0.5
-# A document fails where symbols exceed n_words / 10, or repeated lines 30 % of its lines.
+# A document fails where symbols exceed n_words / 10, or repeated lines half of its lines.
 SYMBOLS = "#*$%&|<>"
 SYMBOL_SHARE = 10
-DUP_LINE_PCT = 30
+DUP_LINE_PCT = 50
 
 
 def _words(text: Column) -> Column:
@@ -145,8 +145,8 @@ f AS (SELECT r.*, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_strin
         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words
       FROM r JOIN wl USING (rid) LEFT JOIN cov USING (rid)),
 b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-        10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines AS soft,
-        20 * n_symbols > n_words OR 200 * n_dup_lines > 30 * n_lines AS strict FROM f),
+        10 * n_symbols > n_words OR 100 * n_dup_lines > 50 * n_lines AS soft,
+        20 * n_symbols > n_words OR 200 * n_dup_lines > 50 * n_lines AS strict FROM f),
 h AS (SELECT source AS host, count(*) AS n, sum((base_failed OR soft)::INT) AS k FROM b GROUP BY source),
 p AS (SELECT m, docs_n, hosts_n, sum(n * (k / n - m) * (k / n - m)) AS ss
       FROM h, (SELECT sum(k) / sum(n) AS m, sum(n) AS docs_n, count(*) AS hosts_n FROM h) GROUP BY m, docs_n, hosts_n),

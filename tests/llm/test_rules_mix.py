@@ -27,7 +27,7 @@ def brute_judge(rows):
     """Rows as `judge` gives them, by id: counts, base_failed, kept."""
     counts = [brute_counts(r[1]) for r in rows]
     base = [n < 10 or 100 * rep > 20 * n for n, _, _, _, rep, _ in counts]
-    soft = [[10 * p * s > n or 100 * p * d > 30 * ln for n, _, s, d, _, ln in counts] for p in (1, 2)]
+    soft = [[10 * p * s > n or 100 * p * d > 50 * ln for n, _, s, d, _, ln in counts] for p in (1, 2)]
     hosts = defaultdict(list)
     for i, r in enumerate(rows):
         hosts[r[3]].append(i)
