@@ -21,23 +21,27 @@ import heapq
 import os
 import re
 import struct
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, pairwise
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers
+from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from shelfmark.llm.common import batches_of, bounded_batches, documents
+from shelfmark.llm.common import bounded_batches, documents
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 THREADS = 2
 MARK = "▁"
-CACHE_SEGMENTS = 200_000
+CACHE_SEGMENTS = 100_000  # twice as many at most
 CACHE_CHARS = 64
 # Fixed values of the model file's format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -98,6 +102,18 @@ class Proto:
             raise ValueError("only unigram and merge models with the metaspace marker in front of words are supported")
 
 
+def _ragged(rows: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All rows joined, and start and length of each in items of `width` bytes."""
+    length = np.fromiter(map(len, rows), np.int64, len(rows)) // width
+    return np.frombuffer(b"".join(rows), np.uint8), np.cumsum(length) - length, length
+
+
+def _gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The pieces flat[start: start + length] one after the other."""
+    before = np.cumsum(length) - length
+    return flat[np.repeat(start - before, length) + np.arange(int(length.sum()))]
+
+
 class Backend:
     """Encoder and decoder of one model."""
 
@@ -125,9 +141,17 @@ class Backend:
         crossed = any(MARK in piece.lstrip(MARK) for piece, _, kind in p.pieces if kind in (NORMAL, USER_DEFINED))
         self.cut = None if crossed else re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         self.ids = ids
+        # A second front on the same model cuts at every marker.
+        self.joint = Tokenizer(model) if self.cut else None
+        if self.joint is not None:
+            self.joint.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
+            self.joint.encode_special_tokens = True
+        self.starts = np.array([piece[:1] == MARK for piece, _, _ in p.pieces])
         self.tied = self._ties() if p.kind == BPE else None
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.raw = [self._bytes(*x) for x in p.pieces]
+        self.raw_flat, self.raw_start, self.raw_length = _ragged(self.raw, 1)
 
     def _merges(self) -> list[tuple[str, str]]:
         """All splits of a piece into two pieces, by falling score of the piece."""
@@ -205,18 +229,98 @@ class Backend:
         """Ids of each text."""
         cut = self.cut.findall if self.cut else lambda s: [s] if s else []
         segments = [cut(self.normalise(x)) for x in texts]
-        if len(self.cache) > CACHE_SEGMENTS:
-            self.cache.clear()
-        known = self.cache
-        new = list(set().union(*segments).difference(known)) if segments else []
-        fresh = {}
-        for some in batches_of(new, 20_000):
-            for s, e in zip(some, self.core.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                tied = self.tied is not None and next(self.tied.iter(s), None) is not None
-                (known if len(s) <= CACHE_CHARS else fresh)[s] = np.array(self._leftmost(s) if tied else e.ids, np.int32).tobytes()
-        look = known.__getitem__ if not fresh else lambda s: known[s] if s in known else fresh[s]
+        distinct = list(set().union(*segments))
+        look = dict(zip(distinct, self._look_up(distinct), strict=True)).__getitem__
         return [np.frombuffer(b"".join(map(look, s)), np.int32) for s in segments]
 
+    def _encode_new(self, segments: list[str]) -> list[bytes]:
+        """Ids of distinct segments, packed.  Where each starts with its only marker, many go into one string."""
+        if self.joint is None or any(s[:1] != MARK or s[1:2] == MARK for s in segments):
+            plain = [i for i, s in enumerate(segments) if self.joint is not None and s[:1] == MARK and s[1:2] != MARK]
+            odd = sorted(set(range(len(segments))).difference(plain))
+            out = [b""] * len(segments)
+            for i, e in zip(odd, self.core.encode_batch_fast([segments[i] for i in odd], add_special_tokens=False), strict=True):
+                out[i] = array("i", e.ids).tobytes()
+            for i, x in zip(plain, self._encode_new([segments[i] for i in plain]) if plain else (), strict=True):
+                out[i] = x
+            return out
+        step, out = 500, []
+        parts = [segments[i: i + step] for i in range(0, len(segments), step)]
+        for part, e in zip(parts, self.joint.encode_batch_fast(["".join(x) for x in parts], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.int32)
+            cuts = np.flatnonzero(self.starts[ids])  # a segment's first piece is its only one with the marker
+            if len(cuts) != len(part):
+                out += [array("i", x.ids).tobytes() for x in self.core.encode_batch_fast(part, add_special_tokens=False)]
+                continue
+            raw, at = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+            out += [raw[a:b] for a, b in pairwise(at)]
+        return out
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of a column in one row, and where each text's begin (and the end).
+
+        Texts whose words are parted by single spaces are cut and made distinct
+        by Arrow; only distinct words are looked at one by one.  Others (runs of
+        spaces, spaces at an end, the marker itself) take `encode`.
+        """
+        if not (self.cut and self.plain and self.proto.dummy_prefix):
+            odd = np.ones(len(texts), bool)
+        else:
+            odd = pc.match_substring_regex(texts, f"^$|^ | $|  |{MARK}").to_numpy(zero_copy_only=False)
+        slow = np.flatnonzero(odd)
+        apart = dict(zip(slow.tolist(), self.encode(texts.take(pa.array(slow)).to_pylist()) if len(slow) else (), strict=True))
+        words = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        coded = words.flatten().dictionary_encode()
+        distinct, at = [MARK + w for w in coded.dictionary.to_pylist()], coded.indices.to_numpy()
+        packed = self._look_up(distinct)
+        flat, start, length = _ragged(packed, 4)
+        ids = _gather(flat.view(np.int32), start[at], length[at])
+        ends = np.concatenate([[0], np.cumsum(length[at])])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        if not len(slow):
+            return ids, ends
+        sizes, quick = np.zeros(len(texts), np.int64), iter(np.split(ids, ends[1:-1]) if len(ends) > 1 else ())
+        parts = [apart[i] if odd[i] else next(quick) for i in range(len(texts))]
+        sizes[:] = [len(x) for x in parts]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
+
+    def _look_up(self, segments: list[str]) -> list[bytes]:
+        """Packed ids of distinct segments, from the cache where it has them."""
+        if len(self.cache) > CACHE_SEGMENTS:  # frequent segments come back from the older half
+            self.cache, self.older = {}, self.cache
+        known, older = self.cache, self.older
+        found = [known.get(s) for s in segments]
+        missing = [i for i, x in enumerate(found) if x is None]
+        new = []
+        for i in missing:
+            x = older.get(segments[i])
+            if x is None:
+                new.append(i)
+            else:
+                found[i] = known[segments[i]] = x
+        for k in range(0, len(new), 5_000):
+            at = new[k: k + 5_000]
+            some = [segments[i] for i in at]
+            packed = self._encode_new(some)
+            for j in self._tied(some):
+                packed[j] = array("i", self._leftmost(some[j])).tobytes()
+            for i, s, x in zip(at, some, packed, strict=True):
+                found[i] = x
+                if len(s) <= CACHE_CHARS:
+                    known[s] = x
+        return found
+
+    def decode_column(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all texts in one row and where each text's begin (with the dummy prefix's space)."""
+        length = self.raw_length[ids]
+        return _gather(self.raw_flat, self.raw_start[ids], length), np.concatenate([[0], np.cumsum(length)])[ends]
+
+    def _tied(self, segments: list[str]) -> set[int]:
+        """Which segments have competing merges."""
+        if self.tied is None:
+            return set()
+        ends = list(accumulate(len(s) + 1 for s in segments))
+        return {bisect_right(ends, at) for at, _ in self.tied.iter("\0".join(segments))}
+
     def decode(self, ids) -> str:
         """Text of ids; invalid byte sequences become U+FFFD."""
         out = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -259,16 +363,15 @@ def piece_ids(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_
         backend = _backend(shared.value)
         for b in batches:
             for part in _by_chars(b):
+                ids, ends = backend.encode_column(part["_text"])
+                raw, cuts = backend.decode_column(ids, ends)
                 texts = part["_text"].to_pylist()
-                ids = backend.encode(texts)
-                sizes = np.array([len(x) for x in ids], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-                cols = [part["_id"], pa.array(sizes), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                        pa.array([backend.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)], pa.bool_())]
+                prefix = b" " if backend.proto.dummy_prefix else b""
+                same = [raw[a:b].tobytes() == (prefix + t.encode() if t else b"") for (a, b), t in zip(pairwise(cuts), texts, strict=True)]
+                cols = [part["_id"], pa.array(np.diff(ends)), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)), pa.array(same, pa.bool_())]
                 if parity:
-                    theirs = _original(shared.value).encode(texts, num_threads=threads)
-                    cols.append(pa.array([x.tolist() == y for x, y in zip(ids, theirs, strict=True)], pa.bool_()))
+                    theirs = _original(shared.value).encode(texts, num_threads=1)
+                    cols.append(pa.array([ids[a:b].tolist() == x for (a, b), x in zip(pairwise(ends), theirs, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays(cols, names=out.names)
 
     return rows.mapInArrow(run, out)
