@@ -34,9 +34,9 @@ def whatif_params(products: DataFrame) -> DataFrame:
     """Discount slider range, sorted distinct categories and the
     simulated discounts in percent.  The product list is its own dataset."""
     return products.agg(F.sort_array(F.collect_set("category")).alias("categories")).select(
-        F.lit(config.OPT_DISCOUNT_MIN * 100).alias("discount_min"),
-        F.lit(config.OPT_DISCOUNT_MAX * 100).alias("discount_max"),
-        F.lit(config.WHATIF_DISCOUNT_RANGE[2]).alias("discount_step"),
+        F.struct(F.lit(config.OPT_DISCOUNT_MIN * 100).alias("min"),
+                 F.lit(config.OPT_DISCOUNT_MAX * 100).alias("max"),
+                 F.lit(config.WHATIF_DISCOUNT_RANGE[2]).alias("step")).alias("discount_range"),
         "categories",
         F.array(*[F.lit(d) * 100 for d in config.SIMULATION_DISCOUNTS]).alias("simulation_discounts"))
 

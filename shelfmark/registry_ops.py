@@ -8,6 +8,7 @@ from pyspark.sql.types import DecimalType
 
 from shelfmark import config
 from shelfmark import oracle as O
+from shelfmark.functions.calendar import add_time_features
 from shelfmark.functions.sqltext import half_up_ratio as hr
 from shelfmark.functions.sqltext import round_half_up_double as r2s
 from shelfmark.operators import clean, kpi, sqlcorpus
@@ -82,6 +83,21 @@ def t5_time_features(spark: SparkSession, d: str) -> DataFrame:
         "is_holiday")
 
 
+# Sales moved by 28 years (the calendar repeats), into the years of the listed holidays.
+_SHIFT_DAYS = 10_227
+_HOLIDAY_LIST = ", ".join(f"DATE '{h}'" for h in config.HOLIDAYS)
+
+
+@register("t5_time_features_shifted", _sql(f"""
+SELECT transaction_id, d AS date, CAST(month(d) AS INTEGER) AS month, CAST(year(d) AS INTEGER) AS year,
+       CAST(isodow(d) IN (6, 7) AS INTEGER) AS is_weekend, CAST(d IN ({_HOLIDAY_LIST}) AS INTEGER) AS is_holiday
+FROM (SELECT transaction_id, CAST(date + INTERVAL {_SHIFT_DAYS} DAY AS DATE) AS d FROM clean)""", CLEAN))
+def t5_time_features_shifted(spark: SparkSession, d: str) -> DataFrame:
+    moved = load_model(spark, d).clean_transactions.select(
+        "transaction_id", F.date_add("date", _SHIFT_DAYS).alias("date"))
+    return add_time_features(moved).select("transaction_id", "date", "month", "year", "is_weekend", "is_holiday")
+
+
 @register("t8_generated", _sql("""
 SELECT transaction_id, product_id, CAST(selling_price * quantity AS DOUBLE) AS revenue,
        CAST((selling_price - cost) * quantity AS DOUBLE) AS profit,
@@ -1000,7 +1016,9 @@ SELECT CAST({config.OPT_DISCOUNT_MIN * 100!r} AS DOUBLE) AS discount_min,
        [{_SIM_PCT}] AS simulation_discounts
 FROM products"""))
 def s14_params(spark: SparkSession, d: str) -> DataFrame:
-    return exports.whatif_params(load_model(spark, d).products)
+    doc = exports.whatif_params(load_model(spark, d).products)
+    return doc.select(*[F.col(f"discount_range.{c}").alias(f"discount_{c}") for c in ("min", "max", "step")],
+                      "categories", "simulation_discounts")
 
 
 @register("g5_ledger", _sql("""
