@@ -44,14 +44,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import bounded_batches, documents, materialise, words_of
+from shelfmark.llm.common import bounded_batches, documents, drop_folders, materialise, scratch_mark, scratch_since, words_of
 from shelfmark.llm.graph import components
 
 MINIMA, COORDINATES, WIDTH, BYTES = 192, 48, 5, 64
 MATCHES = 34  # of BYTES; J = 0.8 gives 51.2 on average, with a deviation of 3.2
 CHUNK = 4096  # classes of one list that are compared at once
-BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 21
-CACHE = 200_000
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
+CACHE = 100_000
 _U = np.uint64
 
 
@@ -309,6 +309,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
     kind = texts.schema["_id"].dataType.simpleString()
     sketches = materialise(texts.mapInArrow(lambda x: _sketch(x, size), f"_id {kind}, _tie long, _n long, _cid long, _keys array<long>, _bytes binary"), "sketches")
+    mark = scratch_mark()
     stars = materialise(_candidate_links(sketches), "candidates")
     roots = components(stars, "candidate-roots")
     links = _confirmed(texts, sketches, roots, size, percent)
@@ -322,7 +323,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         classes = classes.join(moved, "_cid", "left").select("_cid", F.coalesce("_best", "r").alias("_best"))
     else:
         classes = classes.select("_cid", F.col("r").alias("_best"))
-    return (rows.join(classes, "_cid", "left").select("_id", "_tie", "_n", F.coalesce("_best", _rank("r")).alias("_best")))
+    # Written, so that the join is between two dealt-out tables and a class with many copies can be split.
+    used = scratch_since(mark)
+    classes = materialise(classes, "classes")
+    drop_folders(spark, used)
+    worded = rows.filter("_cid is not null").join(classes, "_cid").select("_id", "_tie", "_n", "_best")
+    return worded.unionByName(rows.filter("_cid is null").select("_id", "_tie", "_n", _rank("_best")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
