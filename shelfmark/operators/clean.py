@@ -7,7 +7,7 @@ transformation; none of them collects data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfmark import config
