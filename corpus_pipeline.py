@@ -79,5 +79,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}", "snappy")
     return STAGES[-1][1](spark, docs, sf_dir)

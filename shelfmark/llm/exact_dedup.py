@@ -208,7 +208,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     owned = (entries.withColumn("_to", to).repartitionById(n, "_to").drop("_to")
              .sortWithinPartitions(*order).mapInArrow(lambda x: _own(x, arrow), out))
     path = scratch_folder(spark, "exact-index")
-    owned.write.option("compression", "zstd").parquet(path)
+    owned.write.option("compression", "snappy").parquet(path)
     return spark.read.schema(out).parquet(path)
 
 

@@ -16,13 +16,14 @@ form a class and are handled once.
    threshold (34 of 64 bytes, six deviations below J = 0.8) stay connected, and a
    list hands on a spanning star per connected part, never its pairs.
 3. Connected components of these stars hold every true link.  Each component is
-   cut into blocks; each pair of blocks is one unit of work that reads its texts
-   again, builds the full sets and confirms links exactly (100 * intersection >=
-   80 * union).  Pairs that are already connected are skipped, so a unit returns
-   a forest of confirmed links.  Components of confirmed links are the groups.
+   cut into blocks; units of work build the full sets from the texts and confirm
+   links exactly (100 * intersection >= 80 * union).  Pairs that are already
+   connected are skipped, so a unit returns a forest of confirmed links.
+   Components of confirmed links are the groups.
 
 Nothing is capped: long lists are chunked (their parts' representatives meet
-again in a further round), large components are worked off in pairs of blocks.
+again in a further round); across the blocks of a large component every pair
+that is not connected yet is looked at (`_confirmed`).
 Class ids and shingles are 64-bit hashes.
 
 Defined results: null and empty texts have the empty set, are linked with
@@ -51,6 +52,7 @@ MINIMA, COORDINATES, WIDTH, BYTES = 192, 48, 5, 64
 MATCHES = 34  # of BYTES; J = 0.8 gives 51.2 on average, with a deviation of 3.2
 CHUNK = 4096  # classes of one list that are compared at once
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 19
+REPRESENTATIVES = 16  # of a block's largest part
 CACHE = 100_000
 _U = np.uint64
 
@@ -200,31 +202,31 @@ def _confirm(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iter
         edge = _starts(table["_root"].to_numpy(), table["_unit"].to_numpy())
         for i, j in zip(edge[:-1], edge[1:], strict=True):
             t = table.slice(i, j - i)
-            links = _links([shingle(words_of(x)) for x in t["_text"].to_pylist()], t["_cid"].to_numpy(), t["_block"].to_numpy(), percent)
+            links = _links([shingle(words_of(x)) for x in t["_text"].to_pylist()], *(t[c].to_numpy() for c in ("_cid", "_side", "_label")), percent)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
 
 
-def _links(sets: list[np.ndarray], cid: np.ndarray, block: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Confirmed links between classes, as few as connect what is connected.
+def _links(sets: list[np.ndarray], cid: np.ndarray, side: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between classes, as few as connect what `known` (a label per class) does not connect yet.
 
-    With two blocks only pairs across them are looked at.
+    With two sides only pairs across them are looked at.
     """
     once = np.unique(cid, return_index=True)[1]  # a class may come from several rows
-    sets, cid, block = [sets[i] for i in once], cid[once], block[once]
+    sets, cid, side = [sets[i] for i in once], cid[once], side[once]
     n = len(sets)
     count = np.array([len(s) for s in sets], np.int64)
-    across = block.min() != block.max()
+    across = side.min() != side.max()
     sig = np.stack([signature(s)[MINIMA:] >> np.uint32(24) for s in sets]).astype(np.uint8)
     words, local = np.unique(np.concatenate(sets), return_inverse=True)
     offsets = np.concatenate([[0], np.cumsum(count)])
     mask = np.zeros(len(words), bool)
-    label, found = np.arange(n), []
+    label, found = np.unique(known[once], return_inverse=True)[1], []
     for i in range(n - 1):
         rest = np.arange(i + 1, n)
         ok = (label[rest] != label[i]) & (100 * np.minimum(count[rest], count[i]) >= percent * np.maximum(count[rest], count[i]))
         if across:
-            ok &= block[rest] != block[i]
+            ok &= side[rest] != side[i]
         rest = rest[ok]
         if not len(rest):
             continue
@@ -277,8 +279,26 @@ def _rank(c: str) -> Column:
     return F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_tie").alias("tie")).alias(c)
 
 
-def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links within the candidate components."""
+def _units(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Confirmed links of units of work: rows (_cid _root _unit _side _label _n), the texts joined by class."""
+    load = members.agg(F.count(F.lit(1)).alias("rows"), F.sum("_n").alias("shingles")).first()
+    tasks = max(1, -(-load["rows"] // BLOCK_ROWS), -(-(load["shingles"] or 0) // BLOCK_SHINGLES))
+    dealt = members.drop("_n").join(texts, "_cid").withColumn("_to", F.pmod(F.xxhash64("_root", "_unit"), F.lit(tasks)).cast("int"))
+    ordered = (dealt.repartitionById(tasks, "_to").sortWithinPartitions("_root", "_unit")
+               .select("_cid", "_root", "_unit", "_side", "_label", "_text"))
+    return materialise(ordered.mapInArrow(lambda x: _confirm(x, size, percent), "a long, b long"), "links")
+
+
+def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Confirmed links within the candidate components; None where there are no candidates.
+
+    A component of several blocks is worked off block by block first.  The
+    largest part of each block is then tied to the next block's by a few
+    representatives, so that normally one main part spans all blocks.  What is
+    not in the main part (the others) is compared with every block; two members
+    of the main part never need to be.  A component of n classes with m others
+    so costs n rows for every BLOCK_ROWS others, not n rows for every block.
+    """
     # One row per class: the smallest row of the class provides the text.
     reps = (sketches.filter("_cid is not null").groupBy("_cid").agg(F.min(_rank("r")).alias("r"), F.max("_n").alias("_n"))
             .join(roots.select(F.col("node").alias("_cid"), F.col("root").alias("_root")), "_cid"))
@@ -286,20 +306,51 @@ def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: in
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     placed = materialise(reps.join(total.select("_root", blocks.alias("_blocks")), "_root")
                          .withColumn("_block", F.pmod(F.xxhash64("_cid"), F.col("_blocks")).cast("int")), "members")
-    load = placed.agg(F.sum("_blocks").alias("rows"), F.sum(F.col("_n") * F.col("_blocks")).alias("shingles")).first()
-    if not load["rows"]:
+    if placed.isEmpty():
         return None
-    units = max(1, -(-load["rows"] // BLOCK_ROWS), -(-load["shingles"] // BLOCK_SHINGLES))
-    member = placed.select(F.col("r.id").alias("_mid"), F.col("r.tie").alias("_mtie"), "_cid", "_root", "_block", "_blocks")
-    # Both sides are dealt out by key at every size: the corpus is large against any table of candidates.
+    member = placed.select(F.col("r.id").alias("_mid"), F.col("r.tie").alias("_mtie"), "_cid")
+    # The corpus is dealt out by key once, at every size: it is large against any table of candidates.
     found = texts.join(member.hint("merge"), (F.col("_tie") == F.col("_mtie")) & F.col("_id").eqNullSafe(F.col("_mid")))
-    # A row goes to the unit of its block and to the units that pair its block with another.
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    dealt = (found.select("_cid", "_root", "_block", "_blocks", "_text", other.alias("_other"))
-             .withColumn("_unit", F.least("_block", "_other").cast("long") * F.col("_blocks") + F.greatest("_block", "_other"))
-             .withColumn("_to", F.pmod(F.xxhash64("_root", "_unit"), F.lit(units)).cast("int")))
-    ordered = dealt.repartitionById(units, "_to").sortWithinPartitions("_root", "_unit").select("_cid", "_root", "_unit", "_block", "_text")
-    return ordered.mapInArrow(lambda x: _confirm(x, size, percent), "a long, b long")
+    kept = materialise(found.groupBy("_cid").agg(F.first("_text").alias("_text")), "texts", "snappy")
+    own = placed.select("_cid", "_root", F.col("_block").cast("long").alias("_unit"), F.lit(0).alias("_side"), F.col("_cid").alias("_label"), "_n")
+    links = _units(own, kept, size, percent)
+    large = placed.filter("_blocks > 1").drop("r")
+    if large.isEmpty():
+        return links
+
+    def labelled(so_far: DataFrame) -> DataFrame:
+        parts = components(so_far, "parts").select(F.col("node").alias("_cid"), F.col("root").alias("_part"))
+        return materialise(large.join(parts, "_cid", "left").withColumn("_label", F.coalesce("_part", "_cid")).drop("_part"), "parts")
+
+    def largest(rows: DataFrame, *keys: str) -> DataFrame:
+        sizes = rows.groupBy(*keys, "_label").agg(F.count(F.lit(1)).alias("n"))
+        return sizes.groupBy(*keys).agg(F.max(F.struct("n", "_label")).alias("m")).select(*keys, F.col("m._label").alias("_label"))
+
+    rows = labelled(links)
+    few = (rows.join(largest(rows, "_root", "_block"), ["_root", "_block", "_label"])
+           .groupBy("_root", "_block", "_blocks", "_label", F.pmod(F.xxhash64("_cid", "_root"), F.lit(REPRESENTATIVES)).alias("k"))
+           .agg(F.min(F.struct("_cid", "_n")).alias("m")).select("_root", "_block", "_blocks", "_label", "m._cid", "m._n"))
+    # Unit i ties block i to block i + 1.
+    tied = few.select("_cid", "_root", F.explode(F.array(F.struct(F.col("_block").alias("u"), F.lit(0).alias("s")), F.struct(
+        (F.col("_block") - 1).alias("u"), F.lit(1).alias("s")))).alias("e"), "_label", "_n").filter("e.u >= 0")
+    tied = tied.select("_cid", "_root", F.col("e.u").cast("long").alias("_unit"), F.col("e.s").alias("_side"), "_label", "_n")
+    links = links.unionByName(_units(tied, kept, size, percent))
+    rows = labelled(links)
+    main = largest(rows, "_root").withColumnRenamed("_label", "_main")
+    marked = materialise(rows.join(main, "_root"), "marked")
+    other = marked.filter("_label <> _main")
+    chunks = other.groupBy("_root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_chunks"))
+    if chunks.isEmpty():
+        return links
+    sized = marked.join(chunks, "_root")
+    unit = lambda block, chunk: (block.cast("long") * F.col("_chunks") + chunk).alias("_unit")
+    held = sized.select("_cid", "_root", "_block", "_chunks", "_label", "_n", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("c")).select(
+        "_cid", "_root", unit(F.col("_block"), F.col("c")), F.lit(0).alias("_side"), "_label", "_n")
+    moved = sized.filter("_label <> _main").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).filter("b <> _block").select(
+        "_cid", "_root", unit(F.col("b"), F.pmod(F.xxhash64("_cid", "_root"), F.col("_chunks"))), F.lit(1).alias("_side"), "_label", "_n")
+    # A unit without others has nothing to compare.
+    active = moved.select("_root", "_unit").distinct()
+    return links.unionByName(_units(held.join(active, ["_root", "_unit"], "left_semi").unionByName(moved), kept, size, percent))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
@@ -316,7 +367,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = sketches.select("_id", "_tie", "_n", "_cid")
     classes = rows.filter("_cid is not null").groupBy("_cid").agg(F.min(_rank("r")).alias("r"))
     if links is not None:
-        linked = components(materialise(links, "links"), "roots")
+        linked = components(links, "roots")
         grouped = materialise(linked.select(F.col("node").alias("_cid"), "root").join(classes, "_cid"), "groups")
         best = materialise(grouped.groupBy("root").agg(F.min("r").alias("_best")), "best")
         moved = grouped.join(best, "root").select("_cid", "_best")

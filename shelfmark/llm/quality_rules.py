@@ -112,7 +112,7 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source", car
     """Every row with its counts and verdict; `carry` columns (default all) ride along in `_row`."""
     carried = [F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]
     rows = docs.select(F.struct(*carried).alias("_row"), F.col(host_col).alias("_host"), F.col(text_col).alias("_text"))
-    marked = materialise(features(rows, F.col("_text")).drop("_text"), "rules")
+    marked = materialise(features(rows, F.col("_text")).drop("_text"), "rules", "snappy")
     verdicts = host_verdicts(marked)
     joined = marked.join(verdicts, marked["_host"].eqNullSafe(verdicts["_host"])).drop(verdicts["_host"])
     soft = (F.when(F.col("_host_verdict") == "trusted", F.lit(False)).when(F.col("_host_verdict") == "bad", _soft_failed(2)).otherwise(_soft_failed(1)))
