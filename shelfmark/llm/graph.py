@@ -28,8 +28,8 @@ def components(links: DataFrame, name: str) -> DataFrame:
         seen = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = materialise(large, name)
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        large = materialise(large, name)  # repeats are dropped once a round, below
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         step = materialise(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)

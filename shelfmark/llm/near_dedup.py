@@ -196,7 +196,7 @@ def _parts(sig: np.ndarray, near: np.ndarray) -> np.ndarray:
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Units of work (a block, or a pair of blocks): a forest of confirmed links (a, b)."""
+    """Units of work: confirmed links (a, b), as few as connect what is connected."""
     shingle = Shingler(size)
     for table in _groups(batches, ["_root", "_unit"]):
         edge = _starts(table["_root"].to_numpy(), table["_unit"].to_numpy())
@@ -204,13 +204,16 @@ def _confirm(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iter
             t = table.slice(i, j - i)
             links = _links([shingle(words_of(x)) for x in t["_text"].to_pylist()], *(t[c].to_numpy() for c in ("_cid", "_side", "_label")), percent)
             if links:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+                large = pa.array([t["_large"][0].as_py()] * len(links), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64()), large],
+                                                 names=["a", "b", "_large"])
 
 
 def _links(sets: list[np.ndarray], cid: np.ndarray, side: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Confirmed links between classes, as few as connect what `known` (a label per class) does not connect yet.
 
-    With two sides only pairs across them are looked at.
+    With two sides only pairs across them are looked at, and the new links are
+    returned; with one side a star per connected part (member, its first class).
     """
     once = np.unique(cid, return_index=True)[1]  # a class may come from several rows
     sets, cid, side = [sets[i] for i in once], cid[once], side[once]
@@ -245,7 +248,11 @@ def _links(sets: list[np.ndarray], cid: np.ndarray, side: np.ndarray, known: np.
             rest = rest[label[rest] != label[i]]  # what is connected by now is skipped
             step = 64
         mask[local[offsets[i]: offsets[i + 1]]] = False
-    return found
+    if across:
+        return found
+    first, part = np.unique(label, return_index=True, return_inverse=True)[1:]
+    centre = cid[first[part]]
+    return [(int(a), int(b)) for a, b in zip(cid, centre, strict=True) if a != b]
 
 
 def _candidate_links(sketches: DataFrame) -> DataFrame:
@@ -280,17 +287,17 @@ def _rank(c: str) -> Column:
 
 
 def _units(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Confirmed links of units of work: rows (_cid _root _unit _side _label _n), the texts joined by class."""
+    """Confirmed links of units of work: rows (_cid _root _unit _side _label _n _large), the texts joined by class."""
     load = members.agg(F.count(F.lit(1)).alias("rows"), F.sum("_n").alias("shingles")).first()
     tasks = max(1, -(-load["rows"] // BLOCK_ROWS), -(-(load["shingles"] or 0) // BLOCK_SHINGLES))
     dealt = members.drop("_n").join(texts, "_cid").withColumn("_to", F.pmod(F.xxhash64("_root", "_unit"), F.lit(tasks)).cast("int"))
     ordered = (dealt.repartitionById(tasks, "_to").sortWithinPartitions("_root", "_unit")
-               .select("_cid", "_root", "_unit", "_side", "_label", "_text"))
-    return materialise(ordered.mapInArrow(lambda x: _confirm(x, size, percent), "a long, b long"), "links")
+               .select("_cid", "_root", "_unit", "_side", "_label", "_large", "_text"))
+    return materialise(ordered.mapInArrow(lambda x: _confirm(x, size, percent), "a long, b long, _large boolean"), "links")
 
 
 def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: int, percent: int) -> DataFrame | None:
-    """Confirmed links within the candidate components; None where there are no candidates.
+    """(node, root) of the groups of confirmed links within the candidate components; None where there are no candidates.
 
     A component of several blocks is worked off block by block first.  The
     largest part of each block is then tied to the next block's by a few
@@ -312,45 +319,52 @@ def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: in
     # The corpus is dealt out by key once, at every size: it is large against any table of candidates.
     found = texts.join(member.hint("merge"), (F.col("_tie") == F.col("_mtie")) & F.col("_id").eqNullSafe(F.col("_mid")))
     kept = materialise(found.groupBy("_cid").agg(F.first("_text").alias("_text")), "texts", "snappy")
-    own = placed.select("_cid", "_root", F.col("_block").cast("long").alias("_unit"), F.lit(0).alias("_side"), F.col("_cid").alias("_label"), "_n")
+    own = placed.select("_cid", "_root", F.col("_block").cast("long").alias("_unit"), F.lit(0).alias("_side"), F.col("_cid").alias("_label"), "_n",
+                        (F.col("_blocks") > 1).alias("_large"))
     links = _units(own, kept, size, percent)
-    large = placed.filter("_blocks > 1").drop("r")
+    # A component of one block is finished: its stars are its groups.
+    done = links.filter("not _large").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    done = done.unionByName(done.select(F.col("root").alias("node"), "root").distinct())
+    large = placed.filter("_blocks > 1").drop("r").withColumn("_large", F.lit(True))
     if large.isEmpty():
-        return links
+        return done
+    links = links.filter("_large")
 
-    def labelled(so_far: DataFrame) -> DataFrame:
-        parts = components(so_far, "parts").select(F.col("node").alias("_cid"), F.col("root").alias("_part"))
-        return materialise(large.join(parts, "_cid", "left").withColumn("_label", F.coalesce("_part", "_cid")).drop("_part"), "parts")
+    def labelled(parts: DataFrame) -> DataFrame:
+        named = parts.select(F.col("node").alias("_cid"), F.col("root").alias("_part"))
+        return materialise(large.join(named, "_cid", "left").withColumn("_label", F.coalesce("_part", "_cid")).drop("_part"), "parts")
 
     def largest(rows: DataFrame, *keys: str) -> DataFrame:
         sizes = rows.groupBy(*keys, "_label").agg(F.count(F.lit(1)).alias("n"))
         return sizes.groupBy(*keys).agg(F.max(F.struct("n", "_label")).alias("m")).select(*keys, F.col("m._label").alias("_label"))
 
-    rows = labelled(links)
+    rows = labelled(links.select(F.col("a").alias("node"), F.col("b").alias("root")))
     few = (rows.join(largest(rows, "_root", "_block"), ["_root", "_block", "_label"])
-           .groupBy("_root", "_block", "_blocks", "_label", F.pmod(F.xxhash64("_cid", "_root"), F.lit(REPRESENTATIVES)).alias("k"))
-           .agg(F.min(F.struct("_cid", "_n")).alias("m")).select("_root", "_block", "_blocks", "_label", "m._cid", "m._n"))
+           .groupBy("_root", "_block", "_label", F.pmod(F.xxhash64("_cid", "_root"), F.lit(REPRESENTATIVES)).alias("k"))
+           .agg(F.min(F.struct("_cid", "_n")).alias("m")).select("_root", "_block", "_label", "m._cid", "m._n"))
     # Unit i ties block i to block i + 1.
     tied = few.select("_cid", "_root", F.explode(F.array(F.struct(F.col("_block").alias("u"), F.lit(0).alias("s")), F.struct(
         (F.col("_block") - 1).alias("u"), F.lit(1).alias("s")))).alias("e"), "_label", "_n").filter("e.u >= 0")
-    tied = tied.select("_cid", "_root", F.col("e.u").cast("long").alias("_unit"), F.col("e.s").alias("_side"), "_label", "_n")
+    tied = tied.select("_cid", "_root", F.col("e.u").cast("long").alias("_unit"), F.col("e.s").alias("_side"), "_label", "_n", F.lit(True).alias("_large"))
     links = links.unionByName(_units(tied, kept, size, percent))
-    rows = labelled(links)
+    parts = components(links, "parts")
+    rows = labelled(parts)
     main = largest(rows, "_root").withColumnRenamed("_label", "_main")
     marked = materialise(rows.join(main, "_root"), "marked")
     other = marked.filter("_label <> _main")
     chunks = other.groupBy("_root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("_chunks"))
     if chunks.isEmpty():
-        return links
+        return done.unionByName(parts)
     sized = marked.join(chunks, "_root")
     unit = lambda block, chunk: (block.cast("long") * F.col("_chunks") + chunk).alias("_unit")
-    held = sized.select("_cid", "_root", "_block", "_chunks", "_label", "_n", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("c")).select(
-        "_cid", "_root", unit(F.col("_block"), F.col("c")), F.lit(0).alias("_side"), "_label", "_n")
+    held = sized.select("_cid", "_root", "_block", "_chunks", "_label", "_n", "_large", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("c")).select(
+        "_cid", "_root", unit(F.col("_block"), F.col("c")), F.lit(0).alias("_side"), "_label", "_n", "_large")
     moved = sized.filter("_label <> _main").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).filter("b <> _block").select(
-        "_cid", "_root", unit(F.col("b"), F.pmod(F.xxhash64("_cid", "_root"), F.col("_chunks"))), F.lit(1).alias("_side"), "_label", "_n")
+        "_cid", "_root", unit(F.col("b"), F.pmod(F.xxhash64("_cid", "_root"), F.col("_chunks"))), F.lit(1).alias("_side"), "_label", "_n", "_large")
     # A unit without others has nothing to compare.
     active = moved.select("_root", "_unit").distinct()
-    return links.unionByName(_units(held.join(active, ["_root", "_unit"], "left_semi").unionByName(moved), kept, size, percent))
+    more = _units(held.join(active, ["_root", "_unit"], "left_semi").unionByName(moved), kept, size, percent)
+    return done.unionByName(components(links.unionByName(more), "roots"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
@@ -363,11 +377,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mark = scratch_mark()
     stars = materialise(_candidate_links(sketches), "candidates")
     roots = components(stars, "candidate-roots")
-    links = _confirmed(texts, sketches, roots, size, percent)
+    linked = _confirmed(texts, sketches, roots, size, percent)
     rows = sketches.select("_id", "_tie", "_n", "_cid")
     classes = rows.filter("_cid is not null").groupBy("_cid").agg(F.min(_rank("r")).alias("r"))
-    if links is not None:
-        linked = components(links, "roots")
+    if linked is not None:
         grouped = materialise(linked.select(F.col("node").alias("_cid"), "root").join(classes, "_cid"), "groups")
         best = materialise(grouped.groupBy("root").agg(F.min("r").alias("_best")), "best")
         moved = grouped.join(best, "root").select("_cid", "_best")
