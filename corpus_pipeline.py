@@ -60,7 +60,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix."""
-    return pieces.piece_ids(docs)
+    return pieces.piece_ids(docs, keep=False)  # leaves the workers' memory to the other stages
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -346,8 +346,10 @@ def load(path: str) -> Backend:
 
 
 def piece_ids(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text", parity: bool = False,
-              threads: int = THREADS) -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids, round_trip (decoded equals the text), and on request parity (same ids as the original library)."""
+              threads: int = THREADS, keep: bool = True) -> DataFrame:
+    """With `keep` Python workers hold the model and the known segments between tasks; without, until the task's end.
+
+    One row per document: doc_id, n_tokens, ids, round_trip (decoded equals the text), and on request parity (same ids as the original library)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     with open(model, "rb") as f:
@@ -360,7 +362,7 @@ def piece_ids(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))  # before the library's pool starts
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
-        backend = _backend(shared.value)
+        backend = _backend(shared.value) if keep else Backend(shared.value)
         for b in batches:
             for part in _by_chars(b):
                 ids, ends = backend.encode_column(part["_text"])
