@@ -1,23 +1,12 @@
 import os
 import sys
 import tempfile
-from datetime import date
-from decimal import Decimal
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TXN_SCHEMA = ("transaction_id bigint, date date, product_id bigint, store_id bigint, "
-              "quantity bigint, selling_price decimal(12,2), base_price decimal(12,2), "
-              "cost decimal(12,2), competitor_price decimal(12,2), is_promotion int, "
-              "discount_pct double, revenue decimal(18,2), profit decimal(18,2)")
-PRODUCT_SCHEMA = ("product_id bigint, product_name string, category string, "
-                  "base_price decimal(12,2), cost decimal(12,2), base_demand double, "
-                  "elasticity double")
-INVENTORY_SCHEMA = ("product_id bigint, store_id bigint, initial_stock bigint, total_sold bigint, "
-                    "replenishment bigint, current_stock bigint, warehouse_stock bigint, "
-                    "reorder_level bigint")
+from pricing_rows import TXN_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -29,18 +18,6 @@ def spark():
     s.stop()
 
 
-def D(x):
-    return None if x is None else Decimal(str(x))
-
-
-def txn_row(tid, pid=1, price=10, qty=1, base=10, cost=5, day=date(2024, 1, 1), store=1,
-            disc=0.0, comp=None):
-    p = D(price)
-    rev = None if p is None else D(price) * qty
-    prof = None if p is None or cost is None else (D(price) - D(cost)) * qty
-    return (tid, day, pid, store, qty, p, D(base), D(cost), D(comp), int(disc > 0), disc, rev, prof)
-
-
 @pytest.fixture
 def make_txn(spark):
     def build(rows):

@@ -1,7 +1,7 @@
 from datetime import date
 
 
-from conftest import txn_row
+from pricing_rows import txn_row
 from shelfmark.operators import clean
 
 
@@ -56,7 +56,7 @@ def test_recent_window_is_inclusive(make_txn):
 
 
 def test_constraint_report_counts(spark, make_txn):
-    from conftest import INVENTORY_SCHEMA, PRODUCT_SCHEMA
+    from pricing_rows import INVENTORY_SCHEMA, PRODUCT_SCHEMA
     products = spark.createDataFrame([(1, "a", "X", 10, 5, 1.0, -1.0)],
                                      PRODUCT_SCHEMA.replace("decimal(12,2)", "int"))
     stores = spark.createDataFrame([(1, "s", "c", "r", 1)],

@@ -4,7 +4,7 @@ from datetime import date
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import INVENTORY_SCHEMA, PRODUCT_SCHEMA, txn_row
+from pricing_rows import INVENTORY_SCHEMA, PRODUCT_SCHEMA, txn_row
 from shelfmark.operators import elasticity, forecast, markdown, optimize, sqlcorpus
 
 SMOKE = "/root/testdata/sf0.001"
