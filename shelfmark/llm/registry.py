@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import exact_dedup, language_id, licenses, mixing, near_dedup, pieces, quality_model, quality_rules, secrets, token_counts
+from shelfmark.llm import (
+    exact_dedup,
+    language_id,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    periodic_runs,
+    pieces,
+    quality_model,
+    quality_rules,
+    ranked_search,
+    secrets,
+    token_counts,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,9 +29,13 @@ QUERIES = {
     "op8_near_dedup": near_dedup.query,
     "op9_language_id": language_id.query,
     "op10_sentencepiece": pieces.query,
+    "op11_ranked_search": ranked_search.query,
+    "op12_periodic_runs": periodic_runs.query,
+    "op13_packing": packing.query,
 }
 ORACLE = {
     "op1_exact_dedup": exact_dedup.ORACLE,
     "op5_quality_rules": quality_rules.ORACLE,
     "op6_mixing": mixing.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
 }
