@@ -35,8 +35,11 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +59,7 @@ STEP = 0.5  # share of a size that one round may cover
 LEARNING = 0.3  # how fast prices fall with that share
 PREMIUM = 0.2  # first prices per place, of the longest size beyond the shortest: long pieces find their fillers early
 SLACK = 5e-4  # a configuration may waste this share beyond the dual bound
-CACHE = 200_000  # words whose ids a worker keeps
+CACHE = 700_000  # words whose ids a worker keeps
 _RANK_BITS = 40
 
 Configuration = tuple[tuple[int, int], ...]  # (length, pieces of it), longest first
@@ -181,30 +184,75 @@ def slots(packing: list[tuple[Configuration, int]]) -> list[Slot]:
 # --- the documents ---------------------------------------------------------------------
 
 
+def _byte_characters() -> list[str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones themselves, the others from U+0100 on."""
+    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
+
+
 class WordEncoder:
     """Token ids of a text as little-endian bytes.
 
     The tokenizer drops white space and looks at nothing across it, so a text's ids
     are those of its words one after the other; words seen are kept, up to a bound.
+    A word of Latin letters is one pre-token, so its merges are asked of the model
+    directly, and a comma or full stop behind it is the next pre-token; all other
+    words go through the whole tokenizer.
     """
 
+    _LATIN = "\u0250"  # letters below it are the same in every Unicode version
+
     def __init__(self, model: str, limit: int = CACHE) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         self.tokenizer = Tokenizer.from_str(model)
+        self.model = self.tokenizer.model
+        self.characters = _byte_characters()
         self.known: dict[bytes, bytes] = {}
+        self.recent: set[bytes] = set()
         self.limit = limit
+        self.marks = {mark: self._whole([mark])[0] for mark in (b".", b",")}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         words = [t.split() for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = list(set().union(*words).difference(self.known))
-        codes = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, codes))
+        if len(self.known) > self.limit:  # words of the last batch stay
+            self.known = {w: self.known[w] for w in self.recent}
+        self.recent = set().union(*words)
+        rest = []
+        for w in self.recent.difference(self.known):
+            coded = self._letters(w)
+            if coded is None:
+                rest.append(w)
+            else:
+                self.known[w] = coded
+        self.known.update(zip(rest, self._whole(rest)))
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [array("I", c.ids).tobytes() for c in codes]
+
+    def _letters(self, word: bytes) -> bytes | None:
+        """Ids of a word of Latin letters and perhaps a mark, None for any other word."""
+        mark = self.marks.get(word[-1:])
+        stem = word if mark is None else word[:-1]
+        if stem.isalpha():  # ASCII letters
+            piece = stem.lower().decode()
+        else:
+            text = normalize("NFC", stem.decode("utf-8", "replace")).lower()
+            if not text.isalpha() or max(text) >= self._LATIN:
+                return None
+            piece = "".join(self.characters[b] for b in text.encode())
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes() + (mark or b"")
+
+
+@lru_cache(1)
+def _encoder(model: str) -> WordEncoder:
+    """One encoder per worker process, so that its words serve the tasks that follow."""
+    return WordEncoder(model)
+
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity: int, end_id: int, keep_ids: bool) -> DataFrame:
     """Written table of all pieces: id, piece, start, length, ids_crc32[, ids]; `_part` and `_nth` number those of a length."""
@@ -223,7 +271,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, end, seen = WordEncoder(model.value), np.array([end_id], "<u4").tobytes(), [0] * (capacity + 1)
+        encode, end, seen = _encoder(model.value), np.array([end_id], "<u4").tobytes(), [0] * (capacity + 1)
         for batch in batches:
             cols: list[list] = [[] for _ in fields]
             for i, coded in zip(batch[0].to_pylist(), encode([t or b"" for t in batch[1].to_pylist()])):
