@@ -1,8 +1,10 @@
 """Price elasticity (E1-E9): log-log regressions as distributed aggregates.
 
-Every fit is a set of mergeable moment aggregates (``regr_*``, ``covar_pop``,
-``avg``), so Spark combines them map-side and a product or category holding a
-third of all rows costs one partial aggregate per task, not one huge group.
+The fact table is read once: per product it becomes one row of counts, means and
+centred co-moments (``product_moments``), combined map-side, so a product with a
+third of all rows costs one partial aggregate per task.  Rows of moments merge to
+any coarser key by the pairwise update, so the category fits and the pooled model
+start from the product rows and the product table meets nothing larger.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 
 from shelfmark import config
 from shelfmark.functions.labels import classify_elasticity
+from shelfmark.sources.shared import write_shared
 
 FEATURES = ("ln_price", "is_promotion", "month", "ln_comp_price")
 
@@ -24,56 +27,103 @@ def safe_ln(c: Column) -> Column:
     return F.when(c > 0, F.ln(c.cast("double")))
 
 
-def _log_pairs(txn: DataFrame) -> DataFrame:
-    """Quantity > 0, both logs defined."""
-    return (txn.filter(F.col("quantity") > 0)
-            .withColumn("ln_qty", safe_ln(F.col("quantity")))
-            .withColumn("ln_price", safe_ln(F.col("selling_price")))
-            .dropna(subset=["ln_qty", "ln_price"]))
-
-
-def _fit(keys: list[str], df: DataFrame, min_obs: int) -> DataFrame:
-    """Least squares ln_qty ~ ln_price per key group.
-
-    A constant price (zero x-variance) gives slope 0, intercept mean(y) and
-    r2 0, or r2 1 when y is constant too, which is what ordinary least
-    squares returns; regr_* alone would give NULL there."""
-    y, x = F.col("ln_qty"), F.col("ln_price")
-    a = df.groupBy(*keys).agg(
-        F.regr_slope(y, x).alias("_b"),
-        F.regr_intercept(y, x).alias("_a"),
-        F.regr_r2(y, x).alias("_r2"),
-        F.regr_count(y, x).alias("n_obs"),
-        F.avg(y).alias("_ym"),
-        F.var_pop(y).alias("_vy"),
-    ).filter(F.col("n_obs") >= min_obs)
-    r2 = F.coalesce(F.col("_r2"), F.when(F.col("_vy") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
-    elasticity = F.round(F.coalesce(F.col("_b"), F.lit(0.0)), 4)
-    return a.select(
+def _observations(txn: DataFrame, features: tuple[str, ...]) -> DataFrame:
+    """Quantity > 0 and both logs defined; with more features, `_full` marks rows that have them all."""
+    named = {"ln_price": safe_ln(F.col("selling_price"))}
+    if len(features) > 1:
+        named |= {"is_promotion": F.col("is_promotion").cast("double"), "month": F.col("month").cast("double"),
+                  "ln_comp_price": safe_ln(F.col("competitor_price"))}
+    rows = (txn.filter(F.col("quantity") > 0)
+            .select("product_id", safe_ln(F.col("quantity")).alias("y"), *[named[f].alias(f"x{i}") for i, f in enumerate(features)])
+            .dropna(subset=["y", "x0"]))
+    full = F.lit(True)
+    for i in range(len(features)):
+        full &= F.col(f"x{i}").isNotNull()
+    return rows.withColumn("_full", full)
+
+
+def _variables(k: int) -> list[str]:
+    return ["y", *(f"x{i}" for i in range(k))]
+
+
+def _pairs(k: int) -> list[tuple[str, str]]:
+    v = _variables(k)
+    return [(a, b) for i, a in enumerate(v) for b in v[i:]]
+
+
+def _moments(k: int, prefix: str, seen: Column) -> list[Column]:
+    """Count, means and centred co-moments of y, x0 .. x(k-1) over the rows `seen`."""
+    v = {c: F.when(seen, F.col(c)) for c in _variables(k)}
+    n = F.count(F.when(seen, F.lit(1)))
+    return [n.alias(f"{prefix}n"), *(F.avg(v[c]).alias(f"{prefix}m_{c}") for c in v),
+            *((F.covar_pop(v[a], v[b]) * n).alias(f"{prefix}c_{a}_{b}") for a, b in _pairs(k))]
+
+
+def product_moments(txn: DataFrame, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """One pass over the fact: per product the moments of (ln_qty, ln_price), and with more features
+    (prefix ``f_``) those of all of them over the rows that have them all."""
+    aggs = _moments(1, "", F.lit(True))
+    if len(features) > 1:
+        aggs += _moments(len(features), "f_", F.col("_full"))
+    return _observations(txn, features).groupBy("product_id").agg(*aggs)
+
+
+def merge_moments(rows: DataFrame, keys: list[str], k: int, prefix: str = "") -> DataFrame:
+    """Moments per coarser key: co-moments about the common mean are the parts' own plus n times the
+    products of their means' distances from it (two sums over rows of moments, no cancellation)."""
+    n, variables = F.col(f"{prefix}n"), _variables(k)
+    rows = rows.filter(n > 0).withColumn("_all", F.lit(1))
+    by = keys or ["_all"]
+    means = rows.groupBy(*by).agg(F.sum(n).alias("_n"), *((F.sum(n * F.col(f"{prefix}m_{c}")) / F.sum(n)).alias(f"_m_{c}") for c in variables))
+    off = {c: F.col(f"{prefix}m_{c}") - F.col(f"_m_{c}") for c in variables}
+    out = rows.join(means, by).groupBy(*by).agg(
+        F.first("_n").alias("n"), *(F.first(f"_m_{c}").alias(f"m_{c}") for c in variables),
+        *(F.sum(F.col(f"{prefix}c_{a}_{b}") + n * off[a] * off[b]).alias(f"c_{a}_{b}") for a, b in _pairs(k)))
+    return out if keys else out.drop("_all")
+
+
+def _fit(moments: DataFrame, keys: list[str], min_obs: int) -> DataFrame:
+    """Least squares ln_qty ~ ln_price per row of moments.
+
+    A constant price (no spread beyond rounding) gives slope 0, intercept
+    mean(y) and r2 0, or r2 1 when y is constant too, which is what ordinary
+    least squares returns."""
+    def spread(c: str) -> Column:
+        v, m = F.col(f"c_{c}_{c}"), F.col(f"m_{c}")
+        return F.when(v > F.lit(1e-24) * F.col("n") * (m * m + 1), v)
+
+    x, y, xy = spread("x0"), spread("y"), F.col("c_y_x0")
+    slope = F.coalesce(xy / x, F.lit(0.0))
+    r2 = F.when(y.isNull(), F.lit(1.0)).when(x.isNull(), F.lit(0.0)).otherwise(xy * xy / (x * y))
+    elasticity = F.round(slope, 4)
+    return moments.filter(F.col("n") >= min_obs).select(
         *keys,
         elasticity.alias("elasticity"),
-        F.round(F.coalesce(F.col("_a"), F.col("_ym")), 4).alias("intercept"),
+        F.round(F.col("m_y") - slope * F.col("m_x0"), 4).alias("intercept"),
         F.round(r2, 4).alias("r2"),
-        F.col("n_obs").cast("bigint").alias("n_obs"),
+        F.col("n").cast("bigint").alias("n_obs"),
         classify_elasticity(elasticity).alias("classification"),
     )
 
 
-def category_elasticity(txn: DataFrame, products: DataFrame,
-                        min_obs: int = config.MIN_OBSERVATIONS) -> DataFrame:
-    """Per-category log-log fit; transactions without a category drop out."""
-    cat = products.select("product_id", "category")
-    df = _log_pairs(txn.join(cat, "product_id", "left").filter(F.col("category").isNotNull()))
-    return _fit(["category"], df, min_obs)
+def category_elasticity(txn: DataFrame | None, products: DataFrame, min_obs: int = config.MIN_OBSERVATIONS,
+                        moments: DataFrame | None = None) -> DataFrame:
+    """Per-category log-log fit; transactions without a category drop out.
 
+    The products' moments (given, or taken from the transactions) meet the product table."""
+    m = moments if moments is not None else product_moments(txn, FEATURES[:1])
+    cat = products.select("product_id", "category").filter(F.col("category").isNotNull())
+    return _fit(merge_moments(m.join(cat, "product_id"), ["category"], 1), ["category"], min_obs)
 
-def product_elasticity(txn: DataFrame, products: DataFrame,
-                       min_obs: int = config.MIN_OBSERVATIONS) -> DataFrame:
+
+def product_elasticity(txn: DataFrame | None, products: DataFrame, min_obs: int = config.MIN_OBSERVATIONS,
+                       moments: DataFrame | None = None) -> DataFrame:
     """Per-product fit with the product's name and category.
 
     The fit runs on transactions alone (one shuffle on product_id); the
     product attributes are joined to the fitted rows afterwards."""
-    fits = _fit(["product_id"], _log_pairs(txn), min_obs)
+    m = moments if moments is not None else product_moments(txn, FEATURES[:1])
+    fits = _fit(m, ["product_id"], min_obs)
     meta = products.select("product_id", "product_name", "category")
     return fits.join(meta, "product_id", "left").select(
         "product_id", "product_name", "category", "elasticity", "intercept", "r2", "n_obs",
@@ -117,27 +167,22 @@ def _solve_moments(batches):
         yield pd.DataFrame(rows, columns=["coefficients", "r2", "n_obs", "feature_names"])
 
 
-def multifeature_elasticity(txn: DataFrame) -> DataFrame:
+def multifeature_elasticity(txn: DataFrame | None, moments: DataFrame | None = None) -> DataFrame:
     """E5: pooled OLS ln(q) ~ ln(p) + is_promotion + month + ln(comp) + 1.
 
-    One distributed pass computes means and population covariances of the
-    five variables (15 mergeable aggregates); the 4x4 centred system is then
-    solved by numpy inside one executor task on that single row."""
-    df = (txn.filter(F.col("quantity") > 0)
-          .select(safe_ln(F.col("quantity")).alias("y"),
-                  safe_ln(F.col("selling_price")).alias("x0"),
-                  F.col("is_promotion").cast("double").alias("x1"),
-                  F.col("month").cast("double").alias("x2"),
-                  safe_ln(F.col("competitor_price")).alias("x3"))
-          .dropna())
+    The products' moments of the five variables merge to one row; the 4x4
+    centred system is then solved by numpy inside one task on that row."""
     k = len(FEATURES)
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg("y").alias("m_y"), F.var_pop("y").alias("c_y_y")]
-    for i in range(k):
-        aggs.append(F.avg(f"x{i}").alias(f"m_{i}"))
-        aggs.append(F.covar_pop(f"x{i}", "y").alias(f"c_{i}_y"))
-        for j in range(i, k):
-            aggs.append(F.covar_pop(f"x{i}", f"x{j}").alias(f"c_{i}_{j}"))
-    return df.agg(*aggs).mapInPandas(_solve_moments, _MF_SCHEMA)
+    m = moments if moments is not None else product_moments(txn)
+    pooled = merge_moments(m, [], k, "f_")
+    names = {"y": "y"} | {f"x{i}": str(i) for i in range(k)}
+    n = F.col("n")
+    row = pooled.select("n", *(F.col(f"m_{v}").alias(f"m_{names[v]}") for v in names), *(
+        (F.col(f"c_{a}_{b}") / n).alias("c_y_y" if b == "y" else f"c_{names[b]}_y" if a == "y" else f"c_{names[a]}_{names[b]}")
+        for a, b in _pairs(k)))
+    none = row.agg(F.count(F.lit(1)).alias("_rows")).filter("_rows = 0").select(
+        *(F.lit(0 if f.name == "n" else None).cast(f.dataType).alias(f.name) for f in row.schema))
+    return row.unionByName(none).coalesce(1).mapInPandas(_solve_moments, _MF_SCHEMA)
 
 
 def resolve_category(cat: DataFrame, threshold: float = config.R2_THRESHOLD,
@@ -179,12 +224,13 @@ def _config_frame(like: DataFrame, configured: dict[str, float] | None) -> DataF
 
 def run(txn: DataFrame, products: DataFrame, threshold: float = config.R2_THRESHOLD,
         configured: dict[str, float] | None = None) -> dict:
-    """Fits, then E6 -> E7 -> E8."""
-    cat = category_elasticity(txn, products)
-    prod = product_elasticity(txn, products)
+    """One pass over the transactions, three fits on its moments, then E6 -> E7 -> E8."""
+    moments = write_shared(product_moments(txn), "moments")  # one row per product, read by all three
+    cat = category_elasticity(None, products, moments=moments)
+    prod = product_elasticity(None, products, moments=moments)
     cat_resolved = resolve_category(cat, threshold, configured)
     return {
         "category_elasticity": cat_resolved,
         "product_elasticity": resolve_product(prod, cat_resolved, threshold),
-        "multifeature_model": multifeature_elasticity(txn),
+        "multifeature_model": multifeature_elasticity(None, moments=moments),
     }

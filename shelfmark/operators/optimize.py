@@ -1,8 +1,7 @@
 """Per-product discount optimisation and recommendations.
 
-Each product row is expanded into its candidate discounts; objectives are
-plain column expressions (whole-stage codegen) and the argmax is the maximum
-of one packed integer per candidate, a hash aggregate.  The coarse grid is 0..50 % in 1 % steps; the
+Each product's candidate discounts are arrays inside its row, so the search is
+a projection.  The coarse grid is 0..50 % in 1 % steps; the
 refinement searches +-2 % around the coarse winner in 0.01 % steps (the
 4-decimal grid the result is rounded to).  Ties go to the smallest discount.
 """
@@ -48,65 +47,69 @@ def inputs(products: DataFrame, inventory: DataFrame, txn: DataFrame,
                     "elasticity"))
 
 
+def _monthly(ratio: Column, e: Column, demand: Column, days: int) -> tuple[Column, Column]:
+    """Daily and monthly demand at a price ratio."""
+    mult = F.when(ratio > 0, F.pow(ratio, e)).otherwise(F.lit(0.0))
+    daily = F.greatest(F.lit(0.0), demand * mult)
+    return daily, daily * days
+
+
+def _profit(ratio: Column, monthly: Column, base: Column, cost: Column, stock: Column) -> Column:
+    """Margin on the month's demand less the holding cost of what stays."""
+    unsold = F.greatest(F.lit(0.0), stock - monthly)
+    return (base * ratio - cost) * monthly - unsold * base * config.HOLDING_COST_RATE
+
+
+def _clearance(monthly: Column, stock: Column) -> Column:
+    return F.when(stock > 0, monthly / stock * 100).otherwise(F.lit(0.0))
+
+
 def metrics(d: Column, base: Column, cost: Column, e: Column, demand: Column,
             stock: Column, days: int = config.PROJECTION_DAYS) -> dict[str, Column]:
     """O1: unrounded measures at discount fraction ``d``."""
     ratio = F.lit(1.0) - d
     price = base * ratio
-    mult = F.when(ratio > 0, F.pow(ratio, e)).otherwise(F.lit(0.0))
-    daily = F.greatest(F.lit(0.0), demand * mult)
-    monthly = daily * days
-    clearance = F.when(stock > 0, monthly / stock * 100).otherwise(F.lit(0.0))
-    unsold = F.greatest(F.lit(0.0), stock - monthly)
-    profit = (price - cost) * monthly - unsold * base * config.HOLDING_COST_RATE
+    daily, monthly = _monthly(ratio, e, demand, days)
     return {"price": price, "daily": daily, "monthly": monthly, "revenue": price * monthly,
-            "profit": profit, "clearance": clearance}
+            "profit": _profit(ratio, monthly, base, cost, stock), "clearance": _clearance(monthly, stock)}
 
 
-def objective(m: dict[str, Column], min_clearance: float = config.OPT_MIN_CLEARANCE) -> Column:
-    """O2: two-decimal profit, less 10 % of its size when clearance (2dp)
-    misses the target.  Doubles are rounded half up as floor(x*100 + 0.5)/100."""
-    p = r2d(m["profit"], 2)
-    return F.when(r2d(m["clearance"], 2) < min_clearance * 100, p - F.abs(p) * 0.1) \
-        .otherwise(p)
+def _penalised(p: Column, clearance: Column, min_clearance: float = config.OPT_MIN_CLEARANCE) -> Column:
+    """O2: two-decimal profit, less 10 % of its size when clearance (2dp) misses the target."""
+    return F.when(r2d(clearance, 2) < min_clearance * 100, p - F.abs(p) * 0.1).otherwise(p)
 
 
-_SLOTS = 1 << 16  # candidates are basis points, below this
+def objective(m: dict[str, Column], min_clearance: float = config.OPT_MIN_CLEARANCE) -> Column:
+    """O2 on the measures of a discount.  Doubles are rounded half up as floor(x*100 + 0.5)/100."""
+    return _penalised(r2d(m["profit"], 2), m["clearance"], min_clearance)
 
 
-def _argmax_bp(inp: DataFrame, cands: Column, row: dict[str, Column], out: str) -> DataFrame:
-    """Add ``out``: the candidate (basis points) with the highest objective,
-    smallest on ties.
+def _with_best(df: DataFrame, lo: Column, hi: Column, step: int, out: str) -> DataFrame:
+    """Adds ``out``: the discount (basis points) from lo to hi with the highest objective, smallest on ties.
 
-    The objective has three decimals, so objective and candidate fit one
-    integer (objective in thousandths, then the candidate counted down), and
-    the best candidate is a plain ``max``: a hash aggregate on the product,
-    reduced map-side to one row per product.  Its 64 bits hold objectives up
-    to 1.4e11 in size; beyond that the cast fails (ANSI mode) rather than
-    wrapping."""
-    scored = inp.select("product_id", *row.values(), F.explode(cands).alias("_k"))
-    obj = objective(metrics(F.col("_k") / F.lit(10000.0), **row))
-    packed = F.floor(obj * 1000 + F.lit(0.5)).cast("bigint") * _SLOTS + (_SLOTS - 1 - F.col("_k"))
-    best = scored.select("product_id", packed.alias("_m")).groupBy("product_id").agg(F.max("_m").alias("_m"))
-    found = best.select("product_id", (_SLOTS - 1 - F.pmod("_m", F.lit(_SLOTS))).cast("bigint").alias(out))
-    return inp.join(found, "product_id")
+    The candidates of a product are an array in its row and each measure is one
+    more array beside it, computed once, so nothing is exploded or shuffled; the
+    first place of the maximum decides, and objectives have no limit in size."""
+    base, cost, e, demand, stock = (F.col(c) for c in ("base_price", "cost", "elasticity", "demand", "stock"))
+    keep = df.columns
+    a = df.withColumn("_lo", lo).withColumn("_ratio", F.transform(
+        F.sequence("_lo", hi, F.lit(step).cast("bigint")), lambda bp: F.lit(1.0) - bp / F.lit(10000.0)))
+    a = a.withColumn("_month", F.transform("_ratio", lambda r: _monthly(r, e, demand, config.PROJECTION_DAYS)[1]))
+    a = a.withColumn("_profit", F.zip_with("_ratio", "_month", lambda r, m: r2d(_profit(r, m, base, cost, stock), 2)))
+    a = a.withColumn("_value", F.zip_with("_profit", "_month", lambda p, m: _penalised(p, _clearance(m, stock))))
+    first = F.array_position("_value", F.array_max("_value"))
+    return a.select(*keep, (F.col("_lo") + (first - 1) * step).alias(out))
 
 
 def search(inp: DataFrame) -> DataFrame:
     """O3 + O4: the coarse-grid winner ``_coarse`` and the refined optimum
-    ``_opt`` (both in basis points) per product.
+    ``_opt`` (both in basis points) per product, a projection of one row per product.
 
-    The input (one row per product) is written once: both stages score it and
-    join their winners back by product."""
-    inp = write_shared(inp, "optimiser")
-    row = {"base": F.col("base_price"), "cost": F.col("cost"), "e": F.col("elasticity"),
-           "demand": F.col("demand"), "stock": F.col("stock")}
-    lo, hi = int(config.OPT_DISCOUNT_MIN * 10000), int(config.OPT_DISCOUNT_MAX * 10000)
-    coarse = F.sequence(F.lit(lo), F.lit(hi), F.lit(100)).cast("array<bigint>")
-    s = write_shared(_argmax_bp(inp, coarse, row, "_coarse"), "coarse")
-    fine = F.sequence(F.greatest(F.lit(lo).cast("bigint"), F.col("_coarse") - 200),
-                      F.least(F.lit(hi).cast("bigint"), F.col("_coarse") + 200))
-    return _argmax_bp(s, fine, row, "_opt")
+    The rows are dealt out first: a search is much work for few bytes, which
+    sizes in bytes would pack into few tasks."""
+    lo, hi = (F.lit(round(d * 10000)).cast("bigint") for d in (config.OPT_DISCOUNT_MIN, config.OPT_DISCOUNT_MAX))
+    coarse = _with_best(inp.repartition("product_id"), lo, hi, 100, "_coarse")
+    return _with_best(coarse, F.greatest(lo, F.col("_coarse") - 200), F.least(hi, F.col("_coarse") + 200), 1, "_opt")
 
 
 def optimise(inp: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from shelfmark.operators import clean, optimize
+from shelfmark.operators import clean, elasticity, optimize
 from shelfmark.sources.model import load_model
 
 SMOKE = "/root/testdata/sf0.001"
@@ -15,28 +15,44 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_argmax_is_a_hash_aggregate(spark):
-    m = load_model(spark, SMOKE)
-    inp = optimize.inputs(m.products, m.inventory, m.clean_transactions, m.products.select("product_id", "category", "elasticity"))
-    row = {"base": F.col("base_price"), "cost": F.col("cost"), "e": F.col("elasticity"), "demand": F.col("demand"), "stock": F.col("stock")}
-    cands = F.sequence(F.lit(0), F.lit(5000), F.lit(100)).cast("array<bigint>")
-    text = plan(optimize._argmax_bp(inp.select("*"), cands, row, "_coarse").select("product_id", "_coarse"))
-    assert "max(_m" in text or "partial_max" in text
-    generate = text[text.index("Generate"):] if "Generate" in text else ""
-    assert generate and "SortAggregate" not in text[:text.index("Generate")]
+def _candidates(spark, scale=1.0):
+    rows = [(i, f"n{i}", "c", (100.0 + i) * scale, (60.0 + i % 30) * scale, 0.5 + i % 7, float(i % 200), -0.2 - (i % 30) / 10) for i in range(300)]
+    return spark.createDataFrame(rows, "product_id long, product_name string, category string, base_price double, cost double, "
+                                       "demand double, stock double, elasticity double")
+
 
+def test_search_stays_inside_the_row(spark):
+    text = plan(optimize.search(_candidates(spark)))
+    assert "Generate" not in text and "Aggregate" not in text and "Join" not in text
+    assert text.count("Exchange") == 1  # the rows are dealt out once
 
-def test_packed_argmax_equals_max_by(spark):
-    rows = [(i, f"n{i}", "c", 100.0 + i, 60.0 + i % 30, 0.5 + i % 7, float(i % 200), -0.2 - (i % 30) / 10) for i in range(300)]
-    inp = spark.createDataFrame(rows, "product_id long, product_name string, category string, base_price double, cost double, "
-                                      "demand double, stock double, elasticity double")
+
+def test_search_equals_max_by(spark):
+    """Also for objectives beyond 64 bits of thousandths."""
     row = {"base": F.col("base_price"), "cost": F.col("cost"), "e": F.col("elasticity"), "demand": F.col("demand"), "stock": F.col("stock")}
-    cands = F.sequence(F.lit(0), F.lit(5000), F.lit(25)).cast("array<bigint>")
-    got = {r.product_id: r._best for r in optimize._argmax_bp(inp, cands, row, "_best").collect()}
-    obj = F.floor(optimize.objective(optimize.metrics(F.col("_k") / F.lit(10000.0), **row)) * 1000 + 0.5)
-    want = (inp.withColumn("_k", F.explode(cands)).groupBy("product_id")
-            .agg(F.max_by("_k", F.struct(obj, -F.col("_k"))).alias("k")).collect())
-    assert got == {r.product_id: r.k for r in want}
+    for scale in (1.0, 1e10):
+        inp = _candidates(spark, scale)
+        found = {r.product_id: (r._coarse, r._opt) for r in optimize.search(inp).collect()}
+        obj = optimize.objective(optimize.metrics(F.col("_k") / F.lit(10000.0), **row))
+
+        def best(lo, hi, step):
+            each = inp.join(starts, "product_id").withColumn("_k", F.explode(F.sequence(lo, hi, F.lit(step).cast("bigint"))))
+            return each.groupBy("product_id").agg(F.max_by("_k", F.struct(obj, -F.col("_k"))).alias("k"))
+
+        starts = inp.select("product_id", F.lit(0).cast("bigint").alias("k0"))
+        coarse = best(F.lit(0).cast("bigint"), F.lit(5000).cast("bigint"), 100)
+        starts = coarse.withColumnRenamed("k", "k0")
+        fine = {r.product_id: r.k for r in best(F.greatest(F.lit(0).cast("bigint"), F.col("k0") - 200), F.least(F.lit(5000).cast("bigint"), F.col("k0") + 200), 1).collect()}
+        assert found == {r.product_id: (r.k, fine[r.product_id]) for r in coarse.collect()}
+
+
+def test_elasticity_fits_read_the_fact_once(spark):
+    m = load_model(spark, SMOKE)
+    fits = elasticity.run(m.clean_transactions, m.products)
+    for df in fits.values():
+        assert "selling_price" not in plan(df)  # moments only
+    one_pass = plan(elasticity.product_moments(m.clean_transactions))
+    assert one_pass.count("Exchange") == 1 and "Join" not in one_pass
 
 
 def test_recent_window_prunes_years(spark):
