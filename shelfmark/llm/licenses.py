@@ -6,12 +6,18 @@ automaton holds every phrase framed by spaces, so all places where a phrase's
 words stand consecutively, overlapping ones included, come out of one pass.
 Phrases of the base table give `n_base`, `first_word`, `last_word` and
 `base_labels`.  Further notices give labels of the method.  Where the
-identifier tag occurs, the licence expression behind it is parsed by a
-shunting-yard (WITH binds tighter than AND, AND tighter than OR, parentheses,
+identifier tag occurs with its colon, the longest licence expression behind it on
+the same line is parsed by a shunting-yard (WITH binds tighter than AND, AND tighter than OR, parentheses,
 `+` for later versions) and evaluated: every licence named gives a label, the
 terms of the expression a restrictiveness (OR: the mildest choice, AND: the
 strictest part, WITH: an exception halves the step above permissive terms).
 
+An operand of an expression is an identifier of the licence list or a `LicenseRef-`;
+behind WITH stands one of its exceptions.  The list is a parameter: a file with one
+identifier a line, exceptions behind the word `exception`; without a file, a list
+of common ones.  Any other word ends the expression; if it has the shape of an
+identifier (a digit or hyphen inside), it goes to `unknown_ids` and is no label.
+
 `score` is the restrictiveness of the document: the strictest of its notices
 and expressions, 0 without any.  A malformed expression counts with all the
 licences it names, as if joined by AND.
@@ -77,6 +83,21 @@ TERMS = {
     "lgpl": 0.5, "agpl": 0.8, "gpl": 0.6, "proprietary": 1.0,
 }
 UNKNOWN = 0.5
+# Common licence identifiers and exceptions, used where no list is given.
+COMMON = """
+0bsd afl-3.0 agpl-1.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.1 apache-2.0 artistic-1.0 artistic-2.0
+bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 cc-by-3.0 cc-by-4.0
+cc-by-nc-4.0 cc-by-nc-nd-4.0 cc-by-nc-sa-4.0 cc-by-nd-4.0 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cpl-1.0
+ecl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 gfdl-1.3 gfdl-1.3-only gfdl-1.3-or-later gpl-1.0 gpl-2.0 gpl-2.0-only
+gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later ipl-1.0 isc lgpl-2.0 lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1
+lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later lppl-1.3c mit mit-0 mpl-1.1 mpl-2.0 ms-pl ms-rl
+ncsa ofl-1.1 openssl osl-3.0 php-3.01 postgresql psf-2.0 python-2.0 ruby sissl sleepycat unicode-dfs-2016 unlicense
+upl-1.0 w3c wtfpl x11 zlib zpl-2.1
+"""
+COMMON_EXCEPTIONS = """
+autoconf-exception-3.0 bison-exception-2.2 classpath-exception-2.0 font-exception-2.0 gcc-exception-2.0
+gcc-exception-3.1 linux-syscall-note llvm-exception ocaml-lgpl-linking-exception openjdk-assembly-exception-1.0
+"""
 PERMISSIVE = 0.2
 
 
@@ -146,9 +167,57 @@ def evaluate(expression: str) -> tuple[set[str], float]:
     return named - {""}, stack[0][0]
 
 
-#: The rest of a tag's line, up to a comment's end.
-_EXPRESSION = re.compile(r"spdx[-_ ]license[-_ ]identifier[^\w\n(]{0,8}([^\n*/#\"'<>|,;]+)", re.I | re.A)
-_EXPRESSION_END = re.compile(r"\s*(?:\(\s*)*[a-z0-9.+:-]+(?:[\s)]+(?:and|or|with)\b[\s(]*[a-z0-9.+:-]+)*[\s)]*", re.I)
+class LicenceList:
+    """Known licence identifiers and exceptions, lower-cased."""
+
+    def __init__(self, lines: list[str] | None = None) -> None:
+        if lines is None:
+            self.ids, self.exceptions = frozenset(COMMON.split()), frozenset(COMMON_EXCEPTIONS.split())
+        else:
+            entries = [x.split() for x in (line.lower().strip() for line in lines) if x]
+            self.ids = frozenset(e[0] for e in entries if len(e) == 1)
+            self.exceptions = frozenset(e[1] for e in entries if len(e) == 2 and e[0] == "exception")
+
+    def knows(self, name: str, exception: bool) -> bool:
+        name = name.lower()
+        if exception:
+            return name in self.exceptions
+        return name.rstrip("+") in self.ids or name.startswith("licenseref-")
+
+
+#: The rest of a line behind the identifier tag and its colon.
+_TAGGED = re.compile(r"spdx[-_ ]license[-_ ]identifier[ \t]*:([^\n]*)", re.I | re.A)
+_ID_SHAPE = re.compile(r"[a-z0-9.+]*(?:[0-9]|[a-z0-9]-[a-z0-9])[a-z0-9.+-]*", re.I)
+
+
+def expression_of(line: str, known: LicenceList) -> tuple[str, set[str]]:
+    """The longest licence expression a line begins with, and the unknown identifier that ended it, if any."""
+    kept, whole, depth, operand, at, unknown = [], 0, 0, True, 0, set()
+    for m in _TOKEN.finditer(line):
+        if line[at:m.start()].strip():
+            break
+        token, at = m[0], m.end()
+        name = token.rstrip(".:")
+        if token == "(" and operand:
+            depth += 1
+        elif token == ")" and not operand and depth:
+            depth -= 1
+        elif token.lower() in _RANK and not operand:
+            operand = True
+        elif operand and known.knows(name, bool(kept) and kept[-1].lower() == "with"):
+            token, operand = name, False
+        else:
+            if operand and _ID_SHAPE.fullmatch(name):
+                unknown.add(name.lower())
+            break
+        kept.append(token)
+        if not operand and not depth:
+            whole = len(kept)
+        if token == name and m[0] != name:  # a full stop or colon ends the line's expression
+            break
+    # An expression cut off inside its parentheses still names what stands there.
+    return " ".join(kept[:whole] or [t for t in kept if t not in "()"]), unknown
+
 
 # Every byte that is no word character becomes a space; A-Z are lower-cased.
 _KEEP = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
@@ -165,11 +234,17 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
-def scan(text: str | None) -> dict:
+@lru_cache(maxsize=1)
+def _common() -> LicenceList:
+    return LicenceList()
+
+
+def scan(text: str | None, known: LicenceList | None = None) -> dict:
     """All columns of one document but its id."""
+    known = known or _common()
     words = ascii_lower(text or "").translate(_KEEP).split()
     joined = f" {b' '.join(words).decode('utf-8', 'replace')} "
-    starts, base, labels, score, tagged = [], set(), set(), 0.0, False
+    starts, base, labels, unknown, score, tagged = [], set(), set(), set(), 0.0, False
     for end, (length, label, notice, tag) in automaton().iter(joined):
         if label:
             starts.append(end - length)
@@ -180,35 +255,44 @@ def scan(text: str | None) -> dict:
     labels |= base
     score = max(map(terms_of, labels), default=0.0)
     if tagged:
-        for m in _EXPRESSION.finditer(text):
-            body = _EXPRESSION_END.match(m[1])
-            named, value = evaluate(body[0] if body else m[1])
-            labels |= {x.rstrip(".") for x in named} - {""}
+        for m in _TAGGED.finditer(text):
+            expression, strange = expression_of(m[1], known)
+            unknown |= strange
+            named, value = evaluate(expression)
+            labels |= named
             score = max(score, value)
     place = lambda at: joined.count(" ", 0, at) - 1  # noqa: E731  spaces before a word, less the leading one
     return {"n_words": len(words), "n_base": len(starts),
             "first_word": place(min(starts)) if starts else None, "last_word": place(max(starts)) if starts else None,
-            "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(labels)), "score": score}
+            "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(labels)), "score": score,
+            "unknown_ids": ",".join(sorted(unknown))}
 
 
 _OUT = pa.schema([("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
-                  ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64())])
-
+                  ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("unknown_ids", pa.string())])
 
-def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        found = [scan(x) for x in b["_text"].to_pylist()]
-        cols = [pa.array([x[f.name] for x in found], f.type) for f in _OUT]
-        yield pa.RecordBatch.from_arrays([b["_id"], *cols], names=["doc_id", *_OUT.names])
 
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", licences: str | None = None) -> DataFrame:
+    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, unknown_ids.
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    `licences` is the path of a licence list, read once on the driver (one small file)."""
     bounded_batches(docs.sparkSession)
+    lines = None
+    if licences:
+        with open(licences, encoding="utf-8") as f:
+            lines = f.read().splitlines()
+
+    def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = LicenceList(lines)
+        for b in batches:
+            found = [scan(x, known) for x in b["_text"].to_pylist()]
+            cols = [pa.array([x[f.name] for x in found], f.type) for f in _OUT]
+            yield pa.RecordBatch.from_arrays([b["_id"], *cols], names=["doc_id", *_OUT.names])
+
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    return rows.mapInArrow(_scan_batches, f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, "
-                                          "base_labels string, labels string, score double")
+    return rows.mapInArrow(scan_batches, f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, "
+                                         "base_labels string, labels string, score double, unknown_ids string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,14 @@ characters is a candidate.  A window of 20 characters slides over it; the counts
 of its characters are updated by one leaving and one entering character, and
 with them the sum of c*log2(c), so each step costs O(1).  Windows are judged by
 their character class: hex digits only, or letters of both cases with digits;
-runs of windows above the class's entropy limit become one span.  Spans that
-the allow-list knows (identifiers of documents, placeholders, well-known hash
-values, plain numbers) or that a base span overlaps are not added.
+runs of windows above the class's entropy limit become one span.
+
+The allow-list suppresses a candidate only as a whole (an identifier of documents,
+a plain number, a well-known hash value, an integrity attribute, a short name
+that begins with a placeholder word), and a span only where placeholders (words,
+repeated characters, counted-up digits or letters) cover at least half of it; a
+placeholder inside a longer key hides nothing else.  A span that a base span
+overlaps is not added.
 
 Defined results: null text counts as empty (no spans); very long texts are
 scanned whole, long candidates in one pass; repeated rows are scanned like any
@@ -44,9 +49,22 @@ _HEX_DIGITS = frozenset("0123456789abcdefABCDEF")
 _ALLOWED = [
     re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.I),  # UUID
     re.compile(r"[0-9_=+/-]+"),  # numbers, dates
-    re.compile(r"(?s).*(example|sample|dummy|placeholder|your[_-]?key|xxxx|0000000|1234567|abcdefg).*", re.I),
-    re.compile(r"sha(1|256|384|512)-.*", re.I),  # integrity attributes
+    re.compile(r"(example|sample|dummy|placeholder|your[_-]?key)[_=+/-].{0,48}", re.I),
+    re.compile(r"sha(1|256|384|512)-[A-Za-z0-9+/=_-]{1,96}", re.I),  # integrity attributes
 ]
+
+
+def _counted_up(characters: str, least: int) -> str:
+    """Pattern of the first `least` characters and as many of the next as follow."""
+    more = ""
+    for c in reversed(characters[least:]):
+        more = f"(?:{c}{more})?"
+    return characters[:least] + more
+
+
+_PLACEHOLDER = re.compile("|".join([
+    "example", "sample", "dummy", "placeholder", "your[_-]?key", "x{4,}", "0{7,}",
+    _counted_up("0123456789abcdef", 8), _counted_up("1234567890", 7), _counted_up("abcdefghijklmnopqrstuvwxyz", 7)]), re.I)
 # Hashes of the empty input, common in manifests.
 _KNOWN = {hashlib.new(a, b"").hexdigest() for a in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")}
 
@@ -58,10 +76,15 @@ _COST = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
 def allowed(s: str) -> bool:
-    """Whether the allow-list suppresses a candidate."""
+    """Whether the allow-list knows a candidate as a whole."""
     return s.lower() in _KNOWN or any(p.fullmatch(s) for p in _ALLOWED)
 
 
+def placeholder(s: str) -> bool:
+    """Whether placeholders cover at least half of a span."""
+    return 2 * sum(m.end() - m.start() for m in _PLACEHOLDER.finditer(s)) >= len(s)
+
+
 def entropy_spans(s: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the high-entropy parts of one candidate, merged over overlapping windows."""
     counts: dict[str, int] = {}
@@ -118,7 +141,7 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
             a, b = a + m.start(), b + m.start()
             while at < len(base) and base[at][1] <= m.start():
                 at += 1
-            if allowed(text[a:b]) or any(x < b and y > a for x, y in _until(base, at, b)):
+            if allowed(text[a:b]) or placeholder(text[a:b]) or any(x < b and y > a for x, y in _until(base, at, b)):
                 continue
             spans.append((kind, a, b))
     return spans

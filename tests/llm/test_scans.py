@@ -61,14 +61,14 @@ def test_licence_expressions():
 def test_licence_table(edge_docs, clash_docs, empty_docs, edge_rows):
     expected = sorted(((r[0], *brute_licence(r[1])) for r in edge_rows), key=repr)
     for docs in (edge_docs, clash_docs):
-        assert rows_of(licenses.license_scan(docs), "labels", "score") == expected
+        assert rows_of(licenses.license_scan(docs), "labels", "score", "unknown_ids") == expected
     assert licenses.license_scan(empty_docs).count() == 0
 
 
 def test_licence_query_whole_table(spark):
     got = licenses.query(spark, "/root/testdata/sf0.001")
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
-    assert rows_of(got, "labels", "score") == sorted(((r.doc_id, *brute_licence(r.text)) for r in docs), key=repr)
+    assert rows_of(got, "labels", "score", "unknown_ids") == sorted(((r.doc_id, *brute_licence(r.text)) for r in docs), key=repr)
 
 
 def brute_base_spans(text):
@@ -145,3 +145,70 @@ def test_secret_table(edge_docs, clash_docs, empty_docs, edge_rows, spark):
 def test_secret_query_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     assert rows_of(secrets.query(spark, "/root/testdata/sf0.001"), "spans") == sorted(((r.doc_id, *base_row(r.text)) for r in docs), key=repr)
+
+
+def test_licence_labels_come_from_the_list_only():
+    def labels(text, known=None):
+        got = licenses.scan(text, known)
+        return got["labels"], got["unknown_ids"], got["score"]
+
+    tag = "SPDX-License-Identifier"
+    for prose in ("the spdx license identifier is a good idea", f"{tag}:", f"{tag}:\nMIT", f"{tag}: see LICENSE file", f"{tag} MIT", f"{tag}: and then"):
+        assert labels(prose) == ("", "", 0.0), prose
+    assert labels(f"{tag}: MIT.") == ("mit", "", 0.1)
+    assert labels(f"{tag}: (MIT OR GPL-2.0+) is used here") == ("gpl-2.0,mit", "", 0.1)
+    assert labels(f"{tag}: GPL-2.0-only WITH Classpath-exception-2.0 AND MIT */") == ("gpl-2.0-only,mit", "", 0.4)
+    assert labels(f"{tag}: LicenseRef-Own OR MIT or later") == ("licenseref-own,mit", "", 0.1)
+    assert labels(f"{tag}: Frob-2.7 OR MIT") == ("", "frob-2.7", 0.0)
+    assert labels(f"{tag}: MIT AND Frob-2.7") == ("mit", "frob-2.7", 0.1)
+    assert labels(f"{tag}: (MIT AND (ISC") == ("isc,mit", "", 0.1)
+    assert labels(f"{tag}: Frob-2.7 WITH odd", licenses.LicenceList(["Frob-2.7", "exception odd"])) == ("frob-2.7", "", 0.35)
+
+
+def direct_spans(text):
+    """All spans of a text, every window judged anew."""
+    text = text or ""
+    base = [(secrets.KINDS[k], a, b) for a, k, b in brute_base_spans(text)]
+    out = list(base)
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", text):
+        s = m[0]
+        if len(s) < 20 or secrets.allowed(s):
+            continue
+        spans = []
+        for i in range(len(s) - 19):
+            w = s[i: i + 20]
+            n = Counter(w)
+            bits = math.log2(20) - sum(c * math.log2(c) for c in n.values()) / 20
+            upper, low, digit = (bool(re.search(p, w)) for p in ("[A-Z]", "[a-z]", "[0-9]"))
+            kind = "entropy_hex" if re.fullmatch("[0-9a-fA-F]+", w) and digit and not (upper and low) else "entropy_key" if upper and low and digit else None
+            if kind is None or bits < secrets.LIMITS[kind] - 1e-12:
+                continue
+            if spans and spans[-1][0] == kind and spans[-1][2] >= i:
+                spans[-1][2] = i + 20
+            else:
+                spans.append([kind, i, i + 20])
+        for kind, a, b in spans:
+            covered = sum(len(x) for x in re.findall(secrets._PLACEHOLDER.pattern, s[a:b], re.I))
+            a, b = a + m.start(), b + m.start()
+            if 2 * covered < b - a and not secrets.allowed(text[a:b]) and not any(x < b and y > a for _, x, y in base):
+                out.append((kind, a, b))
+    return secrets.joined(out)
+
+
+def test_all_secret_spans_equal_direct_ones(spark, edge_rows):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
+    marks = ["xxxx", "1234567", "example", "0000000", "abcdefghijkl", " ", "\n", "=", "your_key"]
+    texts = ["".join(rng.choice(marks) if rng.random() < .2 else "".join(rng.choices(letters, k=rng.randint(1, 40))) for _ in range(rng.randint(0, 8))) for _ in range(1500)]
+    texts += [r[1] for r in edge_rows] + [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for text in texts:
+        assert secrets.joined(secrets.scan(text)) == direct_spans(text), text
+
+
+def test_a_placeholder_inside_a_key_hides_nothing_else():
+    rng = random.Random(1)
+    blob = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=2000))
+    covered = lambda t: sum(b - a for _, a, b in secrets.scan(t))
+    assert covered(blob) == 2000 and covered(blob[:1000] + "xxxx" + blob[1000:]) >= 1990
+    assert covered(blob[:17] + "1234567" + blob[17:33]) >= 30  # windows with too many equal characters at its ends aside
+    assert covered("ABCDEFG" + "abcdefghijklmnopqrstuvwxyz" + "1234567890") == 0
