@@ -2,9 +2,19 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that the stage
 before kept; its result is written as Parquet and read again as the next one's
-`docs`.  All stages but the last return the columns of their input.  A stage's
-scratch tables in the shared folder are deleted when the next stage begins, as
-its own result has been written by then.
+`docs`.  All stages but the last return the columns of their input.
+
+A stage's result names the scratch tables in the shared folder that it still
+reads (`scratch_of`).  Whoever has written the result may delete them
+(`finished`); `run` does, and deletes each stage's table once the next is written.
+
+Defined results, stage by stage: rows with a null or empty text fail the rules
+and go; what is left has words.  Rows with a null id are kept like others.  Of
+equal texts (repeated rows among them) and of near-duplicates one row stays, the
+largest and the smallest id; repeated rows that stay can't be told apart, so both
+are in.  The mix may repeat rows.  Texts are processed whole, however long.  Empty
+tables pass every stage as empty tables; columns beyond those of documents are
+carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,20 +25,27 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.llm import exact_dedup, mixing, near_dedup, pieces, quality_rules
-from shelfmark.llm.common import documents, drop_folders, materialise, scratch_mark, scratch_since
+from shelfmark.llm.common import documents, drop_folders, drop_table, materialise, scratch_made
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-_FINISHED: list[str] = []
+
+
+def scratch_of(result: DataFrame) -> list[str]:
+    """Folders that a stage's unwritten result reads."""
+    return getattr(result, "_scratch", [])
+
+
+def finished(result: DataFrame) -> None:
+    """Delete a stage's scratch tables, its result having been written."""
+    drop_folders(result.sparkSession, scratch_of(result))
 
 
 def _stage(body: Stage) -> Stage:
     @wraps(body)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_folders(spark, _FINISHED)
-        _FINISHED.clear()
-        mark = scratch_mark()
-        out = body(spark, docs, sf_dir)
-        _FINISHED.extend(scratch_since(mark))
+        with scratch_made() as made:
+            out = body(spark, docs, sf_dir)
+        out._scratch = made
         return out
     return run_stage
 
@@ -77,7 +94,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
-    docs = documents(spark, sf_dir)
+    docs, written = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}", "snappy")
+        result = stage(spark, docs, sf_dir)
+        docs = materialise(result, f"stage-{name}", "snappy")
+        finished(result)
+        if written is not None:
+            drop_table(written)
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)

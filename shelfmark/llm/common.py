@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +17,8 @@ from shelfmark.sources.tables import read_table
 #: Whitespace-separated words, as every contract of this package states them.
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Scratch folders in the order they were made.
-_SCRATCH: list[str] = []
+# Where scratch folders made in this context are noted.
+_MADE: ContextVar[list[str] | None] = ContextVar("scratch folders", default=None)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,10 +35,23 @@ def bounded_batches(spark: SparkSession) -> None:
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/shelfmark-{name}-{uuid.uuid4().hex}"
-    _SCRATCH.append(path)
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """Notes the scratch folders that this thread makes inside the block, and no other run's."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+
+
 def materialise(df: DataFrame, name: str, compression: str = "none", by: tuple[str, ...] = ()) -> DataFrame:
     """Write `df` once to the shared folder, partitioned `by` columns, and read it back: cuts lineage, survives lost executors.
 
@@ -59,16 +75,6 @@ def _delete(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def scratch_mark() -> int:
-    """How many scratch folders there have been."""
-    return len(_SCRATCH)
-
-
-def scratch_since(mark: int) -> list[str]:
-    """Scratch folders made since then."""
-    return _SCRATCH[mark:]
-
-
 def drop_folders(spark: SparkSession, folders: list[str]) -> None:
     """Delete scratch folders whose readers have all been written out."""
     for folder in folders:

@@ -7,6 +7,23 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import drop_table, materialise
 
+#: Nodes with more links than this are handled as hubs; at most HUBS of them, as the limit grows with the links.
+HUB_LINKS = 256
+HUBS = 1 << 16
+
+
+def _to_least(links: DataFrame, least: DataFrame, n_links: int) -> DataFrame:
+    """(u, v) links with the smallest node m of u's group; `least` has a row (u, m, n) per node, n its links.
+
+    The links of one node would meet in one task.  Nodes with more than
+    max(HUB_LINKS, links / HUBS) links are at most HUBS, so their rows, two longs
+    each, are broadcast and their links stay where they are; all others
+    have few links, and meet their row by a join on the node."""
+    limit = max(HUB_LINKS, -(-n_links // HUBS))
+    hubs = F.broadcast(least.filter(F.col("n") > limit).select("u", "m"))
+    few = least.filter(F.col("n") <= limit).select("u", "m")
+    return links.join(hubs, "u").unionByName(links.join(hubs.select("u"), "u", "left_anti").join(few, "u"))
+
 
 def components(links: DataFrame, name: str) -> DataFrame:
     """(a, b) links between longs -> (node, root), the smallest node reachable, for every linked node.
@@ -14,8 +31,6 @@ def components(links: DataFrame, name: str) -> DataFrame:
     Each round every node hands its larger neighbours, then its smaller ones, to
     the smallest node it knows; rounds grow with the logarithm of the longest
     chain.  Every round is written to the shared folder, so lineage stays short.
-    Joins are plain equi-joins on the node, which can be split where a hub has
-    a large share of the links.
     """
     far, near = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     now = materialise(links.select(far, near).filter("u <> v").distinct(), name)
@@ -25,14 +40,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
         if state == seen or not state[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = state
+        seen, n_links = state, state[0]
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        least = materialise(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n")), name)
+        large = _to_least(both, least, 2 * n_links).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         large = materialise(large, name)  # repeats are dropped once a round, below
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        low = materialise(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), name)
+        small = _to_least(large, low, 2 * n_links).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         step = materialise(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), name)
-        drop_table(now)
-        drop_table(large)
+        for scratch in (now, least, large, low):
+            drop_table(scratch)
         now = step

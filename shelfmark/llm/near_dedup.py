@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import bounded_batches, documents, drop_folders, materialise, scratch_mark, scratch_since, words_of
+from shelfmark.llm.common import bounded_batches, documents, drop_folders, materialise, scratch_made, words_of
 from shelfmark.llm.graph import components
 
 MINIMA, COORDINATES, WIDTH, BYTES = 192, 48, 5, 64
@@ -367,6 +367,20 @@ def _confirmed(texts: DataFrame, sketches: DataFrame, roots: DataFrame, size: in
     return done.unionByName(components(links.unionByName(more), "roots"))
 
 
+def _best_of_classes(texts: DataFrame, sketches: DataFrame, size: int, percent: int) -> DataFrame:
+    """(_cid, _best): per class the smallest row of its group."""
+    stars = materialise(_candidate_links(sketches), "candidates")
+    roots = components(stars, "candidate-roots")
+    linked = _confirmed(texts, sketches, roots, size, percent)
+    classes = sketches.filter("_cid is not null").groupBy("_cid").agg(F.min(_rank("r")).alias("r"))
+    if linked is None:
+        return classes.select("_cid", F.col("r").alias("_best"))
+    grouped = materialise(linked.select(F.col("node").alias("_cid"), "root").join(classes, "_cid"), "groups")
+    best = materialise(grouped.groupBy("root").agg(F.min("r").alias("_best")), "best")
+    moved = grouped.join(best, "root").select("_cid", "_best")
+    return classes.join(moved, "_cid", "left").select("_cid", F.coalesce("_best", "r").alias("_best"))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, percent: int = 80) -> DataFrame:
     """Groups of near-duplicates: `_id _tie _n _best` per row; `_best` is the smallest row (null rank, id, text hash) of its group."""
     spark = docs.sparkSession
@@ -374,23 +388,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
     kind = texts.schema["_id"].dataType.simpleString()
     sketches = materialise(texts.mapInArrow(lambda x: _sketch(x, size), f"_id {kind}, _tie long, _n long, _cid long, _keys array<long>, _bytes binary"), "sketches")
-    mark = scratch_mark()
-    stars = materialise(_candidate_links(sketches), "candidates")
-    roots = components(stars, "candidate-roots")
-    linked = _confirmed(texts, sketches, roots, size, percent)
-    rows = sketches.select("_id", "_tie", "_n", "_cid")
-    classes = rows.filter("_cid is not null").groupBy("_cid").agg(F.min(_rank("r")).alias("r"))
-    if linked is not None:
-        grouped = materialise(linked.select(F.col("node").alias("_cid"), "root").join(classes, "_cid"), "groups")
-        best = materialise(grouped.groupBy("root").agg(F.min("r").alias("_best")), "best")
-        moved = grouped.join(best, "root").select("_cid", "_best")
-        classes = classes.join(moved, "_cid", "left").select("_cid", F.coalesce("_best", "r").alias("_best"))
-    else:
-        classes = classes.select("_cid", F.col("r").alias("_best"))
+    with scratch_made() as used:
+        best = _best_of_classes(texts, sketches, size, percent)
     # Written, so that the join is between two dealt-out tables and a class with many copies can be split.
-    used = scratch_since(mark)
-    classes = materialise(classes, "classes")
+    classes = materialise(best, "classes")
     drop_folders(spark, used)
+    rows = sketches.select("_id", "_tie", "_n", "_cid")
     worded = rows.filter("_cid is not null").join(classes, "_cid").select("_id", "_tie", "_n", "_best")
     return worded.unionByName(rows.filter("_cid is null").select("_id", "_tie", "_n", _rank("_best")))
 

@@ -2,6 +2,7 @@ import hashlib
 import os
 
 import corpus_pipeline
+from shelfmark.session import checkpoint_dir
 import pytest
 import sentencepiece
 from test_dedup import brute_groups
@@ -77,8 +78,28 @@ def test_stages_on_awkward_tables(spark, clash_docs, empty_docs, tmp_path):
                 assert docs.columns == columns
 
 
+def test_chained_stages_without_writes_and_two_runs_at_once(spark, expected):
+    """No stage deletes what another's unwritten result still reads."""
+    docs, other = corpus_pipeline.documents(spark, SF), corpus_pipeline.documents(spark, SF)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        if other is not None:
+            other = stage(spark, other, SF)
+            corpus_pipeline.finished(other)  # deletes the other run's tables only
+            other = None
+    assert sorted((r.doc_id, r.ids) for r in docs.collect()) == sorted(expected[-1])
+
+
+def test_a_run_leaves_one_stage_table(spark, expected):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    corpus_pipeline.run(spark, SF)
+    left = {x.split("-")[1] for x in set(os.listdir(folder)) - before}
+    assert left == {"stage"}
+
+
 def test_registry():
-    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(registry.ORACLE) <= set(registry.QUERIES)
     import __spark_entry__
     assert "pipeline" in __spark_entry__.queries() and set(registry.QUERIES) <= set(__spark_entry__.queries())
