@@ -3,28 +3,17 @@
 A series is one category's monthly units; its length is bounded by the
 calendar (months), never by the number of transactions, so each series is
 packed into one sorted array.  The additive Holt-Winters model (period 12)
-is fitted per series: for given smoothing parameters the one-step errors are an
-affine function of the start state, so the start state is estimated by least
-squares, and the parameters come from a grid with two finer rounds around its
-winner (lowest squared error, ties to the smallest parameters).  One row is one
-series, so the fit runs in ``mapInPandas`` over the series (numpy over all
-parameter sets at once); no task holds more than a batch of short arrays.
+is fitted per series by folds over that array (``seasonal.py``).
 Series shorter than two seasons use the 3-month moving average.
 """
 
 from __future__ import annotations
 
-import itertools
-
-import numpy as np
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark import config
-
-GRID = (0.0, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
+from shelfmark.operators import seasonal
 
 
 def monthly_demand(txn: DataFrame, products: DataFrame, key: str = "category") -> DataFrame:
@@ -103,98 +92,27 @@ def sma(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
     )
 
 
-_HW_SCHEMA = ("h int, month string, forecast bigint, confidence_lower bigint, "
-              "confidence_upper bigint, alpha double, beta double, gamma double")
-
-
-def _hw_errors(y: np.ndarray, a: np.ndarray, b: np.ndarray, g: np.ndarray, period: int):
-    """The additive recursion for many parameter sets at once, as an affine
-    function of its start state (level, trend, seasonals): the one-step errors
-    (sets x steps x (state + 1)) and the states after the last step."""
-    k = period + 2
-    level, trend = np.zeros((2, a.size, k + 1))
-    level[:, 0] = trend[:, 1] = 1
-    seas = np.zeros((period, a.size, k + 1))
-    seas[np.arange(period), :, 2 + np.arange(period)] = 1
-    errors = np.zeros((a.size, y.size, k + 1))
-    a, b, g = a[:, None], b[:, None], g[:, None]
-    for t, v in enumerate(y):
-        seen = np.zeros(k + 1)
-        seen[-1] = v
-        s0, base = seas[t % period], level + trend
-        errors[:, t] = seen - base - s0
-        new_level = a * (seen - s0) + (1 - a) * base
-        trend = b * (new_level - level) + (1 - b) * trend
-        level = new_level
-        seas[t % period] = g * (seen - level) + (1 - g) * s0
-    return errors, level, trend, seas
-
-
-def _hw_best(y: np.ndarray, sets: list[tuple[float, float, float]], period: int):
-    """The parameter set with the lowest squared error when the start state is
-    estimated by least squares, ties to the smallest parameters: (sse,
-    parameters, errors, level, trend, seasonals)."""
-    a, b, g = (np.array(x, float) for x in zip(*sets))
-    scale = max(1.0, float(np.abs(y).max()))
-    errors, level, trend, seas = _hw_errors(y / scale, a, b, g, period)
-    x, r = -errors[:, :, :-1], errors[:, :, -1]
-    xt = x.transpose(0, 2, 1)
-    # Level and seasonals can trade a constant; the pseudo-inverse takes the shortest solution.
-    start = (np.linalg.pinv(xt @ x, rcond=1e-10, hermitian=True) @ xt @ r[..., None])[..., 0]
-    e = r - (x @ start[..., None])[..., 0]
-    sse = np.round((e * e).sum(1), 14)
-    i = np.lexsort((g, b, a, sse))[0]
-    state = np.append(start[i], 1.0)
-    return (float(sse[i]), (float(a[i]), float(b[i]), float(g[i])), e[i] * scale, float(level[i] @ state) * scale,
-            float(trend[i] @ state) * scale, (seas[:, i] @ state) * scale)
-
-
-def _hw_fit_series(values: np.ndarray, period: int, horizon: int):
-    """Additive seasonal fit of one series: the best of the parameter grid, then
-    two rounds of a finer grid around the winner.  Returns the parameters, the
-    predictions and the population std of the one-step errors."""
-    y = values.astype(float)
-    best = _hw_best(y, list(itertools.product(GRID, GRID, GRID)), period)
-    for step in (0.05, 0.0125):
-        around = [sorted({min(1.0, max(0.0, p + k * step)) for k in (-2, -1, 0, 1, 2)}) for p in best[1]]
-        best = min(best, _hw_best(y, list(itertools.product(*around)), period), key=lambda f: f[0])
-    _, params, errors, level, trend, seas = best
-    preds = [level + h * trend + seas[(y.size + h - 1) % period] for h in range(1, horizon + 1)]
-    return params, preds, float(errors.std())
-
-
 def holt_winters(series: DataFrame, horizon: int = config.FORECAST_MONTHS,
                  period: int = config.SEASONAL_PERIOD) -> DataFrame:
     """F3 + F5 + F6 (seasonal branch), long form, for series with at least two
     seasons.  forecast = max(0, round(pred)); band = pred -+ 1.96 x
     population std of the one-step errors, lower clamped at 0 (round half
-    to even).
-
-    One row is one series (its length is bounded by the calendar).  A fit is
-    much work for few bytes, so the series are dealt out evenly over all tasks
-    first; sizes in bytes would pack them into one."""
-    z = config.Z_95
+    to even)."""
     k = _key(series)
-    schema = f"{k} {series.schema[k].dataType.simpleString()}, {_HW_SCHEMA}"
+    fits = seasonal.fit(series.filter(F.size("values") >= 2 * period), period)
+    ahead = fits.select("*", F.posexplode(_future_labels(F.col("months"), horizon)).alias("_h", "month"))
+    pred = (F.col("level") + (F.col("_h") + 1) * F.col("trend")
+            + F.get("seasonals", F.col("_h") % period))
+    spread = F.lit(config.Z_95) * F.col("deviation")
 
-    def fit(batches):
-        for pdf in batches:
-            out = []
-            for cat, months, values in zip(pdf[k], pdf["months"], pdf["values"]):
-                (al, be, ga), preds, std = _hw_fit_series(np.asarray(values), period, horizon)
-                last = months[-1]
-                for h, p in enumerate(preds, start=1):
-                    mi = last.year * 12 + last.month - 1 + h
-                    out.append((cat, h, f"{mi // 12:04d}-{mi % 12 + 1:02d}",
-                                int(max(0.0, np.round(p))), int(max(0.0, np.round(p - z * std))),
-                                int(np.round(p + z * std)), al, be, ga))
-            yield pd.DataFrame(out, columns=[k, "h", "month", "forecast",
-                                             "confidence_lower", "confidence_upper",
-                                             "alpha", "beta", "gamma"])
+    def whole(x: Column) -> Column:
+        return F.rint(x).cast("bigint")
 
-    eligible = series.filter(F.size("values") >= 2 * period)
-    tasks = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return eligible.select(k, "months", "values").repartition(tasks).mapInPandas(fit, schema)
+    return ahead.select(
+        k, (F.col("_h") + 1).alias("h"), "month",
+        whole(F.greatest(F.lit(0.0), pred)).alias("forecast"),
+        whole(F.greatest(F.lit(0.0), pred - spread)).alias("confidence_lower"),
+        whole(pred + spread).alias("confidence_upper"), "alpha", "beta", "gamma")
 
 
 def forecast_rows(series: DataFrame, horizon: int = config.FORECAST_MONTHS,

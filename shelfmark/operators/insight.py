@@ -72,11 +72,9 @@ def history_and_forecast(spine: DataFrame, fc: DataFrame) -> DataFrame:
                     F.lit("forecast").alias("kind"),
                     F.col("confidence_lower").alias("lower"),
                     F.col("confidence_upper").alias("upper"))
-    per_cat = hist.unionByName(fut)
-    overall = per_cat.groupBy("month", "kind").agg(
-        F.sum("value").alias("value"), F.sum("lower").alias("lower"),
-        F.sum("upper").alias("upper")).withColumn("category", F.lit("all"))
-    return per_cat.unionByName(overall)
+    both = hist.unionByName(fut).withColumn("category", F.explode(F.array("category", F.lit("all"))))
+    return both.groupBy("category", "month", "kind").agg(
+        F.sum("value").alias("value"), F.sum("lower").alias("lower"), F.sum("upper").alias("upper"))
 
 
 def price_demand_curve(category_elasticity: DataFrame, base_price: float = 1000.0,

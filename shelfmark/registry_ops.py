@@ -12,6 +12,7 @@ from shelfmark.functions.calendar import add_time_features
 from shelfmark.functions.sqltext import half_up_ratio as hr
 from shelfmark.functions.sqltext import round_half_up_double as r2s
 from shelfmark.operators import clean, kpi, sqlcorpus
+from shelfmark.oracle_seasonal import seasonal_ctes
 from shelfmark.registry import register
 from shelfmark.sources.faults import FAULTS_SQL, with_faults
 from shelfmark.sources.model import load_model
@@ -670,12 +671,33 @@ def f4_sma(spark: SparkSession, d: str) -> DataFrame:
     return forecast.sma(_series(spark, d))
 
 
-@register("f3_holt_winters")
+def _recursive(body: str, *ctes: str) -> str:
+    return _sql(body, *ctes).replace("WITH", "WITH RECURSIVE", 1)
+
+
+def _seasonal_sql(src: str) -> list[str]:
+    """``frows``: every series' forecast with its method (F8)."""
+    cols = "category, h, month, forecast, confidence_lower, confidence_upper"
+    return [*seasonal_ctes(src), _sma_sql(src), f"""frows AS (
+  SELECT {cols}, 'holt_winters' AS method FROM hw
+  UNION ALL
+  SELECT {cols}, 'simple_moving_average' FROM sma WHERE category NOT IN (SELECT category FROM hs))"""]
+
+
+@register("f3_holt_winters", _recursive("SELECT * FROM hw", CLEAN, _F1, _F2, *seasonal_ctes("fs")))
 def f3_holt_winters(spark: SparkSession, d: str) -> DataFrame:
     return forecast.holt_winters(_series(spark, d))
 
 
-@register("f8_forecast")
+@register("f8_forecast", _recursive("""
+SELECT f.category, s.historical, f.forecast, f.confidence_lower, f.confidence_upper, s.dates_historical,
+       f.dates_forecast, f.method
+FROM (SELECT category, method, LIST(forecast ORDER BY h) AS forecast, LIST(confidence_lower ORDER BY h) AS confidence_lower,
+             LIST(confidence_upper ORDER BY h) AS confidence_upper, LIST(month ORDER BY h) AS dates_forecast
+      FROM frows GROUP BY category, method) f
+JOIN (SELECT category, LIST(quantity ORDER BY month) AS historical,
+             LIST(strftime(month, '%Y-%m') ORDER BY month) AS dates_historical
+      FROM fs GROUP BY category) s ON s.category = f.category""", CLEAN, _F1, _F2, *_seasonal_sql("fs")))
 def f8_forecast(spark: SparkSession, d: str) -> DataFrame:
     return forecast.forecast_all(_series(spark, d))
 
@@ -687,20 +709,24 @@ act AS (SELECT category, CAST({config.FORECAST_MONTHS} + 1 - rb AS INTEGER) AS h
           AND category IN (SELECT category FROM train))"""
 
 
-@register("f10_backtest_sma", _sql(f"""
+def _errors_sql(src: str) -> str:
+    return f"""
 SELECT s.category, ROUND(AVG(CASE WHEN a.actual > 0
                                   THEN ABS(CAST(a.actual - s.forecast AS DOUBLE)) / a.actual END) * 100, 2) AS mape,
        ROUND(SQRT(AVG(CAST(a.actual - s.forecast AS DOUBLE) * (a.actual - s.forecast))), 2) AS rmse,
        ROUND(100.0 - AVG(CASE WHEN a.actual > 0
                               THEN ABS(CAST(a.actual - s.forecast AS DOUBLE)) / a.actual END) * 100, 2) AS accuracy,
        COUNT(*) AS n_months
-FROM sma s JOIN act a ON s.category = a.category AND s.h = a.h
-GROUP BY s.category""", CLEAN, _F1, _F2, _F10_SMA, _sma_sql("train")))
+FROM {src} s JOIN act a ON s.category = a.category AND s.h = a.h
+GROUP BY s.category"""
+
+
+@register("f10_backtest_sma", _sql(_errors_sql("sma"), CLEAN, _F1, _F2, _F10_SMA, _sma_sql("train")))
 def f10_backtest_sma(spark: SparkSession, d: str) -> DataFrame:
     return forecast.backtest(_series(spark, d), "sma")
 
 
-@register("f10_backtest")
+@register("f10_backtest", _recursive(_errors_sql("frows"), CLEAN, _F1, _F2, _F10_SMA, *_seasonal_sql("train")))
 def f10_backtest(spark: SparkSession, d: str) -> DataFrame:
     return forecast.backtest(_series(spark, d), "auto")
 
@@ -762,7 +788,15 @@ def d05_category_perf(spark: SparkSession, d: str) -> DataFrame:
     return insight.category_performance(m.clean_transactions, m.products)
 
 
-@register("d06_series")
+@register("d06_series", _recursive("""
+SELECT category, month, kind, value, lower, upper FROM per_cat
+UNION ALL
+SELECT 'all', month, kind, CAST(SUM(value) AS BIGINT), CAST(SUM(lower) AS BIGINT), CAST(SUM(upper) AS BIGINT)
+FROM per_cat GROUP BY month, kind""", CLEAN, _F1, _F2, *_seasonal_sql("fs"), """per_cat AS (
+  SELECT category, strftime(month, '%Y-%m') AS month, quantity AS value, 'historical' AS kind,
+         CAST(NULL AS BIGINT) AS lower, CAST(NULL AS BIGINT) AS upper FROM fs
+  UNION ALL
+  SELECT category, month, forecast, 'forecast', confidence_lower, confidence_upper FROM frows)"""))
 def d06_series(spark: SparkSession, d: str) -> DataFrame:
     m = load_model(spark, d)
     spine = forecast.month_spine(forecast.monthly_demand(m.clean_transactions, m.products))
