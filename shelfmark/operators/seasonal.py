@@ -6,11 +6,12 @@ function of the start state: with level l, trend d and the ring of seasonals s,
     e = y - l - d - s0,   l += d + a e,   d += a b e,   s0 += g (1 - a) e.
 
 The recursion is the same in every month, so the response of the errors to the
-seasonal of month i is the response to the first one, i months later: four
-errors a month (level, trend, first seasonal, data) give all columns of the
-least-squares problem.  Level and seasonals could trade a constant, so the first
-seasonal starts at 0.  Eliminating the unknowns from the upper triangle of the
-normal matrix leaves the squared error; substituting back gives the start state.
+seasonal of month i is the response to the first one, i months later; level and
+seasonals could trade a constant, so the level starts at 0.  One pass forward
+gives three errors a month (first seasonal, trend, data), one pass of the adjoint
+recursion backward their products with every column, that is the normal matrix.
+Eliminating the unknowns from its upper triangle leaves the squared error;
+substituting back gives the start state.
 
 The parameters are whole 1/10,000s from a grid with two finer rounds around the
 winner; sets that cannot differ are tried once (without level updates the trend
@@ -48,45 +49,61 @@ def _dot(x: str, y: str) -> str:
 
 def _normal(y: str, a: str, b: str, g: str, period: int) -> str:
     """Upper triangle of the normal matrix of series ``y`` (SQL text), rows
-    from the diagonal on: second to last seasonal, level, trend, data."""
-    zero = _doubles([0] * 4)
-    ring = ", ".join([_doubles([0, 0, 1, 0])] + [zero] * (period - 1))
-    error = "transform(st.l, (x, j) -> if(j = 3, v, 0D) - x - st.d[j] - st.s[0][j])"
-    step = _let("e", error, f"""named_struct(
-        'l', zip_with(zip_with(st.l, st.d, (x, w) -> x + w), e, (x, w) -> x + {a} * w),
-        'd', zip_with(st.d, e, (x, w) -> x + {a} * {b} * w),
-        's', concat(slice(st.s, 2, {period - 1}),
-                    array(zip_with(st.s[0], e, (x, w) -> x + {g} * (1D - {a}) * w))),
-        'e', concat(st.e, array(e)))""")
-    errors = f"""aggregate({y}, named_struct('l', {_doubles([1, 0, 0, 0])}, 'd', {_doubles([0, 1, 0, 0])},
-        's', array({ring}), 'e', cast(array() as array<array<double>>)), (st, v) -> {step}, st -> st.e)"""
+    from the diagonal on: seasonals, trend, data.  A fold copies its state at
+    every step, so rings and errors are flat (three numbers a month) and errors
+    are gathered season by season."""
     last = period - 1
-    # Two seasonals share all but their last months with the pair of the same distance that ends last.
-    lag = _dot(f"slice(z.s, 1, z.n - {last})", f"slice(z.s, k + 1, z.n - {last})")
-    rest = _dot(f"slice(z.s, z.n - {last - 1}, {last} - k)", f"slice(z.s, z.n - {last - 1} + k - i, {last} - k)")
-    with_data = [_dot("slice(z.s, 1, z.n - i)", f"slice(z.{c}, i + 1, z.n - i)") for c in "ldy"]
-    rows = f"""concat(
-        transform(sequence(1, {last}), i -> concat(
-            transform(sequence(i, {last}), k -> lags[k - i] + {rest}), array({", ".join(with_data)}))),
-        array(array({_dot("z.l", "z.l")}, {_dot("z.l", "z.d")}, {_dot("z.l", "z.y")}),
-              array({_dot("z.d", "z.d")}, {_dot("z.d", "z.y")}), array({_dot("z.y", "z.y")})))"""
-    columns = "named_struct('n', size(e), " + ", ".join(
-        f"'{c}', transform(e, v -> v[{i}])" for i, c in enumerate("ldsy")) + ")"
-    return _let("e", errors, _let("z", columns, _let(
-        "lags", f"transform(sequence(0, {last - 1}), k -> {lag})", rows)))
-
-
-def _eliminated(matrix: str, period: int) -> str:
-    """``done``: the pivot rows of the triangle; ``rest``: the squared error."""
-    return f"""aggregate(sequence(0, {period}), named_struct('done', cast(array() as array<array<double>>), 'rest', {matrix}),
-        (st, k) -> named_struct('done', concat(st.done, array(st.rest[0])),
-            'rest', transform(slice(st.rest, 2, {period + 1}), (r, i) -> {_let(
-                "f", f"if(st.rest[0][0] <= {PIVOT}D, 0D, st.rest[0][i + 1] / st.rest[0][0])",
-                "zip_with(r, slice(st.rest[0], i + 2, size(r)), (x, w) -> x - f * w)")})))"""
+    zero, zeros = _doubles([0] * 3), _doubles([0] * 3 * period)
+    forward = _let("e", "transform(st.l, (x, j) -> if(j = 2, v, 0D) - x - st.d[j] - st.s[j])", f"""named_struct(
+        'l', transform(e, (x, j) -> st.l[j] + st.d[j] + c.l * x),
+        'd', zip_with(st.d, e, (x, w) -> x + c.d * w),
+        's', concat(slice(st.s, 4, {3 * last}), transform(e, (x, j) -> st.s[j] + c.s * x)),
+        'e', concat(st.e, e))""")
+    a_season = f"""aggregate(slice({y}, {period} * k + 1, {period}), named_struct('l', o.l, 'd', o.d, 's', o.s,
+        'e', cast(array() as array<double>)), (st, v) -> {forward})"""
+    whole = _let("q", a_season, "named_struct('l', q.l, 'd', q.d, 's', q.s, 'e', concat(o.e, q.e))")
+    errors = f"""aggregate(sequence(0, (size({y}) - 1) div {period}), named_struct('l', {zero}, 'd', {_doubles([0, 1, 0])},
+        's', {_doubles([1] + [0] * (3 * period - 1))}, 'e', cast(array() as array<double>)),
+        (o, k) -> {whole}, o -> o.e)"""
+    backward = _let("e", f"""transform(st.l, (x, j) ->
+        errors[3 * t + j] + c.l * x + c.d * st.d[j] + c.s * st.s[{3 * last} + j])""", f"""named_struct(
+        'l', zip_with(st.l, e, (x, w) -> x - w),
+        'd', transform(e, (x, j) -> st.l[j] + st.d[j] - x),
+        's', concat(transform(e, (x, j) -> st.s[{3 * last} + j] - x), slice(st.s, 1, {3 * last})))""")
+    products = f"""aggregate(sequence(size({y}) - 1, 0), named_struct('l', {zero}, 'd', {zero}, 's', {zeros}),
+        (st, t) -> {backward})"""
+    # A month later, a pair of seasonals misses the product of the last months.
+    first = f"transform(sequence(0, {last}), i -> z.s[3 * i])"
+    seasonals = f"""aggregate(sequence(0, {last - 1}), array({first}), (rows, i) -> concat(rows, array(
+        zip_with(slice(rows[i], 1, {last} - i), slice(back, i + 1, {last} - i), (x, w) -> x - w * back[i]))))"""
+    data = f"aggregate(sequence(0, size({y}) - 1), 0D, (p, t) -> p + errors[3 * t + 2] * errors[3 * t + 2])"
+    rows = f"""concat(transform({seasonals}, (r, i) -> concat(r, slice(z.s, 3 * i + 2, 2))),
+        array(slice(z.d, 2, 2), array({data})))"""
+    weights = f"named_struct('l', {a}, 'd', {a} * {b}, 's', {g} * (1D - {a}))"
+    return _let("c", weights, _let("errors", errors, _let("z", products, _let(
+        "back", f"transform(sequence(1, {last}), k -> errors[3 * (size({y}) - k)])", rows))))
+
+
+def _reduced(rest: str) -> str:
+    """The triangle without its first unknown (dependent ones are left out)."""
+    head = f"{rest}[0]"
+    return f"""zip_with(slice({rest}, 2, size({rest}) - 1), slice({head}, 2, size({rest}) - 1), (r, h) ->
+        if({head}[0] <= {PIVOT}D, r, {_let("f", f"h / {head}[0]",
+            f"zip_with(r, slice({head}, size({head}) - size(r) + 1, size(r)), (x, w) -> x - f * w)")}))"""
+
+
+def _squared_error(matrix: str, period: int) -> str:
+    return f"aggregate(sequence(0, {period}), {matrix}, (st, k) -> {_reduced('st')})[0][0]"
+
+
+def _pivot_rows(matrix: str, period: int) -> str:
+    return f"""aggregate(sequence(0, {period}),
+        named_struct('done', cast(array() as array<array<double>>), 'rest', {matrix}),
+        (st, k) -> named_struct('done', concat(st.done, array(st.rest[0])), 'rest', {_reduced('st.rest')})).done"""
 
 
 def _start_state(done: str) -> str:
-    """Second to last seasonal, level, trend and 1, by substituting back."""
+    """Seasonals, trend and 1, by substituting back."""
     return f"""aggregate(reverse({done}), array(1D), (x, r) -> concat(
         array(if(r[0] <= {PIVOT}D, 0D, -{_dot("slice(r, 2, size(x))", "x")} / r[0])), x))"""
 
@@ -101,9 +118,9 @@ def _search(rows: DataFrame, key: str, alphas: Column, betas: Column, gammas: Co
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     b, g = _distinct_sets(F.col("_a"), betas, gammas)
     tried = (rows.withColumn("_a", F.explode(alphas)).withColumn("_b", b).withColumn("_g", g)
-             .repartition(tasks, key, "_a"))
+             .repartition(tasks))
     matrix = _normal("_y", f"(_a / {UNIT}D)", f"(b / {UNIT}D)", f"(g / {UNIT}D)", period)
-    sse = _eliminated(matrix, period) + ".rest[0][0]"
+    sse = _squared_error(matrix, period)
     best = f"""array_min(flatten(transform(_b, b -> transform(_g, g -> named_struct(
         'sse', round(greatest(0D, {sse}), {SSE_DIGITS}), 'a', _a, 'b', b, 'g', g)))))"""
     return (tried.select(key, "months", "_scale", "_y", F.expr(best).alias("_best"))
@@ -133,11 +150,10 @@ def fit(series: DataFrame, period: int) -> DataFrame:
                         *[(F.col(f"_best.{p}") / F.lit(float(UNIT))).alias(n)
                           for p, n in zip("abg", ("alpha", "beta", "gamma"))])
     matrix = _normal("_y", "alpha", "beta", "gamma", period)
-    solved = named.withColumn("_x", F.expr(_start_state(_eliminated(matrix, period) + ".done")))
+    solved = named.withColumn("_x", F.expr(_start_state(_pivot_rows(matrix, period))))
     error = "(v - st.l - st.d - st.s[0])"
     run = F.expr(f"""aggregate(_y,
-        named_struct('l', _x[{period - 1}], 'd', _x[{period}], 's', concat(array(0D), slice(_x, 1, {period - 1})),
-                     'e', cast(array() as array<double>)),
+        named_struct('l', 0D, 'd', _x[{period}], 's', slice(_x, 1, {period}), 'e', cast(array() as array<double>)),
         (st, v) -> named_struct(
             'l', st.l + st.d + alpha * {error}, 'd', st.d + alpha * beta * {error},
             's', concat(slice(st.s, 2, {period - 1}), array(st.s[0] + gamma * (1D - alpha) * {error})),

@@ -152,3 +152,18 @@ def test_per_product_series(spark):
                for r in rows)
     bt = forecast.backtest(series, "sma")
     assert bt.columns[0] == "product_id" and bt.count() > 0
+
+
+def test_seasonal_fit_needs_no_python_worker(spark):
+    months = [date(2020 + m // 12, m % 12 + 1, 1) for m in range(24)]
+    series = spark.createDataFrame([("flat", months, [7] * 24), (None, months, [0] * 24),
+                                    ("short", months[:5], [1, 2, 3, 4, 5])],
+                                   "category string, months array<date>, values array<bigint>")
+    fc = forecast.holt_winters(series)
+    plan = fc._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapInPandas" not in plan
+    # A constant or empty series fits exactly with the smallest parameters.
+    assert {(r.category, r.h, r.month, r.forecast, r.confidence_lower, r.confidence_upper, r.alpha)
+            for r in fc.collect()} == {(c, h, f"2022-{h:02d}", v, v, v, 0.0)
+                                       for c, v in (("flat", 7), (None, 0)) for h in (1, 2, 3)}
+    assert forecast.holt_winters(series.limit(0)).collect() == []
