@@ -118,3 +118,14 @@ def test_language_edges(spark, edge_docs, clash_docs, empty_docs, edge_rows):
     twins = spark.createDataFrame([(i, "same text", "en" if i % 2 else "de", None, None) for i in range(40)], SCHEMA)
     tied = rows_of(language_id.language(twins, language_id.train(twins)))
     assert len({r[2:] for r in tied}) == 1
+
+
+def test_repeated_ids_do_not_widen_the_fitted_sample(spark, monkeypatch):
+    seen = []
+    real = quality_model.fit
+    monkeypatch.setattr(quality_model, "fit", lambda x, y, *a, **k: (seen.append(len(y)), real(x, y, *a, **k))[1])
+    docs = spark.createDataFrame([(i, f"words of text {i} and copy {c}") for i in range(100) for c in range(20)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    first, again = (quality_model.train(docs.repartition(n), labels, max_rows=50) for n in (3, 7))
+    assert seen == [50, 50] and np.array_equal(first["w"], again["w"])
