@@ -4,11 +4,13 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.llm import exact_dedup, near_dedup
 from shelfmark.llm.common import words_of
+from shelfmark.llm import graph
 from shelfmark.llm.graph import components
 from corpus_fixtures import SCHEMA, prose, rows_of, word
 
@@ -191,3 +193,34 @@ def test_components(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: find(x) for x in linked}
     assert components(spark.createDataFrame([], "a long, b long"), "t").count() == 0
+
+
+def test_components_over_several_tasks(spark):
+    """Long chains, cycles and a hub whose links lie in different tasks and contracted blocks."""
+    rng = np.random.default_rng(5)
+    names = rng.permutation(600).astype(np.int64) - 300
+    pairs = [(i, i + 1) for i in range(0, 199)] + [(200 + i, 200 + (i + 1) % 50) for i in range(50)] + [(300, j) for j in range(301, 600)]
+    links = [(int(names[a]), int(names[b])) for a, b in pairs] + [(int(names[7]), int(names[7])), (int(names[3]), int(names[4]))]
+    expected = {}
+    for part in (range(0, 200), range(200, 250), range(300, 600)):
+        low = int(min(names[i] for i in part))
+        expected |= {int(names[i]): low for i in part}
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = [(r.node, r.root) for r in components(spark.createDataFrame(links, "a long, b long").repartition(7), "t").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    assert len(got) == len(expected) and dict(got) == expected
+
+
+def test_contraction_keeps_components():
+    rng = np.random.default_rng(6)
+    for n, m in ((10, 3), (200, 150), (200, 400)):
+        u, v = rng.integers(-n, n, (2, m))
+        got = graph._stars_of([pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])])
+        label = {int(x): int(x) for x in (*u, *v)}
+        for _ in label:
+            for a, b in zip(u.tolist(), v.tolist(), strict=True):
+                label[a] = label[b] = min(label[a], label[b])
+        assert dict(zip(got["u"].to_pylist(), got["v"].to_pylist(), strict=True)) == {x: r for x, r in label.items() if x != r}
