@@ -7,6 +7,8 @@ transformation; none of them collects data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -142,83 +144,23 @@ def generated_columns(txn: DataFrame) -> DataFrame:
                         F.when(sell > 0, (sell - cost) / sell * 100).otherwise(F.lit(0.0))))
 
 
-def constraint_violations(transactions: DataFrame, products: DataFrame, stores: DataFrame,
-                          inventory: DataFrame, promotions: DataFrame | None = None) -> DataFrame:
-    """One row per (table, rule) with the number of violating rows.
-
-    Primary keys are checked with a grouped count, foreign keys with a left
-    anti join, value rules with conditional sums; every check is a
-    distributed aggregate whose output is one row.
-    """
-    def dup_keys(df, table, key):
-        d = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-             .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")))
-        return d.select(F.lit(table).alias("table_name"), F.lit(f"primary_key({key})").alias("rule"),
-                        "violations")
-
-    def fk(df, table, key, dim, dim_key):
-        missing = df.filter(F.col(key).isNotNull()).join(
-            dim.select(F.col(dim_key).alias(key)), key, "left_anti")
-        return missing.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit(f"foreign_key({key})").alias("rule"), "violations")
-
-    def rules(df, table, checks):
-        aggs = [F.sum(F.when(F.coalesce(~cond, F.lit(True)), 1).otherwise(0)).alias(name)
-                for name, cond in checks]
-        wide = df.agg(*aggs)
-        stack = ", ".join(f"'{name}', cast(coalesce(`{name}`, 0) as bigint)" for name, _ in checks)
-        return wide.selectExpr(f"stack({len(checks)}, {stack}) as (rule, violations)").select(
-            F.lit(table).alias("table_name"), "rule", "violations")
-
-    t = transactions
+def constraint_violations(transactions: DataFrame, products: DataFrame, stores: DataFrame, inventory: DataFrame,
+                          promotions: DataFrame | None = None, campaigns: DataFrame | None = None) -> DataFrame:
+    """One row per (table, rule) with the number of violating rows; one scan per
+    table, with its value rules, foreign keys and repeated keys in one aggregate."""
+    from shelfmark.operators.quality import violations
+    product, store = ("product_id", products, "product_id"), ("store_id", stores, "store_id")
     parts = [
-        dup_keys(products, "products", "product_id"),
-        dup_keys(stores, "stores", "store_id"),
-        fk(t, "transactions", "product_id", products, "product_id"),
-        fk(t, "transactions", "store_id", stores, "store_id"),
-        fk(inventory, "inventory", "product_id", products, "product_id"),
-        fk(inventory, "inventory", "store_id", stores, "store_id"),
-        rules(products, "products", [
-            ("not_null(name)", F.col("product_name").isNotNull()),
-            ("not_null(category)", F.col("category").isNotNull()),
-            ("check(base_price > 0)", F.col("base_price") > 0),
-            ("check(cost > 0)", F.col("cost") > 0),
-        ]),
-        rules(t, "transactions", [
-            ("not_null(date)", F.col("date").isNotNull()),
-            ("check(quantity_sold >= 0)", F.col("quantity") >= 0),
-            ("check(selling_price > 0)", F.col("selling_price") > 0),
-            ("check(base_price > 0)", F.col("base_price") > 0),
-            ("check(cost > 0)", F.col("cost") > 0),
-            ("check(discount_pct between 0 and 100)",
-             (F.col("discount_pct") * 100 >= 0) & (F.col("discount_pct") * 100 <= 100)),
-            ("check(is_promotion in (0,1))", F.col("is_promotion").isin(0, 1)),
-            ("not_null(product_id)", F.col("product_id").isNotNull()),
-            ("not_null(store_id)", F.col("store_id").isNotNull()),
-        ]),
-        rules(inventory, "inventory", [
-            ("check(current_stock >= 0)", F.col("current_stock") >= 0),
-            ("check(warehouse_stock >= 0)", F.coalesce(F.col("warehouse_stock"), F.lit(0)) >= 0),
-            ("not_null(product_id)", F.col("product_id").isNotNull()),
-            ("not_null(store_id)", F.col("store_id").isNotNull()),
-        ]),
-        dup_keys(t, "transactions", "transaction_id"),
-        rules(stores, "stores", [(f"not_null({c})", F.col(c).isNotNull()) for c in ("city", "region", "tier")]),
+        violations(products, "products", "product_id"),
+        violations(stores, "stores", "store_id"),
+        violations(transactions, "transactions", "transaction_id", [product, store]),
+        violations(inventory, "inventory", None, [product, store]),
     ]
     if promotions is not None:
-        parts += [
-            dup_keys(promotions, "promotions", "promo_id"),
-            fk(promotions, "promotions", "product_id", products, "product_id"),
-            rules(promotions, "promotions", [
-                ("not_null(date)", F.col("date").isNotNull()),
-                ("check(0 < discount_pct <= 100)",
-                 (F.col("discount_pct") * 100 > 0) & (F.col("discount_pct") * 100 <= 100)),
-            ]),
-        ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(violations(promotions, "promotions", "promo_id", [product]))
+    if campaigns is not None:
+        parts.append(violations(campaigns, "campaigns", None, [product]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def positive_complete(df: DataFrame, features: list[str]) -> DataFrame:

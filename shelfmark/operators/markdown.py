@@ -90,11 +90,12 @@ def simulate(products: DataFrame, inventory: DataFrame, txn: DataFrame,
                     F.coalesce(F.col("_recent_daily"), F.col("base_demand")).alias("_demand"),
                     F.coalesce(F.col("stock_sum"), F.lit(0)).cast("bigint").alias("_stock"),
                     "elasticity"))
-    pcts = F.array(*[F.lit(int(round(d * 100))) for d in discounts])
+    # Discounts in basis points, so that price, demand and label agree on fractions of a percent.
+    points = F.array(*[F.lit(int(round(d * 10_000))) for d in discounts])
     fracs = F.array(*[F.lit(float(d)) for d in discounts])
-    s = base.select("*", F.posexplode(pcts).alias("_i", "_pp")).withColumn(
+    s = base.select("*", F.posexplode(points).alias("_i", "_bp")).withColumn(
         "_d", F.element_at(fracs, F.col("_i") + 1))
-    price_c = div_half_up(cents(F.col("base_price")) * (F.lit(100) - F.col("_pp")), F.lit(100))
+    price_c = div_half_up(cents(F.col("base_price")) * (F.lit(10_000) - F.col("_bp")), F.lit(10_000))
     ratio = F.lit(1.0) - F.col("_d")
     daily = F.when((ratio > 0) & (F.col("_d") > 0),
                    F.greatest(F.lit(0.0), F.col("_demand") * F.pow(ratio, F.col("elasticity")))
@@ -107,7 +108,7 @@ def simulate(products: DataFrame, inventory: DataFrame, txn: DataFrame,
         .otherwise(F.lit(0).cast("bigint"))
     return s.select(
         "product_id", "product_name", "category",
-        (F.col("_pp").cast("double")).alias("discount_pct"),
+        (F.col("_bp") / F.lit(100.0)).alias("discount_pct"),
         from_cents(F.col("_price_c"), PRICE).cast("double").alias("new_price"),
         F.col("cost").cast("double").alias("cost"),
         from_cents(margin_c, PRICE).cast("double").alias("margin_per_unit"),

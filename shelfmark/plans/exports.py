@@ -56,10 +56,12 @@ DOCUMENTS = {
 }
 
 
-def manifest(spark: SparkSession, written: list[str]) -> DataFrame:
-    """One row per document with the datasets that hold its parts."""
-    rows = [(doc, parts) for doc, parts in DOCUMENTS.items() if set(parts) <= set(written)]
-    return spark.createDataFrame(rows, "document string, datasets array<string>")
+def manifest(spark: SparkSession, written: list[str], cleaning: dict[str, int]) -> DataFrame:
+    """One row per document with the datasets that hold its parts, and how many
+    sales the run checked and removed before it made them."""
+    counts = (cleaning["rows_in"], cleaning["rows_removed"] or 0)  # a sum over no rows is null
+    rows = [(doc, parts, *counts) for doc, parts in DOCUMENTS.items() if set(parts) <= set(written)]
+    return spark.createDataFrame(rows, "document string, datasets array<string>, rows_checked bigint, rows_removed bigint")
 
 
 def write_all(out_dir: str, results: dict[str, DataFrame]) -> None:

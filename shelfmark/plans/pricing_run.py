@@ -68,7 +68,7 @@ def build(spark: SparkSession, path: str, configured: dict[str, float] | None =
         "whatif_products": products.select("product_id", "product_name", "category",
                                            "base_price", "cost"),
     }
-    return docs | {"manifest": exports.manifest(spark, list(docs))}
+    return docs | {"manifest": exports.manifest(spark, list(docs), m.cleaning)}
 
 
 def run(spark: SparkSession, path: str, out_dir: str, parallel_writes: int = 4,

@@ -192,7 +192,7 @@ for _name in sqlcorpus.Q:
 
 def _load_rest() -> None:
     # Registration side effects of the other query groups.
-    from shelfmark import registry_ops  # noqa: F401
+    from shelfmark import registry_ops, registry_store  # noqa: F401
 
 
 _load_rest()

@@ -11,7 +11,7 @@ from shelfmark import oracle as O
 from shelfmark.functions.calendar import add_time_features
 from shelfmark.functions.sqltext import half_up_ratio as hr
 from shelfmark.functions.sqltext import round_half_up_double as r2s
-from shelfmark.operators import clean, kpi, sqlcorpus
+from shelfmark.operators import campaigns, clean, kpi, sqlcorpus
 from shelfmark.oracle_seasonal import seasonal_ctes
 from shelfmark.registry import register
 from shelfmark.sources.faults import FAULTS_SQL, with_faults
@@ -132,6 +132,7 @@ _T9_ORACLE = "\nUNION ALL\n".join([
     "AND NOT EXISTS (SELECT 1 FROM products x WHERE x.product_id = f.product_id)",
     "SELECT 'inventory', 'foreign_key(store_id)', COUNT(*) FROM inventory f WHERE store_id IS NOT NULL "
     "AND NOT EXISTS (SELECT 1 FROM stores x WHERE x.store_id = f.store_id)",
+    _rule_sql("stores", "stores", "not_null(name)", "store_name IS NOT NULL"),
     _rule_sql("products", "products", "not_null(name)", "product_name IS NOT NULL"),
     _rule_sql("products", "products", "not_null(category)", "category IS NOT NULL"),
     _rule_sql("products", "products", "check(base_price > 0)", "base_price > 0"),
@@ -159,14 +160,43 @@ _T9_ORACLE = "\nUNION ALL\n".join([
     _rule_sql("promotions", "(SELECT * FROM txn WHERE is_promotion = 1)", "not_null(date)", "date IS NOT NULL"),
     _rule_sql("promotions", "(SELECT * FROM txn WHERE is_promotion = 1)", "check(0 < discount_pct <= 100)",
               "discount_pct * 100 > 0 AND discount_pct * 100 <= 100"),
+    _rule_sql("transactions", "faulty", "check(is_holiday in (0,1))",
+              f"date IS NULL OR CAST(strftime(date, '%Y-%m-%d') IN ({O._HOL}) AS INTEGER) IN (0, 1)"),
+    _rule_sql("transactions", "faulty", "check(is_weekend in (0,1))",
+              "date IS NULL OR CAST(isodow(date) IN (6, 7) AS INTEGER) IN (0, 1)"),
+    "SELECT 'campaigns', 'foreign_key(product_id)', COUNT(*) FROM campaigns f WHERE product_id IS NOT NULL "
+    "AND NOT EXISTS (SELECT 1 FROM products x WHERE x.product_id = f.product_id)",
+    *[_rule_sql("campaigns", "campaigns", f"not_null({c})", f"{c} IS NOT NULL")
+      for c in ("product_id", "campaign_type", "start_date", "end_date")],
+    _rule_sql("campaigns", "campaigns", "check(0 < discount_pct <= 100)",
+              "discount_pct * 100 > 0 AND discount_pct * 100 <= 100"),
 ])
+_PROMO_LIST = "[" + ", ".join(f"'{t}'" for t in config.PROMO_TYPES) + "]"
 
 
-@register("t9_constraints", _sql(_T9_ORACLE, FAULTS_SQL))
+def campaign_ctes(keys: str, gap: int = 30) -> str:
+    """Gaps and islands over the promoted sales of each key."""
+    names = keys.replace("promo_type", "promo_type AS campaign_type")
+    return f"""
+promos AS (
+  SELECT *, {_PROMO_LIST}[CAST(((transaction_id // 10) % 4 + 4) % 4 AS INTEGER) + 1] AS promo_type
+  FROM txn WHERE is_promotion = 1 AND date IS NOT NULL),
+opened AS (
+  SELECT *, CASE WHEN date - LAG(date) OVER w <= {gap} THEN 0 ELSE 1 END AS opens
+  FROM promos WINDOW w AS (PARTITION BY {keys} ORDER BY date)),
+numbered AS (
+  SELECT *, SUM(opens) OVER (PARTITION BY {keys} ORDER BY date) AS island FROM opened),
+campaigns AS (
+  SELECT {names}, MIN(date) AS start_date, MAX(date) AS end_date, COUNT(*) AS n_sales, COUNT(DISTINCT date) AS n_days,
+         MAX(discount_pct) AS discount_pct
+  FROM numbered GROUP BY {keys}, island)"""
+
+
+@register("t9_constraints", _sql(_T9_ORACLE, FAULTS_SQL, campaign_ctes("product_id, store_id, promo_type")))
 def t9_constraints(spark: SparkSession, d: str) -> DataFrame:
     m = load_model(spark, d)
-    return clean.constraint_violations(with_faults(m.transactions), m.products, m.stores,
-                                       m.inventory, m.promotions)
+    return clean.constraint_violations(add_time_features(with_faults(m.transactions)), m.products, m.stores,
+                                       m.inventory, m.promotions, campaigns.campaigns(m.promotions))
 
 
 # ----------------------------------------------------------------------- KPIs
@@ -429,24 +459,26 @@ def _half_even_sql(num: str, den: str) -> str:
             f"ELSE {q} + {q} % 2 END)")
 
 
-_DISC_VALUES = ", ".join(f"({i}, {int(round(d * 100))}, CAST({d!r} AS DOUBLE))"
-                         for i, d in enumerate(config.SIMULATION_DISCOUNTS))
-
-_M1_CTES = f"""mbase AS (
+def scenario_ctes(discounts) -> str:
+    """The scenarios of a list of discounts; prices in basis points."""
+    values = ", ".join(f"({i}, {int(round(d * 10_000))}, CAST({d!r} AS DOUBLE))" for i, d in enumerate(discounts))
+    return f"""mbase AS (
   SELECT p.product_id, p.product_name, p.category, p.base_price, p.cost,
          COALESCE({O._dhu('r.rq * 100', str(config.RECENT_DAYS))} / CAST(100 AS DOUBLE), p.base_demand) AS dem,
          CAST(COALESCE(k.ss, 0) AS BIGINT) AS st, e.elasticity
   FROM products p LEFT JOIN recent r ON p.product_id = r.product_id
   LEFT JOIN stk k ON p.product_id = k.product_id LEFT JOIN elas e ON p.product_id = e.product_id),
 scen AS (
-  SELECT m.*, v.pp, v.d,
-         CAST({O._dhu('CAST(m.base_price * 100 AS BIGINT) * (100 - v.pp)', '100')} AS BIGINT) AS price_c,
+  SELECT m.*, v.bp / CAST(100 AS DOUBLE) AS pp, v.d,
+         CAST({O._dhu('CAST(m.base_price * 100 AS BIGINT) * (10000 - v.bp)', '10000')} AS BIGINT) AS price_c,
          CASE WHEN (1.0 - v.d) > 0 AND v.d > 0
               THEN GREATEST(0.0, m.dem * POW(1.0 - v.d, m.elasticity)) ELSE m.dem END AS daily
-  FROM mbase m, (VALUES {_DISC_VALUES}) v(i, pp, d)),
+  FROM mbase m, (VALUES {values}) v(i, bp, d)),
 scen2 AS (SELECT *, CAST(ROUND_EVEN(daily * 30, 0) AS BIGINT) AS monthly,
                  price_c - CAST(cost * 100 AS BIGINT) AS margin_c FROM scen)"""
 
+
+_M1_CTES = scenario_ctes(config.SIMULATION_DISCOUNTS)
 _M1_BODY = f"""
 SELECT product_id, product_name, category, CAST(pp AS DOUBLE) AS discount_pct,
        CAST(price_c AS DOUBLE) / 100 AS new_price, CAST(cost AS DOUBLE) AS cost,
@@ -1156,9 +1188,6 @@ def f5_band(spark: SparkSession, d: str) -> DataFrame:
                                                   "confidence_lower", "confidence_upper")
 
 
-_PROMO_LIST = "[" + ", ".join(f"'{t}'" for t in config.PROMO_TYPES) + "]"
-
-
 @register("g4_promotions", _sql(f"""
 SELECT transaction_id AS promo_id, transaction_id, product_id, store_id, date, discount_pct,
        {_PROMO_LIST}[CAST(((transaction_id // 10) % 4 + 4) % 4 AS INTEGER) + 1] AS promo_type

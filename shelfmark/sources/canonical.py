@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.exact import MONEY, PRICE
@@ -45,10 +45,18 @@ class TableModel:
 
         if "clean" not in self._cache:
             distinct = write_shared(clean.deduplicate(self.transactions), "dedup")
-            self._cache["clean"] = write_shared(clean.after_dedup(distinct), "clean", ["year"])
+            seen = Observation()
+            self._cache["clean"] = write_shared(clean.after_dedup(distinct, seen), "clean", ["year"])
+            self._cache["cleaning"] = seen.get
             drop_shared(distinct)
         return self._cache["clean"]
 
+    @property
+    def cleaning(self) -> dict[str, int]:
+        """Rows checked and removed (T3), as observed while the cleaned table was written."""
+        self.clean_transactions  # noqa: B018  (written on first use)
+        return self._cache["cleaning"]
+
 
 def read_folder(spark: SparkSession, raw_dir: str) -> TableModel:
     """Every CSV file of the folder as a table."""

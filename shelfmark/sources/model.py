@@ -22,7 +22,7 @@ engine's names and meaning (discount_pct is a fraction 0..1).
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import config
@@ -216,13 +216,20 @@ class RetailModel:
             # Duplicates are found on the seven independent columns, before the
             # part join widens the rows.
             distinct = write_shared(sales(clean.deduplicate(sale_lines(self.lineitem)), self.part), "dedup")
-            table = write_shared(clean.after_dedup(distinct), "clean", ["year"])
+            seen = Observation()
+            table = write_shared(clean.after_dedup(distinct, seen), "clean", ["year"])
+            table._cleaning = seen.get
             drop_shared(distinct)
             return table
 
         paths = [table_path(self.sf_dir, t) for t in ("lineitem", "part")]
         return self._get("clean", lambda: keep(self.spark, f"clean {self.sf_dir}", paths, build))
 
+    @property
+    def cleaning(self) -> dict[str, int]:
+        """Rows checked and removed (T3), as observed while the cleaned table was written."""
+        return self.clean_transactions._cleaning
+
 
 def load_model(spark: SparkSession, sf_dir: str) -> RetailModel:
     return RetailModel(spark, sf_dir)
