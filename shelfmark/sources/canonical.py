@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.exact import MONEY, PRICE
 from shelfmark.sources import files
-from shelfmark.sources.shared import drop_shared, write_shared
 
 # Types of the money columns; other columns keep the types they were read with.
 _MONEY = {"base_price": PRICE, "cost": PRICE, "selling_price": PRICE, "competitor_price": PRICE,
@@ -44,18 +43,13 @@ class TableModel:
         from shelfmark.operators import clean
 
         if "clean" not in self._cache:
-            distinct = write_shared(clean.deduplicate(self.transactions), "dedup")
-            seen = Observation()
-            self._cache["clean"] = write_shared(clean.after_dedup(distinct, seen), "clean", ["year"])
-            self._cache["cleaning"] = seen.get
-            drop_shared(distinct)
+            self._cache["clean"] = clean.write_clean(clean.deduplicate(self.transactions))
         return self._cache["clean"]
 
     @property
     def cleaning(self) -> dict[str, int]:
         """Rows checked and removed (T3), as observed while the cleaned table was written."""
-        self.clean_transactions  # noqa: B018  (written on first use)
-        return self._cache["cleaning"]
+        return self.clean_transactions._cleaning
 
 
 def read_folder(spark: SparkSession, raw_dir: str) -> TableModel:

@@ -70,3 +70,34 @@ def test_constraint_report_counts(spark, make_txn):
     assert rep[("inventory", "foreign_key(product_id)")] == 1
     assert rep[("inventory", "check(current_stock >= 0)")] == 1
     assert rep[("products", "primary_key(product_id)")] == 0
+
+
+def test_clean_table_is_written_once_with_filled_and_removed_rows(spark, make_txn, monkeypatch):
+    rows = [txn_row(i, pid=1, price=p) for i, p in enumerate([1, 2, 4, 10, -3])]   # -3 counts for the median
+    rows += [txn_row(10, pid=1, price=None), txn_row(11, pid=2, price=None), txn_row(12, price=7, qty=-1),
+             txn_row(13, pid=1, price=None, qty=-2), txn_row(14, price=5, day=None)]
+    written = []
+    monkeypatch.setattr(clean, "write_shared", lambda df, name, by=(), w=clean.write_shared: written.append(name) or w(df, name, by))
+    out = clean.write_clean(make_txn(rows))
+    assert written[0] == "clean" and "dedup" not in written
+    prices = {r.transaction_id: float(r.selling_price) for r in out.collect()}
+    assert prices == {0: 1.0, 1: 2.0, 2: 4.0, 3: 10.0, 10: 4.0, 14: 5.0}
+    assert out._cleaning == {"rows_in": 10, "rows_removed": 4}
+    expected = clean.after_dedup(make_txn(rows))
+    assert out.exceptAll(expected.select(*out.columns)).isEmpty() and expected.select(*out.columns).exceptAll(out).isEmpty()
+    empty = clean.write_clean(make_txn([]))
+    assert empty.count() == 0 and empty._cleaning == {"rows_in": 0, "rows_removed": 0}
+
+
+def test_pricing_queries_bound_what_a_task_reads(spark):
+    from shelfmark.session import bound_tasks
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "128MB")
+        spark.conf.set(keys[1], "64k")
+        bound_tasks(spark)
+        assert spark.conf.get(keys[0]) == str(16 << 20) and spark.conf.get(keys[1]) == "64k"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
