@@ -43,7 +43,7 @@ class TableModel:
         from shelfmark.operators import clean
 
         if "clean" not in self._cache:
-            self._cache["clean"] = clean.write_clean(clean.deduplicate(self.transactions))
+            self._cache["clean"] = clean.write_clean(clean.deduplicate(self.transactions).hint("rebalance", "product_id"))
         return self._cache["clean"]
 
     @property
