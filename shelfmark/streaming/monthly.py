@@ -23,14 +23,15 @@ removed, the state no longer describes the input and a new one is started.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.calendar import add_time_features, month_label
 from shelfmark.operators import clean
-from shelfmark.session import checkpoint_dir
+from shelfmark.session import bound_tasks, checkpoint_dir
 from shelfmark.sources.model import sale_lines, sales
 from shelfmark.sources.shared import fingerprint
 from shelfmark.sources.tables import read_table, table_path
@@ -98,7 +99,9 @@ def run_available(spark: SparkSession, lines_path: str, part: DataFrame,
 
     def handle(batch: DataFrame, number: int) -> None:
         new = sale_lines(batch).withColumn("month", F.trunc("date", "month")).distinct()
-        months = [r.month for r in new.select("month").distinct().collect()]  # bounded by the calendar
+        # Bounded by the calendar; taken from the dates alone, not from the distinct rows.
+        days = sale_lines(batch).select(F.trunc("date", "month").alias("month"))
+        months = [r.month for r in days.distinct().collect()]
         store = f"{state}/rows"
         earlier = None
         if number:
@@ -107,7 +110,11 @@ def run_available(spark: SparkSession, lines_path: str, part: DataFrame,
                        .parquet(*[f"{store}/batch={i}" for i in range(number)])
                        .filter(F.col("month").isin([m for m in months if m is not None])
                                | F.col("month").isNull()).select(*new.columns))
-        fresh = new.subtract(earlier) if earlier is not None else new
+        fresh = new
+        if earlier is not None:  # EXCEPT, of rows that are distinct already
+            known = earlier.toDF(*(f"_{c}" for c in earlier.columns))
+            same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in new.columns])
+            fresh = new.join(known, same, "left_anti")
         fresh.write.mode("overwrite").partitionBy("month").parquet(f"{store}/batch={number}")
         rows = spark.read.schema(new.schema).option("basePath", f"{store}/batch={number}").parquet(f"{store}/batch={number}")
         monthly_sums(sales(rows.drop("month"), part)).write.mode("overwrite").parquet(f"{state}/sums/batch={number}")
@@ -123,6 +130,7 @@ def run_available(spark: SparkSession, lines_path: str, part: DataFrame,
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K12 over the line items arriving in eight files, two per micro-batch, in
     no order of dates."""
+    bound_tasks(spark)
     lines = read_table(spark, sf_dir, "lineitem", LINE_COLUMNS)
     tag = hashlib.sha256(fingerprint(spark, table_path(sf_dir, "lineitem")).encode()).hexdigest()[:12]
     arrived = f"{checkpoint_dir(spark).rstrip('/')}/stream-lines-{tag}"
