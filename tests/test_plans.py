@@ -76,3 +76,18 @@ def test_cleaned_table_follows_its_input(spark, tmp_path):
     again = load_model(spark, folder).clean_transactions
     assert 0 < again.count() < n
     assert not os.path.exists(first._shared_path.removeprefix("file:"))  # the stale copy is gone
+
+
+def test_cleaned_sales_of_a_product_lie_together(spark, tmp_path):
+    folder = str(tmp_path / "tables")
+    shutil.copytree(SMOKE, folder)
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # several files a year
+    try:
+        txn = load_model(spark, folder).clean_transactions
+    finally:
+        spark.conf.set(setting, before)
+    held = txn.select("product_id", "year", F.input_file_name().alias("file")).distinct()
+    assert held.select("file").distinct().count() > held.select("year").distinct().count()
+    assert held.groupBy("product_id", "year").count().filter("count > 1").isEmpty()
