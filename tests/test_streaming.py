@@ -65,3 +65,24 @@ def test_registered_query_uses_several_batches(spark):
     want = QUERIES["k12_monthly"](spark, SMOKE)
     key = lambda df: sorted(map(repr, (tuple(r[c] for c in ("date", "revenue", "profit", "quantity", "orders")) for r in df.collect())))
     assert key(got) == key(want)
+
+
+def test_repeated_rows_are_dropped_by_a_join_alone(spark, tmp_path, monkeypatch):
+    from shelfmark.sources.model import sale_lines, sales
+    lines = read_table(spark, SMOKE, "lineitem", monthly.LINE_COLUMNS)
+    part = read_table(spark, SMOKE, "part", monthly.PART_COLUMNS)
+    undated = lines.limit(5).withColumn("l_shipdate", F.lit(None).cast(lines.schema["l_shipdate"].dataType))
+    pieces = spark.createDataFrame(lines.limit(40).unionByName(undated).collect(), lines.schema)
+    folder = str(tmp_path / "lines")
+    for _ in range(2):
+        pieces.coalesce(1).write.mode("append").parquet(folder)
+
+    def refused(*_):
+        raise AssertionError("a second distinct over the batch")
+
+    t = monthly.monthly_sums(sales(sale_lines(pieces).distinct(), part)).collect()
+    want = [(r.date, float(r.revenue), float(r.profit), r.quantity, r.orders) for r in t]
+    monkeypatch.setattr(type(lines), "subtract", refused)
+    key = lambda x: sorted(map(repr, x))  # noqa: E731  (a null month)
+    got = monthly.run_available(spark, folder, part, 1).collect()
+    assert key((r.date, r.revenue, r.profit, r.quantity, r.orders) for r in got) == key(want)
