@@ -1,6 +1,6 @@
 """Per-product discount optimisation and recommendations.
 
-Each product's candidate discounts are arrays inside its row, so the search is
+Each product's candidate discounts are arrays beside its row, so the search is
 a projection.  The coarse grid is 0..50 % in 1 % steps; the
 refinement searches +-2 % around the coarse winner in 0.01 % steps (the
 4-decimal grid the result is rounded to).  Ties go to the smallest discount.
@@ -8,8 +8,11 @@ refinement searches +-2 % around the coarse winner in 0.01 % steps (the
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark import config
 from shelfmark.functions.exact import div_half_up, round_half_up_double as r2d
@@ -84,21 +87,53 @@ def objective(m: dict[str, Column], min_clearance: float = config.OPT_MIN_CLEARA
     return _penalised(r2d(m["profit"], 2), m["clearance"], min_clearance)
 
 
-def _with_best(df: DataFrame, lo: Column, hi: Column, step: int, out: str) -> DataFrame:
-    """Adds ``out``: the discount (basis points) from lo to hi with the highest objective, smallest on ties.
+_BOUNDS = tuple(round(d * 10000) for d in (config.OPT_DISCOUNT_MIN, config.OPT_DISCOUNT_MAX))
+_FOUND = T.StructType([T.StructField("_coarse", T.LongType()), T.StructField("_opt", T.LongType())])
+_BLOCK = 512  # products searched at once: some 401 candidates each, 1.6 MB a measure
 
-    The candidates of a product are an array in its row and each measure is one
-    more array beside it, computed once, so nothing is exploded or shuffled; the
-    first place of the maximum decides, and objectives have no limit in size."""
-    base, cost, e, demand, stock = (F.col(c) for c in ("base_price", "cost", "elasticity", "demand", "stock"))
-    keep = df.columns
-    a = df.withColumn("_lo", lo).withColumn("_ratio", F.transform(
-        F.sequence("_lo", hi, F.lit(step).cast("bigint")), lambda bp: F.lit(1.0) - bp / F.lit(10000.0)))
-    a = a.withColumn("_month", F.transform("_ratio", lambda r: _monthly(r, e, demand, config.PROJECTION_DAYS)[1]))
-    a = a.withColumn("_profit", F.zip_with("_ratio", "_month", lambda r, m: r2d(_profit(r, m, base, cost, stock), 2)))
-    a = a.withColumn("_value", F.zip_with("_profit", "_month", lambda p, m: _penalised(p, _clearance(m, stock))))
-    first = F.array_position("_value", F.array_max("_value"))
-    return a.select(*keep, (F.col("_lo") + (first - 1) * step).alias(out))
+
+def _cents_np(x: np.ndarray) -> np.ndarray:
+    """``r2d(x, 2)`` as Spark computes it: its FLOOR is a 64-bit integer (NaN is 0, larger values stop at the bounds)."""
+    cents = np.floor(x * 100.0 + 0.5)
+    return np.clip(np.where(np.isnan(cents), 0.0, cents), -2.0 ** 63, 2.0 ** 63) / 100.0
+
+
+def _values_np(bp: np.ndarray, base, cost, e, demand, stock) -> np.ndarray:
+    """O2 for an array of candidates (basis points) per product: the operations of ``objective``, in its order."""
+    ratio = 1.0 - bp / 10000.0
+    monthly = np.maximum(0.0, demand * np.power(ratio, e)) * config.PROJECTION_DAYS
+    unsold = np.maximum(0.0, stock - monthly)
+    profit = _cents_np((base * ratio - cost) * monthly - unsold * base * config.HOLDING_COST_RATE)
+    clearance = _cents_np(np.where(stock > 0, monthly / np.where(stock > 0, stock, 1.0) * 100, 0.0))
+    return np.where(clearance < config.OPT_MIN_CLEARANCE * 100, profit - np.abs(profit) * 0.1, profit)
+
+
+def _best_np(lo: np.ndarray, hi: np.ndarray, step: int, width: int, *row: np.ndarray) -> np.ndarray:
+    """Per product the candidate from lo to hi with the highest objective, the smallest on ties."""
+    bp = lo[:, None] + step * np.arange(width)
+    with np.errstate(all="ignore"):
+        value = np.where(bp <= hi[:, None], _values_np(bp, *(c[:, None] for c in row)), -np.inf)
+    return lo + step * np.argmax(value, axis=1)
+
+
+def _search_rows(base: pa.Array, cost: pa.Array, e: pa.Array, demand: pa.Array, stock: pa.Array) -> pa.Array:
+    """Both searches for a batch of products, block by block; without a price or a cost there is no optimum."""
+    def numbers(a: pa.Array) -> np.ndarray:
+        return a.fill_null(0.0).to_numpy(zero_copy_only=False).astype(float)
+
+    unknown = base.is_null().to_numpy(zero_copy_only=False) | cost.is_null().to_numpy(zero_copy_only=False)
+    # Without an elasticity there is no demand, as without a demand.
+    known_e = ~e.is_null().to_numpy(zero_copy_only=False)
+    row = (numbers(base), numbers(cost), numbers(e), np.where(known_e, numbers(demand), 0.0), numbers(stock))
+    first, last = _BOUNDS
+    coarse, fine = np.empty(len(base), np.int64), np.empty(len(base), np.int64)
+    for at in range(0, len(base), _BLOCK):
+        part = [c[at:at + _BLOCK] for c in row]
+        ends = np.full(len(part[0]), first), np.full(len(part[0]), last)
+        found = _best_np(*ends, 100, (last - first) // 100 + 1, *part)
+        coarse[at:at + _BLOCK] = found
+        fine[at:at + _BLOCK] = _best_np(np.maximum(first, found - 200), np.minimum(last, found + 200), 1, 401, *part)
+    return pa.StructArray.from_arrays([pa.array(x, pa.int64(), mask=unknown) for x in (coarse, fine)], ["_coarse", "_opt"])
 
 
 def search(inp: DataFrame) -> DataFrame:
@@ -106,10 +141,11 @@ def search(inp: DataFrame) -> DataFrame:
     ``_opt`` (both in basis points) per product, a projection of one row per product.
 
     The rows are dealt out first: a search is much work for few bytes, which
-    sizes in bytes would pack into few tasks."""
-    lo, hi = (F.lit(round(d * 10000)).cast("bigint") for d in (config.OPT_DISCOUNT_MIN, config.OPT_DISCOUNT_MAX))
-    coarse = _with_best(inp.repartition("product_id"), lo, hi, 100, "_coarse")
-    return _with_best(coarse, F.greatest(lo, F.col("_coarse") - 200), F.least(hi, F.col("_coarse") + 200), 1, "_opt")
+    sizes in bytes would pack into few tasks.  Each measure is one numpy array of a block
+    of products and their candidates, so nothing is exploded or shuffled."""
+    found = F.arrow_udf(_search_rows, _FOUND)("base_price", "cost", "elasticity", "demand", "stock")
+    dealt = inp.repartition("product_id").withColumn("_found", found)
+    return dealt.select(*inp.columns, "_found._coarse", "_found._opt")
 
 
 def optimise(inp: DataFrame) -> DataFrame:
