@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfmark import config
 from shelfmark.functions.calendar import month_label
-from shelfmark.functions.exact import dec_div
+from shelfmark.functions.exact import dec_div, dec_div_wide
 
 D4 = "decimal(9,4)"
 
@@ -176,7 +176,7 @@ def discount_effectiveness(txn: DataFrame) -> DataFrame:
         F.when(F.col("promo_orders") > 0, mean_pct).otherwise(F.lit(0.0))
          .alias("avg_promo_discount_pct"),
         F.when((F.col("promo_orders") > 0) & (F.col("_psum") > 0),
-               dec_div(prev * F.col("_pn"), F.col("_psum") * 100, 2))
+               dec_div_wide(prev * F.col("_pn"), F.col("_psum") * 100, 2))
          .otherwise(F.lit(0.0)).alias("revenue_per_discount_pct"),
     )
 
