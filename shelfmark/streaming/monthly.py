@@ -7,13 +7,16 @@ DataFrame and handled in ``foreachBatch``:
 2. rows that earlier batches brought already are dropped by comparing whole
    rows with the stored ones of the same months (``EXCEPT``; no event-time
    watermark, so late and old rows count like any others);
-3. the new rows are stored by month under the batch's number, cleaned (the
-   checks and computed columns look at one row only), and summed per month;
-   these sums are stored under the batch's number as well.
+3. the new rows are stored by month under the batch's number; those with a
+   price are cleaned (the checks and computed columns look at one row only) and
+   summed per month; these sums are stored under the batch's number as well.
 
 Both writes replace what an earlier attempt of the same batch left, so a
 restarted driver repeats a batch without counting it twice.  The answer is the
 sum of the batches' sums: months x batches rows, whatever the history's length.
+Sales without a price take the median price of their product (T2), which any
+batch can move.  They are added when the answer is taken, from the stored rows;
+where every sale has a price, the files' null counts tell so.
 
 All state lies in one folder of the shared checkpoint location, together with
 the list of input files it stands for.  If one of these files was rewritten or
@@ -53,17 +56,38 @@ def line_stream(spark: SparkSession, lines_path: str, max_files_per_trigger: int
 
 
 def monthly_sums(txn: DataFrame) -> DataFrame:
-    """Mergeable monthly sums of distinct sales (T2 needs no history here: a
-    sale without a price fails the checks)."""
-    t = txn.transform(clean.validate).transform(clean.add_computed_columns).transform(add_time_features)
+    """Mergeable monthly sums of a whole history of distinct sales."""
+    return _sums(clean.fill_missing_prices(txn))
+
+
+def _sums(filled: DataFrame) -> DataFrame:
+    """T3 to T5 and the sums per month; a sale without a price fails the checks."""
+    t = filled.transform(clean.validate).transform(clean.add_computed_columns).transform(add_time_features)
     return (t.groupBy(month_label(F.col("date")).alias("date"))
             .agg(F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
                  F.sum("quantity").alias("quantity"), F.count("transaction_id").alias("orders")))
 
 
-def merged(spark: SparkSession, state: str) -> DataFrame:
-    """K12 from the stored sums of all batches."""
-    return (spark.read.parquet(f"{state}/sums/batch=*").groupBy("date")
+def _stored(spark: SparkSession, state: str, columns: T.StructType, *batches: int) -> DataFrame:
+    """Distinct rows that these batches, or all, have stored."""
+    shape = T.StructType([*columns.fields, T.StructField("batch", T.IntegerType())])
+    store = f"{state}/rows"
+    return (spark.read.schema(shape).option("basePath", store)
+            .parquet(*([f"{store}/batch={i}" for i in batches] or [store])).select(*columns.names))
+
+
+def _late_sums(rows: DataFrame, part: DataFrame) -> DataFrame | None:
+    """Sums of the stored sales without a price (T2); None where there are none."""
+    unpriced = F.col("base_c").isNull() | F.col("discount_pct").isNull()  # stored columns, so files without nulls are not read
+    missing = rows.filter(unpriced)
+    if missing.isEmpty():
+        return None
+    return _sums(clean.with_medians(sales(missing, part), sales(rows.filter(~unpriced), part)))
+
+
+def merged(sums: DataFrame) -> DataFrame:
+    """K12 from the sums of all batches."""
+    return (sums.groupBy("date")
             .agg(F.round(F.sum("revenue"), 2).cast("double").alias("revenue"),
                  F.round(F.sum("profit"), 2).cast("double").alias("profit"),
                  F.sum("quantity").cast("bigint").alias("quantity"), F.sum("orders").cast("bigint").alias("orders")))
@@ -97,19 +121,19 @@ def run_available(spark: SparkSession, lines_path: str, part: DataFrame,
     monthly trends over all files so far."""
     state = _state(spark, lines_path)
 
+    def dated(lines: DataFrame) -> DataFrame:
+        return sale_lines(lines).withColumn("month", F.trunc("date", "month"))
+
     def handle(batch: DataFrame, number: int) -> None:
-        new = sale_lines(batch).withColumn("month", F.trunc("date", "month")).distinct()
+        new = dated(batch).distinct()
         # Bounded by the calendar; taken from the dates alone, not from the distinct rows.
         days = sale_lines(batch).select(F.trunc("date", "month").alias("month"))
         months = [r.month for r in days.distinct().collect()]
         store = f"{state}/rows"
         earlier = None
         if number:
-            shape = T.StructType([*new.schema.fields, T.StructField("batch", T.IntegerType())])
-            earlier = (spark.read.schema(shape).option("basePath", store)
-                       .parquet(*[f"{store}/batch={i}" for i in range(number)])
-                       .filter(F.col("month").isin([m for m in months if m is not None])
-                               | F.col("month").isNull()).select(*new.columns))
+            earlier = (_stored(spark, state, new.schema, *range(number))
+                       .filter(F.col("month").isin([m for m in months if m is not None]) | F.col("month").isNull()))
         fresh = new
         if earlier is not None:  # EXCEPT, of rows that are distinct already
             known = earlier.toDF(*(f"_{c}" for c in earlier.columns))
@@ -117,14 +141,16 @@ def run_available(spark: SparkSession, lines_path: str, part: DataFrame,
             fresh = new.join(known, same, "left_anti")
         fresh.write.mode("overwrite").partitionBy("month").parquet(f"{store}/batch={number}")
         rows = spark.read.schema(new.schema).option("basePath", f"{store}/batch={number}").parquet(f"{store}/batch={number}")
-        monthly_sums(sales(rows.drop("month"), part)).write.mode("overwrite").parquet(f"{state}/sums/batch={number}")
+        _sums(sales(rows.drop("month"), part)).write.mode("overwrite").parquet(f"{state}/sums/batch={number}")
 
     files = _files(spark, lines_path)
     query = (line_stream(spark, lines_path, max_files_per_trigger).writeStream.foreachBatch(handle)
              .option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start())
     query.awaitTermination()
     spark.createDataFrame([(x,) for x in sorted(files)], "value string").write.mode("overwrite").text(f"{state}/files")
-    return merged(spark, state)
+    rows = _stored(spark, state, dated(spark.read.parquet(lines_path)).schema).drop("month")
+    sums, late = spark.read.parquet(f"{state}/sums/batch=*"), _late_sums(rows, part)
+    return merged(sums if late is None else sums.unionByName(late))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
